@@ -44,22 +44,39 @@ def order_col(name: str, ascending: bool = True) -> Column:
     return c.asc_nulls_last() if ascending else c.desc_nulls_last()
 
 
-def grouped_rank(df: DataFrame, keys, value: str, out: str,
-                 method: str = "dense", descending: bool = True) -> DataFrame:
-    """``df.groupby(keys)[value].rank(method, ascending=not descending)``.
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Used where one large intermediate feeds several consumers: it is
+    computed once, the plan above it stays small, and a lost executor
+    re-reads the checkpoint instead of re-running the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _valid(df: DataFrame, keys: list[str], value: str) -> Column:
+    v = F.col(value)
+    conds = [F.col(k).isNotNull() for k in keys] + [v.isNotNull()]
+    if dict(df.dtypes)[value] in ("double", "float"):
+        conds.append(~F.isnan(v))
+    return _all(conds)
+
 
-    Null group keys and null (or NaN) values get a null rank and do not
-    shift the others.  ``method`` is ``dense`` (W01) or ``min`` (W02).
+def rank_table(df: DataFrame, keys, value: str, out: str,
+               method: str = "dense", descending: bool = True) -> DataFrame:
+    """Distinct ``(keys, value)`` with the rank of ``value`` in its group.
+
+    ``method`` is ``dense`` (W01) or ``min`` (W02, competition rank:
+    ties share the lowest rank).  Null keys and null/NaN values are left
+    out, so they get no rank and do not shift the others.
     """
     keys = list(keys)
     if method not in ("dense", "min"):
         raise ValueError(method)
     v = F.col(value)
-    valid = _all([F.col(k).isNotNull() for k in keys] + [v.isNotNull(), ~F.isnan(v)]) \
-        if dict(df.dtypes)[value] in ("double", "float") else \
-        _all([F.col(k).isNotNull() for k in keys] + [v.isNotNull()])
-
-    hist = df.where(valid).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    hist = (df.where(_valid(df, keys, value))
+            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     vo = v.desc() if descending else v.asc()
     parts = shuffle_partitions(df.sparkSession)
     ranged = (hist.repartitionByRange(parts, *[F.col(k) for k in keys], vo)
@@ -84,8 +101,23 @@ def grouped_rank(df: DataFrame, keys, value: str, out: str,
         r = F.col("_ld") + F.coalesce(F.col("_od"), F.lit(0))
     else:
         r = F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0)) + 1
-    ranks = ranked.select(*keys, value, r.cast("int").alias(out))
-    return _join_back(df, ranks, keys + [value])
+    return ranked.select(*keys, value, r.cast("int").alias(out))
+
+
+def grouped_rank(df: DataFrame, keys, value: str, out: str,
+                 method: str = "dense", descending: bool = True) -> DataFrame:
+    """``df.groupby(keys)[value].rank(method, ascending=not descending)``
+    as a new integer column ``out`` (null where pandas gives NaN)."""
+    keys = list(keys)
+    return join_ranks(df, [(rank_table(df, keys, value, out, method, descending),
+                            keys + [value])])
+
+
+def join_ranks(df: DataFrame, tables) -> DataFrame:
+    """Attach rank tables (``(table, on_columns)`` pairs) to ``df``."""
+    for ranks, on in tables:
+        df = _join_back(df, ranks, list(on))
+    return df
 
 
 def _join_back(df: DataFrame, ranks: DataFrame, on: list[str]) -> DataFrame:

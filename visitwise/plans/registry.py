@@ -69,3 +69,283 @@ def q09_unified(spark: SparkSession, sf: str) -> DataFrame:
     cal, rows = calendar(spark)
     return _round(unified(clients(spark, sf), cal, visits(spark, sf), rows),
                   "Distancia_Haversine")
+
+
+def facts(spark, sf):
+    return visit_facts(visits(spark, sf), clients(spark, sf))
+
+
+FACTS = f"({D.facts_sql()}) f"
+NUM_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _sql_num(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '{NUM_RE}') THEN TRY_CAST(trim({x}) AS DOUBLE) END"
+
+
+# ------------------------------------------------------- sources, projections
+
+@register("p01_rename", D.VISITS_RAW_SQL)
+def p01_rename(spark, sf):
+    """Rename projection of the visit extract (10 named columns)."""
+    return D.visits_raw(spark, sf)
+
+
+@register("u01_unpivot_calendar", D.calendar_long_sql(D.calendar_wide_sql(
+    days_from="SELECT CAST(d AS DATE) AS d FROM (SELECT DISTINCT year(ts) AS y FROM events) ys, "
+              "generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY) t(d)")))
+def u01_unpivot_calendar(spark, sf):
+    """Calendar of every year with visits, unpivoted to one row per
+    (date, day code, code type, frequency code)."""
+    from visitwise.operators.calendar import calendar_for_years, unpivot_calendar
+    years = D.table(spark, sf, "events").select(F.year("ts").alias("year"))
+    return unpivot_calendar(calendar_for_years(years), keep_type=True)
+
+
+@register("f01_in_list", f"SELECT * FROM ({D.CLIENTS_RAW_SQL}) c WHERE COD_CANAL IN ('OFF', 'ON')")
+def f01_in_list(spark, sf):
+    """channel in-list filter."""
+    return D.clients_raw(spark, sf).where(F.col("COD_CANAL").isin("OFF", "ON"))
+
+
+@register("f03_not_null", f"SELECT ID_TERCERO, Inicio_Visita, Finalizacion_Visita FROM ({D.VISITS_RAW_SQL}) v WHERE Finalizacion_Visita IS NOT NULL")
+def f03_not_null(spark, sf):
+    """not-null filter (finished visits)."""
+    return (D.visits_raw(spark, sf).where(F.col("Finalizacion_Visita").isNotNull())
+            .select("ID_TERCERO", "Inicio_Visita", "Finalizacion_Visita"))
+
+
+@register("f04_year", D.visits_sql())
+def f04_year(spark, sf):
+    """Q06 with F04: visits of the year (range filter pushed to the scan)."""
+    return visits(spark, sf)
+
+
+_PREFIX_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
+
+
+def _prefix_num(c):
+    return F.coalesce(F.regexp_extract(c, _PREFIX_RE, 0).try_cast("double"), F.lit(0.0))
+
+
+def _sql_prefix_num(x):
+    return f"COALESCE(TRY_CAST(regexp_extract({x}, '{_PREFIX_RE}', 0) AS DOUBLE), 0.0)"
+
+
+@register("f07_nonzero_text",
+          f"SELECT * FROM ({D.VISITS_RAW_SQL}) v WHERE Logintud IS NOT NULL AND Latitud IS NOT NULL "
+          f"AND {_sql_prefix_num('Logintud')} <> 0 AND {_sql_prefix_num('Latitud')} <> 0")
+def f07_nonzero_text(spark, sf):
+    """``longitud != 0 AND latitud != 0`` on text coordinates with the
+    numeric-prefix rule of the source database (``-74,12`` is -74, text
+    without digits is 0, null is dropped); no ANSI cast error."""
+    v = D.visits_raw(spark, sf)
+    return v.where(F.col("Logintud").isNotNull() & F.col("Latitud").isNotNull()
+                   & (_prefix_num(F.col("Logintud")) != 0) & (_prefix_num(F.col("Latitud")) != 0))
+
+
+# ------------------------------------------------------------ scalar families
+
+@register("c01_coord_text",
+          f"SELECT ID_TERCERO, substr(replace(LONGITUD, ',', '.'), 1, 8) AS lon_text, "
+          f"substr(replace(LATITUD, ',', '.'), 1, 8) AS lat_text FROM ({D.CLIENTS_RAW_SQL}) c")
+def c01_coord_text(spark, sf):
+    from visitwise.functions import coord_text
+    c = D.clients_raw(spark, sf)
+    return c.select("ID_TERCERO", coord_text("LONGITUD").alias("lon_text"),
+                    coord_text("LATITUD").alias("lat_text"))
+
+
+@register("c02_try_number",
+          f"SELECT ID_TERCERO, Inicio_Visita, {_sql_num('Logintud')} AS lon_raw_num, "
+          f"{_sql_num('Latitud')} AS lat_raw_num, "
+          f"{_sql_num(chr(40) + 'substr(replace(Logintud, chr(44), chr(46)), 1, 8)' + chr(41))} AS lon_num "
+          f"FROM ({D.VISITS_RAW_SQL}) v")
+def c02_try_number(spark, sf):
+    """Text to number, bad text (comma decimals) to null."""
+    from visitwise.functions import coord_text, to_number
+    v = D.visits_raw(spark, sf)
+    return v.select("ID_TERCERO", "Inicio_Visita",
+                    to_number("Logintud").alias("lon_raw_num"),
+                    to_number("Latitud").alias("lat_raw_num"),
+                    to_number(coord_text("Logintud")).alias("lon_num"))
+
+
+_DMY_SQL = ("CAST(day(ts) AS VARCHAR) || '/' || CAST(month(ts) AS VARCHAR) || '/' || "
+            "CAST(year(ts) AS VARCHAR)")
+_MDY_SQL = ("CAST(month(ts) AS VARCHAR) || '/' || CAST(day(ts) AS VARCHAR) || '/' || "
+            "CAST(year(ts) AS VARCHAR) || ' ' || CAST(hour(ts) AS VARCHAR) || ':' || "
+            "lpad(CAST(minute(ts) AS VARCHAR), 2, '0')")
+
+
+@register("c04_parse_date",
+          f"SELECT event_id, {_DMY_SQL} AS fecha_text, CAST(strptime({_DMY_SQL}, '%d/%m/%Y') AS DATE) AS fecha FROM events")
+def c04_parse_date(spark, sf):
+    """``d/M/yyyy`` (unpadded) text to date."""
+    from visitwise.functions import parse_dmy
+    e = D.table(spark, sf, "events")
+    txt = F.concat_ws("/", F.dayofmonth("ts").cast("string"), F.month("ts").cast("string"),
+                      F.year("ts").cast("string"))
+    return e.select("event_id", txt.alias("fecha_text"), parse_dmy(txt).alias("fecha"))
+
+
+@register("c05_parse_ts",
+          f"SELECT event_id, {_MDY_SQL} AS inicio_text, strptime({_MDY_SQL}, '%m/%d/%Y %H:%M') AS inicio FROM events")
+def c05_parse_ts(spark, sf):
+    """``M/d/yyyy H:mm`` text to timestamp."""
+    from visitwise.functions import parse_mdy_hm
+    e = D.table(spark, sf, "events")
+    txt = F.concat(F.month("ts").cast("string"), F.lit("/"), F.dayofmonth("ts").cast("string"),
+                   F.lit("/"), F.year("ts").cast("string"), F.lit(" "),
+                   F.hour("ts").cast("string"), F.lit(":"),
+                   F.lpad(F.minute("ts").cast("string"), 2, "0"))
+    return e.select("event_id", txt.alias("inicio_text"),
+                    parse_mdy_hm(txt).cast("timestamp_ntz").alias("inicio"))
+
+
+@register("c10_length_text",
+          f"SELECT ID_TERCERO, Inicio_Visita, TimeDifference, TimeDifferenceD FROM {FACTS}")
+def c10_length_text(spark, sf):
+    """C09 + C10 + C12: visit length in seconds and as ``1h:5 min`` text."""
+    return facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "TimeDifference",
+                                   "TimeDifferenceD")
+
+
+@register("c11_time_code",
+          f'SELECT ID_TERCERO, Inicio_Visita, "Time", CAST(floor(TimeDifference / 60) AS BIGINT) AS duration_minutes FROM {FACTS}')
+def c11_time_code(spark, sf):
+    """C11: the glued hour-minute code and the corrected length in minutes."""
+    from visitwise.functions import duration_minutes
+    return facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "Time",
+                                   duration_minutes("TimeDifference").alias("duration_minutes"))
+
+
+@register("c13_haversine",
+          f"SELECT ID_TERCERO, Inicio_Visita, round({D._hav('Logintud', 'Latitud_Visita', 'LONGITUD', 'LATITUD')}, 3) AS haversine_m FROM {FACTS}")
+def c13_haversine(spark, sf):
+    """Unguarded haversine distance (metres) visit to client."""
+    from visitwise.functions import haversine_m
+    return facts(spark, sf).select(
+        "ID_TERCERO", "Inicio_Visita",
+        F.round(haversine_m("Logintud", "Latitud_Visita", "LONGITUD", "LATITUD"), 3)
+        .alias("haversine_m"))
+
+
+@register("c14_zero_guard",
+          f"SELECT ID_TERCERO, Inicio_Visita, Logintud, LATITUD, round(Distancia_Haversine, 3) AS Distancia_Haversine FROM {FACTS}")
+def c14_zero_guard(spark, sf):
+    """C14: 0 when a coordinate is 0, null when one is missing."""
+    return _round(facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "Logintud", "LATITUD",
+                                          "Distancia_Haversine"), "Distancia_Haversine")
+
+
+@register("c15_range_class",
+          f"SELECT ID_TERCERO, Inicio_Visita, Rango_Visita, CASE WHEN Distancia_Haversine <= 200 THEN 'Si' "
+          f"WHEN Distancia_Haversine > 200 THEN 'Fuera del Rango' ELSE '' END AS Cumpl_Rutero FROM {FACTS}")
+def c15_range_class(spark, sf):
+    """C15 + C16: range classes with both label sets."""
+    from visitwise.functions import range_class_si
+    return facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "Rango_Visita",
+                                   range_class_si("Distancia_Haversine").alias("Cumpl_Rutero"))
+
+
+@register("c17_flag",
+          f"SELECT ID_TERCERO, Inicio_Visita, CASE WHEN Finalizacion_Visita IS NULL THEN 0 ELSE 1 END AS Flag_Fin FROM ({D.VISITS_RAW_SQL}) v")
+def c17_flag(spark, sf):
+    """C17: not-null flag 0/1 (finished visit)."""
+    from visitwise.functions import not_null_flag
+    return D.visits_raw(spark, sf).select("ID_TERCERO", "Inicio_Visita",
+                                          not_null_flag("Finalizacion_Visita").alias("Flag_Fin"))
+
+
+@register("c18_equal_flag",
+          f"SELECT ID_TERCERO, Inicio_Visita, CASE WHEN CAST(Inicio_Visita AS DATE) = CAST(Finalizacion_Visita AS DATE) THEN 1 ELSE 0 END AS Flag_Mismo_Dia FROM ({D.VISITS_RAW_SQL}) v")
+def c18_equal_flag(spark, sf):
+    """Equality flag 0/1, null compares false (visit ends on its start day)."""
+    from visitwise.functions import equal_flag
+    v = D.visits_raw(spark, sf)
+    return v.select("ID_TERCERO", "Inicio_Visita",
+                    equal_flag(F.to_date("Inicio_Visita"), F.to_date("Finalizacion_Visita"))
+                    .alias("Flag_Mismo_Dia"))
+
+
+_CLEAN_DOC_SQL = ("SELECT doc_id, regexp_replace(strip_accents(text), '[^a-zA-Z0-9\\s]', '', 'g') "
+                  "AS clean_text FROM documents")
+
+
+@register("c19_clean_text", _CLEAN_DOC_SQL)
+def c19_clean_text(spark, sf):
+    """C19 on whole documents, JVM-side (exact NFKD for Latin script)."""
+    from visitwise.functions import clean_text
+    return D.table(spark, sf, "documents").select("doc_id", clean_text("text").alias("clean_text"))
+
+
+@register("c19_clean_text_exact", _CLEAN_DOC_SQL)
+def c19_clean_text_exact(spark, sf):
+    """C19 on whole documents with exact NFKD (Arrow-batched pandas UDF)."""
+    from visitwise.functions import clean_text_exact
+    return D.table(spark, sf, "documents").select("doc_id",
+                                                  clean_text_exact("text").alias("clean_text"))
+
+
+@register("c20_strip_marks", "SELECT doc_id, strip_accents(text) AS plain_text FROM documents")
+def c20_strip_marks(spark, sf):
+    """C20: combining marks removed, punctuation kept."""
+    from visitwise.functions import strip_marks
+    return D.table(spark, sf, "documents").select("doc_id", strip_marks("text").alias("plain_text"))
+
+
+@register("c21_code",
+          "SELECT c_custkey, '00' || CAST(c_nationkey AS VARCHAR) AS code_ref, "
+          "lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS code FROM customer")
+def c21_code(spark, sf):
+    """``'00' + n`` (10 gives ``0010``) next to the canonical code."""
+    from visitwise.functions import code_canonical, code_from_int
+    c = D.table(spark, sf, "customer")
+    return c.select("c_custkey", code_from_int("c_nationkey").alias("code_ref"),
+                    code_canonical("c_nationkey").alias("code"))
+
+
+def _string_cols_sql_fill(cols_types):
+    return ", ".join(f"COALESCE({c}, '') AS {c}" if t == "string" else c for c, t in cols_types)
+
+
+_CLIENT_TYPES = [("COD_CIA", "int"), ("ROWID_TERCERO", "bigint")] + [
+    (c, "int" if c == "IND_ESTADO_ACTIVO_CLIENTE" else "string")
+    for c in D.CLIENT_KEYS[2:]]
+
+
+@register("c24_fill", f"SELECT {_string_cols_sql_fill(_CLIENT_TYPES)} FROM ({D.CLIENTS_RAW_SQL}) c")
+def c24_fill(spark, sf):
+    """Missing text filled with ``''`` (numbers untouched)."""
+    c = D.clients_raw(spark, sf)
+    return c.na.fill("")
+
+
+@register("c26_concat",
+          f"SELECT ID_TERCERO, NIT_TERCERO || '-' || COD_FRECUENCIA_VISITA AS nit_frecuencia FROM ({D.CLIENTS_RAW_SQL}) c")
+def c26_concat(spark, sf):
+    """SQL CONCAT - null when a part is null."""
+    from visitwise.functions import concat_strict
+    c = D.clients_raw(spark, sf)
+    return c.select("ID_TERCERO",
+                    concat_strict("NIT_TERCERO", "COD_FRECUENCIA_VISITA", sep="-").alias("nit_frecuencia"))
+
+
+@register("c30_period",
+          "SELECT DISTINCT CAST(ts AS DATE) AS as_of, last_day(CAST(ts AS DATE)) = CAST(ts AS DATE) AS is_month_end, "
+          "strftime(CAST(ts AS DATE), '%Y%m') AS period, CAST(CAST(ts AS DATE) + INTERVAL 1 DAY AS DATE) AS next_day FROM events")
+def c30_period(spark, sf):
+    """Per visit date - last day of month?, ``yyyyMM`` period, next day."""
+    from visitwise.functions import month_end_flag, period_yyyymm
+    d = D.table(spark, sf, "events").select(F.to_date("ts").alias("as_of")).distinct()
+    return d.select("as_of", month_end_flag("as_of").alias("is_month_end"),
+                    period_yyyymm("as_of").alias("period"),
+                    F.date_add("as_of", 1).alias("next_day"))
+
+
+@register("a06_count", "SELECT count(*) AS n_rows, 10 AS n_cols FROM events")
+def a06_count(spark, sf):
+    """Row count and width of the visit extract."""
+    from visitwise.operators.grouping import shape
+    return shape(D.visits_raw(spark, sf))

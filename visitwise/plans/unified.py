@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from visitwise.functions.codes import equal_flag, not_null_flag
 from visitwise.functions.text import clean_text_exact
 from visitwise.operators.matching import natural_full_outer
-from visitwise.operators.ranking import grouped_rank, order_col
+from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_table
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
 from visitwise.plans.route import due_list, visit_facts
 from visitwise.schemas import CLEANED_TEXT, CLIENT_COLUMNS, RESULT_COLUMNS
@@ -50,10 +50,14 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     due = due_list(cl, calendar, calendar_rows)
     facts = visit_facts(visits, cl)
     keys = due.columns
-    res = natural_full_outer(due, facts, keys, matched_flag="_matched")
-    res = grouped_rank(res, RANK_KEYS, "Time", "Flag_Time", "dense", descending=True)
-    res = grouped_rank(res, RANK_KEYS, "Distancia_Haversine", "Flag_Distance", "min",
-                       descending=True)
+    # the matched table feeds two rank histograms and two joins: write it
+    # once to the checkpoint folder
+    res = materialize(natural_full_outer(due, facts, keys, matched_flag="_matched"))
+    t_time = rank_table(res, RANK_KEYS, "Time", "Flag_Time", "dense", descending=True)
+    t_dist = rank_table(res, RANK_KEYS, "Distancia_Haversine", "Flag_Distance", "min",
+                        descending=True)
+    res = join_ranks(res, [(t_time, RANK_KEYS + ["Time"]),
+                           (t_dist, RANK_KEYS + ["Distancia_Haversine"])])
     res = res.withColumns({
         "Flag_DAN": not_null_flag("Inicio_Visita"),
         "Flag_Visita_Rutero": equal_flag("FECHAS_VISITA", "FECHAS_VISITA_V"),

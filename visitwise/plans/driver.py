@@ -242,13 +242,6 @@ def _clean(x: str) -> str:
 
 
 def unified_sql(year: int = YEAR, round_distance: int | None = 3) -> str:
-    keys = CLIENT_KEYS + ["FECHAS_VISITA"]
-    on = " AND ".join(f"d.{k} IS NOT DISTINCT FROM f.{k}" for k in keys)
-    coalesced = ", ".join(f"COALESCE(d.{k}, f.{k}) AS {k}" for k in keys)
-    facts_only = ["Logintud", "Latitud_Visita", "Inicio_Visita", "Finalizacion_Visita",
-                  "FECHAS_VISITA_V", "TimeDifference", "TimeDifferenceD", "Time",
-                  "Distancia_Haversine", "Rango_Visita"]
-    fcols = ", ".join(f'f."{c}"' for c in facts_only)
     part = "PARTITION BY ID_TERCERO, FECHAS_VISITA"
     guard = "ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL"
     from visitwise.schemas import CLEANED_TEXT
@@ -266,8 +259,19 @@ def unified_sql(year: int = YEAR, round_distance: int | None = 3) -> str:
             "CASE WHEN FECHAS_VISITA = FECHAS_VISITA_V THEN 1 ELSE 0 END AS Flag_Visita_Rutero",
             "(_d IS NOT NULL AND FECHAS_VISITA IS NOT NULL) AS is_scheduled"]
     return f"""
-SELECT {', '.join(out)} FROM (
+SELECT {', '.join(out)} FROM ({matched_sql(year)}) j"""
+
+
+def matched_sql(year: int = YEAR) -> str:
+    """Due list FULL OUTER JOIN visit facts on the 19 natural keys."""
+    keys = CLIENT_KEYS + ["FECHAS_VISITA"]
+    on = " AND ".join(f"d.{k} IS NOT DISTINCT FROM f.{k}" for k in keys)
+    coalesced = ", ".join(f"COALESCE(d.{k}, f.{k}) AS {k}" for k in keys)
+    facts_only = ["Logintud", "Latitud_Visita", "Inicio_Visita", "Finalizacion_Visita",
+                  "FECHAS_VISITA_V", "TimeDifference", "TimeDifferenceD", "Time",
+                  "Distancia_Haversine", "Rango_Visita"]
+    fcols = ", ".join(f'f."{c}"' for c in facts_only)
+    return f"""
   SELECT {coalesced}, {fcols}, d._d
   FROM (SELECT *, 1 AS _d FROM ({due_sql(year)}) d0) d
-  FULL OUTER JOIN ({facts_sql(year)}) f ON {on}
-) j"""
+  FULL OUTER JOIN ({facts_sql(year)}) f ON {on}"""

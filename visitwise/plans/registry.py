@@ -349,3 +349,145 @@ def a06_count(spark, sf):
     """Row count and width of the visit extract."""
     from visitwise.operators.grouping import shape
     return shape(D.visits_raw(spark, sf))
+
+
+# ------------------------------------------------------------------- joins
+
+CL = f"({D.CLIENTS_SQL})"
+CAL = f"({D.calendar_long_sql(D.calendar_wide_sql())})"
+VIS = f"({D.visits_sql()})"
+_ALLCOL_ORDER = None
+
+
+@register("j03_unified_full",
+          f"SELECT {', '.join(D.CLIENT_KEYS)}, FECHAS_VISITA, Inicio_Visita, "
+          f"round(Distancia_Haversine, 3) AS Distancia_Haversine, "
+          f"(_d IS NOT NULL AND FECHAS_VISITA IS NOT NULL) AS is_scheduled FROM ({D.matched_sql()}) j")
+def j03_unified_full(spark, sf):
+    """Due list full-matched with visit facts on the 19 natural keys
+    (skew-safe form, see ``operators.matching``)."""
+    from visitwise.operators.matching import natural_full_outer
+    cal, rows = calendar(spark)
+    cl = clients(spark, sf)
+    due = due_list(cl, cal, rows)
+    f = visit_facts(visits(spark, sf), cl)
+    res = natural_full_outer(due, f, due.columns, matched_flag="_m")
+    return res.select(*D.CLIENT_KEYS, "FECHAS_VISITA", "Inicio_Visita",
+                      F.round("Distancia_Haversine", 3).alias("Distancia_Haversine"),
+                      (F.col("_m") & F.col("FECHAS_VISITA").isNotNull()).alias("is_scheduled"))
+
+
+@register("j05_inner_calendar",
+          f"SELECT c.ID_TERCERO, c.COD_DIA_VISITA, c.COD_FRECUENCIA_VISITA, k.FECHAS_VISITA FROM {CL} c "
+          f"JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA")
+def j05_inner_calendar(spark, sf):
+    """Distinct clients x calendar, inner on the two codes."""
+    from visitwise.plans.compliance import distinct_clients, due_rows
+    cal, _ = calendar(spark)
+    return due_rows(distinct_clients(clients(spark, sf)), cal).select(
+        "ID_TERCERO", "COD_DIA_VISITA", "COD_FRECUENCIA_VISITA", "FECHAS_VISITA")
+
+
+@register("j07_fanout",
+          f"SELECT d.ID_TERCERO, d.FECHAS_VISITA, v.Inicio_Visita FROM (SELECT c.ID_TERCERO, k.FECHAS_VISITA FROM {CL} c "
+          f"JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA) d "
+          f"JOIN {VIS} v ON d.ID_TERCERO = v.ID_TERCERO AND d.FECHAS_VISITA = v.FECHAS_VISITA")
+def j07_fanout(spark, sf):
+    """Due rows x visits on (client, date), right side not deduplicated:
+    repeated visits on a due day multiply."""
+    from visitwise.plans.compliance import due_rows
+    cal, _ = calendar(spark)
+    due = due_rows(clients(spark, sf), cal).select("ID_TERCERO", "FECHAS_VISITA")
+    v = visits(spark, sf).select("ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita")
+    return due.join(v, ["ID_TERCERO", "FECHAS_VISITA"], "inner")
+
+
+@register("j10_lookup",
+          f"SELECT v.*, c.COD_CANAL FROM ({D.VISITS_RAW_SQL}) v JOIN (SELECT ID_TERCERO, COD_CANAL FROM ({D.CLIENTS_RAW_SQL}) c0) c "
+          f"ON v.ID_TERCERO = c.ID_TERCERO")
+def j10_lookup(spark, sf):
+    """Visits enriched with the client's channel (lookup join)."""
+    lk = D.clients_raw(spark, sf).select("ID_TERCERO", "COD_CANAL")
+    return D.visits_raw(spark, sf).join(lk, "ID_TERCERO", "inner").select(
+        *D.visits_raw(spark, sf).columns, "COD_CANAL")
+
+
+def _list_sql(src: str, keys: str, val: str, out: str) -> str:
+    return (f"SELECT {keys}, count(*) AS n_{out}, string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) AS {out} "
+            f"FROM (SELECT DISTINCT {keys}, {val} AS v FROM {src} WHERE {val} IS NOT NULL) s GROUP BY {keys}")
+
+
+_J13_SQL = (f"SELECT c.ID_TERCERO, c.COD_DIA_VISITA, c.COD_FRECUENCIA_VISITA, v.n_visit_dates, v.visit_dates, "
+            f"p.n_due_dates, p.due_dates FROM (SELECT DISTINCT ID_TERCERO, COD_DIA_VISITA, COD_FRECUENCIA_VISITA FROM {CL} c0) c "
+            f"JOIN ({_list_sql(VIS, 'ID_TERCERO', 'FECHAS_VISITA', 'visit_dates')}) v ON c.ID_TERCERO = v.ID_TERCERO "
+            f"JOIN ({_list_sql(CAL, 'COD_DIA_VISITA, COD_FRECUENCIA_VISITA', 'FECHAS_VISITA', 'due_dates')}) p "
+            f"ON c.COD_DIA_VISITA = p.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = p.COD_FRECUENCIA_VISITA")
+
+
+@register("j13_array_join", _J13_SQL)
+def j13_array_join(spark, sf):
+    """Per client, visit-date list joined to the due-date list of its
+    plan (lists are distinct dates, bounded by the calendar)."""
+    from visitwise.plans.compliance import grouped_dates
+    cal, _ = calendar(spark)
+    return grouped_dates(clients(spark, sf), cal, visits(spark, sf)).drop("n_due_visit_dates")
+
+
+_DIST_SQL = ("SELECT CAST(user_id AS VARCHAR) || '-001' AS ID_TERCERO, "
+             "CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 SECOND ELSE ts END AS Inicio_Visita, "
+             "CAST(event_id % 500 AS DOUBLE) AS distancia FROM events WHERE event_id % 3 <> 0")
+
+
+def _distances(spark, sf):
+    e = D.table(spark, sf, "events").where(F.col("event_id") % 3 != 0)
+    return e.select(F.concat(F.col("user_id").cast("string"), F.lit("-001")).alias("ID_TERCERO"),
+                    F.when(F.col("event_id") % 7 == 0, F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+                    .otherwise(F.col("ts")).alias("Inicio_Visita"),
+                    (F.col("event_id") % 500).cast("double").alias("distancia"))
+
+
+@register("j16_full_outer",
+          f"SELECT COALESCE(v.ID_TERCERO, d.ID_TERCERO) AS ID_TERCERO, COALESCE(v.Inicio_Visita, d.Inicio_Visita) AS Inicio_Visita, "
+          f"v.FECHAS_VISITA, d.distancia FROM {VIS} v FULL OUTER JOIN ({_DIST_SQL}) d "
+          f"ON v.ID_TERCERO IS NOT DISTINCT FROM d.ID_TERCERO AND v.Inicio_Visita IS NOT DISTINCT FROM d.Inicio_Visita")
+def j16_full_outer(spark, sf):
+    """Visits full outer a distance table on (client, visit start)."""
+    from visitwise.operators.nullsafe import merge
+    v = visits(spark, sf).select("ID_TERCERO", "Inicio_Visita", "FECHAS_VISITA")
+    return merge(v, _distances(spark, sf), ["ID_TERCERO", "Inicio_Visita"], "full")
+
+
+@register("j18_all_due_dates",
+          f"SELECT v.ID_TERCERO, v.Inicio_Visita, k.FECHAS_VISITA AS FECHA_PROGRAMADA, k.FECHAS_VISITA = v.FECHAS_VISITA AS Cumple "
+          f"FROM {VIS} v JOIN (SELECT DISTINCT ID_TERCERO, COD_DIA_VISITA, COD_FRECUENCIA_VISITA FROM {CL} c0) c ON v.ID_TERCERO = c.ID_TERCERO "
+          f"JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA")
+def j18_all_due_dates(spark, sf):
+    """Every visit against every due date of its plan."""
+    from visitwise.plans.compliance import all_due_dates
+    cal, _ = calendar(spark)
+    return all_due_dates(clients(spark, sf), cal, visits(spark, sf))
+
+
+@register("j19_mark_join",
+          f"SELECT v.ID_TERCERO, v.Inicio_Visita, v.FECHAS_VISITA, EXISTS (SELECT 1 FROM {CAL} k WHERE k.COD_DIA_VISITA = c.COD_DIA_VISITA "
+          f"AND k.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA AND k.FECHAS_VISITA = v.FECHAS_VISITA) AS Cumple "
+          f"FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO = c.ID_TERCERO")
+def j19_mark_join(spark, sf):
+    """Mark join - each client visit flagged if its date was due."""
+    from visitwise.plans.compliance import mark_scheduled
+    cal, _ = calendar(spark)
+    v = visits(spark, sf).join(clients(spark, sf).select("ID_TERCERO", "COD_DIA_VISITA",
+                                                         "COD_FRECUENCIA_VISITA"), "ID_TERCERO")
+    return mark_scheduled(v, cal).select("ID_TERCERO", "Inicio_Visita", "FECHAS_VISITA", "Cumple")
+
+
+@register("j20_inner_chain",
+          "SELECT o.o_orderkey, c.c_name, n.n_name, r.r_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey "
+          "JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey")
+def j20_inner_chain(spark, sf):
+    """Chain of many-to-one inner joins (fact x three dimensions)."""
+    o, c = D.table(spark, sf, "orders"), D.table(spark, sf, "customer")
+    n, r = D.table(spark, sf, "nation"), D.table(spark, sf, "region")
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, n.n_regionkey == r.r_regionkey)
+            .select("o_orderkey", "c_name", "n_name", "r_name"))

@@ -491,3 +491,187 @@ def j20_inner_chain(spark, sf):
     return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
             .join(r, n.n_regionkey == r.r_regionkey)
             .select("o_orderkey", "c_name", "n_name", "r_name"))
+
+
+# ------------------------------------------------------ EAV and role joins
+
+def _eav(spark, sf):
+    """EAV rows from ``part``: brand under 881/901, size under 882/902,
+    type under id 0 for every tenth part."""
+    p = D.table(spark, sf, "part")
+    k = F.col("p_partkey")
+    rows = F.array(
+        F.struct(F.when(k % 2 == 0, F.lit(881)).otherwise(F.lit(901)).alias("attr_id"),
+                 F.col("p_brand").alias("value")),
+        F.struct(F.when(k % 3 != 0, F.lit(882)).otherwise(F.lit(902)).alias("attr_id"),
+                 F.col("p_size").cast("string").alias("value")),
+        F.struct(F.when(k % 10 == 0, F.lit(0)).alias("attr_id"), F.col("p_type").alias("value")))
+    return (p.select(k.alias("entity"), F.explode(rows).alias("r"))
+            .select("entity", "r.attr_id", "r.value").where(F.col("attr_id").isNotNull()))
+
+
+_EAV_SQL = ("(SELECT p_partkey AS entity, CASE WHEN p_partkey % 2 = 0 THEN 881 ELSE 901 END AS attr_id, p_brand AS value FROM part "
+            "UNION ALL SELECT p_partkey, CASE WHEN p_partkey % 3 <> 0 THEN 882 ELSE 902 END, CAST(p_size AS VARCHAR) FROM part "
+            "UNION ALL SELECT p_partkey, 0, p_type FROM part WHERE p_partkey % 10 = 0)")
+
+
+@register("u02_eav_pivot",
+          f"SELECT entity, max(CASE WHEN attr_id IN (881, 901) THEN value END) AS LONGITUD, "
+          f"max(CASE WHEN attr_id IN (882, 902) THEN value END) AS LATITUD FROM {_EAV_SQL} e GROUP BY entity")
+def u02_eav_pivot(spark, sf):
+    """EAV to columns by conditional aggregation (one pass)."""
+    from visitwise.operators.eav import eav_pivot
+    return eav_pivot(_eav(spark, sf))
+
+
+@register("j23_eav_self",
+          f"SELECT lg.entity, lg.value AS LONGITUD, lt.value AS LATITUD FROM {_EAV_SQL} lg JOIN {_EAV_SQL} lt "
+          f"ON lg.entity = lt.entity WHERE lg.attr_id IN (881, 901) AND lt.attr_id IN (882, 902)")
+def j23_eav_self(spark, sf):
+    """The same through an EAV self-join."""
+    from visitwise.operators.eav import eav_self_join
+    return eav_self_join(_eav(spark, sf))
+
+
+@register("j22_case_key",
+          f"SELECT e.entity, e.attr_id, e.value, a.attr_rowid FROM {_EAV_SQL} e JOIN "
+          f"(SELECT DISTINCT attr_id AS attr_rowid FROM {_EAV_SQL} x) a "
+          f"ON (CASE WHEN a.attr_rowid IN (881, 901) THEN a.attr_rowid ELSE 0 END) = e.attr_id")
+def j22_case_key(spark, sf):
+    """Equi-join on a CASE key (ids outside the list become 0)."""
+    from visitwise.operators.eav import case_key_join
+    e = _eav(spark, sf)
+    attrs = e.select(F.col("attr_id").alias("attr_rowid")).distinct()
+    return case_key_join(e, attrs)
+
+
+def _criteria(spark, sf):
+    """Client criteria rows (plan, criterion) and their descriptions."""
+    from visitwise.operators.calendar import DAY_LABELS
+    c = D.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    day = F.lpad((k % 7 + 1).cast("string"), 3, "0")
+    fq = F.when(k % 8 != 0, F.lpad((k % 8).cast("string"), 3, "0"))
+    rows = F.array(F.struct(F.lit("001").alias("plan"), day.alias("crit")),
+                   F.struct(F.lit("002").alias("plan"), fq.alias("crit")),
+                   F.struct(F.lit("CCD").alias("plan"), F.col("c_mktsegment").alias("crit")),
+                   F.struct(F.lit("VEN").alias("plan"), F.col("c_nationkey").cast("string").alias("crit")))
+    crit = (c.select(k.alias("custkey"), F.explode(rows).alias("r"))
+            .select("custkey", "r.plan", "r.crit").where(F.col("crit").isNotNull()))
+    n = D.table(spark, sf, "nation")
+    code = F.col("crit")
+    desc = (crit.select("plan", "crit").distinct()
+            .withColumn("descr", F.when(F.col("plan") == "001",
+                                        F.element_at(F.array(*[F.lit(x) for x in DAY_LABELS]), code.cast("int")))
+                        .when(F.col("plan") == "002",
+                              F.element_at(F.array(*[F.lit(x) for x in D.FREQ_LABELS]), code.cast("int")))
+                        .when(F.col("plan") == "CCD", F.concat(F.lit("Canal "), code)))
+            .where(F.col("plan") != "VEN")
+            .unionByName(n.select(F.lit("VEN").alias("plan"), F.col("n_nationkey").cast("string").alias("crit"),
+                                  F.col("n_name").alias("descr"))))
+    return crit, desc
+
+
+_CRIT_SQL = ("(SELECT c_custkey AS custkey, '001' AS plan, lpad(CAST(c_custkey % 7 + 1 AS VARCHAR), 3, '0') AS crit FROM customer "
+             "UNION ALL SELECT c_custkey, '002', lpad(CAST(c_custkey % 8 AS VARCHAR), 3, '0') FROM customer WHERE c_custkey % 8 <> 0 "
+             "UNION ALL SELECT c_custkey, 'CCD', c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL "
+             "UNION ALL SELECT c_custkey, 'VEN', CAST(c_nationkey AS VARCHAR) FROM customer WHERE c_nationkey IS NOT NULL)")
+
+
+def _desc_sql():
+    from visitwise.operators.calendar import DAY_LABELS
+    return (f"(SELECT DISTINCT plan, crit, CASE plan WHEN '001' THEN {D._case('crit', DAY_LABELS)} "
+            f"WHEN '002' THEN {D._case('crit', D.FREQ_LABELS)} ELSE 'Canal ' || crit END AS descr "
+            f"FROM {_CRIT_SQL} x WHERE plan <> 'VEN' "
+            f"UNION ALL SELECT 'VEN', CAST(n_nationkey AS VARCHAR), n_name FROM nation)")
+
+
+def _role_sql():
+    parts, cols = [], []
+    for alias, plan, code_col, desc_col in (("p1", "001", "COD_DIA_VISITA", "DES_DIA_VISITA"),
+                                            ("p2", "002", "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
+                                            ("pc", "CCD", None, "COD_CANAL"),
+                                            ("pv", "VEN", "COD_VENDEDOR", "DES_VENDEDOR")):
+        parts.append(f"LEFT JOIN {_CRIT_SQL} t{alias} ON t{alias}.custkey = c.c_custkey AND t{alias}.plan = '{plan}' "
+                     f"LEFT JOIN {_desc_sql()} m{alias} ON m{alias}.plan = t{alias}.plan AND m{alias}.crit = t{alias}.crit")
+        if code_col:
+            cols.append(f"m{alias}.crit AS {code_col}")
+        cols.append(f"m{alias}.descr AS {desc_col}")
+    return f"SELECT c.c_custkey, {', '.join(cols)} FROM customer c {' '.join(parts)}"
+
+
+ROLE_COLUMNS = [("001", "COD_DIA_VISITA", "DES_DIA_VISITA"),
+                ("002", "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
+                ("CCD", None, "COD_CANAL"), ("VEN", "COD_VENDEDOR", "DES_VENDEDOR")]
+
+
+@register("j21_role_left", _role_sql())
+def j21_role_left(spark, sf):
+    """Classification criteria of four plans per client - the
+    reference's four aliased left joins, as one join of criteria with their
+    descriptions pivoted by plan (one shuffle instead of four)."""
+    crit, desc = _criteria(spark, sf)
+    # descriptions: one row per (plan, criterion) - tiny next to the criteria
+    cd = crit.join(desc, ["plan", "crit"], "inner")
+    aggs = []
+    for plan, code_col, desc_col in ROLE_COLUMNS:
+        if code_col:
+            aggs.append(F.max(F.when(F.col("plan") == plan, F.col("crit"))).alias(code_col))
+        aggs.append(F.max(F.when(F.col("plan") == plan, F.col("descr"))).alias(desc_col))
+    piv = cd.groupBy("custkey").agg(*aggs)
+    c = D.table(spark, sf, "customer").select("c_custkey")
+    out = c.join(piv, c.c_custkey == piv.custkey, "left").drop("custkey")
+    order = ["c_custkey"] + [x for p, a, b in ROLE_COLUMNS for x in (a, b) if x]
+    return out.select(*order)
+
+
+def _extract_tables(spark, sf):
+    """Visit-extract sources: VISITA from events, USUARIO from customer,
+    SUCURSAL from supplier."""
+    e = D.table(spark, sf, "events")
+    visita = e.select(
+        F.when(F.col("event_id") % 101 == 0, F.lit("0"))
+         .otherwise(F.concat(F.lit("-74,"), F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0")))
+         .alias("longitud"),
+        F.concat(F.lit("4,"), F.lpad((F.col("event_id") % 9973).cast("string"), 4, "0")).alias("latitud"),
+        F.col("ts").alias("fecha_inicio"),
+        (F.col("ts") + F.make_dt_interval(secs=F.round(F.col("value") * 60))).alias("fecha_final"),
+        F.col("user_id").alias("tercero_id"), (F.col("event_id") % 100).alias("vendedor_id"),
+        (F.col("event_id") % 7).alias("sucursal_id"))
+    c = D.table(spark, sf, "customer")
+    usuario = c.select(F.col("c_custkey").alias("usuario_id"), F.col("c_name").alias("nombre_completo"),
+                       F.col("c_mktsegment").alias("primer_apellido"),
+                       F.col("c_nationkey").cast("string").alias("segundo_apellido"),
+                       F.col("c_custkey").cast("string").alias("numero_identificacion"))
+    s = D.table(spark, sf, "supplier")
+    sucursal = s.select(F.col("s_suppkey").alias("sucursal_id"),
+                        F.lpad(F.col("s_suppkey").cast("string"), 3, "0").alias("numero_sucursal"))
+    return visita, usuario, sucursal
+
+
+_VISITA_SQL = ("(SELECT CASE WHEN event_id % 101 = 0 THEN '0' ELSE '-74,' || lpad(CAST(event_id % 10000 AS VARCHAR), 4, '0') END AS longitud, "
+               "'4,' || lpad(CAST(event_id % 9973 AS VARCHAR), 4, '0') AS latitud, ts AS fecha_inicio, "
+               "ts + to_seconds(CAST(round(value * 60) AS BIGINT)) AS fecha_final, user_id AS tercero_id, "
+               "event_id % 100 AS vendedor_id, event_id % 7 AS sucursal_id FROM events)")
+_USUARIO_SQL = ("(SELECT c_custkey AS usuario_id, c_name AS nombre_completo, c_mktsegment AS primer_apellido, "
+                "CAST(c_nationkey AS VARCHAR) AS segundo_apellido, CAST(c_custkey AS VARCHAR) AS numero_identificacion FROM customer)")
+_SUCURSAL_SQL = "(SELECT s_suppkey AS sucursal_id, lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS numero_sucursal FROM supplier)"
+
+
+@register("j24_role_inner",
+          f"SELECT visita.longitud AS Logintud, visita.latitud AS Latitud, visita.fecha_inicio AS Inicio_Visita, "
+          f"visita.fecha_final AS Finalizacion_Visita, "
+          f"tercero.nombre_completo || ' ' || tercero.primer_apellido || ' ' || tercero.segundo_apellido AS Razon_Social_Cliente, "
+          f"tercero.numero_identificacion || '-' || sucursal.numero_sucursal AS ID_TERCERO, "
+          f"tercero.numero_identificacion AS Nit, sucursal.numero_sucursal AS Codigo_Sucursal, "
+          f"vendedor.numero_identificacion AS Codigo_Vendedor, "
+          f"vendedor.primer_apellido || ' ' || vendedor.nombre_completo || ' ' || vendedor.segundo_apellido AS Des_vendedor "
+          f"FROM {_VISITA_SQL} visita JOIN {_USUARIO_SQL} tercero ON visita.tercero_id = tercero.usuario_id "
+          f"JOIN {_USUARIO_SQL} vendedor ON visita.vendedor_id = vendedor.usuario_id "
+          f"JOIN {_SUCURSAL_SQL} sucursal ON visita.sucursal_id = sucursal.sucursal_id "
+          f"WHERE {_sql_prefix_num('visita.longitud')} <> 0 AND {_sql_prefix_num('visita.latitud')} <> 0")
+def j24_role_inner(spark, sf):
+    """The visit extract - visit x user (as customer) x user (as
+    salesperson) x branch, inner; F07 filter; C26 concatenations."""
+    from visitwise.plans.extract import visit_extract
+    return visit_extract(*_extract_tables(spark, sf))

@@ -675,3 +675,159 @@ def j24_role_inner(spark, sf):
     salesperson) x branch, inner; F07 filter; C26 concatenations."""
     from visitwise.plans.extract import visit_extract
     return visit_extract(*_extract_tables(spark, sf))
+
+
+# --------------------------------------------------------------- grouping
+
+_DATE_TXT = "strftime(v, '%Y-%m-%d')"
+
+
+@register("a01_collect_list",
+          f"SELECT ID_TERCERO, sum(n) AS n_visit_dates, string_agg(strftime(v, '%Y-%m-%d') || ':' || CAST(n AS VARCHAR), ',' ORDER BY v) AS visit_dates "
+          f"FROM (SELECT ID_TERCERO, FECHAS_VISITA AS v, count(*) AS n FROM {VIS} x WHERE ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL "
+          f"GROUP BY ID_TERCERO, FECHAS_VISITA) s GROUP BY ID_TERCERO")
+def a01_collect_list(spark, sf):
+    """Visit dates per client, duplicates kept as counts (``date:n``),
+    sorted - one entry per distinct date, so a busy client stays bounded."""
+    from visitwise.operators.grouping import value_runs
+    return value_runs(visits(spark, sf), ["ID_TERCERO"], "FECHAS_VISITA", "visit_dates",
+                      lambda c: F.date_format(c, "yyyy-MM-dd")).select(
+        "ID_TERCERO", "n_visit_dates", "visit_dates")
+
+
+@register("a02_distinct_list",
+          f"SELECT a.ID_TERCERO, a.n_visit_dates, a.visit_dates, b.n_weekdays, b.weekdays FROM "
+          f"({_list_sql(VIS, 'ID_TERCERO', 'FECHAS_VISITA', 'visit_dates')}) a JOIN "
+          f"({_list_sql('(SELECT ID_TERCERO, lpad(CAST(dayofweek(FECHAS_VISITA) + 1 AS VARCHAR), 3, chr(48)) AS d FROM ' + VIS + ' y)', 'ID_TERCERO', 'd', 'weekdays')}) b "
+          f"ON a.ID_TERCERO = b.ID_TERCERO")
+def a02_distinct_list(spark, sf):
+    """Two distinct-value lists per client at once (visit dates and
+    weekday codes)."""
+    from visitwise.operators.grouping import distinct_list
+    v = visits(spark, sf).withColumn("d", F.lpad(F.dayofweek("FECHAS_VISITA").cast("string"), 3, "0"))
+    a = distinct_list(v, ["ID_TERCERO"], "FECHAS_VISITA", "visit_dates",
+                      lambda c: F.date_format(c, "yyyy-MM-dd"))
+    b = distinct_list(v, ["ID_TERCERO"], "d", "weekdays")
+    return a.join(b, "ID_TERCERO").select("ID_TERCERO", "n_visit_dates", "visit_dates",
+                                           "n_weekdays", "weekdays").withColumns(
+        {"n_visit_dates": F.col("n_visit_dates").cast("long"),
+         "n_weekdays": F.col("n_weekdays").cast("long")})
+
+
+@register("a03_first",
+          f"SELECT ID_TERCERO, arg_min(Logintud, (Inicio_Visita, Logintud)) AS first_lon, min(Inicio_Visita) AS first_start "
+          f"FROM ({D.VISITS_RAW_SQL}) v WHERE ID_TERCERO IS NOT NULL GROUP BY ID_TERCERO")
+def a03_first(spark, sf):
+    """First value per group in an explicit order (``min_by``)."""
+    from visitwise.operators.grouping import first_value
+    v = D.visits_raw(spark, sf)
+    a = first_value(v, ["ID_TERCERO"], "Logintud", ["Inicio_Visita"], "first_lon")
+    b = v.groupBy("ID_TERCERO").agg(F.min("Inicio_Visita").alias("first_start"))
+    return a.join(b, "ID_TERCERO")
+
+
+_VR_COLS = ["Logintud", "Latitud", "Inicio_Visita", "Finalizacion_Visita", "Razon_Social_Cliente",
+            "Nit", "Codigo_Sucursal", "Codigo_Vendedor", "Des_vendedor"]
+
+
+@register("a04_dedup_first",
+          f"SELECT ID_TERCERO, {', '.join(_VR_COLS)} FROM (SELECT *, row_number() OVER (PARTITION BY ID_TERCERO ORDER BY "
+          f"{', '.join(c + ' ASC NULLS LAST' for c in ['Inicio_Visita'] + [c for c in _VR_COLS if c != 'Inicio_Visita'])}) AS rn "
+          f"FROM ({D.VISITS_RAW_SQL}) v) s WHERE rn = 1")
+def a04_dedup_first(spark, sf):
+    """One visit per client - the earliest (ties by the other columns)."""
+    from visitwise.operators.ranking import first_per_key
+    v = D.visits_raw(spark, sf)
+    order = [("Inicio_Visita", True)] + [(c, True) for c in _VR_COLS if c != "Inicio_Visita"]
+    return first_per_key(v, ["ID_TERCERO"], order).select("ID_TERCERO", *_VR_COLS)
+
+
+def _profile_sql():
+    types = dict(_CLIENT_TYPES)
+    parts = [f"SELECT '{c}' AS column_name, '{types[c]}' AS data_type, count({c}) AS non_null FROM ({D.CLIENTS_RAW_SQL}) c"
+             for c in D.CLIENT_KEYS]
+    return " UNION ALL ".join(parts)
+
+
+@register("a07_profile", _profile_sql())
+def a07_profile(spark, sf):
+    """Type and non-null count of every client column (one pass)."""
+    from visitwise.operators.grouping import profile
+    return profile(D.clients_raw(spark, sf))
+
+
+# ---------------------------------------------------- ranks, sorts, splits
+
+_RANK_PART = "PARTITION BY ID_TERCERO, FECHAS_VISITA"
+_RANK_GUARD = "ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL"
+
+
+@register("w01_dense_rank",
+          f'SELECT ID_TERCERO, FECHAS_VISITA, Inicio_Visita, "Time", CAST(CASE WHEN {_RANK_GUARD} AND "Time" IS NOT NULL '
+          f'THEN dense_rank() OVER ({_RANK_PART} ORDER BY "Time" DESC NULLS LAST) END AS INTEGER) AS Flag_Time FROM {FACTS}')
+def w01_dense_rank(spark, sf):
+    """Dense rank of the duration code per client and day (skew-safe)."""
+    from visitwise.operators.ranking import grouped_rank
+    f = facts(spark, sf).select("ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "Time")
+    return grouped_rank(f, ["ID_TERCERO", "FECHAS_VISITA"], "Time", "Flag_Time", "dense")
+
+
+@register("w02_rank",
+          f"SELECT ID_TERCERO, FECHAS_VISITA, Inicio_Visita, round(Distancia_Haversine, 3) AS Distancia_Haversine, "
+          f"CAST(CASE WHEN {_RANK_GUARD} AND Distancia_Haversine IS NOT NULL THEN rank() OVER ({_RANK_PART} ORDER BY "
+          f"Distancia_Haversine DESC NULLS LAST) END AS INTEGER) AS Flag_Distance FROM {FACTS}")
+def w02_rank(spark, sf):
+    """Competition rank of the distance, farthest first (skew-safe)."""
+    from visitwise.operators.ranking import grouped_rank
+    f = facts(spark, sf).select("ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "Distancia_Haversine")
+    return _round(grouped_rank(f, ["ID_TERCERO", "FECHAS_VISITA"], "Distancia_Haversine",
+                               "Flag_Distance", "min"), "Distancia_Haversine")
+
+
+_W03_ORDER = ["Inicio_Visita", "ID_TERCERO", "Logintud", "Latitud", "Finalizacion_Visita", "Razon_Social_Cliente", "Nit", "Codigo_Sucursal",
+     "Codigo_Vendedor", "Des_vendedor"]
+
+
+@register("w03_bucket",
+          f"SELECT *, CAST(ntile(10) OVER (ORDER BY {', '.join(c + ' ASC NULLS LAST' for c in _W03_ORDER)}) AS INTEGER) AS bucket "
+          f"FROM ({D.VISITS_RAW_SQL}) v")
+def w03_bucket(spark, sf):
+    """Exact ``ntile(10)`` over the visits in time order, without a
+    single-task window (range sort, per-partition counts, offsets)."""
+    from visitwise.operators.ranking import balanced_buckets, order_col
+    v = D.visits_raw(spark, sf)
+    out = balanced_buckets(v, [order_col(c) for c in _W03_ORDER], 10, "bucket")
+    return out.select(*v.columns, "bucket")
+
+
+_O_COLS = ["ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "Logintud", "Latitud_Visita", "TimeDifference"]
+_O_ORDER = [("ID_TERCERO", True), ("FECHAS_VISITA", False), ("Inicio_Visita", True), ("Logintud", True),
+            ("Latitud_Visita", True), ("TimeDifference", True)]
+
+
+def _sql_order(order, reverse=False):
+    out = []
+    for c, asc in order:
+        if reverse:
+            asc = not asc
+        d = "ASC" if asc else "DESC"
+        n = "NULLS FIRST" if reverse else "NULLS LAST"
+        out.append(f"{c} {d} {n}")
+    return ", ".join(out)
+
+
+@register("o01_sort_limit",
+          f"SELECT {', '.join(_O_COLS)} FROM {FACTS} ORDER BY {_sql_order(_O_ORDER)} LIMIT 20")
+def o01_sort_limit(spark, sf):
+    """O01 + O02: mixed-direction sort, nulls last, first 20 rows (top-k)."""
+    from visitwise.operators.ranking import head, order_col
+    f = facts(spark, sf).select(*_O_COLS)
+    return head(f, [order_col(c, a) for c, a in _O_ORDER], 20)
+
+
+@register("o03_tail",
+          f"SELECT {', '.join(_O_COLS)} FROM {FACTS} ORDER BY {_sql_order(_O_ORDER, reverse=True)} LIMIT 20")
+def o03_tail(spark, sf):
+    """Last 20 rows of the same order."""
+    from visitwise.operators.ranking import tail
+    return tail(facts(spark, sf).select(*_O_COLS), _O_ORDER, 20)

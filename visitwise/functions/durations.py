@@ -36,9 +36,8 @@ def length_text(secs, compat: bool = False) -> Column:
     """
     s = _day_seconds(secs)
     txt = F.format_string("%dh:%d min", F.floor(s / 3600), F.floor((s % 3600) / 60))
-    if compat:
-        return F.when(_c(secs).isNull(), F.lit(SENTINEL_LENGTH)).otherwise(txt)
-    return txt
+    missing = F.lit(SENTINEL_LENGTH) if compat else F.lit(None).cast("string")
+    return F.when(_c(secs).isNull(), missing).otherwise(txt)
 
 
 def time_code(secs) -> Column:

@@ -831,3 +831,96 @@ def o03_tail(spark, sf):
     """Last 20 rows of the same order."""
     from visitwise.operators.ranking import tail
     return tail(facts(spark, sf).select(*_O_COLS), _O_ORDER, 20)
+
+
+# ------------------------------------------------------ export and designs
+
+def _result_order_sql():
+    from visitwise.plans.unified import RESULT_ORDER
+    from visitwise.schemas import RESULT_COLUMNS
+    keys = [k for k, _ in RESULT_ORDER]
+    cols = [k for k in keys] + [c for c in RESULT_COLUMNS + ["is_scheduled"] if c not in keys]
+    return ", ".join(f'"{c}" ASC NULLS LAST' for c in cols)
+
+
+@register("s13_ntile_split",
+          f"SELECT *, CAST(ntile(3) OVER (ORDER BY {_result_order_sql()}) AS INTEGER) AS part FROM ({D.unified_sql()}) u")
+def s13_ntile_split(spark, sf):
+    """S13 (Q10's split): the unified table in its export order, cut into 3
+    contiguous parts whose sizes differ by at most one row."""
+    from visitwise.operators.ranking import balanced_buckets
+    from visitwise.plans.unified import result_order
+    res = q09_unified(spark, sf)
+    return balanced_buckets(res, result_order(res), 3, "part").drop("_row", "_nrows")
+
+
+@register("s14_month_end",
+          f"SELECT strftime(FECHAS_VISITA, '%Y%m') AS period, count(*) AS n_rows, CAST(sum(Flag_DAN) AS BIGINT) AS n_visited, "
+          f"last_day(min(FECHAS_VISITA)) AS month_end FROM ({D.unified_sql()}) u GROUP BY 1")
+def s14_month_end(spark, sf):
+    """Rows of the unified table per monthly period partition (what a
+    month-end run writes under ``period=yyyyMM``) and the period's last day."""
+    from visitwise.functions import period_yyyymm
+    res = q09_unified(spark, sf)
+    return (res.groupBy(period_yyyymm("FECHAS_VISITA").alias("period"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("Flag_DAN").cast("long").alias("n_visited"),
+                 F.last_day(F.min("FECHAS_VISITA")).alias("month_end")))
+
+
+def _q11_sql():
+    keys = ["ID_TERCERO", "COD_DIA_VISITA", "DES_DIA_VISITA", "COD_FRECUENCIA_VISITA",
+            "DES_FRECUENCIA_VISITA", "FECHAS_VISITA"]
+    secs = ("CAST(floor((epoch_us(v.Finalizacion_Visita) - epoch_us(v.Inicio_Visita)) / 1000000.0) AS BIGINT)")
+    ds = f"((({secs}) % 86400) + 86400) % 86400"
+    length = (f"CASE WHEN {secs} IS NULL THEN '' ELSE CAST(CAST(floor({ds} / 3600) AS BIGINT) AS VARCHAR) || 'h:' || "
+              f"CAST(CAST(floor(({ds} % 3600) / 60) AS BIGINT) AS VARCHAR) || ' min' END")
+    lon, lat = "TRY_CAST(v.Logintud AS DOUBLE)", "TRY_CAST(v.Latitud_Visita AS DOUBLE)"
+    dist = (f"CASE WHEN {lon} IS NULL OR {lat} IS NULL OR c.LONGITUD IS NULL OR c.LATITUD IS NULL THEN NULL "
+            f"WHEN {lon} = 0 OR {lat} = 0 OR c.LONGITUD = 0 OR c.LATITUD = 0 THEN 0.0 "
+            f"ELSE {D._hav(lon, lat, 'c.LONGITUD', 'c.LATITUD')} END")
+    base = (f"SELECT v.ID_TERCERO, c.COD_DIA_VISITA, c.DES_DIA_VISITA, c.COD_FRECUENCIA_VISITA, c.DES_FRECUENCIA_VISITA, "
+            f"v.FECHAS_VISITA, v.Inicio_Visita, EXISTS (SELECT 1 FROM {CAL} k WHERE k.COD_DIA_VISITA IS NOT DISTINCT FROM c.COD_DIA_VISITA "
+            f"AND k.COD_FRECUENCIA_VISITA IS NOT DISTINCT FROM c.COD_FRECUENCIA_VISITA AND k.FECHAS_VISITA = v.FECHAS_VISITA) AS Cumple, "
+            f"{length} AS TimeDifferenceD, {dist} AS Distancia_Haversine FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO IS NOT DISTINCT FROM c.ID_TERCERO")
+    due = (f"SELECT c.ID_TERCERO, c.COD_DIA_VISITA, c.DES_DIA_VISITA, c.COD_FRECUENCIA_VISITA, c.DES_FRECUENCIA_VISITA, k.FECHAS_VISITA "
+           f"FROM {CL} c JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA")
+    on = " AND ".join(f"d.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    co = ", ".join(f"COALESCE(d.{k}, b.{k}) AS {k}" for k in keys)
+    return (f"SELECT {co}, b.Inicio_Visita, b.Cumple, b.TimeDifferenceD, round(b.Distancia_Haversine, 3) AS Distancia_Haversine, "
+            f"CASE WHEN b.Inicio_Visita IS NULL THEN NULL WHEN b.Distancia_Haversine <= 200 THEN 'Si' "
+            f"WHEN b.Distancia_Haversine > 200 THEN 'Fuera del Rango' ELSE '' END AS Cumpl_Rutero "
+            f"FROM ({due}) d FULL OUTER JOIN ({base}) b ON {on}")
+
+
+@register("q11_compliance", _q11_sql())
+def q11_compliance(spark, sf):
+    """Q11: the first compliance design - due rows full-matched with visits,
+    ``Cumple`` flag, length text, distance and ``Si`` class."""
+    from visitwise.plans.compliance import compliance_v1
+    cal, _ = calendar(spark)
+    return _round(compliance_v1(clients(spark, sf), cal, visits(spark, sf)), "Distancia_Haversine")
+
+
+@register("q12_grouped",
+          f"SELECT j.*, COALESCE(x.n, 0) AS n_due_visit_dates FROM ({_J13_SQL}) j LEFT JOIN "
+          f"(SELECT v.ID_TERCERO, count(DISTINCT v.FECHAS_VISITA) AS n FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO = c.ID_TERCERO "
+          f"JOIN {CAL} k ON k.COD_DIA_VISITA = c.COD_DIA_VISITA AND k.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA "
+          f"AND k.FECHAS_VISITA = v.FECHAS_VISITA GROUP BY v.ID_TERCERO) x ON j.ID_TERCERO = x.ID_TERCERO")
+def q12_grouped(spark, sf):
+    """Q12: visit dates against due dates as lists per client, plus how
+    many visit dates were due."""
+    from visitwise.plans.compliance import grouped_dates
+    cal, _ = calendar(spark)
+    return grouped_dates(clients(spark, sf), cal, visits(spark, sf))
+
+
+@register("q15_first_version",
+          f"SELECT v.ID_TERCERO, v.FECHAS_VISITA, v.Inicio_Visita, c.COD_CANAL FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO = c.ID_TERCERO "
+          f"JOIN {CAL} k ON k.COD_DIA_VISITA = c.COD_DIA_VISITA AND k.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA "
+          f"AND k.FECHAS_VISITA = v.FECHAS_VISITA")
+def q15_first_version(spark, sf):
+    """Q15: the CSV-based first version (inner): visits with the client's
+    channel kept when their date is one of the client's due dates."""
+    from visitwise.plans.compliance import visits_on_due_dates
+    cal, _ = calendar(spark)
+    return visits_on_due_dates(clients(spark, sf), cal, visits(spark, sf))

@@ -30,24 +30,31 @@ def _cond(l_alias, r_alias, keys):
 
 
 def natural_full_outer(due: DataFrame, facts: DataFrame, keys,
-                       matched_flag: str | None = None) -> DataFrame:
+                       matched_flag: str | None = None, due_mult: str | None = None,
+                       fact_mult: str | None = None) -> DataFrame:
+    """``due_mult`` / ``fact_mult`` name columns holding how many identical
+    copies a row stands for (rows of a de-duplicated dimension); the output
+    multiplies exactly as the copies would."""
     keys = list(keys)
-    due_keys = due.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nd"))
+    n = F.sum(due_mult) if due_mult else F.count(F.lit(1))
+    due_keys = due.groupBy(*keys).agg(n.cast("long").alias("_nd"))
     fact_keys = facts.select(*keys).distinct()
 
     f = facts.alias("_f")
     d = due_keys.alias("_d")
     fact_rows = (f.join(d, _cond("_f", "_d", keys), "left")
                  .select("_f.*", F.col("_d._nd").alias("_nd")))
-    fact_rows = (fact_rows
-                 .withColumn("_rep", F.explode(F.sequence(F.lit(1), F.coalesce(F.col("_nd"), F.lit(1))))))
+    rep = F.coalesce(F.col("_nd"), F.lit(1))
+    if fact_mult:
+        rep = rep * F.col(fact_mult)
+    fact_rows = fact_rows.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), rep)))
     if matched_flag:
         fact_rows = fact_rows.withColumn(matched_flag, F.col("_nd").isNotNull())
-    fact_rows = fact_rows.drop("_nd", "_rep")
+    fact_rows = fact_rows.drop("_nd", "_rep", *([fact_mult] if fact_mult else []))
 
     only_due = (due_keys.alias("_d")
                 .join(fact_keys.alias("_k"), _cond("_d", "_k", keys), "left_anti"))
-    only_due = (only_due.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_nd"))))
+    only_due = (only_due.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_nd"))))
                 .drop("_nd", "_rep"))
     if matched_flag:
         only_due = only_due.withColumn(matched_flag, F.lit(True))

@@ -9,7 +9,9 @@ in three steps, none of which needs a whole group in one task:
    shuffle;
 2. the histogram is range-partitioned on ``(group, value)``: a hot group
    spreads over several partitions; local ranks are computed per
-   ``(partition, group)``, and the groups that cross a partition boundary
+   ``(partition, group)`` and written to the checkpoint folder (partition
+   ids are data from then on, identical for every consumer), and the
+   groups that cross a partition boundary
    (at most two per partition, so at most ``2 x partitions`` rows - a
    proven bound, safe to broadcast) get offsets;
 3. the ranks are joined back on ``(group, value)``; a hot key there is
@@ -63,45 +65,69 @@ def _valid(df: DataFrame, keys: list[str], value: str) -> Column:
     return _all(conds)
 
 
-def rank_table(df: DataFrame, keys, value: str, out: str,
-               method: str = "dense", descending: bool = True) -> DataFrame:
-    """Distinct ``(keys, value)`` with the rank of ``value`` in its group.
+def rank_tables(df: DataFrame, keys, specs) -> list[DataFrame]:
+    """Several ranks over the same groups in one pipeline.
+
+    ``specs``: ``(value, out, method, descending)`` tuples; ``method`` is
+    ``dense`` (W01) or ``min`` (W02, competition rank: ties share the
+    lowest rank).  Null keys and null/NaN values are left out, so they get
+    no rank and do not shift the others.  Returns one table per spec:
+    distinct ``(keys, value)`` with the rank in ``out``.
 
-    ``method`` is ``dense`` (W01) or ``min`` (W02, competition rank:
-    ties share the lowest rank).  Null keys and null/NaN values are left
-    out, so they get no rank and do not shift the others.
+    The values of all specs are stacked as ``(keys, metric, v)`` so that one
+    histogram, one range partitioning and one window pass serve them all.
     """
     keys = list(keys)
-    if method not in ("dense", "min"):
-        raise ValueError(method)
-    v = F.col(value)
-    hist = (df.where(_valid(df, keys, value))
-            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    vo = v.desc() if descending else v.asc()
-    parts = shuffle_partitions(df.sparkSession)
-    ranged = (hist.repartitionByRange(parts, *[F.col(k) for k in keys], vo)
+    types = dict(df.dtypes)
+    for value, _, method, _ in specs:
+        if method not in ("dense", "min"):
+            raise ValueError(method)
+        if types[value] not in ("double", "float", "int", "smallint", "tinyint"):
+            raise TypeError(f"{value}: stacked ranks need values exact as double")
+    parts = []
+    for i, (value, _, _, desc) in enumerate(specs):
+        v = F.col(value).cast("double")
+        parts.append(df.where(_valid(df, keys, value))
+                     .select(*keys, F.lit(i).alias("_metric"), v.alias("_v"),
+                             (-v if desc else v).alias("_s")))
+    stacked = reduce(lambda a, b: a.unionByName(b), parts)
+    hist = stacked.groupBy(*keys, "_metric", "_v", "_s").agg(F.count(F.lit(1)).alias("_n"))
+    gk = [*keys, "_metric"]
+    nparts = shuffle_partitions(df.sparkSession)
+    ranged = (hist.repartitionByRange(nparts, *[F.col(k) for k in gk], F.col("_s"))
               .withColumn("_pid", F.spark_partition_id()))
-    w_local = Window.partitionBy("_pid", *keys).orderBy(vo)
-    local = (ranged
-             .withColumn("_ld", F.row_number().over(w_local))
-             .withColumn("_lc", F.coalesce(
-                 F.sum("_n").over(w_local.rowsBetween(_UNB, -1)), F.lit(0))))
-    span = local.groupBy(*keys, "_pid").agg(F.max("_ld").alias("_sd"),
-                                            F.sum("_n").alias("_sc"))
-    w_g = Window.partitionBy(*keys)
+    w_local = Window.partitionBy("_pid", *gk).orderBy("_s")
+    # Written once: the partition ids must be the same in both consumers
+    # below (a re-run range sampling could draw other bounds).
+    local = materialize(ranged
+                        .withColumn("_ld", F.row_number().over(w_local))
+                        .withColumn("_lc", F.coalesce(
+                            F.sum("_n").over(w_local.rowsBetween(_UNB, -1)), F.lit(0))))
+    span = local.groupBy(*gk, "_pid").agg(F.max("_ld").alias("_sd"), F.sum("_n").alias("_sc"))
+    w_g = Window.partitionBy(*gk)
     w_go = w_g.orderBy("_pid").rowsBetween(_UNB, -1)
     offsets = (span.withColumn("_np", F.count(F.lit(1)).over(w_g))
                .where(F.col("_np") > 1)
-               .select(*keys, "_pid",
+               .select(*gk, "_pid",
                        F.coalesce(F.sum("_sd").over(w_go), F.lit(0)).alias("_od"),
                        F.coalesce(F.sum("_sc").over(w_go), F.lit(0)).alias("_oc")))
     # offsets: at most two rows per range partition (see module doc)
-    ranked = local.join(F.broadcast(offsets), [*keys, "_pid"], "left")
-    if method == "dense":
-        r = F.col("_ld") + F.coalesce(F.col("_od"), F.lit(0))
-    else:
-        r = F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0)) + 1
-    return ranked.select(*keys, value, r.cast("int").alias(out))
+    ranked = local.join(F.broadcast(offsets), [*gk, "_pid"], "left")
+    dense = F.col("_ld") + F.coalesce(F.col("_od"), F.lit(0))
+    mini = F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0)) + 1
+    out = []
+    for i, (value, name, method, _) in enumerate(specs):
+        r = dense if method == "dense" else mini
+        out.append(ranked.where(F.col("_metric") == i)
+                   .select(*keys, F.col("_v").cast(types[value]).alias(value),
+                           r.cast("int").alias(name)))
+    return out
+
+
+def rank_table(df: DataFrame, keys, value: str, out: str,
+               method: str = "dense", descending: bool = True) -> DataFrame:
+    """One rank (see :func:`rank_tables`)."""
+    return rank_tables(df, keys, [(value, out, method, descending)])[0]
 
 
 def grouped_rank(df: DataFrame, keys, value: str, out: str,

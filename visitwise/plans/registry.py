@@ -365,16 +365,13 @@ _ALLCOL_ORDER = None
           f"(_d IS NOT NULL AND FECHAS_VISITA IS NOT NULL) AS is_scheduled FROM ({D.matched_sql()}) j")
 def j03_unified_full(spark, sf):
     """Due list full-matched with visit facts on the 19 natural keys
-    (skew-safe form, see ``operators.matching``)."""
-    from visitwise.operators.matching import natural_full_outer
+    (narrow-key, skew-safe form, see ``plans.unified.match_due_visits``)."""
+    from visitwise.plans.unified import match_due_visits
     cal, rows = calendar(spark)
-    cl = clients(spark, sf)
-    due = due_list(cl, cal, rows)
-    f = visit_facts(visits(spark, sf), cl)
-    res = natural_full_outer(due, f, due.columns, matched_flag="_m")
+    res = match_due_visits(clients(spark, sf), cal, visits(spark, sf), rows)
     return res.select(*D.CLIENT_KEYS, "FECHAS_VISITA", "Inicio_Visita",
                       F.round("Distancia_Haversine", 3).alias("Distancia_Haversine"),
-                      (F.col("_m") & F.col("FECHAS_VISITA").isNotNull()).alias("is_scheduled"))
+                      (F.col("_matched") & F.col("FECHAS_VISITA").isNotNull()).alias("is_scheduled"))
 
 
 @register("j05_inner_calendar",

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from visitwise.functions.codes import equal_flag, not_null_flag
 from visitwise.functions.text import clean_text_exact
 from visitwise.operators.matching import natural_full_outer
-from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_table
+from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_tables
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
-from visitwise.plans.route import due_list, visit_facts
+from visitwise.plans.route import CAL_KEYS, due_list, visit_facts
 from visitwise.schemas import CLEANED_TEXT, CLIENT_COLUMNS, RESULT_COLUMNS
 
 RANK_KEYS = ["ID_TERCERO", "FECHAS_VISITA"]
@@ -37,6 +37,39 @@ def with_clean_text(clients: DataFrame) -> DataFrame:
     return clients.withColumns({f"_clean_{c}": clean_text_exact(c) for c in CLEANED_TEXT})
 
 
+def client_dimension(clients: DataFrame) -> DataFrame:
+    """Distinct client rows with ``_m`` (how many identical copies the input
+    held), a surrogate ``_cid`` and the cleaned text, written once to the
+    checkpoint folder (so ``_cid`` is stable and the text UDF runs once).
+
+    The natural joins of the reference match on all client columns; two
+    rows meet exactly when they are copies of one distinct client row, so
+    matching on ``_cid`` with the copy counts gives the same rows.
+    """
+    d = (clients.groupBy(*clients.columns).agg(F.count(F.lit(1)).alias("_m"))
+         .withColumn("_cid", F.monotonically_increasing_id()))
+    return materialize(with_clean_text(d))
+
+
+def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
+                     calendar_rows: int | None = None) -> DataFrame:
+    """J01 + J02 + J03 (after R1) on narrow keys.
+
+    Due list and visit facts are built on ``(_cid, date)``; their natural
+    full outer match is the skew-safe one of ``operators.matching``; the
+    client attributes join back last (a dimension: broadcast or shuffled
+    by the planner from its measured size).  Adds ``_matched``.
+    """
+    dim = client_dimension(clients)
+    due = due_list(dim.select("_cid", "_m", *CAL_KEYS), calendar, calendar_rows) \
+        .select("_cid", "_m", "FECHAS_VISITA")
+    facts = visit_facts(visits, dim.select("_cid", "_m", "ID_TERCERO", "LONGITUD", "LATITUD")) \
+        .drop("ID_TERCERO", "LONGITUD", "LATITUD")
+    matched = natural_full_outer(due, facts, ["_cid", "FECHAS_VISITA"], matched_flag="_matched",
+                                 due_mult="_m", fact_mult="_m")
+    return matched.join(dim.drop("_m"), "_cid", "inner")
+
+
 def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
             calendar_rows: int | None = None, extras: bool = True) -> DataFrame:
     """Q09 from prepared inputs.
@@ -46,16 +79,12 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     ``is_scheduled`` - the visit's date was due for that client (the answer
     ``Flag_Visita_Rutero`` was meant to give).
     """
-    cl = with_clean_text(clients)
-    due = due_list(cl, calendar, calendar_rows)
-    facts = visit_facts(visits, cl)
-    keys = due.columns
     # the matched table feeds two rank histograms and two joins: write it
     # once to the checkpoint folder
-    res = materialize(natural_full_outer(due, facts, keys, matched_flag="_matched"))
-    t_time = rank_table(res, RANK_KEYS, "Time", "Flag_Time", "dense", descending=True)
-    t_dist = rank_table(res, RANK_KEYS, "Distancia_Haversine", "Flag_Distance", "min",
-                        descending=True)
+    res = materialize(match_due_visits(clients, calendar, visits, calendar_rows))
+    t_time, t_dist = rank_tables(res, RANK_KEYS, [
+        ("Time", "Flag_Time", "dense", True),
+        ("Distancia_Haversine", "Flag_Distance", "min", True)])
     res = join_ranks(res, [(t_time, RANK_KEYS + ["Time"]),
                            (t_dist, RANK_KEYS + ["Distancia_Haversine"])])
     res = res.withColumns({

@@ -124,3 +124,15 @@ def test_c30_month_end(spark):
 
 def test_latin1_safe(spark):
     assert col1(spark, ["añ漢"], "t string", V.latin1_safe("t")) == ["añ"]
+
+
+def test_c19_c20_builtin_fallback(spark):
+    assert col1(spark, TEXTS, "t string", V.text.clean_text_latin("t")) == CLEAN
+    assert col1(spark, ["Ñató, Sábado, Nuñez."], "t string", V.text.strip_marks_latin("t")) == [
+        "Nato, Sabado, Nunez."]
+
+
+def test_c19_python_whitespace_set(spark):
+    # Python's \s keeps U+001C..U+001F and U+3000; other symbols go
+    got = col1(spark, ["a\x1cb　c☃d"], "t string", V.clean_text("t"))
+    assert got == ["a\x1cb　cd"]

@@ -18,6 +18,7 @@ from visitwise.functions.dates import (  # noqa: F401
     parse_dmy, parse_mdy_hm, to_ts, year_of, date_part, iso_date,
     month_end_flag, period_yyyymm, year_range_filter,
 )
+from visitwise.functions import text  # noqa: F401
 from visitwise.functions.text import (  # noqa: F401
     clean_text, clean_text_exact, strip_marks, strip_marks_exact,
     latin1_safe,

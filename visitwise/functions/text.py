@@ -1,14 +1,21 @@
 """Text cleaning (C19, C20, C33) and the Latin-1 sink filter.
 
-Two forms of each cleaner:
-
-* ``clean_text`` / ``strip_marks``: JVM-side (``translate`` +
-  ``regexp_replace``), code-generated.  The translate table is built from
-  ``unicodedata`` for every code point up to U+024F (Latin-1 and Latin
-  Extended-A/B), so on Latin-script text it equals NFKD exactly.
+Three forms of each cleaner:
+
+* ``clean_text`` / ``strip_marks``: JVM-side.  Unicode decomposition comes
+  from ICU4J, which Spark 4 ships on its class path, called through the
+  SQL ``reflect`` function (static ``Normalizer.decompose(text, compat)``),
+  then ``regexp_replace``.  Exact NFKD/NFD for every script, no Python.
+* ``clean_text_latin`` / ``strip_marks_latin``: pure built-ins
+  (``translate`` + ``regexp_replace``), used when ICU4J is missing.  The
+  translate table is built from ``unicodedata`` for every code point up to
+  U+024F (Latin-1 and Latin Extended-A/B), so on Latin-script text it
+  equals NFKD exactly.
 * ``clean_text_exact`` / ``strip_marks_exact``: Arrow-batched pandas UDFs
-  with ``unicodedata.normalize`` - exact for every script (fractions,
-  ligatures, full-width forms).  Use them on dimension-sized columns.
+  with Python's ``unicodedata`` - the reference's own normalizer.
+
+Measured on the sf0.1 documents (24 M characters, local[8]): ICU 2.2 s,
+pandas UDF 2.0 s, translate chain 6.6 s.
 """
 
 from __future__ import annotations
@@ -24,7 +31,10 @@ from pyspark.sql.types import StringType
 
 # Fixed pattern of the reference cleaner: keep ASCII letters, digits, blanks.
 _KEEP_RE = re.compile(r"[^a-zA-Z0-9\s]")
-_JVM_DROP = r"(?U)[^a-zA-Z0-9\s]"
+# Python's ``\s`` on text is Unicode whitespace plus U+001C..U+001F; Java's
+# ``(?U)\s`` lacks the latter four, so they are listed.
+_JVM_DROP = r"(?U)[^a-zA-Z0-9\s\x{1C}-\x{1F}]"
+_ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 # Code points covered by the generated JVM table (rule: all of Latin-1
 # Supplement and Latin Extended-A/B).
@@ -73,8 +83,47 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_ICU_OK: dict = {}
+
+
+def icu_available() -> bool:
+    """Whether ICU4J's normalizer is on the JVM class path (checked once)."""
+    if "ok" not in _ICU_OK:
+        try:
+            from pyspark.sql import SparkSession
+            jvm = SparkSession.getActiveSession()._jvm
+            jvm.java.lang.Class.forName(_ICU_NORMALIZER)
+            _ICU_OK["ok"] = True
+        except Exception:  # noqa: BLE001
+            _ICU_OK["ok"] = False
+    return _ICU_OK["ok"]
+
+
+def decompose(c, compat: bool) -> Column:
+    """NFKD (``compat``) or NFD of a text column on the JVM via ICU4J."""
+    x = _c(c)
+    call = F.call_function("reflect", F.lit(_ICU_NORMALIZER), F.lit("decompose"), x,
+                           F.lit(bool(compat)))
+    return F.when(x.isNotNull(), call)
+
+
 def clean_text(c) -> Column:
-    """C19 on the JVM: NFKD-equivalent for Latin script, then keep
+    """C19 on the JVM: exact NFKD (ICU4J), then keep ``[a-zA-Z0-9\\s]``.
+    Null stays null.  Without ICU4J: :func:`clean_text_latin`."""
+    if not icu_available():
+        return clean_text_latin(c)
+    return F.regexp_replace(decompose(c, True), _JVM_DROP, "")
+
+
+def strip_marks(c) -> Column:
+    """C20 on the JVM: NFD (ICU4J), combining marks removed, punctuation kept."""
+    if not icu_available():
+        return strip_marks_latin(c)
+    return F.regexp_replace(decompose(c, False), r"\p{M}", "")
+
+
+def clean_text_latin(c) -> Column:
+    """C19 from built-ins only: NFKD-equivalent for Latin script, then keep
     ``[a-zA-Z0-9\\s]``.  Null stays null."""
     x = _c(c)
     for src, dst in _CLEAN_MULTI:
@@ -83,8 +132,8 @@ def clean_text(c) -> Column:
     return F.regexp_replace(x, _JVM_DROP, "")
 
 
-def strip_marks(c) -> Column:
-    """C20 on the JVM: remove combining marks only, punctuation kept."""
+def strip_marks_latin(c) -> Column:
+    """C20 from built-ins only (Latin script): combining marks removed."""
     x = _c(c)
     for src, dst in _STRIP_MULTI:
         x = F.replace(x, F.lit(src), F.lit(dst))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitwise.functions.codes import equal_flag, not_null_flag
-from visitwise.functions.text import clean_text_exact
+from visitwise.functions.text import clean_text
 from visitwise.operators.matching import natural_full_outer
 from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_tables
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
@@ -34,7 +34,7 @@ def with_clean_text(clients: DataFrame) -> DataFrame:
     The cleaned text rides along as extra columns; the raw columns stay the
     match keys, so two clients that differ only by accents never merge.
     """
-    return clients.withColumns({f"_clean_{c}": clean_text_exact(c) for c in CLEANED_TEXT})
+    return clients.withColumns({f"_clean_{c}": clean_text(c) for c in CLEANED_TEXT})
 
 
 def client_dimension(clients: DataFrame) -> DataFrame:

@@ -52,3 +52,106 @@ def visit_extract(visita: DataFrame, usuario: DataFrame, sucursal: DataFrame) ->
         F.col("vendedor.numero_identificacion").alias("Codigo_Vendedor"),
         concat_strict("vendedor.primer_apellido", "vendedor.nombre_completo",
                       "vendedor.segundo_apellido", sep=" ").alias("Des_vendedor"))
+
+
+# Fixed values of the client extract.
+COMPANY_ID = 2
+ENTITY_IDS = (181, 201)
+CRITERIA_PLANS = {"001": ("COD_DIA_VISITA", "DES_DIA_VISITA"),
+                  "002": ("COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
+                  "VEN": ("COD_VENDEDOR", "DES_VENDEDOR"),
+                  "CCD": (None, "COD_CANAL")}
+
+
+def _coordinate_rows(t752: DataFrame, t742: DataFrame, t753: DataFrame, t743: DataFrame,
+                     wanted: tuple[int, int], name: str) -> DataFrame:
+    """J22 + J23: per movement row (T752), the text value of the attribute
+    whose id is one of ``wanted`` (CASE key: other attribute ids become 0)."""
+    from visitwise.operators.eav import case_key_join
+    cols = t753.select(F.col("F753_ROWID_ENTIDAD").alias("_ent"),
+                       F.col("F753_ROWID_MOVTO_ENTIDAD_FILA").alias("_fila"),
+                       F.col("F753_ROWID_MOVTO_ENTIDAD").alias("_mov"),
+                       F.col("F753_ROWID_ENTIDAD_ATRIBUTO").alias("attr_id"),
+                       F.col("F753_DATO_TEXTO").alias(name))
+    attrs = t743.select(F.col("F743_ROWID").alias("attr_rowid"),
+                        F.col("F743_ROWID_ENTIDAD").alias("_aent"))
+    j = case_key_join(cols, attrs, wanted)
+    return j.where(F.col("_ent") == F.col("_aent")).select("_ent", "_fila", "_mov", name)
+
+
+def client_extract(t200: DataFrame, t201: DataFrame, t750: DataFrame, t752: DataFrame,
+                   t742: DataFrame, t753: DataFrame, t743: DataFrame, t207: DataFrame,
+                   t206: DataFrame, company: int = COMPANY_ID,
+                   entities=ENTITY_IDS) -> DataFrame:
+    """Q01: the 18-column client table.
+
+    Third party x customer (J20), the movement rows of the customer's
+    entity movement restricted to ``entities`` (F06), longitude and latitude
+    from the EAV columns (J22/J23), and the classification criteria of four
+    plans (J21).  The plan-criteria table T204 of the reference is joined
+    four times without any column used; it is left out (it can only add
+    copies if its (company, plan) key were not unique).
+    """
+    from visitwise.operators.eav import LATITUDE_ATTRS, LONGITUDE_ATTRS
+    a = t200.where(F.col("F200_ID_CIA") == company).alias("t200")
+    b = t201.alias("t201")
+    base = (a.join(b, (F.col("t201.F201_ID_CIA") == F.col("t200.F200_ID_CIA"))
+                   & (F.col("t201.F201_ROWID_TERCERO") == F.col("t200.F200_ROWID")))
+            .join(t750.alias("t750"), F.col("t201.F201_ROWID_MOVTO_ENTIDAD") == F.col("t750.F750_ROWID"))
+            .join(t752.alias("t752"), F.col("t750.F750_ROWID") == F.col("t752.F752_ROWID_MOVTO_ENTIDAD"))
+            .join(t742.where(F.col("F742_ROWID").isin(*entities)).alias("t742"),
+                  F.col("t752.F752_ROWID_ENTIDAD") == F.col("t742.F742_ROWID")))
+    lg = _coordinate_rows(t752, t742, t753, t743, LONGITUDE_ATTRS, "LONGITUD").alias("lg")
+    lt = _coordinate_rows(t752, t742, t753, t743, LATITUDE_ATTRS, "LATITUD").alias("lt")
+
+    def on(x):
+        return ((F.col(f"{x}._ent") == F.col("t742.F742_ROWID"))
+                & (F.col(f"{x}._fila") == F.col("t752.F752_ROWID"))
+                & (F.col(f"{x}._mov") == F.col("t750.F750_ROWID")))
+    base = base.join(lg, on("lg")).join(lt, on("lt"))
+
+    # Criteria with their descriptions, one row per (third party,
+    # branch, plan); four plans as four left joins of the same small frame
+    crit = (t207.alias("c").join(
+        t206.alias("m"),
+        (F.col("m.F206_ID_CIA") == F.col("c.F207_ID_CIA"))
+        & (F.col("m.F206_ID_PLAN") == F.col("c.F207_ID_PLAN_CRITERIOS"))
+        & (F.col("m.F206_ID") == F.col("c.F207_ID_CRITERIO_MAYOR")), "left")
+        .select(F.col("c.F207_ROWID_TERCERO").alias("_t"), F.col("c.F207_ID_SUCURSAL").alias("_s"),
+                F.col("c.F207_ID_PLAN_CRITERIOS").alias("_p"),
+                F.col("m.F206_ID").alias("_id"), F.col("m.F206_DESCRIPCION").alias("_d")))
+    out = base
+    for plan in CRITERIA_PLANS:
+        x = crit.where(F.col("_p") == plan).select(
+            F.col("_t").alias(f"_t{plan}"), F.col("_s").alias(f"_s{plan}"),
+            F.col("_id").alias(f"_id{plan}"), F.col("_d").alias(f"_d{plan}"))
+        out = out.join(x, (F.col(f"_t{plan}") == F.col("t201.F201_ROWID_TERCERO"))
+                       & (F.col(f"_s{plan}") == F.col("t201.F201_ID_SUCURSAL")), "left")
+    return out.select(
+        F.col("t200.F200_ID_CIA").alias("COD_CIA"),
+        F.col("t200.F200_ROWID").alias("ROWID_TERCERO"),
+        F.col("t200.F200_NIT").alias("NIT_TERCERO"),
+        concat_strict("t200.F200_NIT", "t201.F201_ID_SUCURSAL", sep="-").alias("ID_TERCERO"),
+        F.col("t200.F200_RAZON_SOCIAL").alias("RAZON_SOCIAL"),
+        F.col("t201.F201_ID_SUCURSAL").alias("COD_SUCURSAL_CLIENTE"),
+        F.col("t201.F201_DESCRIPCION_SUCURSAL").alias("DES_SUCURSAL_CLIENTE"),
+        F.col("t201.F201_IND_ESTADO_ACTIVO").alias("IND_ESTADO_ACTIVO_CLIENTE"),
+        F.col("_id001").cast("string").alias("COD_DIA_VISITA"),
+        F.col("_d001").alias("DES_DIA_VISITA"),
+        F.col("t201.F201_ID_CO_FACTURA").alias("COD_CO"),
+        F.col("_id002").cast("string").alias("COD_FRECUENCIA_VISITA"),
+        F.col("_d002").alias("DES_FRECUENCIA_VISITA"),
+        F.col("_idVEN").alias("COD_VENDEDOR"),
+        F.col("_dVEN").alias("DES_VENDEDOR"),
+        F.col("_dCCD").alias("COD_CANAL"),
+        F.col("lg.LONGITUD").alias("LONGITUD"),
+        F.col("lt.LATITUD").alias("LATITUD"))
+
+
+def calendar_load(spark, csv_path: str, out_path: str) -> DataFrame:
+    """Q03: the calendar file, every column as text, landed as parquet."""
+    from visitwise.sources.files import read_csv_text
+    from visitwise.sources.sinks import write_parquet
+    cal = read_csv_text(spark, csv_path)
+    write_parquet(cal.toDF(*[c.strip().replace(" ", "_") for c in cal.columns]), out_path)
+    return spark.read.parquet(out_path)

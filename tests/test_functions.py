@@ -140,3 +140,16 @@ def test_c19_python_whitespace_set(spark):
     exp = re.sub(r"[^a-zA-Z0-9\s]", "", unicodedata.normalize("NFKD", s))
     assert col1(spark, [s], "t string", V.clean_text("t")) == [exp]
     assert col1(spark, [s], "t string", V.clean_text_exact("t")) == [exp]
+
+
+def test_durations_ignore_session_time_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 30), dt.datetime(2024, 3, 10, 3, 30))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        assert df.select(V.duration_seconds("a", "b")).first()[0] == 7200
+        yr = df.where(V.year_range_filter("a", 2024)).count()
+        assert yr == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

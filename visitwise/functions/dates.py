@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,10 +46,11 @@ def iso_date(c) -> Column:
 
 def year_range_filter(c, year: int) -> Column:
     """F04/F05 as a range on the raw timestamp, so it reaches the scan."""
-    lo = _dt.datetime(year, 1, 1)
-    hi = _dt.datetime(year + 1, 1, 1)
+    # literals from text, so no time zone is involved
+    lo = F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{year + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
     col = _c(c)
-    return (col >= F.lit(lo).cast("timestamp_ntz")) & (col < F.lit(hi).cast("timestamp_ntz"))
+    return (col >= lo) & (col < hi)
 
 
 def month_end_flag(as_of) -> Column:

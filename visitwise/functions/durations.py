@@ -20,7 +20,9 @@ def duration_seconds(start, end) -> Column:
     oracle agree.  Sub-second parts are dropped toward minus infinity, as a
     timedelta's ``days``/``seconds`` split does.
     """
-    us = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
+    # wall-clock difference of zone-less timestamps, independent of the
+    # session time zone (no daylight-saving hour appears or vanishes)
+    us = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
     return F.floor(us / F.lit(1_000_000)).cast("long")
 
 

@@ -32,8 +32,18 @@ FREQ_LABELS = [WEEKLY_LABEL] + BIWEEKLY_LABELS + MONTHLY_LABELS
 ON_SEGMENT, OFF_SEGMENT = "BUILDING", "FURNITURE"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table; the DataFrame (file listing and footer schema) is
+    kept per session, so a query that reads a table twice lists it once."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    df = _TABLES.get(key)
+    if df is None:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def _label(code, labels):

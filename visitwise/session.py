@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of intermediates are removed once their data is
+    # no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -58,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                               "(HDFS, object store) for the cluster")
         d = tempfile.mkdtemp(prefix="visitwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():

@@ -47,3 +47,20 @@ def test_export_three_parts_and_month_end(spark):
     out2, bm2 = os.path.join(base, "r2"), os.path.join(base, "m2")
     export_unified(df, [order_col("k")], out2, 3, as_of=dt.date(2023, 1, 30), by_month_path=bm2)
     assert not os.path.exists(bm2)
+
+
+def test_s12_strict_latin1_fails(spark):
+    import pytest
+    from visitwise.sources.sinks import check_latin1
+    ok = spark.createDataFrame([("año",)], "t string")
+    assert check_latin1(ok).count() == 1
+    bad = spark.createDataFrame([("漢",)], "t string")
+    with pytest.raises(Exception):
+        check_latin1(bad).collect()
+
+
+def test_s16_payment_methods_and_literals(spark):
+    from visitwise.sources.files import literal_table
+    from visitwise.sources.jdbc import payment_methods
+    t = literal_table(spark, [(2, "01", "Contado")], "F025_ID_CIA int, F025_ID string, F025_DESCRIPCION string")
+    assert payment_methods(t).columns == ["CIA", "COD_MED_PAGO", "DES_MED_PAGO"]

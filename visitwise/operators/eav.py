@@ -39,12 +39,18 @@ def eav_self_join(eav: DataFrame, entity: str = "entity", attr: str = "attr_id",
 
 
 def case_key_join(eav: DataFrame, attrs: DataFrame, wanted=LONGITUDE_ATTRS,
-                  attr: str = "attr_id", attrs_id: str = "attr_rowid") -> DataFrame:
-    """Join on ``CASE WHEN id IN (wanted) THEN id ELSE 0 END = attr``.
+                  attr: str = "attr_id", attrs_id: str = "attr_rowid",
+                  also=()) -> DataFrame:
+    """Join on ``CASE WHEN id IN (wanted) THEN id ELSE 0 END = attr``
+    (plus the equi-key pairs ``also``, e.g. the owning entity).
 
     Still an equi-join on an expression key.  Attribute rows outside
     ``wanted`` carry key 0, so they meet EAV rows whose attribute id is 0
-    (the reference's behaviour, kept)."""
+    (the reference's behaviour, kept); with the entity among the keys that
+    fan-out stays within one entity's attribute list."""
     key = F.when(F.col(attrs_id).isin(*wanted), F.col(attrs_id)).otherwise(F.lit(0))
     a = attrs.withColumn("_key", key)
-    return eav.join(a, eav[attr] == a["_key"], "inner").drop("_key")
+    cond = eav[attr] == a["_key"]
+    for left, right in also:
+        cond = cond & (eav[left] == a[right])
+    return eav.join(a, cond, "inner").drop("_key")

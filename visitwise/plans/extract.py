@@ -75,8 +75,8 @@ def _coordinate_rows(t752: DataFrame, t742: DataFrame, t753: DataFrame, t743: Da
                        F.col("F753_DATO_TEXTO").alias(name))
     attrs = t743.select(F.col("F743_ROWID").alias("attr_rowid"),
                         F.col("F743_ROWID_ENTIDAD").alias("_aent"))
-    j = case_key_join(cols, attrs, wanted)
-    return j.where(F.col("_ent") == F.col("_aent")).select("_ent", "_fila", "_mov", name)
+    j = case_key_join(cols, attrs, wanted, also=[("_ent", "_aent")])
+    return j.select("_ent", "_fila", "_mov", name)
 
 
 def client_extract(t200: DataFrame, t201: DataFrame, t750: DataFrame, t752: DataFrame,

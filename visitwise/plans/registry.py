@@ -921,3 +921,118 @@ def q15_first_version(spark, sf):
     from visitwise.plans.compliance import visits_on_due_dates
     cal, _ = calendar(spark)
     return visits_on_due_dates(clients(spark, sf), cal, visits(spark, sf))
+
+
+# ------------------------------------------------------ client extract (Q01)
+
+def _extract_sources(spark, sf):
+    """Source tables of the client extract derived from ``customer``: third
+    party and customer rows, one entity movement row each (entity 181, 201,
+    or 999 outside the kept list), EAV coordinates with an attribute-0 row
+    for every 17th customer, attribute definitions, criteria of four plans
+    and their descriptions."""
+    c = D.table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    cia = F.when(k % 11 == 0, F.lit(3)).otherwise(F.lit(2))
+    ent = F.when(k % 13 == 0, F.lit(999)).when(k % 2 == 0, F.lit(181)).otherwise(F.lit(201))
+    t200 = c.select(cia.alias("F200_ID_CIA"), k.alias("F200_ROWID"), k.cast("string").alias("F200_NIT"),
+                    F.col("c_name").alias("F200_RAZON_SOCIAL"))
+    t201 = c.select(cia.alias("F201_ID_CIA"), k.alias("F201_ROWID_TERCERO"), F.lit("001").alias("F201_ID_SUCURSAL"),
+                    F.concat(F.lit("Sucursal "), F.col("c_mktsegment")).alias("F201_DESCRIPCION_SUCURSAL"),
+                    F.when(F.col("c_acctbal") > 0, 1).otherwise(0).alias("F201_IND_ESTADO_ACTIVO"),
+                    F.lit("001").alias("F201_ID_CO_FACTURA"), (k + 100000).alias("F201_ROWID_MOVTO_ENTIDAD"))
+    t750 = c.select((k + 100000).alias("F750_ROWID"))
+    t752 = c.select((k + 200000).alias("F752_ROWID"), (k + 100000).alias("F752_ROWID_MOVTO_ENTIDAD"),
+                    ent.alias("F752_ROWID_ENTIDAD"))
+    t742 = t752.select(F.col("F752_ROWID_ENTIDAD").alias("F742_ROWID")).distinct()
+    lon_attr = F.when(ent == 201, F.lit(901)).otherwise(F.lit(881))
+    lat_attr = F.when(ent == 201, F.lit(902)).otherwise(F.lit(882))
+    rows = F.array(
+        F.struct(lon_attr.alias("a"), F.concat(F.lit("-74,"), F.lpad((k * 37 % 10000).cast("string"), 4, "0")).alias("t")),
+        F.struct(lat_attr.alias("a"), F.concat(F.lit("4,"), F.lpad((k * 53 % 10000).cast("string"), 4, "0")).alias("t")),
+        F.struct(F.when(k % 17 == 0, F.lit(0)).alias("a"), F.lit("ruido").alias("t")))
+    t753 = (c.select(ent.alias("F753_ROWID_ENTIDAD"), (k + 200000).alias("F753_ROWID_MOVTO_ENTIDAD_FILA"),
+                     (k + 100000).alias("F753_ROWID_MOVTO_ENTIDAD"), F.explode(rows).alias("r"))
+            .where(F.col("r.a").isNotNull())
+            .select("F753_ROWID_ENTIDAD", "F753_ROWID_MOVTO_ENTIDAD_FILA", "F753_ROWID_MOVTO_ENTIDAD",
+                    F.col("r.a").alias("F753_ROWID_ENTIDAD_ATRIBUTO"), F.col("r.t").alias("F753_DATO_TEXTO")))
+    defs = (t753.where(F.col("F753_ROWID_ENTIDAD_ATRIBUTO") != 0)
+            .select(F.col("F753_ROWID_ENTIDAD_ATRIBUTO").alias("F743_ROWID"),
+                    F.col("F753_ROWID_ENTIDAD").alias("F743_ROWID_ENTIDAD")))
+    t743 = defs.unionByName(t742.select(F.lit(950).alias("F743_ROWID"),
+                                        F.col("F742_ROWID").alias("F743_ROWID_ENTIDAD"))).distinct()
+    crit, _ = _criteria(spark, sf)
+    ck = D.table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), cia.alias("cia"))
+    crit = crit.join(ck, "custkey")
+    t207 = crit.select(F.col("cia").alias("F207_ID_CIA"), F.col("custkey").alias("F207_ROWID_TERCERO"),
+                       F.lit("001").alias("F207_ID_SUCURSAL"), F.col("plan").alias("F207_ID_PLAN_CRITERIOS"),
+                       F.col("crit").alias("F207_ID_CRITERIO_MAYOR"))
+    _, desc = _criteria(spark, sf)
+    # descriptions per company for the (company, plan, criterion) that occur
+    t206 = (crit.select("cia", "plan", "crit").distinct().join(desc, ["plan", "crit"])
+            .select(F.col("cia").alias("F206_ID_CIA"), F.col("plan").alias("F206_ID_PLAN"),
+                    F.col("crit").alias("F206_ID"), F.col("descr").alias("F206_DESCRIPCION")))
+    return dict(t200=t200, t201=t201, t750=t750, t752=t752, t742=t742, t753=t753, t743=t743,
+                t207=t207, t206=t206)
+
+
+def _q01_sql():
+    cia = "CASE WHEN c_custkey % 11 = 0 THEN 3 ELSE 2 END"
+    ent = "CASE WHEN c_custkey % 13 = 0 THEN 999 WHEN c_custkey % 2 = 0 THEN 181 ELSE 201 END"
+    t752 = f"(SELECT c_custkey + 200000 AS F752_ROWID, c_custkey + 100000 AS F752_ROWID_MOVTO_ENTIDAD, {ent} AS F752_ROWID_ENTIDAD FROM customer)"
+    t753 = (f"(SELECT {ent} AS F753_ROWID_ENTIDAD, c_custkey + 200000 AS F753_ROWID_MOVTO_ENTIDAD_FILA, "
+            f"c_custkey + 100000 AS F753_ROWID_MOVTO_ENTIDAD, CASE WHEN {ent} = 201 THEN 901 ELSE 881 END AS F753_ROWID_ENTIDAD_ATRIBUTO, "
+            f"'-74,' || lpad(CAST(c_custkey * 37 % 10000 AS VARCHAR), 4, '0') AS F753_DATO_TEXTO FROM customer "
+            f"UNION ALL SELECT {ent}, c_custkey + 200000, c_custkey + 100000, CASE WHEN {ent} = 201 THEN 902 ELSE 882 END, "
+            f"'4,' || lpad(CAST(c_custkey * 53 % 10000 AS VARCHAR), 4, '0') FROM customer "
+            f"UNION ALL SELECT {ent}, c_custkey + 200000, c_custkey + 100000, 0, 'ruido' FROM customer WHERE c_custkey % 17 = 0)")
+    t743 = (f"(SELECT DISTINCT F743_ROWID, F743_ROWID_ENTIDAD FROM (SELECT F753_ROWID_ENTIDAD_ATRIBUTO AS F743_ROWID, "
+            f"F753_ROWID_ENTIDAD AS F743_ROWID_ENTIDAD FROM {t753} a WHERE F753_ROWID_ENTIDAD_ATRIBUTO <> 0 "
+            f"UNION ALL SELECT DISTINCT 950, F752_ROWID_ENTIDAD FROM {t752} b) x)")
+    t207 = (f"(SELECT cu.cia AS F207_ID_CIA, cr.custkey AS F207_ROWID_TERCERO, '001' AS F207_ID_SUCURSAL, "
+            f"cr.plan AS F207_ID_PLAN_CRITERIOS, cr.crit AS F207_ID_CRITERIO_MAYOR FROM {_CRIT_SQL} cr "
+            f"JOIN (SELECT c_custkey AS custkey, {cia} AS cia FROM customer) cu ON cr.custkey = cu.custkey)")
+    t206 = (f"(SELECT cias.cia AS F206_ID_CIA, d.plan AS F206_ID_PLAN, d.crit AS F206_ID, d.descr AS F206_DESCRIPCION "
+            f"FROM {_desc_sql()} d CROSS JOIN (SELECT DISTINCT {cia} AS cia FROM customer) cias)")
+    crit_joins, crit_cols = [], []
+    for al, plan, code_col, desc_col in (("1", "001", "COD_DIA_VISITA", "DES_DIA_VISITA"),
+                                         ("2", "002", "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
+                                         ("v", "VEN", "COD_VENDEDOR", "DES_VENDEDOR"),
+                                         ("c", "CCD", None, "COD_CANAL")):
+        crit_joins.append(
+            f"LEFT JOIN {t207} c{al} ON c{al}.F207_ROWID_TERCERO = b.F201_ROWID_TERCERO AND c{al}.F207_ID_SUCURSAL = b.F201_ID_SUCURSAL "
+            f"AND c{al}.F207_ID_PLAN_CRITERIOS = '{plan}' LEFT JOIN {t206} m{al} ON m{al}.F206_ID_CIA = c{al}.F207_ID_CIA "
+            f"AND m{al}.F206_ID_PLAN = c{al}.F207_ID_PLAN_CRITERIOS AND m{al}.F206_ID = c{al}.F207_ID_CRITERIO_MAYOR")
+    return f"""
+SELECT a.F200_ID_CIA AS COD_CIA, a.F200_ROWID AS ROWID_TERCERO, a.F200_NIT AS NIT_TERCERO,
+  a.F200_NIT || '-' || b.F201_ID_SUCURSAL AS ID_TERCERO, a.F200_RAZON_SOCIAL AS RAZON_SOCIAL,
+  b.F201_ID_SUCURSAL AS COD_SUCURSAL_CLIENTE, b.F201_DESCRIPCION_SUCURSAL AS DES_SUCURSAL_CLIENTE,
+  b.F201_IND_ESTADO_ACTIVO AS IND_ESTADO_ACTIVO_CLIENTE, m1.F206_ID AS COD_DIA_VISITA, m1.F206_DESCRIPCION AS DES_DIA_VISITA,
+  b.F201_ID_CO_FACTURA AS COD_CO, m2.F206_ID AS COD_FRECUENCIA_VISITA, m2.F206_DESCRIPCION AS DES_FRECUENCIA_VISITA,
+  mv.F206_ID AS COD_VENDEDOR, mv.F206_DESCRIPCION AS DES_VENDEDOR, mc.F206_DESCRIPCION AS COD_CANAL,
+  lg.F753_DATO_TEXTO AS LONGITUD, lt.F753_DATO_TEXTO AS LATITUD
+FROM (SELECT {cia} AS F200_ID_CIA, c_custkey AS F200_ROWID, CAST(c_custkey AS VARCHAR) AS F200_NIT, c_name AS F200_RAZON_SOCIAL FROM customer) a
+JOIN (SELECT {cia} AS F201_ID_CIA, c_custkey AS F201_ROWID_TERCERO, '001' AS F201_ID_SUCURSAL,
+             'Sucursal ' || c_mktsegment AS F201_DESCRIPCION_SUCURSAL, CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS F201_IND_ESTADO_ACTIVO,
+             '001' AS F201_ID_CO_FACTURA, c_custkey + 100000 AS F201_ROWID_MOVTO_ENTIDAD FROM customer) b
+  ON b.F201_ID_CIA = a.F200_ID_CIA AND b.F201_ROWID_TERCERO = a.F200_ROWID
+JOIN (SELECT c_custkey + 100000 AS F750_ROWID FROM customer) e ON b.F201_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
+JOIN {t752} r ON e.F750_ROWID = r.F752_ROWID_MOVTO_ENTIDAD
+JOIN (SELECT DISTINCT F752_ROWID_ENTIDAD AS F742_ROWID FROM {t752} r2) n ON r.F752_ROWID_ENTIDAD = n.F742_ROWID
+JOIN {t753} lg ON lg.F753_ROWID_ENTIDAD = n.F742_ROWID AND lg.F753_ROWID_MOVTO_ENTIDAD_FILA = r.F752_ROWID AND lg.F753_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
+JOIN {t743} alg ON alg.F743_ROWID_ENTIDAD = n.F742_ROWID
+  AND (CASE WHEN alg.F743_ROWID IN (881, 901) THEN alg.F743_ROWID ELSE 0 END) = lg.F753_ROWID_ENTIDAD_ATRIBUTO
+JOIN {t753} lt ON lt.F753_ROWID_ENTIDAD = n.F742_ROWID AND lt.F753_ROWID_MOVTO_ENTIDAD_FILA = r.F752_ROWID AND lt.F753_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
+JOIN {t743} alt ON alt.F743_ROWID_ENTIDAD = n.F742_ROWID
+  AND (CASE WHEN alt.F743_ROWID IN (882, 902) THEN alt.F743_ROWID ELSE 0 END) = lt.F753_ROWID_ENTIDAD_ATRIBUTO
+{' '.join(crit_joins)}
+WHERE a.F200_ID_CIA = 2 AND n.F742_ROWID IN (181, 201)"""
+
+
+@register("q01_client_extract", _q01_sql())
+def q01_client_extract(spark, sf):
+    """Q01: the 18-column client extract over EAV, criteria and customer
+    tables (J20-J23, F06, C26-C28, P01), on source tables derived from
+    ``customer``."""
+    from visitwise.plans.extract import client_extract
+    return client_extract(**_extract_sources(spark, sf))

@@ -1036,3 +1036,10 @@ def q01_client_extract(spark, sf):
     ``customer``."""
     from visitwise.plans.extract import client_extract
     return client_extract(**_extract_sources(spark, sf))
+
+
+@register("a05_distinct",
+          f"SELECT DISTINCT COD_CANAL, COD_FRECUENCIA_VISITA FROM ({D.CLIENTS_RAW_SQL}) c")
+def a05_distinct(spark, sf):
+    """Distinct values (channel and frequency code pairs)."""
+    return D.clients_raw(spark, sf).select("COD_CANAL", "COD_FRECUENCIA_VISITA").distinct()

@@ -143,3 +143,20 @@ def test_calendar_rule_counts(spark):
     assert [(r.COD_DIA_VISITA, r.COD_QUINCENAL, r.COD_MENSUAL) for r in first] == [
         ("001", "002", "004"), ("002", "003", "005")]
     assert unpivot_calendar(wide).count() == 1095
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_full_merge_matches_pandas(spark, seed):
+    rnd = random.Random(seed)
+    left = [(rnd.choice(["a", "b", "hot", None]), rnd.choice([1, 2]), i) for i in range(40)]
+    right = [(rnd.choice(["b", "c", "hot", None]), rnd.choice([1, 2, 3]), 100 + i) for i in range(30)]
+    lp = pd.DataFrame(left, columns=["k", "d", "x"])
+    rp = pd.DataFrame(right, columns=["k", "d", "x"])
+    exp = pd.merge(lp, rp, how="outer", on=["k", "d"])
+    got = merge(spark.createDataFrame(left, "k string, d int, x int"),
+                spark.createDataFrame(right, "k string, d int, x int"), ["k", "d"], "outer").toPandas()
+    assert list(got.columns) == list(exp.columns)
+
+    def norm(df):
+        return sorted((tuple(None if pd.isna(v) else v for v in t) for t in df.itertuples(index=False)), key=repr)
+    assert norm(got) == norm(exp)

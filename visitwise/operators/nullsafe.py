@@ -6,6 +6,11 @@
 
 Catalyst still plans an equi-join (hash or sort-merge on the
 ``coalesce``/``isnull`` pair of each key), so nothing is lost at scale.
+
+A full outer join is written as ``left JOIN right (left outer)`` plus the
+right rows whose key is not among the distinct left keys (anti join).
+Adaptive execution can split a hot key in both of those join types, not in
+a sort-merge full outer join; the distinct left keys hold one row per key.
 """
 
 from __future__ import annotations
@@ -39,6 +44,9 @@ def merge(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     l_other = [c for c in lcols if c not in keys]
     overlap = {c.lower() for c in l_other} & {c.lower() for c in rcols}
 
+    if how == "full":
+        return _full_merge(left, right, keys, suffixes, null_safe)
+
     la = left.alias("_l")
     ra = right.alias("_r")
     if null_safe:
@@ -69,6 +77,33 @@ def merge(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     return j.select(*out)
 
 
+def _full_merge(left: DataFrame, right: DataFrame, keys, suffixes, null_safe) -> DataFrame:
+    matched = merge(left, right, keys, "left", suffixes, null_safe)
+    lk = left.select(*keys).distinct()
+    la, ra = lk.alias("_lk"), right.alias("_r")
+    eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
+    cond = reduce(lambda a, b: a & b, [eq(F.col(f"_r.`{k}`"), F.col(f"_lk.`{k}`")) for k in keys])
+    only_right = ra.join(la, cond, "left_anti")
+    # same output names as the left-join part: right-only columns keep or
+    # get the right suffix, left-only columns are null
+    cols = []
+    rnames = set(right.columns)
+    for out_name, src in zip(matched.columns, _full_sources(left, right, keys)):
+        side, name = src
+        if side == "r" and name in rnames:
+            cols.append(F.col(f"`{name}`").alias(out_name))
+        else:
+            cols.append(F.lit(None).cast(dict(matched.dtypes)[out_name]).alias(out_name))
+    return matched.unionByName(only_right.select(*cols))
+
+
+def _full_sources(left, right, keys):
+    """For each output column of a merge: which side and column feeds it
+    (keys come from the right side in the right-only rows)."""
+    return ([("r", c) if c in keys else ("l", c) for c in left.columns]
+            + [("r", c) for c in right.columns if c not in keys])
+
+
 def common_keys(left: DataFrame, right: DataFrame) -> list[str]:
     """Keys of a natural merge: the common columns, in the left's order."""
     rs = set(right.columns)

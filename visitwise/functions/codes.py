@@ -58,10 +58,12 @@ def first_element(c) -> Column:
 
 
 def fill_blank(df, value="", numeric_fill=None, subset=None):
-    """Fill missing values (``''`` in text columns, a number in numbers)."""
-    out = df.na.fill(value, subset=subset) if isinstance(value, str) else df.na.fill(value, subset=subset)
+    """Fill missing values - ``value`` in text columns, and
+    ``numeric_fill`` (if given) in numeric ones.  Unlike a whole-frame
+    pandas ``fillna('')``, numbers never turn into text."""
+    out = df.na.fill(value, subset=subset)
     if numeric_fill is not None:
-        out = out.na.fill(numeric_fill)
+        out = out.na.fill(numeric_fill, subset=subset)
     return out
 
 

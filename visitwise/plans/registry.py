@@ -318,8 +318,8 @@ _CLIENT_TYPES = [("COD_CIA", "int"), ("ROWID_TERCERO", "bigint")] + [
 @register("c24_fill", f"SELECT {_string_cols_sql_fill(_CLIENT_TYPES)} FROM ({D.CLIENTS_RAW_SQL}) c")
 def c24_fill(spark, sf):
     """Missing text filled with ``''`` (numbers untouched)."""
-    c = D.clients_raw(spark, sf)
-    return c.na.fill("")
+    from visitwise.functions import fill_blank
+    return fill_blank(D.clients_raw(spark, sf), "")
 
 
 @register("c26_concat",
@@ -356,7 +356,6 @@ def a06_count(spark, sf):
 CL = f"({D.CLIENTS_SQL})"
 CAL = f"({D.calendar_long_sql(D.calendar_wide_sql())})"
 VIS = f"({D.visits_sql()})"
-_ALLCOL_ORDER = None
 
 
 @register("j03_unified_full",
@@ -676,7 +675,6 @@ def j24_role_inner(spark, sf):
 
 # --------------------------------------------------------------- grouping
 
-_DATE_TXT = "strftime(v, '%Y-%m-%d')"
 
 
 @register("a01_collect_list",

@@ -20,7 +20,7 @@ from visitwise.operators.matching import natural_full_outer
 from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_tables
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
 from visitwise.plans.route import CAL_KEYS, due_list, visit_facts
-from visitwise.schemas import CLEANED_TEXT, CLIENT_COLUMNS, RESULT_COLUMNS
+from visitwise.schemas import CLEANED_TEXT, RESULT_COLUMNS
 
 RANK_KEYS = ["ID_TERCERO", "FECHAS_VISITA"]
 # Final sort of the reference (only the last of its three sorts is visible).
@@ -124,5 +124,5 @@ def is_month_end(as_of: _dt.date) -> bool:
     return (as_of + _dt.timedelta(days=1)).day == 1
 
 
-__all__ = ["unified", "unified_statistics", "result_order", "is_month_end",
-           "CLIENT_COLUMNS"]
+__all__ = ["unified", "unified_statistics", "match_due_visits", "client_dimension",
+           "result_order", "is_month_end"]

@@ -146,6 +146,20 @@ def join_ranks(df: DataFrame, tables) -> DataFrame:
     return df
 
 
+def attach_ranks(df: DataFrame, row_id: str, tables) -> DataFrame:
+    """Attach several rank tables to a wide frame with a unique ``row_id``.
+
+    The rank lookups run on a narrow projection (row id, group keys,
+    ranked values); the wide rows then meet the ranks in one join on the
+    row id, so they are shuffled once however many ranks there are."""
+    need = [row_id]
+    for ranks, on in tables:
+        need += [c for c in on if c not in need]
+    narrow = join_ranks(df.select(*need), tables)
+    outs = [c for ranks, on in tables for c in ranks.columns if c not in on]
+    return df.join(narrow.select(row_id, *outs), row_id, "left")
+
+
 def _join_back(df: DataFrame, ranks: DataFrame, on: list[str]) -> DataFrame:
     a = df.alias("_d")
     b = ranks.alias("_k")

@@ -267,7 +267,9 @@ def unified_sql(year: int = YEAR, round_distance: int | None = 3) -> str:
             f"CAST(CASE WHEN {guard} AND Distancia_Haversine IS NOT NULL THEN rank() OVER ({part} ORDER BY Distancia_Haversine DESC NULLS LAST) END AS INTEGER) AS Flag_Distance",
             "CASE WHEN Inicio_Visita IS NULL THEN 0 ELSE 1 END AS Flag_DAN",
             "CASE WHEN FECHAS_VISITA = FECHAS_VISITA_V THEN 1 ELSE 0 END AS Flag_Visita_Rutero",
-            "(_d IS NOT NULL AND FECHAS_VISITA IS NOT NULL) AS is_scheduled"]
+            "(_d IS NOT NULL AND FECHAS_VISITA IS NOT NULL) AS is_scheduled",
+            "CAST(floor(TimeDifference / 60) AS INTEGER) AS duration_minutes",
+            f"CAST(CASE WHEN {guard} AND TimeDifference IS NOT NULL THEN dense_rank() OVER ({part} ORDER BY floor(TimeDifference / 60) DESC NULLS LAST) END AS INTEGER) AS Flag_Duracion"]
     return f"""
 SELECT {', '.join(out)} FROM ({matched_sql(year)}) j"""
 

@@ -834,7 +834,8 @@ def _result_order_sql():
     from visitwise.plans.unified import RESULT_ORDER
     from visitwise.schemas import RESULT_COLUMNS
     keys = [k for k, _ in RESULT_ORDER]
-    cols = [k for k in keys] + [c for c in RESULT_COLUMNS + ["is_scheduled"] if c not in keys]
+    cols = [k for k in keys] + [c for c in RESULT_COLUMNS + ["is_scheduled", "duration_minutes", "Flag_Duracion"]
+                                if c not in keys]
     return ", ".join(f'"{c}" ASC NULLS LAST' for c in cols)
 
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from visitwise.functions.codes import equal_flag, not_null_flag
 from visitwise.functions.text import clean_text
 from visitwise.operators.matching import natural_full_outer
-from visitwise.operators.ranking import join_ranks, materialize, order_col, rank_tables
+from visitwise.functions.durations import duration_minutes
+from visitwise.operators.ranking import attach_ranks, materialize, order_col, rank_tables
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
 from visitwise.plans.route import CAL_KEYS, due_list, visit_facts
 from visitwise.schemas import CLEANED_TEXT, RESULT_COLUMNS
@@ -76,17 +77,22 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
 
     Output: the 33 columns of the reference (``RESULT_COLUMNS``), with
     ranks as integers and ``TimeDifference`` in seconds, plus (``extras``)
-    ``is_scheduled`` - the visit's date was due for that client (the answer
-    ``Flag_Visita_Rutero`` was meant to give).
+    the corrected forms of two reference defects: ``is_scheduled`` - the
+    visit's date was due for that client (what ``Flag_Visita_Rutero`` was
+    meant to say) - and ``Flag_Duracion``, the dense rank of the visit
+    length in whole minutes (``duration_minutes``), longest first, next to
+    ``Flag_Time``, which ranks the reference's glued hour-minute code.
     """
-    # the matched table feeds two rank histograms and two joins: write it
-    # once to the checkpoint folder
-    res = materialize(match_due_visits(clients, calendar, visits, calendar_rows))
-    t_time, t_dist = rank_tables(res, RANK_KEYS, [
-        ("Time", "Flag_Time", "dense", True),
-        ("Distancia_Haversine", "Flag_Distance", "min", True)])
-    res = join_ranks(res, [(t_time, RANK_KEYS + ["Time"]),
-                           (t_dist, RANK_KEYS + ["Distancia_Haversine"])])
+    # the matched table feeds the rank histograms and the rank lookups:
+    # write it once (with a row id that stays fixed from then on)
+    res = materialize(match_due_visits(clients, calendar, visits, calendar_rows)
+                      .withColumn("_rid", F.monotonically_increasing_id())
+                      .withColumn("duration_minutes", duration_minutes("TimeDifference").cast("int")))
+    specs = [("Time", "Flag_Time", "dense", True),
+             ("Distancia_Haversine", "Flag_Distance", "min", True),
+             ("duration_minutes", "Flag_Duracion", "dense", True)]
+    tables = rank_tables(res, RANK_KEYS, specs)
+    res = attach_ranks(res, "_rid", [(t, RANK_KEYS + [v]) for t, (v, _, _, _) in zip(tables, specs)])
     res = res.withColumns({
         "Flag_DAN": not_null_flag("Inicio_Visita"),
         "Flag_Visita_Rutero": equal_flag("FECHAS_VISITA", "FECHAS_VISITA_V"),
@@ -99,7 +105,7 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
         else:
             out.append(F.col(c))
     if extras:
-        out.append("is_scheduled")
+        out += ["is_scheduled", "duration_minutes", "Flag_Duracion"]
     return res.select(*out)
 
 

@@ -75,3 +75,12 @@ def test_duplicate_client_rows_multiply(spark):
     assert n[("A-001", dt.date(2023, 1, 2))] == 8
     assert n[("A-001", dt.date(2023, 1, 3))] == 2
     assert n[("A-001", dt.date(2023, 1, 9))] == 2
+
+
+def test_corrected_duration_rank(spark):
+    # FIXTURES: the two A-001 visits of 2023-01-02 tie on Flag_Time (code 15
+    # for 65 and 15 minutes); ranked by whole minutes they are 1 and 2
+    res = unified(_clients(spark), _calendar(spark), _visits(spark), calendar_rows=5)
+    rows = res.where("ID_TERCERO = 'A-001' AND FECHAS_VISITA = DATE'2023-01-02'") \
+        .select("duration_minutes", "Flag_Time", "Flag_Duracion").collect()
+    assert sorted(tuple(r) for r in rows) == [(15, 1, 2), (65, 1, 1)]

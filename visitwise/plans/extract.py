@@ -155,3 +155,21 @@ def calendar_load(spark, csv_path: str, out_path: str) -> DataFrame:
     cal = read_csv_text(spark, csv_path)
     write_parquet(cal.toDF(*[c.strip().replace(" ", "_") for c in cal.columns]), out_path)
     return spark.read.parquet(out_path)
+
+
+CLIENT_SOURCE_TABLES = {"t200": "T200_MM_TERCEROS", "t201": "T201_MM_CLIENTES",
+                        "t750": "T750_MM_MOVTO_ENTIDAD", "t752": "T752_MM_MOVTO_ENTIDAD_FILA",
+                        "t742": "T742_MM_ENTIDAD", "t753": "T753_MM_MOVTO_ENTIDAD_COLUMNA",
+                        "t743": "T743_MM_ENTIDAD_ATRIBUTO", "t207": "T207_MM_CRITERIOS_CLIENTES",
+                        "t206": "T206_MM_CRITERIOS_MAYORES"}
+VISIT_SOURCE_TABLES = {"visita": "VISITA", "usuario": "USUARIO", "sucursal": "SUCURSAL"}
+
+
+def extract_from(reader, which: str = "clients") -> DataFrame:
+    """Q01 / Q02 from any table reader: ``reader(table_name) -> DataFrame``,
+    e.g. ``lambda t: spark.read.parquet(f"{base}/{t}")`` for landed copies or
+    ``lambda t: sources.jdbc.read_table(spark, t, ...)`` for the server."""
+    if which == "clients":
+        return client_extract(**{k: reader(v) for k, v in CLIENT_SOURCE_TABLES.items()})
+    t = {k: reader(v) for k, v in VISIT_SOURCE_TABLES.items()}
+    return visit_extract(t["visita"], t["usuario"], t["sucursal"])

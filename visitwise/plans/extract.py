@@ -157,6 +157,7 @@ def calendar_load(spark, csv_path: str, out_path: str) -> DataFrame:
     return spark.read.parquet(out_path)
 
 
+# Source table names of the two extracts.
 CLIENT_SOURCE_TABLES = {"t200": "T200_MM_TERCEROS", "t201": "T201_MM_CLIENTES",
                         "t750": "T750_MM_MOVTO_ENTIDAD", "t752": "T752_MM_MOVTO_ENTIDAD_FILA",
                         "t742": "T742_MM_ENTIDAD", "t753": "T753_MM_MOVTO_ENTIDAD_COLUMNA",

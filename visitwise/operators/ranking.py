@@ -8,14 +8,16 @@ in three steps, none of which needs a whole group in one task:
    partial (map-side) aggregation, so repeated values collapse before the
    shuffle;
 2. the histogram is range-partitioned on ``(group, value)``: a hot group
-   spreads over several partitions; local ranks are computed per
-   ``(partition, group)`` and written to the checkpoint folder (partition
-   ids are data from then on, identical for every consumer), and the
-   groups that cross a partition boundary
+   spreads over several partitions; local ranks and the per
+   ``(partition, group)`` totals come from one window stage and are written
+   to the checkpoint folder (partition ids are data from then on, identical
+   for every consumer), and the groups that cross a partition boundary
    (at most two per partition, so at most ``2 x partitions`` rows - a
    proven bound, safe to broadcast) get offsets;
 3. the ranks are joined back on ``(group, value)``; a hot key there is
-   split by adaptive skew-join handling (one histogram row per key).
+   split by adaptive skew-join handling (one histogram row per key).  Several
+   ranks of one frame share steps 1-2 (values stacked with a metric tag) and
+   reach the wide rows through one join on a row id.
 
 Exact positions in a global order (``global_index``) use the same idea:
 range-sorted data, per-partition row counts (one row per partition),
@@ -65,45 +67,54 @@ def _valid(df: DataFrame, keys: list[str], value: str) -> Column:
     return _all(conds)
 
 
-def rank_tables(df: DataFrame, keys, specs) -> list[DataFrame]:
-    """Several ranks over the same groups in one pipeline.
-
-    ``specs``: ``(value, out, method, descending)`` tuples; ``method`` is
-    ``dense`` (W01) or ``min`` (W02, competition rank: ties share the
-    lowest rank).  Null keys and null/NaN values are left out, so they get
-    no rank and do not shift the others.  Returns one table per spec:
-    distinct ``(keys, value)`` with the rank in ``out``.
-
-    The values of all specs are stacked as ``(keys, metric, v)`` so that one
-    histogram, one range partitioning and one window pass serve them all.
-    """
-    keys = list(keys)
+def _stack(df: DataFrame, keys: list[str], specs, row_id: str | None = None) -> DataFrame:
     types = dict(df.dtypes)
-    for value, _, method, _ in specs:
+    parts = []
+    for i, (value, _, method, desc) in enumerate(specs):
         if method not in ("dense", "min"):
             raise ValueError(method)
         if types[value] not in ("double", "float", "int", "smallint", "tinyint"):
             raise TypeError(f"{value}: stacked ranks need values exact as double")
-    parts = []
-    for i, (value, _, _, desc) in enumerate(specs):
         v = F.col(value).cast("double")
+        cols = ([row_id] if row_id else []) + list(keys)
         parts.append(df.where(_valid(df, keys, value))
-                     .select(*keys, F.lit(i).alias("_metric"), v.alias("_v"),
+                     .select(*cols, F.lit(i).alias("_metric"), v.alias("_v"),
                              (-v if desc else v).alias("_s")))
-    stacked = reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def ranks_stacked(df: DataFrame, keys, specs) -> DataFrame:
+    """Several ranks over the same groups in one pipeline.
+
+    ``specs``: ``(value, out, method, descending)`` tuples; ``method`` is
+    ``dense`` (W01) or ``min`` (W02, competition rank: ties share the
+    lowest rank).  Null keys and null/NaN values are left out, so they get
+    no rank and do not shift the others.
+
+    The values of all specs are stacked as ``(keys, _metric, _v)`` so that
+    one histogram, one range partitioning and one window pass serve them
+    all.  Returns distinct ``(keys, _metric, _v)`` with the rank in ``_r``.
+    """
+    keys = list(keys)
+    stacked = _stack(df, keys, specs)
     hist = stacked.groupBy(*keys, "_metric", "_v", "_s").agg(F.count(F.lit(1)).alias("_n"))
     gk = [*keys, "_metric"]
     nparts = shuffle_partitions(df.sparkSession)
     ranged = (hist.repartitionByRange(nparts, *[F.col(k) for k in gk], F.col("_s"))
               .withColumn("_pid", F.spark_partition_id()))
     w_local = Window.partitionBy("_pid", *gk).orderBy("_s")
-    # Written once: the partition ids must be the same in both consumers
-    # below (a re-run range sampling could draw other bounds).
+    w_part = Window.partitionBy("_pid", *gk)
+    # local ranks and the (partition, group) totals in one window stage;
+    # written once: the partition ids must be the same for every consumer
+    # below (a re-run range sampling could draw other bounds)
     local = materialize(ranged
                         .withColumn("_ld", F.row_number().over(w_local))
                         .withColumn("_lc", F.coalesce(
-                            F.sum("_n").over(w_local.rowsBetween(_UNB, -1)), F.lit(0))))
-    span = local.groupBy(*gk, "_pid").agg(F.max("_ld").alias("_sd"), F.sum("_n").alias("_sc"))
+                            F.sum("_n").over(w_local.rowsBetween(_UNB, -1)), F.lit(0)))
+                        .withColumn("_sd", F.count(F.lit(1)).over(w_part))
+                        .withColumn("_sc", F.sum("_n").over(w_part)))
+    # one row per (group, partition): the last local row carries the totals
+    span = local.where(F.col("_ld") == F.col("_sd")).select(*gk, "_pid", "_sd", "_sc")
     w_g = Window.partitionBy(*gk)
     w_go = w_g.orderBy("_pid").rowsBetween(_UNB, -1)
     offsets = (span.withColumn("_np", F.count(F.lit(1)).over(w_g))
@@ -115,13 +126,37 @@ def rank_tables(df: DataFrame, keys, specs) -> list[DataFrame]:
     ranked = local.join(F.broadcast(offsets), [*gk, "_pid"], "left")
     dense = F.col("_ld") + F.coalesce(F.col("_od"), F.lit(0))
     mini = F.col("_lc") + F.coalesce(F.col("_oc"), F.lit(0)) + 1
-    out = []
-    for i, (value, name, method, _) in enumerate(specs):
-        r = dense if method == "dense" else mini
-        out.append(ranked.where(F.col("_metric") == i)
-                   .select(*keys, F.col("_v").cast(types[value]).alias(value),
-                           r.cast("int").alias(name)))
-    return out
+    r = None
+    for i, (_, _, method, _) in enumerate(specs):
+        e = dense if method == "dense" else mini
+        r = F.when(F.col("_metric") == i, e) if r is None else r.when(F.col("_metric") == i, e)
+    return ranked.select(*gk, "_v", r.cast("int").alias("_r"))
+
+
+def rank_tables(df: DataFrame, keys, specs) -> list[DataFrame]:
+    """One table per spec (see :func:`ranks_stacked`): distinct
+    ``(keys, value)`` with the rank in the spec's ``out`` column."""
+    keys = list(keys)
+    types = dict(df.dtypes)
+    st = ranks_stacked(df, keys, specs)
+    return [st.where(F.col("_metric") == i)
+            .select(*keys, F.col("_v").cast(types[value]).alias(value), F.col("_r").alias(name))
+            for i, (value, name, _, _) in enumerate(specs)]
+
+
+def attach_stacked_ranks(df: DataFrame, row_id: str, keys, specs) -> DataFrame:
+    """All ranks of ``specs`` as new columns of a frame with a unique
+    ``row_id``: the stacked ``(row id, keys, metric, value)`` rows look their
+    rank up in one join, a pivot by row id turns them into columns, and the
+    wide rows meet them in one join on the row id (shuffled once)."""
+    keys = list(keys)
+    ranks = ranks_stacked(df, keys, specs)
+    rows = _stack(df, keys, specs, row_id).drop("_s")
+    looked = rows.join(ranks, [*keys, "_metric", "_v"], "inner")
+    piv = looked.groupBy(row_id).agg(*[
+        F.max(F.when(F.col("_metric") == i, F.col("_r"))).alias(name)
+        for i, (_, name, _, _) in enumerate(specs)])
+    return df.join(piv, row_id, "left")
 
 
 def rank_table(df: DataFrame, keys, value: str, out: str,
@@ -146,20 +181,6 @@ def join_ranks(df: DataFrame, tables) -> DataFrame:
     return df
 
 
-def attach_ranks(df: DataFrame, row_id: str, tables) -> DataFrame:
-    """Attach several rank tables to a wide frame with a unique ``row_id``.
-
-    The rank lookups run on a narrow projection (row id, group keys,
-    ranked values); the wide rows then meet the ranks in one join on the
-    row id, so they are shuffled once however many ranks there are."""
-    need = [row_id]
-    for ranks, on in tables:
-        need += [c for c in on if c not in need]
-    narrow = join_ranks(df.select(*need), tables)
-    outs = [c for ranks, on in tables for c in ranks.columns if c not in on]
-    return df.join(narrow.select(row_id, *outs), row_id, "left")
-
-
 def _join_back(df: DataFrame, ranks: DataFrame, on: list[str]) -> DataFrame:
     a = df.alias("_d")
     b = ranks.alias("_k")

@@ -18,7 +18,7 @@ from visitwise.functions.codes import equal_flag, not_null_flag
 from visitwise.functions.text import clean_text
 from visitwise.operators.matching import natural_full_outer
 from visitwise.functions.durations import duration_minutes
-from visitwise.operators.ranking import attach_ranks, materialize, order_col, rank_tables
+from visitwise.operators.ranking import attach_stacked_ranks, materialize, order_col
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
 from visitwise.plans.route import CAL_KEYS, due_list, visit_facts
 from visitwise.schemas import CLEANED_TEXT, RESULT_COLUMNS
@@ -91,8 +91,7 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     specs = [("Time", "Flag_Time", "dense", True),
              ("Distancia_Haversine", "Flag_Distance", "min", True),
              ("duration_minutes", "Flag_Duracion", "dense", True)]
-    tables = rank_tables(res, RANK_KEYS, specs)
-    res = attach_ranks(res, "_rid", [(t, RANK_KEYS + [v]) for t, (v, _, _, _) in zip(tables, specs)])
+    res = attach_stacked_ranks(res, "_rid", RANK_KEYS, specs)
     res = res.withColumns({
         "Flag_DAN": not_null_flag("Inicio_Visita"),
         "Flag_Visita_Rutero": equal_flag("FECHAS_VISITA", "FECHAS_VISITA_V"),

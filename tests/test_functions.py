@@ -153,3 +153,11 @@ def test_durations_ignore_session_time_zone(spark):
         assert yr == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_small_helpers(spark):
+    df = spark.createDataFrame([(5, [3, 1], "2023-01-05 08:30:00")], "n int, a array<int>, t string")
+    r = df.select(V.int_text("n"), V.first_element("a"), V.case_in_list("n", [5, 7]),
+                  V.case_in_list(F.lit(6), [5, 7]), V.to_ts("t", "yyyy-MM-dd HH:mm:ss")
+                  .cast("timestamp_ntz")).first()
+    assert tuple(r) == ("5", 3, 5, 0, dt.datetime(2023, 1, 5, 8, 30))

@@ -56,3 +56,16 @@ def test_csv_latin1_and_lossy(spark):
     assert [tuple(r) for r in read_csv_latin1(spark, p, sep=";").collect()] == [("Peña", "007")]
     p2 = _write(os.path.join(d, "bad.csv"), b"a,b\nx\xffy,1\n")
     assert [tuple(r) for r in read_csv_lossy(spark, p2).collect()] == [("xy", "1")]
+
+
+def test_csv_inferred_and_calendar_load(spark):
+    from visitwise.plans.extract import calendar_load
+    from visitwise.sources.files import read_csv_inferred
+    d = tempfile.mkdtemp(prefix="vw-csv-")
+    p = _write(os.path.join(d, "c.csv"),
+               "﻿FECHA,COD_DIA VISITA,QUINCENAL \r\n1/1/2023,001,Quincena 1 y 3\r\n".encode("utf-8"))
+    inf = read_csv_inferred(spark, p)
+    assert dict(inf.dtypes)["COD_DIA VISITA"] == "int"      # codes lose their zeros
+    out = calendar_load(spark, p, os.path.join(d, "landed"))
+    assert out.columns == ["FECHA", "COD_DIA_VISITA", "QUINCENAL"]
+    assert [tuple(r) for r in out.collect()] == [("1/1/2023", "001", "Quincena 1 y 3")]

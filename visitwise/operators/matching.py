@@ -29,6 +29,33 @@ def _cond(l_alias, r_alias, keys):
                   [F.col(f"{l_alias}.`{k}`").eqNullSafe(F.col(f"{r_alias}.`{k}`")) for k in keys])
 
 
+_DEFAULTS = {"string": "", "date": "1970-01-01", "boolean": False}
+
+
+def _null_safe_keys(df: DataFrame, keys) -> tuple[DataFrame, list[str]]:
+    """Null-safe equality as plain equality on two columns per key: the
+    value with nulls replaced, and a null flag.  Grouping and joining on
+    these columns partition the same way, so a later join reuses the
+    partitioning of an earlier aggregate (the ``<=>`` form would shuffle
+    again on its own rewritten keys)."""
+    types = dict(df.dtypes)
+    cols, names = {}, []
+    for i, k in enumerate(keys):
+        t = types[k]
+        if t == "date":
+            dflt = F.lit(_DEFAULTS["date"]).cast("date")
+        elif t.startswith("timestamp"):
+            dflt = F.lit("1970-01-01 00:00:00").cast(t)
+        elif t in _DEFAULTS:
+            dflt = F.lit(_DEFAULTS[t])
+        else:
+            dflt = F.lit(0).cast(t)
+        cols[f"_k{i}"] = F.coalesce(F.col(k), dflt)
+        cols[f"_z{i}"] = F.col(k).isNull()
+        names += [f"_k{i}", f"_z{i}"]
+    return df.withColumns(cols), names
+
+
 def natural_full_outer(due: DataFrame, facts: DataFrame, keys,
                        matched_flag: str | None = None, due_mult: str | None = None,
                        fact_mult: str | None = None) -> DataFrame:
@@ -37,25 +64,25 @@ def natural_full_outer(due: DataFrame, facts: DataFrame, keys,
     multiplies exactly as the copies would."""
     keys = list(keys)
     n = F.sum(due_mult) if due_mult else F.count(F.lit(1))
-    due_keys = due.groupBy(*keys).agg(n.cast("long").alias("_nd"))
-    fact_keys = facts.select(*keys).distinct()
+    d0, nk = _null_safe_keys(due, keys)
+    f0, _ = _null_safe_keys(facts, keys)
+    # due rows are all keys: keep one representative of the key values
+    due_keys = d0.groupBy(*nk).agg(n.cast("long").alias("_nd"),
+                                   *[F.first(k).alias(k) for k in keys])
+    fact_keys = f0.select(*nk).distinct()
 
-    f = facts.alias("_f")
-    d = due_keys.alias("_d")
-    fact_rows = (f.join(d, _cond("_f", "_d", keys), "left")
-                 .select("_f.*", F.col("_d._nd").alias("_nd")))
+    fact_rows = f0.join(due_keys.select(*nk, "_nd"), nk, "left")
     rep = F.coalesce(F.col("_nd"), F.lit(1))
     if fact_mult:
         rep = rep * F.col(fact_mult)
     fact_rows = fact_rows.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), rep)))
     if matched_flag:
         fact_rows = fact_rows.withColumn(matched_flag, F.col("_nd").isNotNull())
-    fact_rows = fact_rows.drop("_nd", "_rep", *([fact_mult] if fact_mult else []))
+    fact_rows = fact_rows.drop("_nd", "_rep", *nk, *([fact_mult] if fact_mult else []))
 
-    only_due = (due_keys.alias("_d")
-                .join(fact_keys.alias("_k"), _cond("_d", "_k", keys), "left_anti"))
+    only_due = due_keys.join(fact_keys, nk, "left_anti")
     only_due = (only_due.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_nd"))))
-                .drop("_nd", "_rep"))
+                .select(*keys))
     if matched_flag:
         only_due = only_due.withColumn(matched_flag, F.lit(True))
     return fact_rows.unionByName(only_due, allowMissingColumns=True)

@@ -33,3 +33,10 @@ def test_no_row_at_a_time_python(spark):
 def test_clean_text_stays_in_jvm(spark):
     p = _plan(R.QUERIES["c19_clean_text"](spark, SF))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p
+
+
+def test_client_filters_reach_scan(spark):
+    p = _plan(R.QUERIES["j01_due_list"](spark, SF))
+    # (the plan text truncates long filter lists)
+    assert "PushedFilters: [IsNotNull(c_acctbal), In(c" in p
+    assert "c_mktsegment" in p and "(c_acctbal" in p

@@ -50,8 +50,14 @@ def _label(code, labels):
     return F.element_at(F.array(*[F.lit(x) for x in labels]), code.cast("int"))
 
 
-def clients_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clients_raw(spark: SparkSession, sf_dir: str, kept_only: bool = False) -> DataFrame:
+    """The 18 client columns.  ``kept_only`` adds the raw-column predicates
+    implied by the client preparation (channel ON/OFF, active), so they
+    reach the parquet scan; the preparation still applies its own filter."""
     c = table(spark, sf_dir, "customer")
+    if kept_only:
+        c = c.where(F.col("c_mktsegment").isin(ON_SEGMENT, OFF_SEGMENT, "ON", "OFF")
+                    & (F.col("c_acctbal") > 0))
     k = F.col("c_custkey")
     day = F.lpad((k % 7 + 1).cast("string"), 3, "0")
     fq = k % 8

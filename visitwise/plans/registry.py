@@ -31,7 +31,7 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------ shared inputs
 
 def clients(spark, sf):
-    return prepare_clients(D.clients_raw(spark, sf))
+    return prepare_clients(D.clients_raw(spark, sf, kept_only=True))
 
 
 def visits(spark, sf, year=D.YEAR):

@@ -64,3 +64,15 @@ def test_s16_payment_methods_and_literals(spark):
     from visitwise.sources.jdbc import payment_methods
     t = literal_table(spark, [(2, "01", "Contado")], "F025_ID_CIA int, F025_ID string, F025_DESCRIPCION string")
     assert payment_methods(t).columns == ["CIA", "COD_MED_PAGO", "DES_MED_PAGO"]
+
+
+def test_export_keeps_global_order_inside_parts(spark):
+    df = spark.range(50).select(((F.col("id") * 37) % 50).alias("k"))
+    out = os.path.join(tempfile.mkdtemp(prefix="vw-order-"), "r")
+    export_unified(df.repartition(4), [order_col("k")], out, 3)
+    seen = []
+    for part in (1, 2, 3):
+        for f in sorted(glob.glob(os.path.join(out, f"part={part}", "*.csv"))):
+            with open(f) as fh:
+                seen += [int(x) for x in fh.read().split("\n")[1:] if x]
+    assert seen == list(range(50))

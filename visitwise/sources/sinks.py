@@ -91,7 +91,9 @@ def export_unified(result: DataFrame, order, path: str, n_parts: int = 3,
     """
     parts = split_parts(result, order, n_parts, "part")
     # rows keep their global order inside each part (sorted by position)
-    body = compat_columns(latin1_frame(parts.drop("_nrows"))).sortWithinPartitions("_row").drop("_row")
+    # (part, row) order satisfies the writer's own sort on the partition column,
+    # so no extra sort reorders rows inside a part
+    body = compat_columns(latin1_frame(parts.drop("_nrows"))).sortWithinPartitions("part", "_row").drop("_row")
     write_csv(body, path, sep=";", partition_by=["part"], encoding="ISO-8859-1")
     if as_of is not None and by_month_path and (as_of + _dt.timedelta(days=1)).day == 1:
         period = as_of.strftime("%Y%m")

@@ -90,11 +90,13 @@ def icu_available() -> bool:
     """Whether ICU4J's normalizer is on the JVM class path (checked once)."""
     if "ok" not in _ICU_OK:
         try:
+            from pyspark import SparkContext
             from pyspark.sql import SparkSession
-            jvm = SparkSession.getActiveSession()._jvm
+            active = SparkSession.getActiveSession()
+            jvm = active._jvm if active is not None else SparkContext._active_spark_context._jvm
             jvm.java.lang.Class.forName(_ICU_NORMALIZER)
             _ICU_OK["ok"] = True
-        except Exception:  # noqa: BLE001
+        except Exception:  # noqa: BLE001 - no JVM or no ICU4J: built-in fallback
             _ICU_OK["ok"] = False
     return _ICU_OK["ok"]
 

@@ -71,6 +71,8 @@ def test_duplicate_client_rows_multiply(spark):
     dup = cl.unionByName(cl.where("ID_TERCERO = 'A-001'"))
     res = unified(dup, _calendar(spark), _visits(spark), calendar_rows=5)
     n = {(r[0], r[1]): r[2] for r in res.groupBy("ID_TERCERO", "FECHAS_VISITA").count().collect()}
+    from visitwise.plans.unified import duplicate_clients
+    assert [tuple(r) for r in duplicate_clients(dup).collect()] == [(hash("A-001") % 1000, "A-001", 2)]
     # two copies: visits on a due date appear 2 x 2 times, others 2 times
     assert n[("A-001", dt.date(2023, 1, 2))] == 8
     assert n[("A-001", dt.date(2023, 1, 3))] == 2

@@ -52,6 +52,15 @@ def client_dimension(clients: DataFrame) -> DataFrame:
     return materialize(with_clean_text(d))
 
 
+def duplicate_clients(clients: DataFrame) -> DataFrame:
+    """Client rows present more than once (kept by the job, which multiplies
+    their due dates and visits exactly as the reference does): the row's
+    id columns and how many copies there are."""
+    return (clients.groupBy(*clients.columns).agg(F.count(F.lit(1)).alias("copies"))
+            .where(F.col("copies") > 1)
+            .select("ROWID_TERCERO", "ID_TERCERO", "copies"))
+
+
 def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
                      calendar_rows: int | None = None) -> DataFrame:
     """J01 + J02 + J03 (after R1) on narrow keys.
@@ -130,4 +139,5 @@ def is_month_end(as_of: _dt.date) -> bool:
 
 
 __all__ = ["unified", "unified_statistics", "match_due_visits", "client_dimension",
+           "duplicate_clients",
            "result_order", "is_month_end"]

@@ -11,6 +11,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
 
 
@@ -50,6 +53,9 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    # same column types (DuckDB names)
+    dtypes = dict((r[0], r[1]) for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall())
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     assert _rows(df.collect(), df.columns) == _rows(drows, dcols)
 
 

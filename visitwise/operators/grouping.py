@@ -48,7 +48,7 @@ def distinct_list(df: DataFrame, keys, value: str, out: str, fmt=None) -> DataFr
          .select(*keys, F.col(value).alias("_v")).distinct())
     return (d.groupBy(*keys)
             .agg(F.array_sort(F.collect_list("_v")).alias("_l"))
-            .select(*keys, F.size("_l").alias(f"n_{out}"),
+            .select(*keys, F.size("_l").cast("long").alias(f"n_{out}"),
                     F.array_join(F.transform("_l", lambda v: _fmt(v, fmt)), ",").alias(out)))
 
 

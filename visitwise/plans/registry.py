@@ -678,7 +678,7 @@ def j24_role_inner(spark, sf):
 
 
 @register("a01_collect_list",
-          f"SELECT ID_TERCERO, sum(n) AS n_visit_dates, string_agg(strftime(v, '%Y-%m-%d') || ':' || CAST(n AS VARCHAR), ',' ORDER BY v) AS visit_dates "
+          f"SELECT ID_TERCERO, CAST(sum(n) AS BIGINT) AS n_visit_dates, string_agg(strftime(v, '%Y-%m-%d') || ':' || CAST(n AS VARCHAR), ',' ORDER BY v) AS visit_dates "
           f"FROM (SELECT ID_TERCERO, FECHAS_VISITA AS v, count(*) AS n FROM {VIS} x WHERE ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL "
           f"GROUP BY ID_TERCERO, FECHAS_VISITA) s GROUP BY ID_TERCERO")
 def a01_collect_list(spark, sf):

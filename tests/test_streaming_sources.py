@@ -69,3 +69,14 @@ def test_csv_inferred_and_calendar_load(spark):
     out = calendar_load(spark, p, os.path.join(d, "landed"))
     assert out.columns == ["FECHA", "COD_DIA_VISITA", "QUINCENAL"]
     assert [tuple(r) for r in out.collect()] == [("1/1/2023", "001", "Quincena 1 y 3")]
+
+
+def test_landed_sheet_csv_and_parquet(spark):
+    from visitwise.sources.files import read_landed_sheet
+    d = tempfile.mkdtemp(prefix="vw-sheet-")
+    p = _write(os.path.join(d, "dist.csv"), b"Cod_Cliente,Inicio_Visita\n001,01/05/2023 08:00\n")
+    csv_df = read_landed_sheet(spark, p)
+    assert [tuple(r) for r in csv_df.collect()] == [("001", "01/05/2023 08:00")]
+    pq = os.path.join(d, "dist.parquet")
+    csv_df.write.parquet(pq)
+    assert read_landed_sheet(spark, pq).count() == 1

@@ -33,7 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitwise.session import ensure_checkpoint_dir, shuffle_partitions
+from visitwise.session import ensure_checkpoint_dir
 
 _UNB = Window.unboundedPreceding
 
@@ -99,8 +99,9 @@ def ranks_stacked(df: DataFrame, keys, specs) -> DataFrame:
     stacked = _stack(df, keys, specs)
     hist = stacked.groupBy(*keys, "_metric", "_v", "_s").agg(F.count(F.lit(1)).alias("_n"))
     gk = [*keys, "_metric"]
-    nparts = shuffle_partitions(df.sparkSession)
-    ranged = (hist.repartitionByRange(nparts, *[F.col(k) for k in gk], F.col("_s"))
+    # partition count from the session (spark.sql.shuffle.partitions), left
+    # to adaptive coalescing: merged partitions stay contiguous ranges
+    ranged = (hist.repartitionByRange(*[F.col(k) for k in gk], F.col("_s"))
               .withColumn("_pid", F.spark_partition_id()))
     w_local = Window.partitionBy("_pid", *gk).orderBy("_s")
     w_part = Window.partitionBy("_pid", *gk)

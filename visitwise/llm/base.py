@@ -33,13 +33,13 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(own) for own, src in columns.items()])
 
 
-def spill(df: DataFrame, name: str) -> DataFrame:
+def spill(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
     back: lineage ends there, so a lost executor re-reads files instead of
     recomputing, and several consumers share one computation."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 

@@ -8,16 +8,120 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import table
+from .base import ASCII_LOWER, ASCII_UPPER, only, table
+from .exact_dedup import exact_duplicates
+from .license_scan import license_scan
+from .line_dedup import line_dedup
 from .near_dedup import near_duplicates
+from .packing import pack_documents
+from .piece_codec import decode_ids, encode_texts
+from .quality import quality_scores
+from .secret_scan import BASE_KINDS, secrets
+from .toxicity import toxicity
+from .vector_search import quantised, top_k_inner_product
+
+
+def toxicity_labels(labels: DataFrame) -> DataFrame:
+    """The labels as categories: junk (low quality) and toxic."""
+    return labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+
+
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                      toxicity_labels(table(spark, sf_dir, "labels")), ["junk", "toxic"])
+    return scored.select("doc_id", "p_junk", "p_toxic", "p_severe", "rejected", (~F.col("rejected")).alias("kept"))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(table(spark, sf_dir, "documents"))
+    digest = encoded.select("id", (F.length("ids") / 4).cast("long").alias("n_ids"),
+                            F.crc32("ids").alias("ids_crc32"), "ids")
+    return decode_ids(digest).select(F.col("id").alias("doc_id"), "n_ids", "ids_crc32",
+                                     F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets(table(spark, sf_dir, "documents"))
+
+    def spans(kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds)) if kinds else F.col("spans")
+
+    def listed(chosen):
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        F.col("id").alias("doc_id"), *[F.size(spans([k])).cast("long").alias(f"n_{k}") for k in BASE_KINDS],
+        F.sha2(listed(spans(BASE_KINDS)).cast("binary"), 256).alias("base_sha256"), listed(spans(None)).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("long").alias("n_example"))
+
+
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(only(table(spark, sf_dir, "embeddings"), vec_id="vec_id", vector="embedding"), "vector")
+    return (top_k_inner_product(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+            .withColumnRenamed("id", "vec_id"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.size(F.split("text", "\n", -1)).cast("long")
+    return line_dedup(docs).select("doc_id", "removed_lines", F.when(F.col("text").isNotNull(), lines).alias("left_lines"),
+                                   F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def packing_digest(packed: DataFrame) -> DataFrame:
+    """The contract's columns of packed pieces."""
+    return packed.select(
+        F.col("id").alias("doc_id"), "start", (F.length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_digest(pack_documents(table(spark, sf_dir, "documents")))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def held_out(col):
+        return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+    learn = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    return quality_scores(table(spark, sf_dir, "documents"), learn).select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_minhash_near_dedup": op2_minhash_near_dedup,
-}
+    f.__name__: f for f in (
+        op1_toxicity_chain, op2_minhash_near_dedup, op3_license_scan, op4_piece_codec, op5_exact_dedup,
+        op6_secret_scan, op7_exact_top_k, op8_line_dedup, op9_vector_packing, op10_quality)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_exact_dedup": f"""
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}') AS body
+                   FROM documents),
+             g AS (SELECT doc_id, body, max(doc_id) OVER (PARTITION BY body) AS keep_id,
+                          count(*) OVER (PARTITION BY body) AS group_size FROM t)
+        SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept,
+               sha256(body) AS text_sha256 FROM g""",
+    "op7_exact_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
+                   AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}

@@ -1,5 +1,18 @@
 """The corpus pipeline: stages over ``documents``, each one of the operators
-of ``visitwise.llm``, written as Parquet and read again by the next."""
+of ``visitwise.llm``, written as Parquet and read again by the next.
+
+Every stage but the last returns the columns of ``documents``; each works on
+all that its predecessor kept:
+
+1. toxicity: documents that the classifier chain rejects go;
+2. line dedup: repeated lines go, every document stays;
+3. MinHash near-dedup: of each group one document, the smallest doc_id, stays;
+4. secret scans: live-looking secrets are replaced, every document stays;
+5. packing: the texts as pieces of packed token sequences.
+
+Rows without a doc_id pass the filters like any other document: toxicity judges
+their texts, and near-dedup keeps them.
+"""
 
 from __future__ import annotations
 
@@ -7,19 +20,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitwise.llm.base import spill, table
+from visitwise.llm.line_dedup import line_dedup
 from visitwise.llm.near_dedup import near_duplicates
+from visitwise.llm.packing import pack_documents
+from visitwise.llm.queries import packing_digest, toxicity_labels
+from visitwise.llm.secret_scan import redact
+from visitwise.llm.toxicity import toxicity
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not reject."""
+    labels = toxicity_labels(table(spark, sf_dir, "labels"))
+    return toxicity(docs, labels, ["junk", "toxic"]).where("not rejected").select(docs.columns)
+
+
+def _same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The columns of ``docs``, the character count following the changed text."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that stand earlier in the corpus."""
+    return _same_columns(docs, line_dedup(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: of each group of near copies the smallest doc_id stays."""
+    """Of each group of near copies the document with the smallest doc_id."""
     kept = near_duplicates(docs).where("kept").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(docs.columns)
 
 
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, live-looking secrets replaced."""
+    return _same_columns(docs, redact(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of packed sequences."""
+    return packing_digest(pack_documents(docs))
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_dedup_stage),
     ("minhash_near_dedup", near_dedup_stage),
+    ("secret_scans", secret_stage),
+    ("packing", packing_stage),
 ]
 
+# no SQL states these stages; tests/llm/test_pipeline.py checks each on its input
 ORACLE_SQL = None
 
 

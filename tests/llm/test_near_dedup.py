@@ -145,10 +145,11 @@ def test_connected_components(spark):
     for a, b in pairs:
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
-    want = {x: find(x) for p in pairs for x in p if any(p != q[::1] or p[0] != p[1] for q in [p])}
-    df = spark.createDataFrame(pairs + [(None, 3), (4, None)], "a long, b long")
-    out = {r["node"]: r["component"] for r in connected_components(df).collect()}
-    loops = {a for a, b in pairs if a == b}
-    assert all(out[x] == c for x, c in want.items() if x in out)
-    assert set(want) - set(out) <= loops
+    want = {x: find(x) for p in pairs for x in p}
+    df = spark.createDataFrame(pairs + [(None, 3), (4, None)], "a long, b long").repartition(6)
+    for task_edges in (1000, 40):
+        out = {r["node"]: r["component"] for r in connected_components(df, task_edges).collect()}
+        loops = {a for a, b in pairs if a == b}
+        assert all(out[x] == c for x, c in want.items() if x in out)
+        assert set(want) - set(out) <= loops
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -79,8 +79,10 @@ class Linear:
     """Logistic regression by full-batch Adam steps on standardised features."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, steps: int = 150, rate: float = 0.02, decay: float = 1e-3):
-        self.mean, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 0.1)
-        share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if len(y) else 0.5
+        some = len(y) > 0
+        self.mean = x.mean(axis=0) if some else np.zeros(x.shape[1])
+        self.scale = np.maximum(x.std(axis=0), 0.1) if some else np.ones(x.shape[1])
+        share = float(np.clip(y.mean(), 1e-6, 1 - 1e-6)) if some else 1e-6
         z = ((x - self.mean) / self.scale).astype(np.float32)
         w = np.zeros(x.shape[1] + 1, np.float32)
         w[-1] = np.log(share / (1 - share))
@@ -183,8 +185,8 @@ def toxicity(docs: DataFrame, labelled: DataFrame, categories: list[str], graded
     least ``threshold``).
 
     ``labelled`` holds the id and the categories as 0 or 1. Null, empty and
-    wordless texts are scored as texts without any term. Without labels, or
-    with one class only, a category's probability is constant. Rows that repeat
+    wordless texts are scored as texts without any term. Without labels every
+    probability is next to 0, with labels of one class next to that class. Rows that repeat
     an id are scored by their own texts. Working columns cannot clash with
     columns of ``docs``, whose names must not be those of the new columns; an
     empty table gives an empty result.

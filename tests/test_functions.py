@@ -87,15 +87,32 @@ def test_c19_clean_text_jvm(spark):
     assert col1(spark, TEXTS, "t string", V.clean_text("t")) == CLEAN
 
 
-def test_c19_clean_text_exact(spark):
-    assert col1(spark, TEXTS, "t string", V.clean_text_exact("t")) == CLEAN
+SCRIPTS = ["Ñató, Sábado, Nuñez.", "हिन्दी", "Ḃella ﬁn", "２０ ％", "עִבְרִית", "ภาษาไทย", "가각", "e\u0301\u0323", None]
 
 
-def test_c20_strip_marks(spark):
-    assert col1(spark, ["Ñató, Sábado, Nuñez."], "t string", V.strip_marks("t")) == [
-        "Nato, Sabado, Nunez."]
-    assert col1(spark, ["Ñató, Sábado, Nuñez."], "t string", V.strip_marks_exact("t")) == [
-        "Nato, Sabado, Nunez."]
+def test_c19_every_script(spark):
+    import re
+    import unicodedata
+    want = [None if s is None else re.sub(r"[^a-zA-Z0-9\s]", "", unicodedata.normalize("NFKD", s)) for s in SCRIPTS]
+    assert want[2] == "Bella fin" and want[3] == "20 "
+    assert col1(spark, SCRIPTS, "t string", V.clean_text("t")) == want
+
+
+def test_c20_every_script(spark):
+    import unicodedata
+    want = [None if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if not unicodedata.combining(c))
+            for s in SCRIPTS]
+    assert want[0] == "Nato, Sabado, Nunez." and want[1] == "हिनदी"
+    assert col1(spark, SCRIPTS, "t string", V.strip_marks("t")) == want
+
+
+def test_c19_without_icu_raises(spark, monkeypatch):
+    import pytest
+    monkeypatch.setattr(V.text, "_ICU_NORMALIZER", "no.such.Normalizer")
+    V.text._require_icu.cache_clear()
+    with pytest.raises(RuntimeError, match="ICU4J"):
+        V.clean_text("t")
+    V.text._require_icu.cache_clear()
 
 
 def test_c21_codes(spark):
@@ -126,12 +143,6 @@ def test_latin1_safe(spark):
     assert col1(spark, ["añ漢"], "t string", V.latin1_safe("t")) == ["añ"]
 
 
-def test_c19_c20_builtin_fallback(spark):
-    assert col1(spark, TEXTS, "t string", V.text.clean_text_latin("t")) == CLEAN
-    assert col1(spark, ["Ñató, Sábado, Nuñez."], "t string", V.text.strip_marks_latin("t")) == [
-        "Nato, Sabado, Nunez."]
-
-
 def test_c19_python_whitespace_set(spark):
     # Python's \s keeps U+001C..U+001F and U+3000; other symbols go
     import re
@@ -139,7 +150,6 @@ def test_c19_python_whitespace_set(spark):
     s = "a\x1cb\u3000c\u2603d\u2028e\u00a0f"
     exp = re.sub(r"[^a-zA-Z0-9\s]", "", unicodedata.normalize("NFKD", s))
     assert col1(spark, [s], "t string", V.clean_text("t")) == [exp]
-    assert col1(spark, [s], "t string", V.clean_text_exact("t")) == [exp]
 
 
 def test_durations_ignore_session_time_zone(spark):

@@ -98,7 +98,7 @@ def _key(t):
 def test_r1_equals_unrewritten(spark, seed):
     clients, cal, visits = _miniature(seed)
     got = unified(spark.createDataFrame(clients, CLIENT_DDL), spark.createDataFrame(cal, CAL_DDL),
-                  spark.createDataFrame(visits, VIS_DDL), calendar_rows=len(cal)).toPandas()
+                  spark.createDataFrame(visits, VIS_DDL)).toPandas()
     exp = _pandas_unrewritten(clients, cal, visits)
     cols = ["ROWID_TERCERO", "ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "Time",
             "Distancia_Haversine", "Flag_Time", "Flag_Distance"]

@@ -76,3 +76,30 @@ def test_export_keeps_global_order_inside_parts(spark):
             with open(f) as fh:
                 seen += [int(x) for x in fh.read().split("\n")[1:] if x]
     assert seen == list(range(50))
+
+
+def test_a_failed_write_leaves_the_published_output(spark):
+    import pytest
+    from visitwise.sources.sinks import write_parquet
+    base = tempfile.mkdtemp(prefix="vw-publish-")
+    out = os.path.join(base, "table")
+    write_parquet(spark.range(5), out)
+    write_parquet(spark.range(7), out)
+    assert spark.read.parquet(out).count() == 7
+    bad = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_parquet(bad, out)
+    assert spark.read.parquet(out).count() == 7
+    assert os.listdir(base) == ["table"]
+    with pytest.raises(Exception, match="no"):
+        write_csv(bad, out)
+    assert spark.read.parquet(out).count() == 7
+
+
+def test_month_end_keeps_other_periods(spark):
+    from visitwise.sources.sinks import add_partitions_csv
+    path = os.path.join(tempfile.mkdtemp(prefix="vw-months-"), "by_month")
+    for period, n in (("202301", 3), ("202302", 4), ("202301", 2)):
+        add_partitions_csv(spark.range(n).withColumn("period", F.lit(period)), path, ";", ["period"], "UTF-8")
+    rows = spark.read.option("header", True).option("sep", ";").csv(path).groupBy("period").count().collect()
+    assert {str(r["period"]): r["count"] for r in rows} == {"202301": 2, "202302": 4}

@@ -67,3 +67,27 @@ def test_unified_plan_has_no_single_group_window(spark):
     for sec in windows:
         inputs = [line for line in sec.splitlines() if line.startswith("Input")]
         assert inputs and "_pid" in inputs[0], sec
+
+
+def test_hot_key_of_the_full_match_is_split(spark):
+    """One key holds a third of the facts: its join is split at run time."""
+    from visitwise.operators.matching import natural_full_outer
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 5000)
+        facts = spark.range(0, 200_000, 1, 12).select(key.alias("k"), F.col("id").alias("v"))
+        due = spark.range(6000).select(F.col("id").alias("k"))
+        out = natural_full_outer(due, facts, ["k"])
+        assert out.count() == 200_000 + 6000 - facts.select("k").distinct().count()
+        out = natural_full_outer(due, facts, ["k"])
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

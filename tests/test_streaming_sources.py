@@ -21,15 +21,15 @@ def test_stream_equals_batch(spark):
     # two arrivals: the stream must pick up both, each once
     raw.where("Nit < '7'").write.parquet(os.path.join(landing, "a"))
     clients = R.clients(spark, SF)
-    q = start_visit_facts(spark, os.path.join(landing, "*"), clients, D.YEAR, out,
+    q = start_visit_facts(spark, os.path.join(landing, "*"), clients, 2024, out,
                           os.path.join(base, "ckpt"))
     q.awaitTermination()
     raw.where("Nit >= '7'").write.parquet(os.path.join(landing, "b"))
-    q = start_visit_facts(spark, os.path.join(landing, "*"), clients, D.YEAR, out,
+    q = start_visit_facts(spark, os.path.join(landing, "*"), clients, 2024, out,
                           os.path.join(base, "ckpt"))
     q.awaitTermination()
     streamed = spark.read.parquet(out)
-    batch = visit_facts(prepare_visits(raw, D.YEAR), clients)
+    batch = visit_facts(prepare_visits(raw, 2024), clients)
     assert streamed.count() == batch.count()
     cols = ["ID_TERCERO", "Inicio_Visita", "TimeDifference", "Rango_Visita"]
     assert sorted(streamed.select(cols).collect()) == sorted(batch.select(cols).collect())

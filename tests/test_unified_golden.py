@@ -45,7 +45,7 @@ def _visits(spark):
 
 
 def test_unified_golden(spark):
-    res = unified(_clients(spark), _calendar(spark), _visits(spark), calendar_rows=5)
+    res = unified(_clients(spark), _calendar(spark), _visits(spark))
     rows = res.select("ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "TimeDifferenceD", "Time",
                       F.round("Distancia_Haversine", 3).alias("dist"), "Rango_Visita", "Flag_Time",
                       "Flag_Distance", "Flag_DAN", "Flag_Visita_Rutero", "is_scheduled",
@@ -69,7 +69,7 @@ def test_unified_golden(spark):
 def test_duplicate_client_rows_multiply(spark):
     cl = _clients(spark)
     dup = cl.unionByName(cl.where("ID_TERCERO = 'A-001'"))
-    res = unified(dup, _calendar(spark), _visits(spark), calendar_rows=5)
+    res = unified(dup, _calendar(spark), _visits(spark))
     n = {(r[0], r[1]): r[2] for r in res.groupBy("ID_TERCERO", "FECHAS_VISITA").count().collect()}
     from visitwise.plans.unified import duplicate_clients
     assert [tuple(r) for r in duplicate_clients(dup).collect()] == [(hash("A-001") % 1000, "A-001", 2)]
@@ -82,7 +82,7 @@ def test_duplicate_client_rows_multiply(spark):
 def test_corrected_duration_rank(spark):
     # FIXTURES: the two A-001 visits of 2023-01-02 tie on Flag_Time (code 15
     # for 65 and 15 minutes); ranked by whole minutes they are 1 and 2
-    res = unified(_clients(spark), _calendar(spark), _visits(spark), calendar_rows=5)
+    res = unified(_clients(spark), _calendar(spark), _visits(spark))
     rows = res.where("ID_TERCERO = 'A-001' AND FECHAS_VISITA = DATE'2023-01-02'") \
         .select("duration_minutes", "Flag_Time", "Flag_Duracion").collect()
     assert sorted(tuple(r) for r in rows) == [(15, 1, 2), (65, 1, 1)]

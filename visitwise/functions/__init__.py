@@ -1,9 +1,7 @@
 """Column expressions (the scalar operators C01-C34).
 
-Every function takes and returns ``Column`` objects, so the work stays
-inside whole-stage code generation.  The one exception is
-:func:`visitwise.functions.text.clean_text_exact`, an Arrow-batched pandas
-UDF for exact Unicode NFKD.
+Every function takes and returns ``Column`` objects, so the work stays on
+the JVM.
 """
 
 from visitwise.functions.coords import (  # noqa: F401
@@ -20,8 +18,7 @@ from visitwise.functions.dates import (  # noqa: F401
 )
 from visitwise.functions import text  # noqa: F401
 from visitwise.functions.text import (  # noqa: F401
-    clean_text, clean_text_exact, strip_marks, strip_marks_exact,
-    latin1_safe,
+    clean_text, strip_marks, latin1_safe,
 )
 from visitwise.functions.codes import (  # noqa: F401
     code_from_int, code_from_text, code_canonical, not_null_flag,

@@ -30,6 +30,19 @@ def value_runs(df: DataFrame, keys, value: str, out: str, fmt=None) -> DataFrame
                     .alias(out)))
 
 
+def value_list(df: DataFrame, keys, value: str, out: str) -> DataFrame:
+    """A01 as an array: per key every value, duplicates kept, in ascending
+    order (nulls dropped). Built from counted runs, so the shuffle carries one
+    entry per distinct value; the repeats appear only in the finished cell."""
+    keys = list(keys)
+    runs = (df.where(_not_null(keys) & F.col(value).isNotNull())
+            .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    return (runs.groupBy(*keys)
+            .agg(F.array_sort(F.collect_list(F.struct("_v", "_n"))).alias("_runs"))
+            .select(*keys, F.flatten(F.transform("_runs", lambda r: F.array_repeat(r["_v"], r["_n"].cast("int"))))
+                    .alias(out)))
+
+
 def _fmt(c: Column, fmt):
     return fmt(c) if fmt else c.cast("string")
 
@@ -41,15 +54,31 @@ def _not_null(keys) -> Column:
     return cond
 
 
+def distinct_lists(df: DataFrame, keys, values: dict) -> DataFrame:
+    """Per key, the sorted distinct values of several columns as text
+    (nulls dropped), from one pass: the columns are stacked as (number, value)
+    rows, reduced to distinct ones, and gathered per key.
+
+    ``values``: output name -> (column, format function or None); each gives
+    ``n_<output>`` and ``<output>``. Formats must keep the values' order.
+    """
+    keys = list(keys)
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), _fmt(F.col(c), fmt).alias("v"))
+                      for i, (c, fmt) in enumerate(values.values())])
+    d = (df.where(_not_null(keys)).select(*keys, F.explode(cells).alias("_c"))
+         .select(*keys, "_c.i", "_c.v").where(F.col("v").isNotNull()).distinct())
+    lists = d.groupBy(*keys).agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("i") == i, F.col("v")))).alias(f"_l{i}")
+        for i in range(len(values))])
+    out = []
+    for i, name in enumerate(values):
+        out += [F.size(f"_l{i}").cast("long").alias(f"n_{name}"), F.array_join(f"_l{i}", ",").alias(name)]
+    return lists.select(*keys, *out)
+
+
 def distinct_list(df: DataFrame, keys, value: str, out: str, fmt=None) -> DataFrame:
     """Per key, the sorted distinct values as text (nulls dropped)."""
-    keys = list(keys)
-    d = (df.where(_not_null(keys) & F.col(value).isNotNull())
-         .select(*keys, F.col(value).alias("_v")).distinct())
-    return (d.groupBy(*keys)
-            .agg(F.array_sort(F.collect_list("_v")).alias("_l"))
-            .select(*keys, F.size("_l").cast("long").alias(f"n_{out}"),
-                    F.array_join(F.transform("_l", lambda v: _fmt(v, fmt)), ",").alias(out)))
+    return distinct_lists(df.where(F.col(value).isNotNull()), keys, {out: (value, fmt)})
 
 
 def first_value(df: DataFrame, keys, value: str, order: list[str], out: str) -> DataFrame:

@@ -14,6 +14,11 @@ split: the due list collapses to ``(keys, count)`` with a map-side partial
 aggregation; facts keep their rows and left-join the counts (a hot fact key
 is split by the skew-join rule, the count side has one row per key); due
 keys without facts come from an anti join of the two distinct key sets.
+
+The skew rule splits a join only if a shuffle of its own stands under each
+side. Grouped on the join keys, the count side would bring the aggregate's
+partitioning along instead; so the join has one more key, a hash of the
+others, which the aggregate does not know.
 """
 
 from __future__ import annotations
@@ -71,7 +76,8 @@ def natural_full_outer(due: DataFrame, facts: DataFrame, keys,
                                    *[F.first(k).alias(k) for k in keys])
     fact_keys = f0.select(*nk).distinct()
 
-    fact_rows = f0.join(due_keys.select(*nk, "_nd"), nk, "left")
+    own = F.xxhash64(*nk).alias("_h")
+    fact_rows = (f0.select("*", own).join(due_keys.select(*nk, "_nd", own), [*nk, "_h"], "left").drop("_h"))
     rep = F.coalesce(F.col("_nd"), F.lit(1))
     if fact_mult:
         rep = rep * F.col(fact_mult)
@@ -89,18 +95,15 @@ def natural_full_outer(due: DataFrame, facts: DataFrame, keys,
 
 
 def mark_join(df: DataFrame, ref: DataFrame, keys, flag: str,
-              ref_keys=None, broadcast_ref: bool = False) -> DataFrame:
+              ref_keys=None) -> DataFrame:
     """Keep every row of ``df`` and flag whether its key is in ``ref``.
 
-    ``ref`` is reduced to distinct keys first (no fan-out).  Broadcast it
-    only when its size is bounded by construction (the calendar is).
+    ``ref`` is reduced to distinct keys first (no fan-out).
     """
     keys = list(keys)
     rk = list(ref_keys or keys)
     marks = ref.select(*[F.col(r).alias(f"_m{i}") for i, r in enumerate(rk)]).distinct() \
         .withColumn("_hit", F.lit(True))
-    if broadcast_ref:
-        marks = F.broadcast(marks)
     cond = reduce(lambda a, b: a & b, [df[k] == marks[f"_m{i}"] for i, k in enumerate(keys)])
     return (df.join(marks, cond, "left")
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False)))

@@ -7,12 +7,13 @@ equi-join and every list is bounded by the calendar (distinct dates).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitwise.functions.coords import guarded_distance, range_class_si, to_number
+from visitwise.functions.codes import code_from_text, int_text
+from visitwise.functions.coords import guarded_distance, range_class, range_class_si, to_number
 from visitwise.functions.durations import duration_seconds, length_text
-from visitwise.operators.grouping import distinct_list
+from visitwise.operators.grouping import distinct_list, value_list
 from visitwise.operators.matching import mark_join, natural_full_outer
 from visitwise.operators.nullsafe import merge
 from visitwise.operators.ranking import first_per_key
@@ -28,37 +29,37 @@ def distinct_clients(clients: DataFrame) -> DataFrame:
     return first_per_key(clients, ["ID_TERCERO"], [(c, True) for c in rest])
 
 
-def due_rows(clients: DataFrame, calendar: DataFrame, broadcast: bool = True) -> DataFrame:
+def due_rows(clients: DataFrame, calendar: DataFrame) -> DataFrame:
     """Clients x calendar, inner on day and frequency code."""
-    cal = calendar.select("FECHAS_VISITA", *CODE_KEYS)
-    if broadcast:
-        cal = F.broadcast(cal)
-    return clients.join(cal, CODE_KEYS, "inner")
+    return clients.join(calendar.select("FECHAS_VISITA", *CODE_KEYS), CODE_KEYS, "inner")
 
 
 def mark_scheduled(visits: DataFrame, calendar: DataFrame, flag: str = "Cumple") -> DataFrame:
     """Flag each visit whose (day code, frequency code, date) is in the
-    calendar.  The calendar is distinct and bounded, so it is broadcast."""
-    return mark_join(visits, calendar, CODE_KEYS + ["FECHAS_VISITA"], flag,
-                     broadcast_ref=True)
+    calendar."""
+    return mark_join(visits, calendar, CODE_KEYS + ["FECHAS_VISITA"], flag)
 
 
 def compliance_v1(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
-    """Q11: due rows full-matched with visits on client, codes and date;
-    ``Cumple`` from the mark join; length text with ``''`` for a missing end
-    (C12 as the first design had it); distance; ``Si`` class (C16)."""
-    cl = distinct_clients(clients)
-    due = due_rows(cl, calendar).select(*DUE_KEYS)
-    base = merge(visits, cl, ["ID_TERCERO"], "inner")
-    base = mark_scheduled(base, calendar)
-    secs = duration_seconds("Inicio_Visita", "Finalizacion_Visita")
-    dist = guarded_distance(to_number("Logintud"), to_number("Latitud_Visita"),
-                            "LONGITUD", "LATITUD")
-    base = base.select(*DUE_KEYS, "Inicio_Visita", "Cumple",
-                       F.coalesce(length_text(secs), F.lit("")).alias("TimeDifferenceD"),
-                       dist.alias("Distancia_Haversine"))
-    base = base.withColumn("Cumpl_Rutero", range_class_si("Distancia_Haversine"))
-    return natural_full_outer(due, base, DUE_KEYS)
+    """Q11. Visits meet the full client table; the due rows are those of
+    clients with visits (one row each, A04). Both are full-matched on client,
+    codes and date, then joined with the marked visits (J19) on client and date
+    (J07), so repeated visits of one day multiply and due rows without a visit
+    go. Length text with ``''`` for a missing end (C12 as the first design had
+    it), distance, and both distance classes (C15, C16)."""
+    base = merge(visits, clients, ["ID_TERCERO"], "inner")
+    due = due_rows(distinct_clients(base.select(*[k for k in DUE_KEYS if k != "FECHAS_VISITA"])), calendar)
+    facts = base.select(*DUE_KEYS, "Inicio_Visita", "Finalizacion_Visita", "Logintud", "Latitud_Visita",
+                        "LONGITUD", "LATITUD")
+    marks = (mark_scheduled(base.select("ID_TERCERO", "FECHAS_VISITA", *CODE_KEYS), calendar)
+             .select("ID_TERCERO", "FECHAS_VISITA", "Cumple"))
+    res = natural_full_outer(due.select(*DUE_KEYS), facts, DUE_KEYS).join(marks, ["ID_TERCERO", "FECHAS_VISITA"])
+    dist = guarded_distance(to_number("Logintud"), to_number("Latitud_Visita"), "LONGITUD", "LATITUD")
+    length = length_text(duration_seconds("Inicio_Visita", "Finalizacion_Visita"))
+    res = res.select(*DUE_KEYS, "Inicio_Visita", "Cumple", F.coalesce(length, F.lit("")).alias("TimeDifferenceD"),
+                     dist.alias("Distancia_Haversine"))
+    return (res.withColumn("Rango_Visita", range_class("Distancia_Haversine"))
+            .withColumn("Cumpl_Rutero", range_class_si("Distancia_Haversine")))
 
 
 def grouped_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def grouped_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) ->
     vis = distinct_list(visits, ["ID_TERCERO"], "FECHAS_VISITA", "visit_dates", dfmt)
     plan = distinct_list(calendar, CODE_KEYS, "FECHAS_VISITA", "due_dates", dfmt)
     cl = clients.select("ID_TERCERO", *CODE_KEYS).distinct()
-    j = cl.join(vis, "ID_TERCERO", "inner").join(F.broadcast(plan), CODE_KEYS, "inner")
+    j = cl.join(vis, "ID_TERCERO", "inner").join(plan, CODE_KEYS, "inner")
     on_due = (mark_scheduled(visits.join(cl, "ID_TERCERO", "inner")
                              .select("ID_TERCERO", "FECHAS_VISITA", *CODE_KEYS).distinct(),
                              calendar, "_due")
@@ -78,23 +79,56 @@ def grouped_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) ->
             .withColumn("n_due_visit_dates", F.coalesce("n_due_visit_dates", F.lit(0)).cast("long")))
 
 
-def visits_on_due_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
-    """Q15 (J08-J11): visits with the client's channel, kept when their date
-    is a due date of the client (inner version; dates joined as dates)."""
-    cl = distinct_clients(clients).select("ID_TERCERO", "COD_CANAL", *CODE_KEYS)
-    due = due_rows(cl, calendar).select("ID_TERCERO", "FECHAS_VISITA")
-    v = visits.join(cl.select("ID_TERCERO", "COD_CANAL"), "ID_TERCERO", "inner")
-    return v.join(due, ["ID_TERCERO", "FECHAS_VISITA"], "inner").select(
+def client_lists(clients: DataFrame, visits: DataFrame) -> DataFrame:
+    """Per client with visits, the dates of all its visits as an array
+    (duplicates kept) and the codes of its first visit, one row each."""
+    coded = visits.join(clients.select("ID_TERCERO", *CODE_KEYS), "ID_TERCERO", "inner")
+    dates = value_list(coded, ["ID_TERCERO"], "FECHAS_VISITA", "fechas_agrupadas")
+    order = F.struct("Inicio_Visita", *CODE_KEYS)
+    codes = coded.groupBy("ID_TERCERO").agg(*[F.min_by(c, order).alias(c) for c in CODE_KEYS])
+    return dates.join(codes, "ID_TERCERO", "left")
+
+
+def visits_with_lists(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
+    """One row per visit with its client's list of visit dates and the
+    list of due dates of its plan (J13: lists joined on the two codes)."""
+    plan = value_list(calendar, CODE_KEYS, "FECHAS_VISITA", "fechas_programadas")
+    lists = client_lists(clients, visits).join(plan, CODE_KEYS, "inner")
+    coded = visits.join(clients.select("ID_TERCERO", *CODE_KEYS), "ID_TERCERO", "inner")
+    return (coded.join(lists, ["ID_TERCERO", *CODE_KEYS], "inner")
+            .select("ID_TERCERO", *CODE_KEYS, "Inicio_Visita", "FECHAS_VISITA", "fechas_agrupadas", "fechas_programadas"))
+
+
+def distances_joined(lists: DataFrame, distances: DataFrame, how: str) -> DataFrame:
+    """J15 (inner) and J16 (full outer): the visits of J14 and a table of
+    distances by client and start."""
+    return merge(lists, distances, ["ID_TERCERO", "Inicio_Visita"], how)
+
+
+def frequency_code(c) -> Column:
+    """The code steps of Q15: missing becomes 0 (C24), a whole number as text
+    (C25), ``00`` in front (C22)."""
+    return code_from_text(int_text(F.coalesce(F.col(c).cast("long"), F.lit(0))))
+
+
+def visits_on_due_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame, how: str = "inner") -> DataFrame:
+    """Q15 (J08-J11): the due dates of clients (one row each, by the frequency
+    code rebuilt as text) and the visits with their client's channel, joined on
+    client and date: ``inner``, or ``outer`` for the later copy."""
+    cl = distinct_clients(clients).withColumn("COD_FRECUENCIA_VISITA", frequency_code("COD_FRECUENCIA_VISITA"))
+    due = due_rows(cl, calendar).select("ID_TERCERO", *CODE_KEYS, "FECHAS_VISITA")
+    v = visits.join(distinct_clients(clients).select("ID_TERCERO", "COD_CANAL"), "ID_TERCERO", "inner").select(
         "ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "COD_CANAL")
+    return merge(due, v, ["ID_TERCERO", "FECHAS_VISITA"], how)
 
 
 def all_due_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
     """Every visit against every due date of its client's plan
-    (bounded fan-out: at most the calendar's dates per visit), with
-    ``Cumple`` = the due date is the visit date."""
-    cl = clients.select("ID_TERCERO", *CODE_KEYS).distinct()
-    v = visits.join(cl, "ID_TERCERO", "inner")
-    cal = F.broadcast(calendar.select(F.col("FECHAS_VISITA").alias("FECHA_PROGRAMADA"), *CODE_KEYS))
-    return (v.join(cal, CODE_KEYS, "inner")
-            .select("ID_TERCERO", "Inicio_Visita", "FECHA_PROGRAMADA",
-                    (F.col("FECHA_PROGRAMADA") == F.col("FECHAS_VISITA")).alias("Cumple")))
+    (bounded fan-out: at most the calendar's dates per visit). ``Cumple`` is
+    the visit's own mark (J19), carried through the join; ``es_su_fecha`` says
+    that this due date is the visit's date."""
+    v = visits.join(clients.select("ID_TERCERO", *CODE_KEYS).distinct(), "ID_TERCERO", "inner")
+    cal = calendar.select(F.col("FECHAS_VISITA").alias("FECHA_PROGRAMADA"), *CODE_KEYS)
+    return (mark_scheduled(v, calendar).join(cal, CODE_KEYS, "inner")
+            .select("ID_TERCERO", "Inicio_Visita", "FECHA_PROGRAMADA", "Cumple",
+                    (F.col("FECHA_PROGRAMADA") == F.col("FECHAS_VISITA")).alias("es_su_fecha")))

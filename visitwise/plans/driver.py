@@ -13,37 +13,25 @@ texts) for the oracle:
 * visits   <- ``events``: client ``<user_id>-001``, start ``ts``, end
   ``ts + round(value * 60)`` seconds (missing for ``error`` events),
   coordinates near the client's (``0`` for every 101st event);
-* calendar <- the calendar rule for the visits' year.
+* calendar <- the calendar rule for every year that ``events`` has.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitwise.operators.calendar import (BIWEEKLY_LABELS, DAY_LABELS,
                                           MONTHLY_LABELS, WEEKLY_LABEL,
-                                          generate_calendar)
+                                          calendar_for_years)
 
-YEAR = 2024                       # the driver's events fall in January 2024
 FREQ_LABELS = [WEEKLY_LABEL] + BIWEEKLY_LABELS + MONTHLY_LABELS
 ON_SEGMENT, OFF_SEGMENT = "BUILDING", "FURNITURE"
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; the DataFrame (file listing and footer schema) is
-    kept per session, so a query that reads a table twice lists it once."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        _TABLES[key] = df
-    return df
+    """One driver table (listed afresh, so a rewritten table is read as it is)."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _label(code, labels):
@@ -108,10 +96,10 @@ def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar_wide(spark: SparkSession, year: int = YEAR) -> tuple[DataFrame, int]:
-    """Generated calendar of ``year`` and its row count after unpivot."""
-    start, end = _dt.date(year, 1, 1), _dt.date(year, 12, 31)
-    return generate_calendar(spark, start, end), 3 * ((end - start).days + 1)
+def calendar_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated calendar of every year that ``events`` has."""
+    years = table(spark, sf_dir, "events").select(F.year("ts").alias("year")).where("year is not null")
+    return calendar_for_years(years)
 
 
 # ---------------------------------------------------------------- SQL side
@@ -153,10 +141,12 @@ SELECT
 FROM events"""
 
 
-def calendar_wide_sql(year: int = YEAR, days_from: str | None = None) -> str:
-    """Calendar rule in SQL; ``days_from`` = a query yielding column ``d``."""
-    days = days_from or (f"SELECT CAST(d AS DATE) AS d FROM generate_series("
-                         f"DATE '{year}-01-01', DATE '{year}-12-31', INTERVAL 1 DAY) t(d)")
+_DAYS_SQL = ("SELECT CAST(d AS DATE) AS d FROM (SELECT DISTINCT year(ts) AS y FROM events WHERE ts IS NOT NULL) ys, "
+             "generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY) t(d)")
+
+
+def calendar_wide_sql() -> str:
+    """Calendar rule in SQL, for every year that ``events`` has."""
     return f"""
 SELECT d AS FECHA,
   lpad(CAST(dayofweek(d) + 1 AS VARCHAR), 3, '0') AS COD_DIA_VISITA,
@@ -167,7 +157,7 @@ SELECT d AS FECHA,
   lpad(CAST(w + 4 AS VARCHAR), 3, '0') AS COD_MENSUAL,
   {_case('w + 1', MONTHLY_LABELS)} AS MENSUAL
 FROM (SELECT d, CAST(((floor(date_diff('day', DATE '2022-12-26', d) / 7) % 4) + 4) % 4 AS INTEGER) AS w
-      FROM ({days}) days)"""
+      FROM ({_DAYS_SQL}) days)"""
 
 
 def calendar_long_sql(wide: str) -> str:
@@ -188,13 +178,13 @@ FROM ({CLIENTS_RAW_SQL}) cr
 WHERE COD_CANAL IN ('OFF', 'ON') AND IND_ESTADO_ACTIVO_CLIENTE = 1"""
 
 
-def visits_sql(year: int = YEAR) -> str:
+def visits_sql(where: str = "Inicio_Visita IS NOT NULL") -> str:
     return f"""
 SELECT ID_TERCERO, substr(replace(Logintud, ',', '.'), 1, 8) AS Logintud,
   substr(replace(Latitud, ',', '.'), 1, 8) AS Latitud_Visita, Inicio_Visita, Finalizacion_Visita,
   CAST(Inicio_Visita AS DATE) AS FECHAS_VISITA, CAST(Inicio_Visita AS DATE) AS FECHAS_VISITA_V
 FROM ({VISITS_RAW_SQL}) vr
-WHERE Inicio_Visita >= TIMESTAMP '{year}-01-01' AND Inicio_Visita < TIMESTAMP '{year + 1}-01-01'"""
+WHERE {where}"""
 
 
 CLIENT_KEYS = ["COD_CIA", "ROWID_TERCERO", "NIT_TERCERO", "ID_TERCERO", "RAZON_SOCIAL",
@@ -204,8 +194,8 @@ CLIENT_KEYS = ["COD_CIA", "ROWID_TERCERO", "NIT_TERCERO", "ID_TERCERO", "RAZON_S
                "LONGITUD", "LATITUD"]
 
 
-def due_sql(year: int = YEAR) -> str:
-    cal = calendar_long_sql(calendar_wide_sql(year))
+def due_sql() -> str:
+    cal = calendar_long_sql(calendar_wide_sql())
     return f"""
 SELECT cl.*, cal.FECHAS_VISITA FROM ({CLIENTS_SQL}) cl LEFT JOIN ({cal}) cal
   ON cl.COD_DIA_VISITA IS NOT DISTINCT FROM cal.COD_DIA_VISITA
@@ -218,7 +208,7 @@ def _hav(lon1, lat1, lon2, lat2) -> str:
     return f"(6371.0 * (2 * atan2(sqrt({a}), sqrt(greatest(1 - {a}, 0.0)))) * 1000)"
 
 
-def facts_sql(year: int = YEAR) -> str:
+def facts_sql() -> str:
     other = [c for c in CLIENT_KEYS if c != "ID_TERCERO"]
     secs = ("CAST(floor((epoch_us(v.Finalizacion_Visita) - epoch_us(v.Inicio_Visita)) "
             "/ 1000000.0) AS BIGINT)")
@@ -241,7 +231,7 @@ FROM (
           v.Inicio_Visita, v.Finalizacion_Visita, v.FECHAS_VISITA, v.FECHAS_VISITA_V,
           {', '.join('c.' + c for c in other)},
           {secs} AS TimeDifference, ((({secs}) % 86400) + 86400) % 86400 AS ds
-   FROM ({visits_sql(year)}) v JOIN ({CLIENTS_SQL}) c ON v.ID_TERCERO IS NOT DISTINCT FROM c.ID_TERCERO
+   FROM ({visits_sql()}) v JOIN ({CLIENTS_SQL}) c ON v.ID_TERCERO IS NOT DISTINCT FROM c.ID_TERCERO
   ) s1
  ) s2
 ) s3"""
@@ -257,7 +247,7 @@ def _clean(x: str) -> str:
     return f"regexp_replace(strip_accents({x}), '[^a-zA-Z0-9\\s]', '', 'g')"
 
 
-def unified_sql(year: int = YEAR, round_distance: int | None = 3) -> str:
+def unified_sql(round_distance: int | None = 3) -> str:
     part = "PARTITION BY ID_TERCERO, FECHAS_VISITA"
     guard = "ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL"
     from visitwise.schemas import CLEANED_TEXT
@@ -277,10 +267,10 @@ def unified_sql(year: int = YEAR, round_distance: int | None = 3) -> str:
             "CAST(floor(TimeDifference / 60) AS INTEGER) AS duration_minutes",
             f"CAST(CASE WHEN {guard} AND TimeDifference IS NOT NULL THEN dense_rank() OVER ({part} ORDER BY floor(TimeDifference / 60) DESC NULLS LAST) END AS INTEGER) AS Flag_Duracion"]
     return f"""
-SELECT {', '.join(out)} FROM ({matched_sql(year)}) j"""
+SELECT {', '.join(out)} FROM ({matched_sql()}) j"""
 
 
-def matched_sql(year: int = YEAR) -> str:
+def matched_sql() -> str:
     """Due list FULL OUTER JOIN visit facts on the 19 natural keys."""
     keys = CLIENT_KEYS + ["FECHAS_VISITA"]
     on = " AND ".join(f"d.{k} IS NOT DISTINCT FROM f.{k}" for k in keys)
@@ -291,5 +281,5 @@ def matched_sql(year: int = YEAR) -> str:
     fcols = ", ".join(f'f."{c}"' for c in facts_only)
     return f"""
   SELECT {coalesced}, {fcols}, d._d
-  FROM (SELECT *, 1 AS _d FROM ({due_sql(year)}) d0) d
-  FULL OUTER JOIN ({facts_sql(year)}) f ON {on}"""
+  FROM (SELECT *, 1 AS _d FROM ({due_sql()}) d0) d
+  FULL OUTER JOIN ({facts_sql()}) f ON {on}"""

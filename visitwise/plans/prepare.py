@@ -30,12 +30,14 @@ def prepare_calendar(wide: DataFrame) -> DataFrame:
     return unpivot_calendar(wide)
 
 
-def prepare_visits(visits: DataFrame, year: int) -> DataFrame:
+def prepare_visits(visits: DataFrame, year: int | None = None) -> DataFrame:
     """Q06: visits started in ``year`` (range filter on the raw timestamp,
-    pushed to the scan), coordinates as cut text, visit date twice."""
+    pushed to the scan; every year if none is given), coordinates as cut
+    text, visit date twice. A visit without a start belongs to no year."""
     v = conform(visits, VISITS)
     d = F.to_date("Inicio_Visita")
-    return (v.where(year_range_filter("Inicio_Visita", year))
+    in_year = F.col("Inicio_Visita").isNotNull() if year is None else year_range_filter("Inicio_Visita", year)
+    return (v.where(in_year)
              .select("ID_TERCERO",
                      coord_text("Logintud").alias("Logintud"),
                      coord_text("Latitud").alias("Latitud_Visita"),

@@ -34,13 +34,12 @@ def clients(spark, sf):
     return prepare_clients(D.clients_raw(spark, sf, kept_only=True))
 
 
-def visits(spark, sf, year=D.YEAR):
+def visits(spark, sf, year=None):
     return prepare_visits(D.visits_raw(spark, sf), year)
 
 
-def calendar(spark, year=D.YEAR):
-    wide, rows = D.calendar_wide(spark, year)
-    return prepare_calendar(wide), rows
+def calendar(spark, sf):
+    return prepare_calendar(D.calendar_wide(spark, sf))
 
 
 def _round(df: DataFrame, col: str, nd: int = 3) -> DataFrame:
@@ -51,9 +50,9 @@ def _round(df: DataFrame, col: str, nd: int = 3) -> DataFrame:
 
 @register("j01_due_list", D.due_sql())
 def j01_due_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Clients x calendar (broadcast, size known), left after R1."""
-    cal, rows = calendar(spark)
-    return due_list(clients(spark, sf), cal, rows)
+    """Clients x calendar, left after R1."""
+    cal = calendar(spark, sf)
+    return due_list(clients(spark, sf), cal)
 
 
 @register("j02_visit_left",
@@ -66,8 +65,8 @@ def j02_visit_left(spark: SparkSession, sf: str) -> DataFrame:
 @register("q09_unified", D.unified_sql())
 def q09_unified(spark: SparkSession, sf: str) -> DataFrame:
     """Q09: the unified statistics table (33 columns + is_scheduled)."""
-    cal, rows = calendar(spark)
-    return _round(unified(clients(spark, sf), cal, visits(spark, sf), rows),
+    cal = calendar(spark, sf)
+    return _round(unified(clients(spark, sf), cal, visits(spark, sf)),
                   "Distancia_Haversine")
 
 
@@ -91,15 +90,12 @@ def p01_rename(spark, sf):
     return D.visits_raw(spark, sf)
 
 
-@register("u01_unpivot_calendar", D.calendar_long_sql(D.calendar_wide_sql(
-    days_from="SELECT CAST(d AS DATE) AS d FROM (SELECT DISTINCT year(ts) AS y FROM events) ys, "
-              "generate_series(make_date(y, 1, 1), make_date(y, 12, 31), INTERVAL 1 DAY) t(d)")))
+@register("u01_unpivot_calendar", D.calendar_long_sql(D.calendar_wide_sql()))
 def u01_unpivot_calendar(spark, sf):
     """Calendar of every year with visits, unpivoted to one row per
     (date, day code, code type, frequency code)."""
-    from visitwise.operators.calendar import calendar_for_years, unpivot_calendar
-    years = D.table(spark, sf, "events").select(F.year("ts").alias("year"))
-    return unpivot_calendar(calendar_for_years(years), keep_type=True)
+    from visitwise.operators.calendar import unpivot_calendar
+    return unpivot_calendar(D.calendar_wide(spark, sf), keep_type=True)
 
 
 @register("f01_in_list", f"SELECT * FROM ({D.CLIENTS_RAW_SQL}) c WHERE COD_CANAL IN ('OFF', 'ON')")
@@ -115,10 +111,12 @@ def f03_not_null(spark, sf):
             .select("ID_TERCERO", "Inicio_Visita", "Finalizacion_Visita"))
 
 
-@register("f04_year", D.visits_sql())
+@register("f04_year", D.visits_sql("year(Inicio_Visita) = (SELECT max(year(ts)) FROM events)"))
 def f04_year(spark, sf):
-    """Q06 with F04: visits of the year (range filter pushed to the scan)."""
-    return visits(spark, sf)
+    """Q06 with F04: visits of the latest year (one value, read first), as a
+    range filter on the raw timestamp that reaches the scan."""
+    latest = D.table(spark, sf, "events").agg(F.max(F.year("ts"))).first()[0]
+    return visits(spark, sf, latest if latest is not None else 1)
 
 
 _PREFIX_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
@@ -203,21 +201,37 @@ def c05_parse_ts(spark, sf):
                     parse_mdy_hm(txt).cast("timestamp_ntz").alias("inicio"))
 
 
+_SECS = "CAST(floor((epoch_us(Finalizacion_Visita) - epoch_us(Inicio_Visita)) / 1000000.0) AS BIGINT)"
+_LENGTHS = (f"(SELECT *, {_SECS} AS TimeDifference, ((({_SECS}) % 86400) + 86400) % 86400 AS ds "
+            f"FROM ({D.VISITS_RAW_SQL}) v0) v")
+
+
+def _lengths(spark, sf):
+    from visitwise.functions import duration_seconds
+    return D.visits_raw(spark, sf).withColumn(
+        "TimeDifference", duration_seconds("Inicio_Visita", "Finalizacion_Visita"))
+
+
 @register("c10_length_text",
-          f"SELECT ID_TERCERO, Inicio_Visita, TimeDifference, TimeDifferenceD FROM {FACTS}")
+          "SELECT ID_TERCERO, Inicio_Visita, TimeDifference, CASE WHEN ds IS NULL THEN 'nanh:nan min' ELSE "
+          "CAST(CAST(floor(ds / 3600) AS BIGINT) AS VARCHAR) || 'h:' || "
+          f"CAST(CAST(floor((ds % 3600) / 60) AS BIGINT) AS VARCHAR) || ' min' END AS TimeDifferenceD FROM {_LENGTHS}")
 def c10_length_text(spark, sf):
-    """C09 + C10 + C12: visit length in seconds and as ``1h:5 min`` text."""
-    return facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "TimeDifference",
-                                   "TimeDifferenceD")
+    """C09 + C10 + C12: every visit's length in seconds and as ``1h:5 min`` text."""
+    from visitwise.functions import length_text
+    return _lengths(spark, sf).select("ID_TERCERO", "Inicio_Visita", "TimeDifference",
+                                      length_text("TimeDifference", compat=True).alias("TimeDifferenceD"))
 
 
 @register("c11_time_code",
-          f'SELECT ID_TERCERO, Inicio_Visita, "Time", CAST(floor(TimeDifference / 60) AS BIGINT) AS duration_minutes FROM {FACTS}')
+          "SELECT ID_TERCERO, Inicio_Visita, CAST(CAST(CAST(floor(ds / 3600) AS BIGINT) AS VARCHAR) || "
+          "CAST(CAST(floor((ds % 3600) / 60) AS BIGINT) AS VARCHAR) AS DOUBLE) AS \"Time\", "
+          f"CAST(floor(TimeDifference / 60) AS BIGINT) AS duration_minutes FROM {_LENGTHS}")
 def c11_time_code(spark, sf):
     """C11: the glued hour-minute code and the corrected length in minutes."""
-    from visitwise.functions import duration_minutes
-    return facts(spark, sf).select("ID_TERCERO", "Inicio_Visita", "Time",
-                                   duration_minutes("TimeDifference").alias("duration_minutes"))
+    from visitwise.functions import duration_minutes, time_code
+    return _lengths(spark, sf).select("ID_TERCERO", "Inicio_Visita", time_code("TimeDifference").alias("Time"),
+                                      duration_minutes("TimeDifference").alias("duration_minutes"))
 
 
 @register("c13_haversine",
@@ -274,20 +288,13 @@ _CLEAN_DOC_SQL = ("SELECT doc_id, regexp_replace(strip_accents(text), '[^a-zA-Z0
 
 
 @register("c19_clean_text", _CLEAN_DOC_SQL)
+@register("c19_clean_text_exact", _CLEAN_DOC_SQL)
 def c19_clean_text(spark, sf):
-    """C19 on whole documents, JVM-side (exact NFKD for Latin script)."""
+    """C19 on whole documents (exact NFKD on the JVM; both names, one form)."""
     from visitwise.functions import clean_text
     return D.table(spark, sf, "documents").select("doc_id", clean_text("text").alias("clean_text"))
 
 
-@register("c19_clean_text_exact", _CLEAN_DOC_SQL)
-def c19_clean_text_exact(spark, sf):
-    """C19 on whole documents with exact NFKD (Arrow-batched pandas UDF)."""
-    from visitwise.functions import clean_text_exact
-    return D.table(spark, sf, "documents").select("doc_id",
-                                                  clean_text_exact("text").alias("clean_text"))
-
-
 @register("c20_strip_marks", "SELECT doc_id, strip_accents(text) AS plain_text FROM documents")
 def c20_strip_marks(spark, sf):
     """C20: combining marks removed, punctuation kept."""
@@ -366,8 +373,8 @@ def j03_unified_full(spark, sf):
     """Due list full-matched with visit facts on the 19 natural keys
     (narrow-key, skew-safe form, see ``plans.unified.match_due_visits``)."""
     from visitwise.plans.unified import match_due_visits
-    cal, rows = calendar(spark)
-    res = match_due_visits(clients(spark, sf), cal, visits(spark, sf), rows)
+    cal = calendar(spark, sf)
+    res = match_due_visits(clients(spark, sf), cal, visits(spark, sf))
     return res.select(*D.CLIENT_KEYS, "FECHAS_VISITA", "Inicio_Visita",
                       F.round("Distancia_Haversine", 3).alias("Distancia_Haversine"),
                       (F.col("_matched") & F.col("FECHAS_VISITA").isNotNull()).alias("is_scheduled"))
@@ -379,7 +386,7 @@ def j03_unified_full(spark, sf):
 def j05_inner_calendar(spark, sf):
     """Distinct clients x calendar, inner on the two codes."""
     from visitwise.plans.compliance import distinct_clients, due_rows
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     return due_rows(distinct_clients(clients(spark, sf)), cal).select(
         "ID_TERCERO", "COD_DIA_VISITA", "COD_FRECUENCIA_VISITA", "FECHAS_VISITA")
 
@@ -392,7 +399,7 @@ def j07_fanout(spark, sf):
     """Due rows x visits on (client, date), right side not deduplicated:
     repeated visits on a due day multiply."""
     from visitwise.plans.compliance import due_rows
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     due = due_rows(clients(spark, sf), cal).select("ID_TERCERO", "FECHAS_VISITA")
     v = visits(spark, sf).select("ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita")
     return due.join(v, ["ID_TERCERO", "FECHAS_VISITA"], "inner")
@@ -425,19 +432,19 @@ def j13_array_join(spark, sf):
     """Per client, visit-date list joined to the due-date list of its
     plan (lists are distinct dates, bounded by the calendar)."""
     from visitwise.plans.compliance import grouped_dates
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     return grouped_dates(clients(spark, sf), cal, visits(spark, sf)).drop("n_due_visit_dates")
 
 
 _DIST_SQL = ("SELECT CAST(user_id AS VARCHAR) || '-001' AS ID_TERCERO, "
-             "CASE WHEN event_id % 7 = 0 THEN ts + INTERVAL 1 SECOND ELSE ts END AS Inicio_Visita, "
-             "CAST(event_id % 500 AS DOUBLE) AS distancia FROM events WHERE event_id % 3 <> 0")
+             "CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 SECOND ELSE ts END AS Inicio_Visita, "
+             "CAST(event_id % 500 AS DOUBLE) AS distancia FROM events")
 
 
 def _distances(spark, sf):
-    e = D.table(spark, sf, "events").where(F.col("event_id") % 3 != 0)
+    e = D.table(spark, sf, "events")
     return e.select(F.concat(F.col("user_id").cast("string"), F.lit("-001")).alias("ID_TERCERO"),
-                    F.when(F.col("event_id") % 7 == 0, F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+                    F.when(F.col("event_id") % 3 == 0, F.col("ts") + F.expr("INTERVAL 1 SECOND"))
                     .otherwise(F.col("ts")).alias("Inicio_Visita"),
                     (F.col("event_id") % 500).cast("double").alias("distancia"))
 
@@ -454,13 +461,16 @@ def j16_full_outer(spark, sf):
 
 
 @register("j18_all_due_dates",
-          f"SELECT v.ID_TERCERO, v.Inicio_Visita, k.FECHAS_VISITA AS FECHA_PROGRAMADA, k.FECHAS_VISITA = v.FECHAS_VISITA AS Cumple "
+          f"SELECT v.ID_TERCERO, v.Inicio_Visita, k.FECHAS_VISITA AS FECHA_PROGRAMADA, EXISTS (SELECT 1 FROM {CAL} m "
+          f"WHERE m.COD_DIA_VISITA = c.COD_DIA_VISITA AND m.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA "
+          f"AND m.FECHAS_VISITA = v.FECHAS_VISITA) AS Cumple, k.FECHAS_VISITA = v.FECHAS_VISITA AS es_su_fecha "
           f"FROM {VIS} v JOIN (SELECT DISTINCT ID_TERCERO, COD_DIA_VISITA, COD_FRECUENCIA_VISITA FROM {CL} c0) c ON v.ID_TERCERO = c.ID_TERCERO "
           f"JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA")
 def j18_all_due_dates(spark, sf):
-    """Every visit against every due date of its plan."""
+    """Every visit against every due date of its plan, with the
+    visit's own mark."""
     from visitwise.plans.compliance import all_due_dates
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     return all_due_dates(clients(spark, sf), cal, visits(spark, sf))
 
 
@@ -471,7 +481,7 @@ def j18_all_due_dates(spark, sf):
 def j19_mark_join(spark, sf):
     """Mark join - each client visit flagged if its date was due."""
     from visitwise.plans.compliance import mark_scheduled
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     v = visits(spark, sf).join(clients(spark, sf).select("ID_TERCERO", "COD_DIA_VISITA",
                                                          "COD_FRECUENCIA_VISITA"), "ID_TERCERO")
     return mark_scheduled(v, cal).select("ID_TERCERO", "Inicio_Visita", "FECHAS_VISITA", "Cumple")
@@ -690,6 +700,17 @@ def a01_collect_list(spark, sf):
         "ID_TERCERO", "n_visit_dates", "visit_dates")
 
 
+@register("a01_list_values",
+          f"SELECT ID_TERCERO, count(*) AS n_fechas, string_agg(strftime(FECHAS_VISITA, '%Y-%m-%d'), ',' ORDER BY FECHAS_VISITA) AS fechas "
+          f"FROM {VIS} v WHERE ID_TERCERO IS NOT NULL AND FECHAS_VISITA IS NOT NULL GROUP BY ID_TERCERO")
+def a01_list_values(spark, sf):
+    """The list of all visit dates per client, duplicates kept (an array;
+    shown as text)."""
+    from visitwise.operators.grouping import value_list
+    lists = value_list(visits(spark, sf), ["ID_TERCERO"], "FECHAS_VISITA", "fechas")
+    return lists.select("ID_TERCERO", F.size("fechas").cast("long").alias("n_fechas"), _dates_text("fechas").alias("fechas"))
+
+
 @register("a02_distinct_list",
           f"SELECT a.ID_TERCERO, a.n_visit_dates, a.visit_dates, b.n_weekdays, b.weekdays FROM "
           f"({_list_sql(VIS, 'ID_TERCERO', 'FECHAS_VISITA', 'visit_dates')}) a JOIN "
@@ -697,28 +718,23 @@ def a01_collect_list(spark, sf):
           f"ON a.ID_TERCERO = b.ID_TERCERO")
 def a02_distinct_list(spark, sf):
     """Two distinct-value lists per client at once (visit dates and
-    weekday codes)."""
-    from visitwise.operators.grouping import distinct_list
+    weekday codes), from one scan."""
+    from visitwise.operators.grouping import distinct_lists
     v = visits(spark, sf).withColumn("d", F.lpad(F.dayofweek("FECHAS_VISITA").cast("string"), 3, "0"))
-    a = distinct_list(v, ["ID_TERCERO"], "FECHAS_VISITA", "visit_dates",
-                      lambda c: F.date_format(c, "yyyy-MM-dd"))
-    b = distinct_list(v, ["ID_TERCERO"], "d", "weekdays")
-    return a.join(b, "ID_TERCERO").select("ID_TERCERO", "n_visit_dates", "visit_dates",
-                                           "n_weekdays", "weekdays").withColumns(
-        {"n_visit_dates": F.col("n_visit_dates").cast("long"),
-         "n_weekdays": F.col("n_weekdays").cast("long")})
+    return distinct_lists(v, ["ID_TERCERO"], {
+        "visit_dates": ("FECHAS_VISITA", lambda c: F.date_format(c, "yyyy-MM-dd")), "weekdays": ("d", None)})
 
 
 @register("a03_first",
           f"SELECT ID_TERCERO, arg_min(Logintud, (Inicio_Visita, Logintud)) AS first_lon, min(Inicio_Visita) AS first_start "
           f"FROM ({D.VISITS_RAW_SQL}) v WHERE ID_TERCERO IS NOT NULL GROUP BY ID_TERCERO")
 def a03_first(spark, sf):
-    """First value per group in an explicit order (``min_by``)."""
-    from visitwise.operators.grouping import first_value
-    v = D.visits_raw(spark, sf)
-    a = first_value(v, ["ID_TERCERO"], "Logintud", ["Inicio_Visita"], "first_lon")
-    b = v.groupBy("ID_TERCERO").agg(F.min("Inicio_Visita").alias("first_start"))
-    return a.join(b, "ID_TERCERO")
+    """First value per group in an explicit order (``min_by``), with the
+    order's first value, in one aggregate."""
+    v = D.visits_raw(spark, sf).where(F.col("ID_TERCERO").isNotNull())
+    return v.groupBy("ID_TERCERO").agg(
+        F.min_by("Logintud", F.struct("Inicio_Visita", "Logintud")).alias("first_lon"),
+        F.min("Inicio_Visita").alias("first_start"))
 
 
 _VR_COLS = ["Logintud", "Latitud", "Inicio_Visita", "Finalizacion_Visita", "Razon_Social_Cliente",
@@ -795,9 +811,8 @@ def w03_bucket(spark, sf):
     return out.select(*v.columns, "bucket")
 
 
-_O_COLS = ["ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "Logintud", "Latitud_Visita", "TimeDifference"]
-_O_ORDER = [("ID_TERCERO", True), ("FECHAS_VISITA", False), ("Inicio_Visita", True), ("Logintud", True),
-            ("Latitud_Visita", True), ("TimeDifference", True)]
+_O_COLS = ["ID_TERCERO", "Inicio_Visita", "Logintud", "Latitud", "TimeDifference"]
+_O_ORDER = [("ID_TERCERO", True), ("Inicio_Visita", False), ("Logintud", True), ("Latitud", True), ("TimeDifference", True)]
 
 
 def _sql_order(order, reverse=False):
@@ -812,20 +827,20 @@ def _sql_order(order, reverse=False):
 
 
 @register("o01_sort_limit",
-          f"SELECT {', '.join(_O_COLS)} FROM {FACTS} ORDER BY {_sql_order(_O_ORDER)} LIMIT 20")
+          f"SELECT {', '.join(_O_COLS)} FROM {_LENGTHS} ORDER BY {_sql_order(_O_ORDER)} LIMIT 20")
 def o01_sort_limit(spark, sf):
     """O01 + O02: mixed-direction sort, nulls last, first 20 rows (top-k)."""
     from visitwise.operators.ranking import head, order_col
-    f = facts(spark, sf).select(*_O_COLS)
+    f = _lengths(spark, sf).select(*_O_COLS)
     return head(f, [order_col(c, a) for c, a in _O_ORDER], 20)
 
 
 @register("o03_tail",
-          f"SELECT {', '.join(_O_COLS)} FROM {FACTS} ORDER BY {_sql_order(_O_ORDER, reverse=True)} LIMIT 20")
+          f"SELECT {', '.join(_O_COLS)} FROM {_LENGTHS} ORDER BY {_sql_order(_O_ORDER, reverse=True)} LIMIT 20")
 def o03_tail(spark, sf):
     """Last 20 rows of the same order."""
     from visitwise.operators.ranking import tail
-    return tail(facts(spark, sf).select(*_O_COLS), _O_ORDER, 20)
+    return tail(_lengths(spark, sf).select(*_O_COLS), _O_ORDER, 20)
 
 
 # ------------------------------------------------------ export and designs
@@ -839,15 +854,33 @@ def _result_order_sql():
     return ", ".join(f'"{c}" ASC NULLS LAST' for c in cols)
 
 
-@register("s13_ntile_split",
-          f"SELECT *, CAST(ntile(3) OVER (ORDER BY {_result_order_sql()}) AS INTEGER) AS part FROM ({D.unified_sql()}) u")
+_SPLIT_SQL = (f"SELECT * REPLACE (round(Distancia_Haversine, 3) AS Distancia_Haversine), CAST(ntile(3) OVER (ORDER BY "
+              f"{_result_order_sql()}) AS INTEGER) AS part FROM ({D.unified_sql(round_distance=None)}) u")
+
+
+def _split(spark, sf):
+    """The split of the export: on the exact distance, rounded afterwards."""
+    from visitwise.sources.sinks import split_parts
+    from visitwise.plans.unified import result_order
+    res = unified(clients(spark, sf), calendar(spark, sf), visits(spark, sf))
+    return _round(split_parts(res, result_order(res), 3, "part").drop("_row", "_nrows"), "Distancia_Haversine")
+
+
+@register("s13_ntile_split", _SPLIT_SQL)
 def s13_ntile_split(spark, sf):
     """S13 (Q10's split): the unified table in its export order, cut into 3
     contiguous parts whose sizes differ by at most one row."""
-    from visitwise.operators.ranking import balanced_buckets
-    from visitwise.plans.unified import result_order
-    res = q09_unified(spark, sf)
-    return balanced_buckets(res, result_order(res), 3, "part").drop("_row", "_nrows")
+    return _split(spark, sf)
+
+
+@register("s14_snapshot",
+          f"SELECT s.*, strftime(last_day((SELECT CAST(max(ts) AS DATE) FROM events)), '%Y%m') AS period FROM ({_SPLIT_SQL}) s")
+def s14_snapshot(spark, sf):
+    """The rows that a run at the end of the latest visit's month writes
+    under ``period=yyyyMM`` (the whole result, with its parts)."""
+    from visitwise.functions import period_yyyymm
+    latest = D.table(spark, sf, "events").agg(F.max(F.to_date("ts"))).first()[0]
+    return _split(spark, sf).withColumn("period", period_yyyymm(F.last_day(F.lit(latest))))
 
 
 @register("s14_month_end",
@@ -879,21 +912,26 @@ def _q11_sql():
             f"AND k.COD_FRECUENCIA_VISITA IS NOT DISTINCT FROM c.COD_FRECUENCIA_VISITA AND k.FECHAS_VISITA = v.FECHAS_VISITA) AS Cumple, "
             f"{length} AS TimeDifferenceD, {dist} AS Distancia_Haversine FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO IS NOT DISTINCT FROM c.ID_TERCERO")
     due = (f"SELECT c.ID_TERCERO, c.COD_DIA_VISITA, c.DES_DIA_VISITA, c.COD_FRECUENCIA_VISITA, c.DES_FRECUENCIA_VISITA, k.FECHAS_VISITA "
-           f"FROM {CL} c JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA")
+           f"FROM {CL} c JOIN {CAL} k ON c.COD_DIA_VISITA = k.COD_DIA_VISITA AND c.COD_FRECUENCIA_VISITA = k.COD_FRECUENCIA_VISITA "
+           f"WHERE c.ID_TERCERO IN (SELECT ID_TERCERO FROM {VIS} vv)")
     on = " AND ".join(f"d.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
     co = ", ".join(f"COALESCE(d.{k}, b.{k}) AS {k}" for k in keys)
-    return (f"SELECT {co}, b.Inicio_Visita, b.Cumple, b.TimeDifferenceD, round(b.Distancia_Haversine, 3) AS Distancia_Haversine, "
-            f"CASE WHEN b.Inicio_Visita IS NULL THEN NULL WHEN b.Distancia_Haversine <= 200 THEN 'Si' "
-            f"WHEN b.Distancia_Haversine > 200 THEN 'Fuera del Rango' ELSE '' END AS Cumpl_Rutero "
-            f"FROM ({due}) d FULL OUTER JOIN ({base}) b ON {on}")
+    # the matched rows, then one copy for every marked visit of the same client and date
+    return (f"SELECT {', '.join('r.' + k for k in keys)}, r.Inicio_Visita, m.Cumple, COALESCE(r.TimeDifferenceD, '') AS TimeDifferenceD, "
+            f"round(r.Distancia_Haversine, 3) AS Distancia_Haversine, "
+            f"CASE WHEN r.Distancia_Haversine <= 200 THEN 'Dentro del Rango' WHEN r.Distancia_Haversine > 200 THEN 'Fuera del Rango' ELSE '' END AS Rango_Visita, "
+            f"CASE WHEN r.Distancia_Haversine <= 200 THEN 'Si' WHEN r.Distancia_Haversine > 200 THEN 'Fuera del Rango' ELSE '' END AS Cumpl_Rutero "
+            f"FROM (SELECT {co}, b.Inicio_Visita, b.TimeDifferenceD, b.Distancia_Haversine FROM ({due}) d FULL OUTER JOIN ({base}) b ON {on}) r "
+            f"JOIN ({base}) m ON r.ID_TERCERO = m.ID_TERCERO AND r.FECHAS_VISITA = m.FECHAS_VISITA")
 
 
 @register("q11_compliance", _q11_sql())
 def q11_compliance(spark, sf):
-    """Q11: the first compliance design - due rows full-matched with visits,
-    ``Cumple`` flag, length text, distance and ``Si`` class."""
+    """Q11: the first compliance design - due rows of visited clients
+    full-matched with visits, joined with the marked visits; length text,
+    distance and both classes."""
     from visitwise.plans.compliance import compliance_v1
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     return _round(compliance_v1(clients(spark, sf), cal, visits(spark, sf)), "Distancia_Haversine")
 
 
@@ -906,20 +944,166 @@ def q12_grouped(spark, sf):
     """Q12: visit dates against due dates as lists per client, plus how
     many visit dates were due."""
     from visitwise.plans.compliance import grouped_dates
-    cal, _ = calendar(spark)
+    cal = calendar(spark, sf)
     return grouped_dates(clients(spark, sf), cal, visits(spark, sf))
 
 
-@register("q15_first_version",
-          f"SELECT v.ID_TERCERO, v.FECHAS_VISITA, v.Inicio_Visita, c.COD_CANAL FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO = c.ID_TERCERO "
-          f"JOIN {CAL} k ON k.COD_DIA_VISITA = c.COD_DIA_VISITA AND k.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA "
-          f"AND k.FECHAS_VISITA = v.FECHAS_VISITA")
+_Q15_DUE = (f"SELECT c.ID_TERCERO, c.COD_DIA_VISITA, c.code AS COD_FRECUENCIA_VISITA, k.FECHAS_VISITA FROM "
+            f"(SELECT *, '00' || CAST(CAST(COALESCE(COD_FRECUENCIA_VISITA, '0') AS BIGINT) AS VARCHAR) AS code FROM {CL} c0) c "
+            f"JOIN {CAL} k ON k.COD_DIA_VISITA = c.COD_DIA_VISITA AND k.COD_FRECUENCIA_VISITA = c.code")
+_Q15_VISITS = (f"SELECT v.ID_TERCERO, v.FECHAS_VISITA, v.Inicio_Visita, c.COD_CANAL FROM {VIS} v JOIN {CL} c "
+               f"ON v.ID_TERCERO = c.ID_TERCERO")
+
+
+def _q15_sql(how):
+    return (f"SELECT COALESCE(d.ID_TERCERO, v.ID_TERCERO) AS ID_TERCERO, d.COD_DIA_VISITA, d.COD_FRECUENCIA_VISITA, "
+            f"COALESCE(d.FECHAS_VISITA, v.FECHAS_VISITA) AS FECHAS_VISITA, v.Inicio_Visita, v.COD_CANAL "
+            f"FROM ({_Q15_DUE}) d {how} JOIN ({_Q15_VISITS}) v ON d.ID_TERCERO = v.ID_TERCERO AND d.FECHAS_VISITA = v.FECHAS_VISITA")
+
+
+@register("q15_first_version", _q15_sql("INNER"))
 def q15_first_version(spark, sf):
-    """Q15: the CSV-based first version (inner): visits with the client's
-    channel kept when their date is one of the client's due dates."""
+    """Q15: the CSV-based first version (J11 inner): due dates by rebuilt codes
+    (C24, C25, C22) met by visits with the client's channel."""
+    from visitwise.plans.compliance import visits_on_due_dates
+    return visits_on_due_dates(clients(spark, sf), calendar(spark, sf), visits(spark, sf))
+
+
+@register("q15_outer_version", _q15_sql("FULL OUTER"))
+def q15_outer_version(spark, sf):
+    """Q15's later copy (J11 outer): due dates without a visit and visits
+    without a due date stay."""
     from visitwise.plans.compliance import visits_on_due_dates
-    cal, _ = calendar(spark)
-    return visits_on_due_dates(clients(spark, sf), cal, visits(spark, sf))
+    return visits_on_due_dates(clients(spark, sf), calendar(spark, sf), visits(spark, sf), "outer")
+
+
+@register("j08_left_suffixes",
+          f"SELECT v.ID_TERCERO, v.Latitud AS Latitud_x, v.Inicio_Visita, c.LATITUD AS LATITUD_y, c.COD_CANAL "
+          f"FROM ({D.VISITS_RAW_SQL}) v LEFT JOIN ({D.CLIENTS_RAW_SQL}) c ON v.ID_TERCERO = c.ID_TERCERO")
+def j08_left_suffixes(spark, sf):
+    """Visits left-joined with clients; columns of one name get suffixes."""
+    from visitwise.operators.nullsafe import merge
+    v = D.visits_raw(spark, sf).select("ID_TERCERO", "Latitud", "Inicio_Visita")
+    return merge(v, D.clients_raw(spark, sf).select("ID_TERCERO", "LATITUD", "COD_CANAL"), ["ID_TERCERO"], "left")
+
+
+def _dates_text(c):
+    return F.array_join(F.transform(c, lambda d: F.date_format(d, "yyyy-MM-dd")), ",")
+
+
+_CODED = f"(SELECT v.*, c.COD_DIA_VISITA, c.COD_FRECUENCIA_VISITA FROM {VIS} v JOIN {CL} c ON v.ID_TERCERO = c.ID_TERCERO)"
+_J12_SQL = (f"SELECT ID_TERCERO, string_agg(strftime(FECHAS_VISITA, '%Y-%m-%d'), ',' ORDER BY FECHAS_VISITA) AS fechas_agrupadas, "
+            f"arg_min_null(COD_DIA_VISITA, (Inicio_Visita, COD_DIA_VISITA)) AS COD_DIA_VISITA, "
+            f"arg_min_null(COD_FRECUENCIA_VISITA, (Inicio_Visita, COD_DIA_VISITA)) AS COD_FRECUENCIA_VISITA FROM {_CODED} x GROUP BY ID_TERCERO")
+_PLAN_SQL = (f"SELECT COD_DIA_VISITA, COD_FRECUENCIA_VISITA, string_agg(strftime(FECHAS_VISITA, '%Y-%m-%d'), ',' ORDER BY FECHAS_VISITA) "
+             f"AS fechas_programadas FROM {CAL} k GROUP BY ALL")
+_J14_SQL = (f"SELECT x.ID_TERCERO, x.COD_DIA_VISITA, x.COD_FRECUENCIA_VISITA, x.Inicio_Visita, x.FECHAS_VISITA, l.fechas_agrupadas, p.fechas_programadas "
+            f"FROM {_CODED} x JOIN ({_J12_SQL}) l ON x.ID_TERCERO = l.ID_TERCERO AND x.COD_DIA_VISITA = l.COD_DIA_VISITA "
+            f"AND x.COD_FRECUENCIA_VISITA = l.COD_FRECUENCIA_VISITA JOIN ({_PLAN_SQL}) p ON l.COD_DIA_VISITA = p.COD_DIA_VISITA "
+            f"AND l.COD_FRECUENCIA_VISITA = p.COD_FRECUENCIA_VISITA")
+
+
+@register("j12_lists_and_codes", _J12_SQL)
+def j12_lists_and_codes(spark, sf):
+    """Per client its visit dates (duplicates kept; shown as text) and the
+    codes of its first visit."""
+    from visitwise.plans.compliance import client_lists
+    return client_lists(clients(spark, sf), visits(spark, sf)).withColumn(
+        "fechas_agrupadas", _dates_text("fechas_agrupadas"))
+
+
+def _j14(spark, sf):
+    from visitwise.plans.compliance import visits_with_lists
+    return visits_with_lists(clients(spark, sf), calendar(spark, sf), visits(spark, sf)).withColumns(
+        {c: _dates_text(c) for c in ("fechas_agrupadas", "fechas_programadas")})
+
+
+@register("j14_visits_with_lists", _J14_SQL)
+def j14_visits_with_lists(spark, sf):
+    """One row per visit with its client's dates and its plan's due dates."""
+    return _j14(spark, sf)
+
+
+def _j15_sql(how):
+    return (f"SELECT COALESCE(j.ID_TERCERO, d.ID_TERCERO) AS ID_TERCERO, j.COD_DIA_VISITA, j.COD_FRECUENCIA_VISITA, "
+            f"COALESCE(j.Inicio_Visita, d.Inicio_Visita) AS Inicio_Visita, j.FECHAS_VISITA, j.fechas_agrupadas, j.fechas_programadas, "
+            f"d.distancia FROM ({_J14_SQL}) j {how} JOIN ({_DIST_SQL}) d ON j.ID_TERCERO = d.ID_TERCERO AND j.Inicio_Visita = d.Inicio_Visita")
+
+
+@register("j15_distances_inner", _j15_sql("INNER"))
+def j15_distances_inner(spark, sf):
+    """The visits of J14 with their distances (inner)."""
+    from visitwise.plans.compliance import distances_joined
+    return distances_joined(_j14(spark, sf), _distances(spark, sf), "inner")
+
+
+@register("q13_distances_outer", _j15_sql("FULL OUTER"))
+def q13_distances_outer(spark, sf):
+    """The visits of J14 and the distances, full outer."""
+    from visitwise.plans.compliance import distances_joined
+    return distances_joined(_j14(spark, sf), _distances(spark, sf), "outer")
+
+
+_ONE = "3-001"  # the client whose rows the filters show
+
+
+@register("f08_key_filter", f"SELECT * FROM ({D.VISITS_RAW_SQL}) v WHERE ID_TERCERO = '{_ONE}'")
+def f08_key_filter(spark, sf):
+    """the rows of one literal key."""
+    return D.visits_raw(spark, sf).where(F.col("ID_TERCERO") == _ONE)
+
+
+@register("f11_filter_project", f"SELECT ID_TERCERO, Inicio_Visita, distancia FROM ({_DIST_SQL}) d WHERE ID_TERCERO = '{_ONE}'")
+def f11_filter_project(spark, sf):
+    """a filter on the key, then a projection."""
+    return _distances(spark, sf).where(F.col("ID_TERCERO") == _ONE).select("ID_TERCERO", "Inicio_Visita", "distancia")
+
+
+@register("j17_slices",
+          f"SELECT v.ID_TERCERO, v.Inicio_Visita, v.Finalizacion_Visita, d.distancia FROM ({D.VISITS_RAW_SQL}) v JOIN ({_DIST_SQL}) d "
+          f"ON v.ID_TERCERO = d.ID_TERCERO AND v.Inicio_Visita = d.Inicio_Visita WHERE v.ID_TERCERO = '{_ONE}'")
+def j17_slices(spark, sf):
+    """Natural join of two filtered slices."""
+    left = f08_key_filter(spark, sf).select("ID_TERCERO", "Inicio_Visita", "Finalizacion_Visita")
+    return left.join(f11_filter_project(spark, sf), ["ID_TERCERO", "Inicio_Visita"], "inner")
+
+
+@register("c03_to_timestamp",
+          "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS texto, CAST(date_trunc('second', ts) AS TIMESTAMP) AS momento FROM events")
+def c03_to_timestamp(spark, sf):
+    """Text to timestamp by a stated format."""
+    from visitwise.functions import to_ts
+    txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return D.table(spark, sf, "events").select(
+        "event_id", txt.alias("texto"), to_ts(txt, "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("momento"))
+
+
+@register("c22_code_text",
+          "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '00' || CAST(c_nationkey AS VARCHAR) END AS codigo FROM customer")
+def c22_code_text(spark, sf):
+    """Code from text; the text ``NaN`` gives an empty code."""
+    from visitwise.functions import code_from_text
+    txt = F.when(F.col("c_custkey") % 5 == 0, F.lit("NaN")).otherwise(F.col("c_nationkey").cast("string"))
+    return D.table(spark, sf, "customer").select("c_custkey", code_from_text(txt).alias("codigo"))
+
+
+@register("c25_int_text",
+          f"SELECT ID_TERCERO, CAST(CAST(COALESCE(COD_FRECUENCIA_VISITA, '0') AS BIGINT) AS VARCHAR) AS frecuencia FROM ({D.CLIENTS_RAW_SQL}) c")
+def c25_int_text(spark, sf):
+    """C24 + C25: a missing code becomes 0, codes become whole numbers as text."""
+    from visitwise.functions import fill_blank, int_text
+    c = fill_blank(D.clients_raw(spark, sf).select("ID_TERCERO", "COD_FRECUENCIA_VISITA"), "0")
+    return c.select("ID_TERCERO", int_text("COD_FRECUENCIA_VISITA").alias("frecuencia"))
+
+
+@register("c29_first_element",
+          f"SELECT ID_TERCERO, min(FECHAS_VISITA) AS primera FROM {VIS} v WHERE ID_TERCERO IS NOT NULL GROUP BY ID_TERCERO")
+def c29_first_element(spark, sf):
+    """First element of a list cell (the sorted visit dates)."""
+    from visitwise.functions import first_element
+    from visitwise.operators.grouping import value_list
+    lists = value_list(visits(spark, sf), ["ID_TERCERO"], "FECHAS_VISITA", "fechas")
+    return lists.select("ID_TERCERO", first_element("fechas").alias("primera"))
 
 
 # ------------------------------------------------------ client extract (Q01)

@@ -11,7 +11,6 @@ filter at the end.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from visitwise.functions.coords import guarded_distance, range_class, to_number
 from visitwise.functions.durations import (duration_seconds, length_text,
@@ -19,23 +18,15 @@ from visitwise.functions.durations import (duration_seconds, length_text,
 from visitwise.operators.nullsafe import merge
 
 CAL_KEYS = ["COD_DIA_VISITA", "COD_FRECUENCIA_VISITA"]
-# A calendar spans at most this many days before it is no longer broadcast.
-MAX_BROADCAST_CALENDAR_ROWS = 3 * 366 * 50
 
 
-def due_list(clients: DataFrame, calendar: DataFrame,
-             calendar_rows: int | None = None) -> DataFrame:
+def due_list(clients: DataFrame, calendar: DataFrame) -> DataFrame:
     """One row per client and due date; clients whose codes match
     no calendar row keep one row with a null date.
 
-    The calendar is broadcast when its size is known and bounded (a
-    generated calendar has ``3 x days`` rows); otherwise the planner
-    decides from runtime statistics.
+    Whether the calendar is broadcast is the planner's choice, from its size.
     """
-    cal = calendar.select("FECHAS_VISITA", *CAL_KEYS)
-    if calendar_rows is not None and calendar_rows <= MAX_BROADCAST_CALENDAR_ROWS:
-        cal = F.broadcast(cal)
-    return merge(clients, cal, CAL_KEYS, "left")
+    return merge(clients, calendar.select("FECHAS_VISITA", *CAL_KEYS), CAL_KEYS, "left")
 
 
 def visit_facts(visits: DataFrame, clients: DataFrame, compat: bool = True) -> DataFrame:

@@ -1,6 +1,6 @@
 """Unified statistics (Q09) and its export (Q10).
 
-Plan shape (see ``explain``): clients x calendar (broadcast) -> due list;
+Plan shape (see ``explain``): clients x calendar -> due list;
 visits x clients -> facts; the natural full outer match of the two is
 built from aggregates and joins that adaptive execution can split
 (``operators.matching``); the two ranks use the skew-safe histogram ranks
@@ -61,8 +61,7 @@ def duplicate_clients(clients: DataFrame) -> DataFrame:
             .select("ROWID_TERCERO", "ID_TERCERO", "copies"))
 
 
-def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
-                     calendar_rows: int | None = None) -> DataFrame:
+def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
     """J01 + J02 + J03 (after R1) on narrow keys.
 
     Due list and visit facts are built on ``(_cid, date)``; their natural
@@ -71,7 +70,7 @@ def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     by the planner from its measured size).  Adds ``_matched``.
     """
     dim = client_dimension(clients)
-    due = due_list(dim.select("_cid", "_m", *CAL_KEYS), calendar, calendar_rows) \
+    due = due_list(dim.select("_cid", "_m", *CAL_KEYS), calendar) \
         .select("_cid", "_m", "FECHAS_VISITA")
     facts = visit_facts(visits, dim.select("_cid", "_m", "ID_TERCERO", "LONGITUD", "LATITUD")) \
         .drop("ID_TERCERO", "LONGITUD", "LATITUD")
@@ -81,7 +80,7 @@ def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
 
 
 def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
-            calendar_rows: int | None = None, extras: bool = True) -> DataFrame:
+            extras: bool = True) -> DataFrame:
     """Q09 from prepared inputs.
 
     Output: the 33 columns of the reference (``RESULT_COLUMNS``), with
@@ -94,7 +93,7 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     """
     # the matched table feeds the rank histograms and the rank lookups:
     # write it once (with a row id that stays fixed from then on)
-    res = materialize(match_due_visits(clients, calendar, visits, calendar_rows)
+    res = materialize(match_due_visits(clients, calendar, visits)
                       .withColumn("_rid", F.monotonically_increasing_id())
                       .withColumn("duration_minutes", duration_minutes("TimeDifference").cast("int")))
     specs = [("Time", "Flag_Time", "dense", True),
@@ -118,11 +117,10 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
 
 
 def unified_statistics(clients_raw: DataFrame, calendar_wide: DataFrame,
-                       visits_raw: DataFrame, year: int,
-                       calendar_rows: int | None = None) -> DataFrame:
+                       visits_raw: DataFrame, year: int) -> DataFrame:
     """Q04-Q09 end to end."""
     return unified(prepare_clients(clients_raw), prepare_calendar(calendar_wide),
-                   prepare_visits(visits_raw, year), calendar_rows)
+                   prepare_visits(visits_raw, year))
 
 
 def result_order(df: DataFrame) -> list:

@@ -11,8 +11,9 @@ stay).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitwise.functions.durations import timedelta_text
@@ -20,24 +21,62 @@ from visitwise.functions.text import latin1_safe
 from visitwise.operators.ranking import balanced_buckets
 
 
+def publish(write, spark: SparkSession, path: str) -> None:
+    """Replace the folder ``path`` by what ``write(folder)`` writes.
+
+    The new output goes to a folder beside it first. Only when that is complete
+    are the two swapped by renames, so a failed write leaves the published
+    output as it was. If the second rename fails, the old folder is put back.
+    """
+    path = path.rstrip("/")
+    tag = uuid.uuid4().hex
+    jvm = spark.sparkContext._jvm
+    target, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{tag}", f"{path}.old-{tag}"))
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write(str(new.toString()))
+    except Exception:
+        fs.delete(new, True)
+        raise
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot publish {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the target (one overwrite instead of wipe + copy)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    """Replace the target as a whole (see :func:`publish`)."""
+    def write(folder: str) -> None:
+        df.write.partitionBy(*(partition_by or [])).parquet(folder)
 
+    publish(write, df.sparkSession, path)
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", partition_by: list[str] | None = None,
-              encoding: str = "UTF-8") -> None:
-    """CSV with a header (no row index: it is not data)."""
-    w = (df.write.mode("overwrite").option("header", True).option("sep", sep)
+
+def _csv_writer(df: DataFrame, sep: str, partition_by: list[str] | None, encoding: str):
+    w = (df.write.option("header", True).option("sep", sep)
          .option("encoding", encoding).option("emptyValue", "").option("nullValue", "")
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
          .option("dateFormat", "yyyy-MM-dd"))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
+    return w.partitionBy(*partition_by) if partition_by else w
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", partition_by: list[str] | None = None,
+              encoding: str = "UTF-8") -> None:
+    """CSV with a header (no row index: it is not data); replaces the
+    target as a whole."""
+    publish(_csv_writer(df, sep, partition_by, encoding).csv, df.sparkSession, path)
+
+
+def add_partitions_csv(df: DataFrame, path: str, sep: str, partition_by: list[str], encoding: str) -> None:
+    """Replace only the partitions that ``df`` holds (dynamic overwrite:
+    Spark stages them and moves them when the job commits)."""
+    (_csv_writer(df, sep, partition_by, encoding).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").csv(path))
 
 
 def latin1_frame(df: DataFrame) -> DataFrame:
@@ -97,12 +136,6 @@ def export_unified(result: DataFrame, order, path: str, n_parts: int = 3,
     write_csv(body, path, sep=";", partition_by=["part"], encoding="ISO-8859-1")
     if as_of is not None and by_month_path and (as_of + _dt.timedelta(days=1)).day == 1:
         period = as_of.strftime("%Y%m")
-        spark = result.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            write_csv(body.withColumn("period", F.lit(period)), by_month_path, sep=";",
-                      partition_by=["period", "part"], encoding="ISO-8859-1")
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        add_partitions_csv(body.withColumn("period", F.lit(period)), by_month_path, ";", ["period", "part"],
+                           "ISO-8859-1")
     return parts

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from visitwise.plans.prepare import prepare_visits
 from visitwise.plans.route import visit_facts
 from visitwise.schemas import VISITS
-from visitwise.session import ensure_checkpoint_dir
 
 
 def visit_facts_stream(spark: SparkSession, landing_dir: str, clients: DataFrame,
@@ -25,11 +22,13 @@ def visit_facts_stream(spark: SparkSession, landing_dir: str, clients: DataFrame
 
 
 def start_visit_facts(spark: SparkSession, landing_dir: str, clients: DataFrame, year: int,
-                      out_path: str, checkpoint: str | None = None) -> StreamingQuery:
+                      out_path: str, checkpoint: str) -> StreamingQuery:
     """Process every file that has landed and stop (``availableNow``);
-    append the facts as parquet partitioned by visit date."""
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "visit_facts_stream")
+    append the facts as parquet partitioned by visit date.
+
+    ``checkpoint`` is a fixed folder on shared storage: the same one in every
+    run, since it holds which files have been processed."""
     facts = visit_facts_stream(spark, landing_dir, clients, year)
     return (facts.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", ckpt).partitionBy("FECHAS_VISITA")
+            .option("checkpointLocation", checkpoint).partitionBy("FECHAS_VISITA")
             .trigger(availableNow=True).start(out_path))

@@ -29,29 +29,28 @@ def nonzero_coordinates(df: DataFrame, lon: str, lat: str) -> DataFrame:
 
 
 def visit_extract(visita: DataFrame, usuario: DataFrame, sucursal: DataFrame) -> DataFrame:
-    """Q02: visits with customer, salesperson (same user table, two roles)
-    and branch; coordinates not zero; 10 renamed columns (P01)."""
-    v = nonzero_coordinates(visita, "longitud", "latitud").alias("visita")
-    t = usuario.alias("tercero")
-    s = usuario.alias("vendedor")
-    b = sucursal.alias("sucursal")
-    j = (v.join(t, F.col("visita.tercero_id") == F.col("tercero.usuario_id"))
-          .join(s, F.col("visita.vendedor_id") == F.col("vendedor.usuario_id"))
-          .join(b, F.col("visita.sucursal_id") == F.col("sucursal.sucursal_id")))
-    return j.select(
-        F.col("visita.longitud").alias("Logintud"),
-        F.col("visita.latitud").alias("Latitud"),
-        F.col("visita.fecha_inicio").alias("Inicio_Visita"),
-        F.col("visita.fecha_final").alias("Finalizacion_Visita"),
-        concat_strict("tercero.nombre_completo", "tercero.primer_apellido",
-                      "tercero.segundo_apellido", sep=" ").alias("Razon_Social_Cliente"),
-        concat_strict("tercero.numero_identificacion", "sucursal.numero_sucursal",
-                      sep="-").alias("ID_TERCERO"),
-        F.col("tercero.numero_identificacion").alias("Nit"),
-        F.col("sucursal.numero_sucursal").alias("Codigo_Sucursal"),
-        F.col("vendedor.numero_identificacion").alias("Codigo_Vendedor"),
-        concat_strict("vendedor.primer_apellido", "vendedor.nombre_completo",
-                      "vendedor.segundo_apellido", sep=" ").alias("Des_vendedor"))
+    """Q02: one row per visit with non-zero coordinates whose customer,
+    salesperson and branch are known; 10 renamed columns (P01).
+
+    Customer and salesperson are persons of one table (J24): the names each
+    role shows are put together once, then the two roles are looked up.
+    """
+    person = usuario.select(
+        "usuario_id", F.col("numero_identificacion").alias("number"),
+        concat_strict("nombre_completo", "primer_apellido", "segundo_apellido", sep=" ").alias("as_customer"),
+        concat_strict("primer_apellido", "nombre_completo", "segundo_apellido", sep=" ").alias("as_seller"))
+    customer = person.select(F.col("usuario_id").alias("tercero_id"), F.col("number").alias("Nit"),
+                             F.col("as_customer").alias("Razon_Social_Cliente"))
+    seller = person.select(F.col("usuario_id").alias("vendedor_id"), F.col("number").alias("Codigo_Vendedor"),
+                           F.col("as_seller").alias("Des_vendedor"))
+    branch = sucursal.select("sucursal_id", F.col("numero_sucursal").alias("Codigo_Sucursal"))
+    found = (nonzero_coordinates(visita, "longitud", "latitud")
+             .join(branch, "sucursal_id").join(customer, "tercero_id").join(seller, "vendedor_id"))
+    return found.select(
+        F.col("longitud").alias("Logintud"), F.col("latitud").alias("Latitud"),
+        F.col("fecha_inicio").alias("Inicio_Visita"), F.col("fecha_final").alias("Finalizacion_Visita"),
+        "Razon_Social_Cliente", concat_strict("Nit", "Codigo_Sucursal", sep="-").alias("ID_TERCERO"),
+        "Nit", "Codigo_Sucursal", "Codigo_Vendedor", "Des_vendedor")
 
 
 # Fixed values of the client extract.
@@ -79,73 +78,81 @@ def _coordinate_rows(t752: DataFrame, t742: DataFrame, t753: DataFrame, t743: Da
     return j.select("_ent", "_fila", "_mov", name)
 
 
+def criteria_lists(criteria: DataFrame, key: list[str]) -> DataFrame:
+    """Per ``key`` one array for each plan with its (code, descr) pairs,
+    from rows (key, plan, code, descr). Pairs stay together and repeats stay."""
+    return criteria.groupBy(*key).agg(*[
+        F.collect_list(F.when(F.col("plan") == plan, F.struct("code", "descr"))).alias(f"_{plan}")
+        for plan in CRITERIA_PLANS])
+
+
+def with_criteria(clients: DataFrame, lists: DataFrame, key: list[str]) -> DataFrame:
+    """Every combination of a client's criteria, one per plan, as the columns of
+    ``CRITERIA_PLANS``; a plan without criteria gives nulls (left joins)."""
+    out = clients.join(lists, key, "left")
+    for plan, (code, descr) in CRITERIA_PLANS.items():
+        out = out.withColumn(f"_{plan}", F.explode_outer(f"_{plan}"))
+        if code:
+            out = out.withColumn(code, F.col(f"_{plan}.code").cast("string"))
+        out = out.withColumn(descr, F.col(f"_{plan}.descr")).drop(f"_{plan}")
+    return out
+
+
+def _criteria(t207: DataFrame, t206: DataFrame, t204: DataFrame) -> DataFrame:
+    """Criteria with their descriptions, once for all plans. The plan table adds
+    no column, but a plan listed several times repeats its rows, as joins with
+    it would."""
+    known = t206.select(F.col("F206_ID_CIA").alias("cia"), F.col("F206_ID_PLAN").alias("plan"),
+                        F.col("F206_ID").alias("crit"), F.col("F206_ID").alias("code"),
+                        F.col("F206_DESCRIPCION").alias("descr"))
+    copies = (t204.groupBy(F.col("F204_ID_CIA").alias("cia"), F.col("F204_ID").alias("plan"))
+              .agg(F.count(F.lit(1)).cast("int").alias("copies")))
+    rows = t207.select(F.col("F207_ID_CIA").alias("cia"), F.col("F207_ROWID_TERCERO").alias("third"),
+                       F.col("F207_ID_SUCURSAL").alias("branch"), F.col("F207_ID_PLAN_CRITERIOS").alias("plan"),
+                       F.col("F207_ID_CRITERIO_MAYOR").alias("crit"))
+    rows = rows.join(known, ["cia", "plan", "crit"], "left").join(copies, ["cia", "plan"], "left")
+    times = F.when(F.col("code").isNull(), 1).otherwise(F.coalesce("copies", F.lit(1)))
+    return (rows.withColumn("_i", F.explode(F.array_repeat(F.lit(1), times)))
+            .select("third", "branch", "plan", "code", "descr"))
+
+
 def client_extract(t200: DataFrame, t201: DataFrame, t750: DataFrame, t752: DataFrame,
                    t742: DataFrame, t753: DataFrame, t743: DataFrame, t207: DataFrame,
-                   t206: DataFrame, company: int = COMPANY_ID,
+                   t206: DataFrame, t204: DataFrame, company: int = COMPANY_ID,
                    entities=ENTITY_IDS) -> DataFrame:
     """Q01: the 18-column client table.
 
-    Third party x customer (J20), the movement rows of the customer's
-    entity movement restricted to ``entities`` (F06), longitude and latitude
-    from the EAV columns (J22/J23), and the classification criteria of four
-    plans (J21).  The plan-criteria table T204 of the reference is joined
-    four times without any column used; it is left out (it can only add
-    copies if its (company, plan) key were not unique).
+    Customers of the company with their third party (J20), the movement rows of
+    the kept entities (F06), longitude and latitude among the rows' attributes
+    (J22, J23), and the criteria of four plans (J21), which are joined once and
+    opened per plan.
     """
     from visitwise.operators.eav import LATITUDE_ATTRS, LONGITUDE_ATTRS
-    a = t200.where(F.col("F200_ID_CIA") == company).alias("t200")
-    b = t201.alias("t201")
-    base = (a.join(b, (F.col("t201.F201_ID_CIA") == F.col("t200.F200_ID_CIA"))
-                   & (F.col("t201.F201_ROWID_TERCERO") == F.col("t200.F200_ROWID")))
-            .join(t750.alias("t750"), F.col("t201.F201_ROWID_MOVTO_ENTIDAD") == F.col("t750.F750_ROWID"))
-            .join(t752.alias("t752"), F.col("t750.F750_ROWID") == F.col("t752.F752_ROWID_MOVTO_ENTIDAD"))
-            .join(t742.where(F.col("F742_ROWID").isin(*entities)).alias("t742"),
-                  F.col("t752.F752_ROWID_ENTIDAD") == F.col("t742.F742_ROWID")))
-    lg = _coordinate_rows(t752, t742, t753, t743, LONGITUDE_ATTRS, "LONGITUD").alias("lg")
-    lt = _coordinate_rows(t752, t742, t753, t743, LATITUDE_ATTRS, "LATITUD").alias("lt")
-
-    def on(x):
-        return ((F.col(f"{x}._ent") == F.col("t742.F742_ROWID"))
-                & (F.col(f"{x}._fila") == F.col("t752.F752_ROWID"))
-                & (F.col(f"{x}._mov") == F.col("t750.F750_ROWID")))
-    base = base.join(lg, on("lg")).join(lt, on("lt"))
-
-    # Criteria with their descriptions, one row per (third party,
-    # branch, plan); four plans as four left joins of the same small frame
-    crit = (t207.alias("c").join(
-        t206.alias("m"),
-        (F.col("m.F206_ID_CIA") == F.col("c.F207_ID_CIA"))
-        & (F.col("m.F206_ID_PLAN") == F.col("c.F207_ID_PLAN_CRITERIOS"))
-        & (F.col("m.F206_ID") == F.col("c.F207_ID_CRITERIO_MAYOR")), "left")
-        .select(F.col("c.F207_ROWID_TERCERO").alias("_t"), F.col("c.F207_ID_SUCURSAL").alias("_s"),
-                F.col("c.F207_ID_PLAN_CRITERIOS").alias("_p"),
-                F.col("m.F206_ID").alias("_id"), F.col("m.F206_DESCRIPCION").alias("_d")))
-    out = base
-    for plan in CRITERIA_PLANS:
-        x = crit.where(F.col("_p") == plan).select(
-            F.col("_t").alias(f"_t{plan}"), F.col("_s").alias(f"_s{plan}"),
-            F.col("_id").alias(f"_id{plan}"), F.col("_d").alias(f"_d{plan}"))
-        out = out.join(x, (F.col(f"_t{plan}") == F.col("t201.F201_ROWID_TERCERO"))
-                       & (F.col(f"_s{plan}") == F.col("t201.F201_ID_SUCURSAL")), "left")
-    return out.select(
-        F.col("t200.F200_ID_CIA").alias("COD_CIA"),
-        F.col("t200.F200_ROWID").alias("ROWID_TERCERO"),
-        F.col("t200.F200_NIT").alias("NIT_TERCERO"),
-        concat_strict("t200.F200_NIT", "t201.F201_ID_SUCURSAL", sep="-").alias("ID_TERCERO"),
-        F.col("t200.F200_RAZON_SOCIAL").alias("RAZON_SOCIAL"),
-        F.col("t201.F201_ID_SUCURSAL").alias("COD_SUCURSAL_CLIENTE"),
-        F.col("t201.F201_DESCRIPCION_SUCURSAL").alias("DES_SUCURSAL_CLIENTE"),
-        F.col("t201.F201_IND_ESTADO_ACTIVO").alias("IND_ESTADO_ACTIVO_CLIENTE"),
-        F.col("_id001").cast("string").alias("COD_DIA_VISITA"),
-        F.col("_d001").alias("DES_DIA_VISITA"),
-        F.col("t201.F201_ID_CO_FACTURA").alias("COD_CO"),
-        F.col("_id002").cast("string").alias("COD_FRECUENCIA_VISITA"),
-        F.col("_d002").alias("DES_FRECUENCIA_VISITA"),
-        F.col("_idVEN").alias("COD_VENDEDOR"),
-        F.col("_dVEN").alias("DES_VENDEDOR"),
-        F.col("_dCCD").alias("COD_CANAL"),
-        F.col("lg.LONGITUD").alias("LONGITUD"),
-        F.col("lt.LATITUD").alias("LATITUD"))
+    third = t200.where(F.col("F200_ID_CIA") == company).select(
+        F.col("F200_ID_CIA").alias("COD_CIA"), F.col("F200_ROWID").alias("ROWID_TERCERO"),
+        F.col("F200_NIT").alias("NIT_TERCERO"), F.col("F200_RAZON_SOCIAL").alias("RAZON_SOCIAL"))
+    customer = t201.select(
+        F.col("F201_ID_CIA").alias("COD_CIA"), F.col("F201_ROWID_TERCERO").alias("ROWID_TERCERO"),
+        F.col("F201_ID_SUCURSAL").alias("COD_SUCURSAL_CLIENTE"),
+        F.col("F201_DESCRIPCION_SUCURSAL").alias("DES_SUCURSAL_CLIENTE"),
+        F.col("F201_IND_ESTADO_ACTIVO").alias("IND_ESTADO_ACTIVO_CLIENTE"),
+        F.col("F201_ID_CO_FACTURA").alias("COD_CO"), F.col("F201_ROWID_MOVTO_ENTIDAD").alias("_mov"))
+    rows = (t752.select(F.col("F752_ROWID").alias("_fila"), F.col("F752_ROWID_MOVTO_ENTIDAD").alias("_mov"),
+                        F.col("F752_ROWID_ENTIDAD").alias("_ent")).where(F.col("_ent").isin(*entities))
+            .join(t742.select(F.col("F742_ROWID").alias("_ent")), "_ent")
+            .join(t750.select(F.col("F750_ROWID").alias("_mov")), "_mov"))
+    place = ["_ent", "_fila", "_mov"]
+    located = (rows.join(_coordinate_rows(t752, t742, t753, t743, LONGITUDE_ATTRS, "LONGITUD"), place)
+               .join(_coordinate_rows(t752, t742, t753, t743, LATITUDE_ATTRS, "LATITUD"), place))
+    key = ["ROWID_TERCERO", "COD_SUCURSAL_CLIENTE"]
+    lists = (criteria_lists(_criteria(t207, t206, t204), ["third", "branch"])
+             .withColumnsRenamed({"third": key[0], "branch": key[1]}))
+    found = with_criteria(third.join(customer, ["COD_CIA", "ROWID_TERCERO"]).join(located, "_mov"), lists, key)
+    return found.withColumn("ID_TERCERO", concat_strict("NIT_TERCERO", "COD_SUCURSAL_CLIENTE", sep="-")).select(
+        "COD_CIA", "ROWID_TERCERO", "NIT_TERCERO", "ID_TERCERO", "RAZON_SOCIAL", "COD_SUCURSAL_CLIENTE",
+        "DES_SUCURSAL_CLIENTE", "IND_ESTADO_ACTIVO_CLIENTE", "COD_DIA_VISITA", "DES_DIA_VISITA", "COD_CO",
+        "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA", "COD_VENDEDOR", "DES_VENDEDOR", "COD_CANAL",
+        "LONGITUD", "LATITUD")
 
 
 def calendar_load(spark, csv_path: str, out_path: str) -> DataFrame:
@@ -162,7 +169,7 @@ CLIENT_SOURCE_TABLES = {"t200": "T200_MM_TERCEROS", "t201": "T201_MM_CLIENTES",
                         "t750": "T750_MM_MOVTO_ENTIDAD", "t752": "T752_MM_MOVTO_ENTIDAD_FILA",
                         "t742": "T742_MM_ENTIDAD", "t753": "T753_MM_MOVTO_ENTIDAD_COLUMNA",
                         "t743": "T743_MM_ENTIDAD_ATRIBUTO", "t207": "T207_MM_CRITERIOS_CLIENTES",
-                        "t206": "T206_MM_CRITERIOS_MAYORES"}
+                        "t206": "T206_MM_CRITERIOS_MAYORES", "t204": "T204_MM_PLANES_CRITERIOS"}
 VISIT_SOURCE_TABLES = {"visita": "VISITA", "usuario": "USUARIO", "sucursal": "SUCURSAL"}
 
 

@@ -122,10 +122,6 @@ def f04_year(spark, sf):
 _PREFIX_RE = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?"
 
 
-def _prefix_num(c):
-    return F.coalesce(F.regexp_extract(c, _PREFIX_RE, 0).try_cast("double"), F.lit(0.0))
-
-
 def _sql_prefix_num(x):
     return f"COALESCE(TRY_CAST(regexp_extract({x}, '{_PREFIX_RE}', 0) AS DOUBLE), 0.0)"
 
@@ -137,9 +133,8 @@ def f07_nonzero_text(spark, sf):
     """``longitud != 0 AND latitud != 0`` on text coordinates with the
     numeric-prefix rule of the source database (``-74,12`` is -74, text
     without digits is 0, null is dropped); no ANSI cast error."""
-    v = D.visits_raw(spark, sf)
-    return v.where(F.col("Logintud").isNotNull() & F.col("Latitud").isNotNull()
-                   & (_prefix_num(F.col("Logintud")) != 0) & (_prefix_num(F.col("Latitud")) != 0))
+    from visitwise.plans.extract import nonzero_coordinates
+    return nonzero_coordinates(D.visits_raw(spark, sf), "Logintud", "Latitud")
 
 
 # ------------------------------------------------------------ scalar families
@@ -606,29 +601,18 @@ def _role_sql():
     return f"SELECT c.c_custkey, {', '.join(cols)} FROM customer c {' '.join(parts)}"
 
 
-ROLE_COLUMNS = [("001", "COD_DIA_VISITA", "DES_DIA_VISITA"),
-                ("002", "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
-                ("CCD", None, "COD_CANAL"), ("VEN", "COD_VENDEDOR", "DES_VENDEDOR")]
-
-
 @register("j21_role_left", _role_sql())
 def j21_role_left(spark, sf):
-    """Classification criteria of four plans per client - the
-    reference's four aliased left joins, as one join of criteria with their
-    descriptions pivoted by plan (one shuffle instead of four)."""
+    """Classification criteria of four plans per client: criteria meet
+    their descriptions once, are gathered per client and plan, and opened plan
+    by plan, so every combination stays and codes keep their descriptions."""
+    from visitwise.plans.extract import CRITERIA_PLANS, criteria_lists, with_criteria
     crit, desc = _criteria(spark, sf)
-    # descriptions: one row per (plan, criterion) - tiny next to the criteria
-    cd = crit.join(desc, ["plan", "crit"], "inner")
-    aggs = []
-    for plan, code_col, desc_col in ROLE_COLUMNS:
-        if code_col:
-            aggs.append(F.max(F.when(F.col("plan") == plan, F.col("crit"))).alias(code_col))
-        aggs.append(F.max(F.when(F.col("plan") == plan, F.col("descr"))).alias(desc_col))
-    piv = cd.groupBy("custkey").agg(*aggs)
+    rows = crit.join(desc, ["plan", "crit"], "left").select(
+        F.col("custkey").alias("c_custkey"), "plan", F.when(F.col("descr").isNotNull(), F.col("crit")).alias("code"), "descr")
     c = D.table(spark, sf, "customer").select("c_custkey")
-    out = c.join(piv, c.c_custkey == piv.custkey, "left").drop("custkey")
-    order = ["c_custkey"] + [x for p, a, b in ROLE_COLUMNS for x in (a, b) if x]
-    return out.select(*order)
+    out = with_criteria(c, criteria_lists(rows, ["c_custkey"]), ["c_custkey"])
+    return out.select("c_custkey", *[x for pair in CRITERIA_PLANS.values() for x in pair if x])
 
 
 def _extract_tables(spark, sf):
@@ -664,18 +648,24 @@ _USUARIO_SQL = ("(SELECT c_custkey AS usuario_id, c_name AS nombre_completo, c_m
 _SUCURSAL_SQL = "(SELECT s_suppkey AS sucursal_id, lpad(CAST(s_suppkey AS VARCHAR), 3, '0') AS numero_sucursal FROM supplier)"
 
 
-@register("j24_role_inner",
-          f"SELECT visita.longitud AS Logintud, visita.latitud AS Latitud, visita.fecha_inicio AS Inicio_Visita, "
-          f"visita.fecha_final AS Finalizacion_Visita, "
-          f"tercero.nombre_completo || ' ' || tercero.primer_apellido || ' ' || tercero.segundo_apellido AS Razon_Social_Cliente, "
-          f"tercero.numero_identificacion || '-' || sucursal.numero_sucursal AS ID_TERCERO, "
-          f"tercero.numero_identificacion AS Nit, sucursal.numero_sucursal AS Codigo_Sucursal, "
-          f"vendedor.numero_identificacion AS Codigo_Vendedor, "
-          f"vendedor.primer_apellido || ' ' || vendedor.nombre_completo || ' ' || vendedor.segundo_apellido AS Des_vendedor "
-          f"FROM {_VISITA_SQL} visita JOIN {_USUARIO_SQL} tercero ON visita.tercero_id = tercero.usuario_id "
-          f"JOIN {_USUARIO_SQL} vendedor ON visita.vendedor_id = vendedor.usuario_id "
-          f"JOIN {_SUCURSAL_SQL} sucursal ON visita.sucursal_id = sucursal.sucursal_id "
-          f"WHERE {_sql_prefix_num('visita.longitud')} <> 0 AND {_sql_prefix_num('visita.latitud')} <> 0")
+_J24_SQL = f"""
+WITH person AS (
+  SELECT usuario_id AS who, numero_identificacion AS number,
+         nombre_completo || ' ' || primer_apellido || ' ' || segundo_apellido AS customer_name,
+         primer_apellido || ' ' || nombre_completo || ' ' || segundo_apellido AS seller_name
+  FROM {_USUARIO_SQL} u),
+stop AS (
+  SELECT * FROM {_VISITA_SQL} s
+  WHERE {_sql_prefix_num('longitud')} <> 0 AND {_sql_prefix_num('latitud')} <> 0)
+SELECT longitud AS Logintud, latitud AS Latitud, fecha_inicio AS Inicio_Visita, fecha_final AS Finalizacion_Visita,
+       buyer.customer_name AS Razon_Social_Cliente, buyer.number || '-' || numero_sucursal AS ID_TERCERO,
+       buyer.number AS Nit, numero_sucursal AS Codigo_Sucursal, seller.number AS Codigo_Vendedor,
+       seller.seller_name AS Des_vendedor
+FROM stop JOIN {_SUCURSAL_SQL} branch USING (sucursal_id)
+     JOIN person buyer ON buyer.who = tercero_id JOIN person seller ON seller.who = vendedor_id"""
+
+
+@register("j24_role_inner", _J24_SQL)
 def j24_role_inner(spark, sf):
     """The visit extract - visit x user (as customer) x user (as
     salesperson) x branch, inner; F07 filter; C26 concatenations."""
@@ -1155,61 +1145,48 @@ def _extract_sources(spark, sf):
     t206 = (crit.select("cia", "plan", "crit").distinct().join(desc, ["plan", "crit"])
             .select(F.col("cia").alias("F206_ID_CIA"), F.col("plan").alias("F206_ID_PLAN"),
                     F.col("crit").alias("F206_ID"), F.col("descr").alias("F206_DESCRIPCION")))
+    t204 = t206.select(F.col("F206_ID_CIA").alias("F204_ID_CIA"), F.col("F206_ID_PLAN").alias("F204_ID")).distinct()
     return dict(t200=t200, t201=t201, t750=t750, t752=t752, t742=t742, t753=t753, t743=t743,
-                t207=t207, t206=t206)
+                t207=t207, t206=t206, t204=t204)
 
 
 def _q01_sql():
-    cia = "CASE WHEN c_custkey % 11 = 0 THEN 3 ELSE 2 END"
-    ent = "CASE WHEN c_custkey % 13 = 0 THEN 999 WHEN c_custkey % 2 = 0 THEN 181 ELSE 201 END"
-    t752 = f"(SELECT c_custkey + 200000 AS F752_ROWID, c_custkey + 100000 AS F752_ROWID_MOVTO_ENTIDAD, {ent} AS F752_ROWID_ENTIDAD FROM customer)"
-    t753 = (f"(SELECT {ent} AS F753_ROWID_ENTIDAD, c_custkey + 200000 AS F753_ROWID_MOVTO_ENTIDAD_FILA, "
-            f"c_custkey + 100000 AS F753_ROWID_MOVTO_ENTIDAD, CASE WHEN {ent} = 201 THEN 901 ELSE 881 END AS F753_ROWID_ENTIDAD_ATRIBUTO, "
-            f"'-74,' || lpad(CAST(c_custkey * 37 % 10000 AS VARCHAR), 4, '0') AS F753_DATO_TEXTO FROM customer "
-            f"UNION ALL SELECT {ent}, c_custkey + 200000, c_custkey + 100000, CASE WHEN {ent} = 201 THEN 902 ELSE 882 END, "
-            f"'4,' || lpad(CAST(c_custkey * 53 % 10000 AS VARCHAR), 4, '0') FROM customer "
-            f"UNION ALL SELECT {ent}, c_custkey + 200000, c_custkey + 100000, 0, 'ruido' FROM customer WHERE c_custkey % 17 = 0)")
-    t743 = (f"(SELECT DISTINCT F743_ROWID, F743_ROWID_ENTIDAD FROM (SELECT F753_ROWID_ENTIDAD_ATRIBUTO AS F743_ROWID, "
-            f"F753_ROWID_ENTIDAD AS F743_ROWID_ENTIDAD FROM {t753} a WHERE F753_ROWID_ENTIDAD_ATRIBUTO <> 0 "
-            f"UNION ALL SELECT DISTINCT 950, F752_ROWID_ENTIDAD FROM {t752} b) x)")
-    t207 = (f"(SELECT cu.cia AS F207_ID_CIA, cr.custkey AS F207_ROWID_TERCERO, '001' AS F207_ID_SUCURSAL, "
-            f"cr.plan AS F207_ID_PLAN_CRITERIOS, cr.crit AS F207_ID_CRITERIO_MAYOR FROM {_CRIT_SQL} cr "
-            f"JOIN (SELECT c_custkey AS custkey, {cia} AS cia FROM customer) cu ON cr.custkey = cu.custkey)")
-    t206 = (f"(SELECT cias.cia AS F206_ID_CIA, d.plan AS F206_ID_PLAN, d.crit AS F206_ID, d.descr AS F206_DESCRIPCION "
-            f"FROM {_desc_sql()} d CROSS JOIN (SELECT DISTINCT {cia} AS cia FROM customer) cias)")
-    crit_joins, crit_cols = [], []
-    for al, plan, code_col, desc_col in (("1", "001", "COD_DIA_VISITA", "DES_DIA_VISITA"),
-                                         ("2", "002", "COD_FRECUENCIA_VISITA", "DES_FRECUENCIA_VISITA"),
-                                         ("v", "VEN", "COD_VENDEDOR", "DES_VENDEDOR"),
-                                         ("c", "CCD", None, "COD_CANAL")):
-        crit_joins.append(
-            f"LEFT JOIN {t207} c{al} ON c{al}.F207_ROWID_TERCERO = b.F201_ROWID_TERCERO AND c{al}.F207_ID_SUCURSAL = b.F201_ID_SUCURSAL "
-            f"AND c{al}.F207_ID_PLAN_CRITERIOS = '{plan}' LEFT JOIN {t206} m{al} ON m{al}.F206_ID_CIA = c{al}.F207_ID_CIA "
-            f"AND m{al}.F206_ID_PLAN = c{al}.F207_ID_PLAN_CRITERIOS AND m{al}.F206_ID = c{al}.F207_ID_CRITERIO_MAYOR")
+    """From what the source tables say of a customer: one movement row with an
+    entity, attribute values on it, and one criterion for each plan."""
     return f"""
-SELECT a.F200_ID_CIA AS COD_CIA, a.F200_ROWID AS ROWID_TERCERO, a.F200_NIT AS NIT_TERCERO,
-  a.F200_NIT || '-' || b.F201_ID_SUCURSAL AS ID_TERCERO, a.F200_RAZON_SOCIAL AS RAZON_SOCIAL,
-  b.F201_ID_SUCURSAL AS COD_SUCURSAL_CLIENTE, b.F201_DESCRIPCION_SUCURSAL AS DES_SUCURSAL_CLIENTE,
-  b.F201_IND_ESTADO_ACTIVO AS IND_ESTADO_ACTIVO_CLIENTE, m1.F206_ID AS COD_DIA_VISITA, m1.F206_DESCRIPCION AS DES_DIA_VISITA,
-  b.F201_ID_CO_FACTURA AS COD_CO, m2.F206_ID AS COD_FRECUENCIA_VISITA, m2.F206_DESCRIPCION AS DES_FRECUENCIA_VISITA,
-  mv.F206_ID AS COD_VENDEDOR, mv.F206_DESCRIPCION AS DES_VENDEDOR, mc.F206_DESCRIPCION AS COD_CANAL,
-  lg.F753_DATO_TEXTO AS LONGITUD, lt.F753_DATO_TEXTO AS LATITUD
-FROM (SELECT {cia} AS F200_ID_CIA, c_custkey AS F200_ROWID, CAST(c_custkey AS VARCHAR) AS F200_NIT, c_name AS F200_RAZON_SOCIAL FROM customer) a
-JOIN (SELECT {cia} AS F201_ID_CIA, c_custkey AS F201_ROWID_TERCERO, '001' AS F201_ID_SUCURSAL,
-             'Sucursal ' || c_mktsegment AS F201_DESCRIPCION_SUCURSAL, CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS F201_IND_ESTADO_ACTIVO,
-             '001' AS F201_ID_CO_FACTURA, c_custkey + 100000 AS F201_ROWID_MOVTO_ENTIDAD FROM customer) b
-  ON b.F201_ID_CIA = a.F200_ID_CIA AND b.F201_ROWID_TERCERO = a.F200_ROWID
-JOIN (SELECT c_custkey + 100000 AS F750_ROWID FROM customer) e ON b.F201_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
-JOIN {t752} r ON e.F750_ROWID = r.F752_ROWID_MOVTO_ENTIDAD
-JOIN (SELECT DISTINCT F752_ROWID_ENTIDAD AS F742_ROWID FROM {t752} r2) n ON r.F752_ROWID_ENTIDAD = n.F742_ROWID
-JOIN {t753} lg ON lg.F753_ROWID_ENTIDAD = n.F742_ROWID AND lg.F753_ROWID_MOVTO_ENTIDAD_FILA = r.F752_ROWID AND lg.F753_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
-JOIN {t743} alg ON alg.F743_ROWID_ENTIDAD = n.F742_ROWID
-  AND (CASE WHEN alg.F743_ROWID IN (881, 901) THEN alg.F743_ROWID ELSE 0 END) = lg.F753_ROWID_ENTIDAD_ATRIBUTO
-JOIN {t753} lt ON lt.F753_ROWID_ENTIDAD = n.F742_ROWID AND lt.F753_ROWID_MOVTO_ENTIDAD_FILA = r.F752_ROWID AND lt.F753_ROWID_MOVTO_ENTIDAD = e.F750_ROWID
-JOIN {t743} alt ON alt.F743_ROWID_ENTIDAD = n.F742_ROWID
-  AND (CASE WHEN alt.F743_ROWID IN (882, 902) THEN alt.F743_ROWID ELSE 0 END) = lt.F753_ROWID_ENTIDAD_ATRIBUTO
-{' '.join(crit_joins)}
-WHERE a.F200_ID_CIA = 2 AND n.F742_ROWID IN (181, 201)"""
+WITH client AS (
+  SELECT *, CASE WHEN c_custkey % 11 = 0 THEN 3 ELSE 2 END AS company,
+         CASE WHEN c_custkey % 13 = 0 THEN 999 WHEN c_custkey % 2 = 0 THEN 181 ELSE 201 END AS entity
+  FROM customer),
+attribute AS (
+  SELECT c_custkey, entity, unnest([
+    {{'id': CASE WHEN entity = 201 THEN 901 ELSE 881 END, 'txt': '-74,' || lpad(CAST(c_custkey * 37 % 10000 AS VARCHAR), 4, '0')}},
+    {{'id': CASE WHEN entity = 201 THEN 902 ELSE 882 END, 'txt': '4,' || lpad(CAST(c_custkey * 53 % 10000 AS VARCHAR), 4, '0')}},
+    {{'id': CASE WHEN c_custkey % 17 = 0 THEN 0 END, 'txt': 'ruido'}}]) AS a
+  FROM client),
+defined AS (
+  SELECT DISTINCT entity, unnest([a.id, 950]) AS id FROM attribute WHERE a.id <> 0),
+coordinate AS (
+  -- a value counts once for each defined attribute it meets: its own, or for
+  -- id 0 every attribute of the entity that is none of the coordinate's
+  SELECT c_custkey, axis, a.txt FROM attribute JOIN defined USING (entity)
+  CROSS JOIN (VALUES ('lon', [881, 901]), ('lat', [882, 902])) wanted(axis, ids)
+  WHERE a.id = CASE WHEN list_contains(ids, defined.id) THEN defined.id ELSE 0 END),
+criterion AS (
+  SELECT custkey AS c_custkey,
+         max(crit) FILTER (plan = '001') AS day_code, max(descr) FILTER (plan = '001') AS day,
+         max(crit) FILTER (plan = '002') AS freq_code, max(descr) FILTER (plan = '002') AS freq,
+         max(crit) FILTER (plan = 'VEN') AS seller_code, max(descr) FILTER (plan = 'VEN') AS seller,
+         max(descr) FILTER (plan = 'CCD') AS channel
+  FROM {_CRIT_SQL} k JOIN {_desc_sql()} d USING (plan, crit) GROUP BY custkey)
+SELECT company AS COD_CIA, c_custkey AS ROWID_TERCERO, CAST(c_custkey AS VARCHAR) AS NIT_TERCERO,
+       CAST(c_custkey AS VARCHAR) || '-001' AS ID_TERCERO, c_name AS RAZON_SOCIAL, '001' AS COD_SUCURSAL_CLIENTE,
+       'Sucursal ' || c_mktsegment AS DES_SUCURSAL_CLIENTE, CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS IND_ESTADO_ACTIVO_CLIENTE,
+       day_code AS COD_DIA_VISITA, day AS DES_DIA_VISITA, '001' AS COD_CO, freq_code AS COD_FRECUENCIA_VISITA,
+       freq AS DES_FRECUENCIA_VISITA, seller_code AS COD_VENDEDOR, seller AS DES_VENDEDOR, channel AS COD_CANAL,
+       x.txt AS LONGITUD, y.txt AS LATITUD
+FROM client JOIN coordinate x USING (c_custkey) JOIN coordinate y USING (c_custkey) LEFT JOIN criterion USING (c_custkey)
+WHERE company = 2 AND entity IN (181, 201) AND x.axis = 'lon' AND y.axis = 'lat'"""
 
 
 @register("q01_client_extract", _q01_sql())

@@ -5,12 +5,16 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitwise.session import ensure_checkpoint_dir
 
+TASK_EDGES = 200_000  # edges that one task contracts
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -56,37 +60,56 @@ def _remove_written() -> None:
             return
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def _contracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow on (u, v): every node of the task's edges with the smallest
+    node that these edges connect it to."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for batch in batches:
+        for u, v in zip(*(c.to_pylist() for c in batch.columns)):
+            u, v = find(u), find(v)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+    nodes = list(root)
+    yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(map(find, nodes), pa.int64())], names=["u", "v"])
+
+
+def connected_components(edges: DataFrame, task_edges: int = TASK_EDGES) -> DataFrame:
     """(a, b) long pairs -> (node, component): the smallest node reachable.
 
-    Alternating large-star and small-star steps. Every step is a map-side
-    combined minimum per node and one join, whose hot nodes adaptive
-    execution splits; no node's whole neighbourhood meets in one task.
-    A step's edges are written to the shared folder. Pairs with a null end
-    and self pairs add nothing. Nodes of no pair are absent from the result.
+    Tasks of at most about ``task_edges`` edges contract theirs to stars. While
+    that takes several tasks, a large-star and a small-star step follow and all
+    is done again, until nothing changes. A step is a map-side combined minimum
+    per node and a join, whose hot nodes adaptive execution splits; no node's
+    whole neighbourhood must meet in one task. Edges are written to the shared
+    folder between steps. Pairs with a null end and self pairs add nothing; a
+    node of no other pair may be absent from the result.
     """
-    cur = spill(edges.where("a <> b")
-                .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                .distinct(), "edges")
+    cur = spill(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")), "edges")
     before = None
     while True:
-        sym = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = sym.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
+        tasks = max(1, -(-cur.count() // task_edges))
+        stars = cur.coalesce(tasks).mapInArrow(_contracted, "u long, v long")
+        if tasks == 1:
+            return stars.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        stars = spill(stars.where("u <> v").distinct(), "stars")
+        sym = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: every larger neighbour moves to the smallest of the node's circle
-        large = (sym.join(low, "u").where("v > u and v > m")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = (sym.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         # small star: the same among smaller neighbours, the node included
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u")
-                 .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
-                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-                         .alias("e")).select("e.u", "e.v").where("u <> v").distinct())
-        cur = spill(small, "edges")
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and tuple(now) == before:
-            break
-        before = tuple(now)
-    return (cur.groupBy("u").agg(F.min("v").alias("component"))
-            .withColumnRenamed("u", "node")
-            .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.select("u", F.col("m").alias("v"))))
+        cur = spill(small.distinct(), "edges")
+        now = tuple(cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == before:
+            nodes = cur.groupBy("u").agg(F.min("v").alias("v")).unionByName(
+                cur.select(F.col("v").alias("u"), "v").distinct())
+            return nodes.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        before = now

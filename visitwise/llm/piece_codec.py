@@ -4,8 +4,8 @@ The texts of a batch are cut where no piece of the vocabulary can cross (before
 a blank that follows something else, if no piece holds such a place), and each
 different part is encoded once. The parts are concatenated and indexed by a
 suffix array; every piece is binary-searched in it for its range of
-occurrences; the occurrences are edges (start, end, piece), sorted by end
-position; then the edges are relaxed from left to right.
+occurrences; the occurrences are edges (start, end, piece), sorted by the
+position of their end; then the edges are relaxed from left to right.
 
 The model is a BPE model, where the best path is not the one of the largest
 sum of scores. What decides is that an encoding's prefixes are encodings too,
@@ -33,8 +33,8 @@ from .base import only
 
 BLANK = "▁"
 CACHE_ENTRIES = 300_000
-PAIR_ENTRIES = 4_000_000
-INDEX_CHARS = 1_000_000  # characters of one suffix array
+PAIR_ENTRIES = 1_500_000
+INDEX_CHARS = 500_000  # characters of one suffix array
 
 
 def piece_model_path() -> str:
@@ -72,6 +72,7 @@ class PieceCodec:
             row[:len(n)] = np.frombuffer(n.encode("utf-32-le"), np.uint32)
         self.piece_ids, self.piece_lengths, self.piece_chars = ids, lengths, chars
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
     # -- encoding ---------------------------------------------------------
@@ -112,46 +113,47 @@ class PieceCodec:
 
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, piece) of every occurrence of every piece in ``text``
-        (code points), sorted by end."""
+        (code points), piece by piece."""
         depth = self.piece_chars.shape[1]
-        # suffixes in the order of their first `depth` characters, by doubling ranks
-        _, rank = np.unique(text, return_inverse=True)
-        order, reach = None, 1
-        while True:
-            if reach >= depth:
-                order = np.argsort(rank, kind="stable")
-                break
-            behind = np.zeros(len(rank), np.int64)
-            behind[:-reach] = rank[reach:] + 1 if reach < len(rank) else 0
-            _, rank = np.unique(rank.astype(np.int64) * (len(text) + 2) + behind, return_inverse=True)
-            reach *= 2
-        padded = np.concatenate([text, np.zeros(depth, np.uint32)])
+        alphabet, rank = np.unique(text, return_inverse=True)
+        # suffixes in the order of their first `depth` characters: the ranks of
+        # several characters make one sort key; 0 stands behind the end
+        bits = int(len(alphabet)).bit_length()
+        each = 62 // bits
+        padded = np.concatenate([rank.astype(np.int64) + 1, np.zeros(depth + each, np.int64)])
+        keys = []
+        for at in range(0, depth, each):
+            key = np.zeros(len(text), np.int64)
+            for i in range(at, at + each):
+                key = key << bits | padded[i:i + len(text)]
+            keys.append(key)
+        order = np.lexsort(keys[::-1])
+        # only pieces of characters that occur, in the same ranks
+        place = np.minimum(np.searchsorted(alphabet, self.piece_chars), len(alphabet) - 1)
+        behind = np.arange(depth)[None, :] >= self.piece_lengths[:, None]
+        able = np.nonzero(((alphabet[place] == self.piece_chars) | behind).all(axis=1))[0]
+        wanted, inside = place[able] + 1, ~behind[able]
 
         def search(after: bool) -> np.ndarray:
             """For each piece the first suffix not below it (or not beginning with it, behind)."""
-            lo = np.zeros(len(self.piece_ids), np.int64)
-            hi = np.full(len(self.piece_ids), len(text), np.int64)
-            inside = np.arange(depth)[None, :] < self.piece_lengths[:, None]
+            lo = np.zeros(len(able), np.int64)
+            hi = np.full(len(able), len(text), np.int64)
             while (open_ := np.nonzero(lo < hi)[0]).size:
                 mid = (lo[open_] + hi[open_]) // 2
                 have = padded[order[mid][:, None] + np.arange(depth)[None, :]]
-                want, mask = self.piece_chars[open_], inside[open_]
-                differs = (have != want) & mask
-                at = differs.argmax(axis=1)
-                some = differs[np.arange(len(at)), at]
-                row = np.arange(len(at))
-                below = np.where(some, have[row, at] < want[row, at], after)
+                want = wanted[open_]
+                differs = (have != want) & inside[open_]
+                row, at = np.arange(len(open_)), differs.argmax(axis=1)
+                below = np.where(differs[row, at], have[row, at] < want[row, at], after)
                 lo[open_] = np.where(below, mid + 1, lo[open_])
                 hi[open_] = np.where(below, hi[open_], mid)
             return lo
 
         first, last = search(False), search(True)
         count = last - first
-        piece = np.repeat(np.arange(len(count)), count)
+        piece = np.repeat(able, count)
         start = order[np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
-        end = start + self.piece_lengths[piece]
-        by_end = np.argsort(end, kind="stable")
-        return start[by_end], end[by_end], self.piece_ids[piece[by_end]]
+        return start, start + self.piece_lengths[piece], self.piece_ids[piece]
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids (little-endian uint32) of each part: one index over all of them."""
@@ -167,42 +169,65 @@ class PieceCodec:
         odd = np.nonzero(single & (local < lengths[owner]))[0]
         start, end = np.concatenate([start, odd]), np.concatenate([end, odd + 1])
         token = np.concatenate([token, text[odd].astype(np.int64) + self.size])
-        # relax all parts at once, by the place of the end within its part
-        place = end - offset[owner[start]]
+        # edges by position: the end's place within its part; all parts are relaxed at once
+        place = (end - offset[owner[start]]).astype(np.uint16 if lengths.max() < 1 << 16 else np.uint32)
         step = np.argsort(place, kind="stable")
+        start, end, token = start[step], end[step], token[step]
         bounds = np.searchsorted(place[step], np.arange(1, lengths.max() + 2))
         last = np.full(len(text) + 1, -1, np.int64)  # the piece that ends here, by text position of its end
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            at = step[a:b]
-            s = start[at]
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            s = start[a:b]
             head = local[s] == 0
-            reached = head | (last[s] >= 0)
-            at, s, head = at[reached], s[reached], head[reached]
-            passed = self._passes(np.where(head, -1, last[s]), token[at])
-            last[end[at[passed]]] = token[at[passed]]
-        out, back = [], last.tolist()
-        for o, n in zip(offset.tolist(), lengths.tolist()):
-            ids, pos = [], o + n
-            while pos > o:
-                t = back[pos]
-                if t < self.size:
-                    ids.append(t)
-                    pos -= len(self.names[t])
-                else:
-                    raw = chr(t - self.size).encode("utf-8", "surrogatepass")
-                    ids += [self.byte_id[b] for b in reversed(raw)] if self.byte_id else [self.unknown]
-                    pos -= 1
-            out.append(np.array(ids[::-1], "<u4").tobytes())
+            before = np.where(head, -1, last[s])
+            live = np.nonzero(head | (before >= 0))[0]
+            live = live[self._passes(before[live], token[a:b][live])]
+            last[end[a:b][live]] = token[a:b][live]
+        # back from every part's end, one piece a round
+        widths = np.ones(self.size + 1, np.int64)
+        widths[self.piece_ids] = self.piece_lengths
+        pos, active, rounds = offset + lengths, np.arange(len(parts)), []
+        while active.size:
+            got = last[pos[active]]
+            rounds.append((active, got))
+            pos[active] -= widths[np.minimum(got, self.size)]
+            active = active[pos[active] > offset[active]]
+        part = np.concatenate([a for a, _ in rounds][::-1])
+        found = np.concatenate([t for _, t in rounds][::-1])
+        found = found[np.argsort(part, kind="stable")]
+        ends = np.cumsum(np.bincount(part, minlength=len(parts))).tolist()
+        flat, out, at = found.astype("<u4").tobytes(), [], 0
+        strange = set(part[np.concatenate([t for _, t in rounds][::-1]) >= self.size].tolist())
+        for i, to in enumerate(ends):
+            out.append(self._spelled(found[at:to].tolist()) if i in strange else flat[4 * at:4 * to])
+            at = to
         return out
 
+    def _spelled(self, tokens: list[int]) -> bytes:
+        """Ids with unknown characters as their bytes' pieces."""
+        ids = []
+        for t in tokens:
+            if t < self.size:
+                ids.append(t)
+            else:
+                raw = chr(t - self.size).encode("utf-8", "surrogatepass")
+                ids += [self.byte_id[b] for b in raw] if self.byte_id else [self.unknown]
+        return np.array(ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text (little-endian uint32), equal to the model's own."""
         marked = [BLANK + t.replace(" ", BLANK) if t else "" for t in texts]
         cut = [(self.parts.split(t) if self.parts else [t]) if t else [] for t in marked]
+        # two generations of known parts: what is in use survives when the table is full
         if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        new = list({p for c in cut for p in c if p not in known})
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for part in set().union(*cut):
+            if part not in known:
+                ids = older.get(part)
+                if ids is None:
+                    new.append(part)
+                else:
+                    known[part] = ids
         at = 0
         while at < len(new):  # indexes of bounded size; a longer part has its own
             to, held = at, 0
@@ -211,7 +236,7 @@ class PieceCodec:
                 to += 1
             known.update(zip(new[at:to], self._encode_parts(new[at:to])))
             at = to
-        return [b"".join([known[p] for p in c]) for c in cut]
+        return [b"".join(map(known.__getitem__, c)) for c in cut]
 
     # -- decoding ---------------------------------------------------------
 

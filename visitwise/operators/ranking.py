@@ -59,28 +59,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _valid(df: DataFrame, keys: list[str], value: str) -> Column:
-    v = F.col(value)
-    conds = [F.col(k).isNotNull() for k in keys] + [v.isNotNull()]
-    if dict(df.dtypes)[value] in ("double", "float"):
-        conds.append(~F.isnan(v))
-    return _all(conds)
-
-
 def _stack(df: DataFrame, keys: list[str], specs, row_id: str | None = None) -> DataFrame:
+    """One row per value to rank, from one pass over ``df``: rows with a null
+    key and null or NaN values are left out."""
     types = dict(df.dtypes)
-    parts = []
+    cells = []
     for i, (value, _, method, desc) in enumerate(specs):
         if method not in ("dense", "min"):
             raise ValueError(method)
         if types[value] not in ("double", "float", "int", "smallint", "tinyint"):
             raise TypeError(f"{value}: stacked ranks need values exact as double")
         v = F.col(value).cast("double")
-        cols = ([row_id] if row_id else []) + list(keys)
-        parts.append(df.where(_valid(df, keys, value))
-                     .select(*cols, F.lit(i).alias("_metric"), v.alias("_v"),
-                             (-v if desc else v).alias("_s")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        cells.append(F.struct(F.lit(i).alias("_metric"), v.alias("_v"), (-v if desc else v).alias("_s")))
+    own = ([row_id] if row_id else []) + list(keys)
+    return (df.where(_all([F.col(k).isNotNull() for k in keys]))
+            .select(*own, F.explode(F.array(*cells)).alias("_c")).select(*own, "_c.*")
+            .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
 
 
 def ranks_stacked(df: DataFrame, keys, specs) -> DataFrame:
@@ -149,10 +143,14 @@ def attach_stacked_ranks(df: DataFrame, row_id: str, keys, specs) -> DataFrame:
     """All ranks of ``specs`` as new columns of a frame with a unique
     ``row_id``: the stacked ``(row id, keys, metric, value)`` rows look their
     rank up in one join, a pivot by row id turns them into columns, and the
-    wide rows meet them in one join on the row id (shuffled once)."""
+    wide rows meet them in one join on the row id (shuffled once). Row id,
+    keys and values are written once as a narrow frame, so the wide frame is
+    read twice in all: for the narrow one and for the join."""
     keys = list(keys)
-    ranks = ranks_stacked(df, keys, specs)
-    rows = _stack(df, keys, specs, row_id).drop("_s")
+    values = [v for v in dict.fromkeys(value for value, *_ in specs) if v not in keys]
+    narrow = materialize(df.select(row_id, *keys, *values))
+    ranks = ranks_stacked(narrow, keys, specs)
+    rows = _stack(narrow, keys, specs, row_id).drop("_s")
     looked = rows.join(ranks, [*keys, "_metric", "_v"], "inner")
     piv = looked.groupBy(row_id).agg(*[
         F.max(F.when(F.col("_metric") == i, F.col("_r"))).alias(name)

@@ -116,9 +116,9 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, keep_id IS NULL) AS kept,
                sha256(body) AS text_sha256 FROM g""",
     "op7_exact_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v FROM embeddings
+        WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding] AS v FROM embeddings
                    WHERE embedding IS NOT NULL
-                     AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+                     AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
              s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
                    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER

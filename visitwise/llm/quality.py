@@ -75,7 +75,8 @@ def _context_sums(buckets: int, dimensions: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = index_places(buckets, dimensions)
         total = np.zeros((buckets, dimensions), np.int64)
-        held, size = [], 0
+        held: list[np.ndarray] = []
+        size = 0
 
         def add() -> None:
             if held:
@@ -83,20 +84,25 @@ def _context_sums(buckets: int, dimensions: int, window: int):
                              places, signs, window)
                 held.clear()
 
+        def rows() -> Iterator[pa.RecordBatch]:
+            seen = np.nonzero(total.any(axis=1))[0]
+            if len(seen):
+                yield pa.record_batch([pa.array(seen // BLOCK, pa.int64()), pa.array(seen % BLOCK, pa.int64()),
+                                       pa.array([total[i].astype(np.int32).tobytes() for i in seen], pa.binary())],
+                                      names=["block", "at", "sums"])
+            total[:] = 0
+
         for batch in batches:
             for body in batch.column(0):
-                words = word_buckets(body.as_py() or "", buckets)
-                held.append(words)
-                size += len(words)
+                held.append(word_buckets(body.as_py() or "", buckets))
+                size += len(held[-1])
                 if size > _CHUNK:
                     add()
                     size = 0
+                    if np.abs(total).max() >= 1 << 30:  # before 32 bits are too few
+                        yield from rows()
         add()
-        seen = np.nonzero(total.any(axis=1))[0]
-        if len(seen):
-            yield pa.record_batch([pa.array(seen // BLOCK, pa.int64()), pa.array(seen % BLOCK, pa.int64()),
-                                   pa.array([total[i].tobytes() for i in seen], pa.binary())],
-                                  names=["block", "at", "sums"])
+        yield from rows()
     return run
 
 
@@ -107,7 +113,7 @@ def _added(dimensions: int):
         for batch in batches:
             for block, at, sums in zip(*batch.columns):
                 into = blocks.setdefault(block.as_py(), np.zeros((BLOCK, dimensions), np.int64))
-                into[at.as_py()] += np.frombuffer(sums.as_buffer(), np.int64)
+                into[at.as_py()] += np.frombuffer(sums.as_buffer(), np.int32)
         if blocks:
             yield pa.record_batch([pa.array(list(blocks), pa.int64()),
                                    pa.array([b.tobytes() for b in blocks.values()], pa.binary())],

@@ -8,7 +8,8 @@ from probabilities as they will be on new documents.
 
 Terms are words and the beginnings of words. The vocabulary is chosen by the
 chi-squared statistic of each term with each category, counted by Spark over a
-bounded sample of labelled documents. A term gives two features: whether it
+bounded sample of labelled documents; only terms that speak for a category are
+taken, so a text without any of them (an empty one) looks clean. A term gives two features: whether it
 occurs, and how dense it is, so one term in a very long text is seen and a
 chance occurrence in one does not weigh like a habit.
 
@@ -154,7 +155,8 @@ def train(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: s
         if 0 < totals[f"t{y}"] < size:  # a constant category chooses no terms
             a, t = F.col(y), F.lit(totals[f"t{y}"])
             chi = (a * n - F.col("n") * t) ** 2 / (F.col("n") * (n - F.col("n") + 1) * t * (n - t))
-            best |= {r["term"] for r in counts.orderBy(chi.desc(), "term").limit(vocabulary).select("term").collect()}
+            marking = counts.where(a * n > F.col("n") * t)  # more frequent in the category than elsewhere
+            best |= {r["term"] for r in marking.orderBy(chi.desc(), "term").limit(vocabulary).select("term").collect()}
     features = Features(sorted(best))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,8 @@ two, which need no padding.
 from __future__ import annotations
 
 import json
+import re
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +36,7 @@ CAPACITY = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
 POOL = 1024
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000  # of each generation of a table
 OUT_SCHEMA = ("id long, start long, ids binary, doc_tokens long, loss_tokens long, "
               "sequence_id long, offset long")
 
@@ -43,6 +45,29 @@ def word_tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent(dict):
+    """A bounded table of what ``make`` gives: two generations of at most
+    ``limit`` entries, so entries in use survive when the table is full."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.old.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+# printable Latin-1 without blanks and soft hyphens
+_LATIN = re.compile("[!-~¡-¬®-ÿ]*")
+
+
 class WordEncoder:
     """Texts to ids (little-endian uint32 bytes), equal to the tokenizer's own
     ``encode(text, add_special_tokens=False)``.
@@ -72,39 +97,30 @@ class WordEncoder:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.chunks = Recent(self._chunk, CACHE_ENTRIES)
+        self.words = Recent(self._word, CACHE_ENTRIES)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            symbols = word.encode().decode("latin-1").translate(self.alphabet)
-            got = self.words[word] = self._bytes([t.id for t in self.tokenizer.model.tokenize(symbols)])
-        return got
+        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(symbols)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if chunk.isprintable() and "<|" not in chunk and (chunk.isascii() or max(chunk) < "Ā"):
-            return b"".join(map(self._word, self.pattern.findall(chunk.lower())))
-        return self._bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        if not _LATIN.fullmatch(chunk) or "<|" in chunk:
+            return self._bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        if chunk.isalpha():  # one word for the pattern, too
+            return self.words[chunk.lower()]
+        if chunk[:-1].isalpha() and chunk[-1] in ",.":
+            return self.words[chunk[:-1].lower()] + self.words[chunk[-1]]
+        return b"".join(map(self.words.__getitem__, self.pattern.findall(chunk.lower())))
 
     def __call__(self, text: str) -> bytes:
         if not self.by_words:
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(self.chunks) > CACHE_ENTRIES or len(self.words) > CACHE_ENTRIES:
-            self.chunks.clear()
-            self.words.clear()
-        known, chunks = self.chunks, text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            for c in chunks:
-                if c not in known:
-                    known[c] = self._chunk(c)
-            return b"".join([known[c] for c in chunks])
+        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @dataclass(slots=True)

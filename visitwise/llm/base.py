@@ -37,6 +37,14 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(own) for own, src in columns.items()])
 
 
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """An equi-join whose hot keys adaptive execution can split although one
+    side comes grouped by the same keys: the join has a hash of the keys as one
+    more key, so both sides get a shuffle of their own."""
+    own = F.xxhash64(*keys).alias("hash_of_keys")
+    return left.select("*", own).join(right.select("*", own), [*keys, "hash_of_keys"], how).drop("hash_of_keys")
+
+
 def spill(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
     back: lineage ends there, so a lost executor re-reads files instead of

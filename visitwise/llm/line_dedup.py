@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import connected_components, spill
+from .base import connected_components, spill, split_join
 
 DISTANCE = 1
 MIN_CHARS = 20
@@ -251,14 +251,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .unionByName(lines.select("h1", F.explode("probes").alias("key"), F.lit(False).alias("own"))))
     shared = (keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own"))
               .where("lo <> hi and own").select("key"))
-    hot = spill(keys.select("key", "h1").join(shared, "key").distinct(), "shared")
+    hot = spill(split_join(keys.select("key", "h1"), shared, ["key"]).distinct(), "shared")
     # the texts of those lines, by a filter of bounded size and an exact join
     slots = np.zeros(FILTER_SLOTS, bool)
     slots[[r[0] for r in hot.select(F.pmod("h1", F.lit(FILTER_SLOTS))).distinct().collect()]] = True
     texts = (named.select("body").mapInArrow(_wanted_lines(slots, min_chars), "h1 long, line string")
              .groupBy("h1").agg(F.min("line").alias("line")))
     blocks = hot.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    work = (hot.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("h1"), "blocks").cast("int"))
+    work = (split_join(hot, blocks, ["key"]).withColumn("block", F.pmod(F.xxhash64("h1"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
             .select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "h1")
             .join(texts, "h1").select("key", "x", "y", "block", "h1", "line"))
@@ -272,7 +272,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = spill(placed, "placed")
     first = (placed.groupBy("c1", "c2").agg(F.count("*").alias("c"), F.min(F.struct("id", "doc", "n")).alias("first"))
              .where("c > 1").select("c1", "c2", "first"))
-    return (placed.join(first, ["c1", "c2"])
+    return (split_join(placed, first, ["c1", "c2"])
             .where(~(F.struct("id", "doc", "n").eqNullSafe(F.col("first")))).select("doc", "id", "n"))
 
 

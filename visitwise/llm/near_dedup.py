@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import connected_components, only, spill
+from .base import connected_components, only, spill, split_join
 
 SHINGLE_WORDS = 5
 BANDS = 32
@@ -306,7 +306,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     band = classes.select("rep", F.explode("keys").alias("key"))
     hot = band.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("hub")).where("c > 1").select("key", "hub")
-    inside = spill(band.join(hot, "key").select("key", "rep", "hub").distinct(), "members")
+    inside = spill(split_join(band, hot, ["key"]).select("key", "rep", "hub").distinct(), "members")
     odd = classes.select("rep", "n", "odd")
 
     # the full sets of classes that have a candidate, by their representative
@@ -340,7 +340,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = placed(inside.select("key", "rep"))
     mixed = (several.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
              .where("lo <> hi").select("key", F.ceil(F.col("c") / SKETCH_BLOCK).cast("int").alias("blocks")))
-    work = (several.join(mixed, "key").join(odd, "rep")
+    work = (split_join(several, mixed, ["key"]).join(odd, "rep")
             .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
             .select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),

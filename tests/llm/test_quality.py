@@ -66,7 +66,7 @@ def test_temperature_calibrates():
 def test_held_out_accuracy(spark, sf):
     base = sf[:-5] + "0.01"
     out = {r["doc_id"]: r for r in op10_quality(spark, base).collect()}
-    assert len(out) == duckdb.sql(f"select count(*) from '{base}/documents.parquet'").fetchone()[0]
+    assert len(out) == duckdb.sql(f"select count(*) from '{base}/documents.parquet'").fetchall()[0][0]
     labels = duckdb.sql(f"select doc_id, quality from '{base}/labels.parquet'").fetchall()
     held = [(out[i], y) for i, y in labels if zlib.crc32(str(i).encode()) % 3 == 1]
     assert all(r["held_out"] for r, _ in held)

@@ -30,7 +30,7 @@ def test_columns_of_the_contract(spark, sf, name):
     df = QUERIES[name](spark, sf)
     want = COLUMNS.get(int(name[2:].split("_")[0]), "doc_id").split()
     assert set(want) <= set(df.columns)
-    n = duckdb.sql(f"select count(*) from '{sf}/documents.parquet'").fetchone()[0]
+    n = duckdb.sql(f"select count(*) from '{sf}/documents.parquet'").fetchall()[0][0]
     if name not in ("op7_exact_top_k", "op9_vector_packing"):
         assert df.count() == n
 

@@ -136,6 +136,13 @@ def _eligible(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
             yield n, line
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _lines(distance: int, min_chars: int):
     """mapInArrow: (doc, id, body) -> one row per line of at least ``min_chars``
     with its hash; the keys only at a task's first sight of the line."""
@@ -144,7 +151,7 @@ def _lines(distance: int, min_chars: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for n, line in _eligible(text, min_chars):
@@ -163,7 +170,7 @@ def _wanted_lines(slots: np.ndarray, min_chars: int):
     """mapInArrow: body -> (h1, line) of the lines whose slot is set, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for text in batch.column(0).to_pylist():
                 for _, line in _eligible(text, min_chars):

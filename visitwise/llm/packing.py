@@ -36,7 +36,7 @@ CAPACITY = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
 POOL = 1024
-CACHE_ENTRIES = 300_000  # of each generation of a table
+CACHE_ENTRIES = 200_000  # of each generation of a table
 OUT_SCHEMA = ("id long, start long, ids binary, doc_tokens long, loss_tokens long, "
               "sequence_id long, offset long")
 

@@ -50,7 +50,7 @@ _names: dict[str, int] = {}
 def word_buckets(text: str, buckets: int) -> np.ndarray:
     """The hash buckets of a text's words and runs of punctuation, in order."""
     words = _TOKEN.findall(text.lower())
-    if len(_names) > 500_000:
+    if len(_names) > 300_000:
         _names.clear()
     for w in set(words).difference(_names):
         _names[w] = xxhash.xxh3_64_intdigest(w.encode())

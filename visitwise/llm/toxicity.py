@@ -60,7 +60,7 @@ class Features:
 
     def __call__(self, text: str) -> np.ndarray:
         size, known = len(self.place), self.words
-        if len(known) > 500_000:
+        if len(known) > 200_000:
             known.clear()
         counts = Counter(_WORD.findall(text.lower()))
         hits = np.zeros(size)

@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from .base import only
 
 BLANK = "▁"
-CACHE_ENTRIES = 300_000
-PAIR_ENTRIES = 1_500_000
-INDEX_CHARS = 500_000  # characters of one suffix array
+CACHE_ENTRIES = 200_000  # of each generation
+PAIR_ENTRIES = 800_000
+INDEX_CHARS = 400_000  # characters of one suffix array
 
 
 def piece_model_path() -> str:
@@ -65,8 +65,8 @@ class PieceCodec:
         self.parts = re.compile(f"(?<=[^{BLANK}])(?={BLANK})") if not any(
             re.search(f"[^{BLANK}]{BLANK}", n) for n in self.id) else None
         # the pieces as a matrix of characters, filled with zeros behind
-        ids = np.array(list(self.id.values()))
-        lengths = np.array([len(n) for n in self.id])
+        ids = np.array(list(self.id.values()), np.int32)
+        lengths = np.array([len(n) for n in self.id], np.int32)
         chars = np.zeros((len(ids), lengths.max()), np.uint32)
         for row, n in zip(chars, self.id):
             row[:len(n)] = np.frombuffer(n.encode("utf-32-le"), np.uint32)
@@ -127,7 +127,8 @@ class PieceCodec:
             for i in range(at, at + each):
                 key = key << bits | padded[i:i + len(text)]
             keys.append(key)
-        order = np.lexsort(keys[::-1])
+        order = np.lexsort(keys[::-1]).astype(np.int32)
+        del keys
         # only pieces of characters that occur, in the same ranks
         place = np.minimum(np.searchsorted(alphabet, self.piece_chars), len(alphabet) - 1)
         behind = np.arange(depth)[None, :] >= self.piece_lengths[:, None]
@@ -153,7 +154,7 @@ class PieceCodec:
         count = last - first
         piece = np.repeat(able, count)
         start = order[np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
-        return start, start + self.piece_lengths[piece], self.piece_ids[piece]
+        return start, start + self.piece_lengths[piece], self.piece_ids[piece]  # all of 32 bits
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
         """Ids (little-endian uint32) of each part: one index over all of them."""
@@ -166,15 +167,15 @@ class PieceCodec:
         start, end, token = self.edges(text)
         # characters of no piece are edges of their own
         single = np.isin(text, self.piece_chars[self.piece_lengths == 1, 0], invert=True)
-        odd = np.nonzero(single & (local < lengths[owner]))[0]
+        odd = np.nonzero(single & (local < lengths[owner]))[0].astype(np.int32)
         start, end = np.concatenate([start, odd]), np.concatenate([end, odd + 1])
-        token = np.concatenate([token, text[odd].astype(np.int64) + self.size])
+        token = np.concatenate([token, text[odd].astype(np.int32) + np.int32(self.size)])
         # edges by position: the end's place within its part; all parts are relaxed at once
         place = (end - offset[owner[start]]).astype(np.uint16 if lengths.max() < 1 << 16 else np.uint32)
         step = np.argsort(place, kind="stable")
         start, end, token = start[step], end[step], token[step]
         bounds = np.searchsorted(place[step], np.arange(1, lengths.max() + 2))
-        last = np.full(len(text) + 1, -1, np.int64)  # the piece that ends here, by text position of its end
+        last = np.full(len(text) + 1, -1, np.int32)  # the piece that ends here, by text position of its end
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             s = start[a:b]
             head = local[s] == 0

@@ -33,7 +33,7 @@ from .base import only
 
 BLANK = "▁"
 CACHE_ENTRIES = 200_000  # of each generation
-PAIR_ENTRIES = 800_000
+PAIR_ENTRIES = 400_000
 INDEX_CHARS = 400_000  # characters of one suffix array
 
 
@@ -269,8 +269,8 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 ids = codec.encode([t or "" for t in part.column(1).to_pylist()])
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())],
                                       names=["id", "ids"])

@@ -6,7 +6,8 @@ all that its predecessor kept:
 
 1. toxicity: documents that the classifier chain rejects go;
 2. line dedup: repeated lines go, every document stays;
-3. MinHash near-dedup: of each group one document, the smallest doc_id, stays;
+3. MinHash near-dedup at a similarity of 0.80: of each group one document, the
+   smallest doc_id, stays;
 4. secret scans: live-looking secrets are replaced, every document stays;
 5. packing: the texts as pieces of packed token sequences.
 
@@ -27,6 +28,8 @@ from visitwise.llm.queries import packing_digest, toxicity_labels
 from visitwise.llm.secret_scan import redact
 from visitwise.llm.toxicity import toxicity
 
+NEAR_PERCENT = 80  # the near-dedup stage's own threshold; op2 keeps its contract's
+
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
@@ -48,8 +51,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id."""
-    kept = near_duplicates(docs).where("kept").select(F.col("id").alias("doc_id")).distinct()
+    """Of each group of near copies (similarity 0.80 or more) the document with
+    the smallest doc_id."""
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(docs.columns)
 
 

@@ -89,3 +89,24 @@ def test_empty_documents(spark, sf):
     for name, stage in cp.STAGES:
         docs = spill(stage(spark, docs, sf), name)
     assert docs.count() == 0 and isinstance(np.array([]), np.ndarray)
+
+
+def test_near_copies_from_080_go(spark, sf, make):
+    """Copies between 0.80 and 0.85 go in the stage, those below 0.80 stay."""
+    words = [f"w{i}" for i in range(300)]
+    data = []
+    for i, changed in enumerate([0, 6, 7, 8, 5, 6]):  # similarity to the group's first: 0.66 to 1
+        for g in range(4):
+            own = [f"g{g}{w}" for w in words]
+            for k in range(changed):
+                own[k * 31 + 5 + i] = f"x{i}{k}"
+            data.append((g * 100 + i, " ".join(own)))
+    groups = near_brute(data, percent=80)
+    want = sorted(i for i, _, c in groups if c == i)
+    assert want != sorted(i for i, _, c in near_brute(data) if c == i)
+    assert sorted(i for i, _ in rows(cp.near_dedup_stage(spark, make(data), sf))) == want
+
+
+def test_near_dedup_stage_matches_brute_force_at_080(stages):
+    before, after = rows(stages[2]), rows(stages[3])
+    assert sorted(i for i, _ in after) == sorted(i for i, _, c in near_brute(before, percent=80) if c == i)

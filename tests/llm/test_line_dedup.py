@@ -128,3 +128,30 @@ def test_lines_within_the_distance_share_a_key(a, edits, most):
         long, short = (a, b) if len(a) >= len(b) else (b, a)
         own, probes = ld.segment_keys(long, most)
         assert set(own + probes) & set(ld.segment_keys(short, most)[0])
+
+
+def test_short_lines_take_part_by_hash(spark, make):
+    rows = [(1, "Share\nTweet\n\na line of more than twenty characters"), (2, "Share\nTweets\n\nShare\n}"),
+            (3, "}\na line of more than twenty characterS"), (4, None), (5, "\n\n"), (None, "Share")]
+    out = {r["doc_id"]: (r["text"], r["removed_lines"]) for r in
+           ld.line_dedup(make(rows), exact_chars=1).collect()}
+    assert out == {None: ("Share", 0), 1: ("Tweet\n\na line of more than twenty characters", 1), 2: ("Tweets\n\n}", 2),
+                   3: ("", 2), 4: (None, 0), 5: ("\n\n", 0)}
+
+
+def test_query_and_stage_remove_repeated_short_lines(spark, sf, documents):
+    import corpus_pipeline as cp
+    from visitwise.llm.base import table
+    seen, repeated = set(), {}
+    for i in sorted(documents, key=lambda i: (i is not None, i or 0)):
+        repeated[i] = 0
+        for line in (documents[i] or "").split("\n"):
+            if 0 < len(line) < 20:
+                repeated[i] += line in seen
+                seen.add(line)
+    assert sum(repeated.values()) > 0
+    out = {r["doc_id"]: r["removed_lines"] for r in QUERIES["op8_line_dedup"](spark, sf).collect()}
+    assert all(out[i] >= n for i, n in repeated.items())
+    after = cp.line_dedup_stage(spark, table(spark, sf, "documents"), sf).select("text").collect()
+    short = [s for r in after for s in (r["text"] or "").split("\n") if 0 < len(s) < 20]
+    assert sorted(short) == sorted(seen)

@@ -2,6 +2,7 @@
 
 Lines within ``distance`` edits of one another are one class (links chain);
 the first occurrence of a class in the corpus stays, by (id, line number).
+Lines too short for the edit join can take part by their hash alone.
 
 A line is cut into distance + 1 segments; a line within that many edits holds
 at least one of them unchanged, at a start that length and segment number
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from .base import connected_components, spill, split_join
 
 DISTANCE = 1
-MIN_CHARS = 20
+MIN_CHARS = 20           # of the edit join
+EXACT_CHARS = 1          # of the exact classes in the registered query and the pipeline's stage
 BLOCK = 1000             # lines of one key that are compared in one piece of work
 FILTER_SLOTS = 1 << 22   # bounds what the driver sees of wanted lines
 _SEEN = 200_000
@@ -143,9 +145,10 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _lines(distance: int, min_chars: int):
-    """mapInArrow: (doc, id, body) -> one row per line of at least ``min_chars``
-    with its hash; the keys only at a task's first sight of the line."""
+def _lines(distance: int, min_chars: int, exact_chars: int):
+    """mapInArrow: (doc, id, body) -> one row per line of at least ``exact_chars``
+    with its hash; the keys, from ``min_chars`` on, only at a task's first sight
+    of the line."""
     names = ["doc", "id", "n", "h1", "h2", "own", "probes"]
     kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2 + [pa.list_(pa.int64())] * 2
 
@@ -154,10 +157,12 @@ def _lines(distance: int, min_chars: int):
         for batch in _slices(batches):
             rows = []
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for n, line in _eligible(text, min_chars):
+                for n, line in _eligible(text, exact_chars):
                     h = _hash(line)
-                    keys = ([], []) if h in seen else segment_keys(line, distance)
-                    seen.add(h)
+                    keys = ([], [])
+                    if len(line) >= min_chars and h not in seen:
+                        keys = segment_keys(line, distance)
+                        seen.add(h)
                     rows.append((doc, key, n, *h, *keys))
             if len(seen) > _SEEN:
                 seen.clear()
@@ -242,17 +247,20 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE,
-                   min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+                   min_chars: int = MIN_CHARS, block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
     """The lines to remove: (doc, id, n), ``n`` the line number from 0 and
     ``doc`` the hash of (id, text) that :func:`doc_key` gives.
 
     A line goes when a line of its class (edit distance up to ``distance``,
     links chaining) stands earlier, by (id, doc, n). Lines below ``min_chars``
-    characters take no part. Null and empty texts have no lines.
+    characters are a class only with their equals, and below ``exact_chars``
+    (``min_chars`` if not given) they take no part. Null and empty texts have no
+    lines.
     """
+    exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
     named = docs.select(doc_key(id_col, text_col).alias("doc"), F.col(f"`{id_col}`").alias("id"),
                         F.col(f"`{text_col}`").alias("body"))
-    lines = spill(named.mapInArrow(_lines(distance, min_chars), "doc long, id long, n int, h1 long, h2 long, "
+    lines = spill(named.mapInArrow(_lines(distance, min_chars, exact_chars), "doc long, id long, n int, h1 long, h2 long, "
                                    "own array<long>, probes array<long>"), "lines")
     keys = (lines.select("h1", F.explode("own").alias("key"), F.lit(True).alias("own"))
             .unionByName(lines.select("h1", F.explode("probes").alias("key"), F.lit(False).alias("own"))))
@@ -288,18 +296,20 @@ def doc_key(id_col: str, text_col: str):
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE,
-               min_chars: int = MIN_CHARS, block: int = BLOCK) -> DataFrame:
+               min_chars: int = MIN_CHARS, block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
     """``docs``, every row, with the lines that :func:`repeated_lines` names
     taken out of the text, and a last column ``removed_lines`` (long).
 
-    Lines below ``min_chars`` characters always stay, and so do null texts. A
+    Lines below ``min_chars`` characters go only if an equal line stands
+    earlier, those below ``exact_chars`` (``min_chars`` if not given) and null
+    texts always stay. A
     text all of whose lines go becomes empty. Rows that repeat an id and a text
     are one document: their lines go or stay alike. Rows without an id come
     first in the order. Extra columns pass through; an empty table gives an
     empty result.
     """
     columns = [f"c{i}" for i in range(len(docs.columns))]
-    gone = (repeated_lines(docs, id_col, text_col, distance, min_chars, block)
+    gone = (repeated_lines(docs, id_col, text_col, distance, min_chars, block, exact_chars)
             .groupBy("doc", "id").agg(F.collect_set("n").alias("gone")))  # bounded by a document's lines
     key = columns[docs.columns.index(id_col)]
     named = docs.select(doc_key(id_col, text_col).alias("doc"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitwise.llm.base import spill, table
-from visitwise.llm.line_dedup import EXACT_CHARS, line_dedup
+from visitwise.llm.line_dedup import DISTANCES, EXACT_CHARS, line_dedup
 from visitwise.llm.near_dedup import near_duplicates
 from visitwise.llm.packing import pack_documents
 from visitwise.llm.queries import packing_digest, toxicity_labels
@@ -47,7 +47,7 @@ def _same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stand earlier in the corpus."""
-    return _same_columns(docs, line_dedup(docs, exact_chars=EXACT_CHARS))
+    return _same_columns(docs, line_dedup(docs, distance=DISTANCES, exact_chars=EXACT_CHARS))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,3 +155,76 @@ def test_query_and_stage_remove_repeated_short_lines(spark, sf, documents):
     after = cp.line_dedup_stage(spark, table(spark, sf, "documents"), sf).select("text").collect()
     short = [s for r in after for s in (r["text"] or "").split("\n") if 0 < len(s) < 20]
     assert sorted(short) == sorted(seen)
+
+
+def brute_by_length(rows, classes=((20, 1), (40, 2), (60, 3))):
+    """{(id, text): cleaned text}: the distance by the shorter line's length, short lines by equality."""
+    order = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    lines = [(d, n, s) for d in order for n, s in enumerate(d[1].split("\n")) if s]
+    texts = sorted({s for *_, s in lines}, key=lambda s: (len(s), s))
+    root = {s: s for s in texts}
+
+    def find(s):
+        while root[s] != s:
+            s = root[s]
+        return s
+
+    for i, a in enumerate(texts):  # the shorter one first
+        most = max([d for least, d in classes if len(a) >= least], default=0)
+        for b in texts[i + 1:]:
+            if len(b) - len(a) > most:
+                break
+            if most and ld.edit_within(a, b, most):
+                root[find(a)] = find(b)
+    first = {}
+    for d, n, s in lines:
+        first.setdefault(find(s), (d, n))
+    gone = {(d, n) for d, n, s in lines if first[find(s)] != (d, n)}
+    return {d: "\n".join(s for n, s in enumerate(d[1].split("\n")) if (d, n) not in gone) for d in order}
+
+
+def test_distance_by_length_matches_brute_force(spark, make):
+    rng = random.Random(11)
+    base = ["".join(rng.choice("abcdefg é") for _ in range(n)) for n in (10, 19, 20, 22, 38, 40, 41, 58, 60, 61, 63, 200)]
+    rows = []
+    for i in range(120):
+        out = []
+        for _ in range(rng.randint(0, 4)):
+            s = list(rng.choice(base))
+            for _ in range(rng.choice([0, 1, 2, 3, 4])):
+                k = rng.randrange(len(s))
+                s[k:k + rng.choice([0, 1])] = rng.choice(["", "x", "y"])
+            out.append("".join(s))
+        rows.append((i, "\n".join(out)))
+    want = brute_by_length(rows)
+    for buckets in (1 << 20, 200):  # one bucket, and many
+        ld.BUCKET_KEYS, kept = buckets, ld.BUCKET_KEYS
+        try:
+            out = ld.line_dedup(make(rows), distance=ld.DISTANCES, exact_chars=1).collect()
+        finally:
+            ld.BUCKET_KEYS = kept
+        assert {(r["doc_id"], r["text"]) for r in out} == {(d[0], t) for d, t in want.items()}
+
+
+def test_query_matches_brute_force_at_its_distance(spark, documents, tmp_path):
+    import hashlib
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rng = random.Random(5)
+    texts = dict(documents)
+    for i, text in documents.items():  # copies whose lines have up to 4 edits
+        if text and i % 2:
+            lines = [list(s) for s in text.split("\n")]
+            for s in lines:
+                for _ in range(rng.randint(0, 4)):
+                    k = rng.randrange(len(s) + 1)
+                    s[k:k + rng.choice([0, 1])] = rng.choice(["", "x", "y"])
+            texts[10 ** 6 + i] = "\n".join("".join(s) for s in lines)
+    pq.write_table(pa.table({"doc_id": pa.array(texts, pa.int64()), "text": list(texts.values())}),
+                   tmp_path / "documents.parquet")
+    want = brute_by_length(list(texts.items()))
+    assert want != brute_by_length(list(texts.items()), ((20, 1),))
+    out = {r["doc_id"]: r["text_sha256"] for r in QUERIES["op8_line_dedup"](spark, str(tmp_path)).collect()}
+    assert {d[0]: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()} == {
+        i: h for i, h in out.items() if texts[i] is not None}

@@ -2,15 +2,17 @@
 
 Lines within ``distance`` edits of one another are one class (links chain);
 the first occurrence of a class in the corpus stays, by (id, line number).
-Lines too short for the edit join can take part by their hash alone.
+Lines too short for the edit join can take part by their hash alone. The
+distance is a number or follows the length, in classes; of two lines the shorter
+one's counts.
 
 A line is cut into distance + 1 segments; a line within that many edits holds
 at least one of them unchanged, at a start that length and segment number
 confine to a few places. So every line enters one key for each of its segments
 and probes the keys of its own substrings, for its own length and the lengths
-up to ``distance`` below. Keys that only one line has (nearly all) go by a
-map-side combined aggregate. The rest are verified in their key's group by
-banded bit-parallel edit distance; a group hands on a spanning forest of its
+up to ``distance`` below. Keys travel packed, 14 bytes each, to buckets of
+bounded expected size, where those that only one line has (nearly all) go. The
+rest are verified in their key's group by banded bit-parallel edit distance; a group hands on a spanning forest of its
 links, never its pairs, and a large group is cut into blocks whose pairs are
 separate rows of work.
 """
@@ -18,6 +20,7 @@ separate rows of work.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +31,14 @@ from pyspark.sql import functions as F
 from .base import connected_components, spill, split_join
 
 DISTANCE = 1
+DISTANCES = ((20, 1), (40, 2), (60, 3))  # (length from, distance): the registered query and the pipeline's stage
 MIN_CHARS = 20           # of the edit join
 EXACT_CHARS = 1          # of the exact classes in the registered query and the pipeline's stage
 BLOCK = 1000             # lines of one key that are compared in one piece of work
 FILTER_SLOTS = 1 << 22   # bounds what the driver sees of wanted lines
+BUCKET_KEYS = 1 << 20    # keys that are expected in one bucket
 _SEEN = 200_000
+_PIECE = 250_000         # keys that a task packs at a time
 
 
 def edit_within(a: str, b: str, most: int) -> bool:
@@ -102,7 +108,33 @@ def segments(length: int, distance: int) -> list[tuple[int, int]]:
     return out
 
 
-def segment_keys(line: str, distance: int) -> tuple[list[int], list[int]]:
+def distance_at(length: int, distance: int | tuple[tuple[int, int], ...]) -> int:
+    """The distance of a line of that length; -1 below the first class."""
+    if isinstance(distance, int):
+        return distance
+    return max((d for least, d in distance if length >= least), default=-1)
+
+
+@lru_cache(1 << 14)
+def _places(n: int, distance) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(start, end, seed) of what a line of ``n`` characters has keys for: its
+    segments, and the substrings that a line as long or shorter could hold as one."""
+    most = distance_at(n, distance)
+    own = [(at, at + size, n << 6 | i) for i, (at, size) in enumerate(segments(n, most))]
+    probes = []
+    for length in range(max(1, n - most), n + 1):
+        shift, d = n - length, distance_at(length, distance)
+        if shift > d or length <= d:
+            continue
+        for i, (at, size) in enumerate(segments(length, d)):
+            first = max(0, at - i, at + shift - (d - i))
+            last = min(n - size, at + i, at + shift + (d - i))
+            probes += [(p, p + size, length << 6 | i) for p in range(first, last + 1)
+                       if shift or p != at]  # the own segment has its key already
+    return own, probes
+
+
+def segment_keys(line: str, distance) -> tuple[list[int], list[int]]:
     """Keys of the line's own segments, and of the substrings that a line of
     its length or up to ``distance`` shorter could hold as a segment.
 
@@ -110,20 +142,9 @@ def segment_keys(line: str, distance: int) -> tuple[list[int], list[int]]:
     of the segment's place from the left, and within distance - i from the
     right; the places that satisfy both are probed.
     """
-    def key(length: int, i: int, text: str) -> int:
-        return xxhash.xxh3_64_intdigest(f"{length}:{i}:{text}".encode()) - (1 << 63)
-
-    n = len(line)
-    own = [key(n, i, line[at:at + size]) for i, (at, size) in enumerate(segments(n, distance))]
-    probes = []
-    for length in range(max(distance + 1, n - distance), n + 1):
-        shift = n - length
-        for i, (at, size) in enumerate(segments(length, distance)):
-            first = max(0, at - i, at + shift - (distance - i))
-            last = min(n - size, at + i, at + shift + (distance - i))
-            probes += [key(length, i, line[p:p + size]) for p in range(first, last + 1)
-                       if shift or p != at]  # the own segment has its key already
-    return own, probes
+    own, probes = _places(len(line), distance)
+    key = xxhash.xxh3_64_intdigest
+    return [key(line[a:b], seed) for a, b, seed in own], [key(line[a:b], seed) for a, b, seed in probes]
 
 
 def _hash(line: str) -> tuple[int, int]:
@@ -145,32 +166,91 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _lines(distance: int, min_chars: int, exact_chars: int):
-    """mapInArrow: (doc, id, body) -> one row per line of at least ``exact_chars``
-    with its hash; the keys, from ``min_chars`` on, only at a task's first sight
-    of the line."""
-    names = ["doc", "id", "n", "h1", "h2", "own", "probes"]
-    kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2 + [pa.list_(pa.int64())] * 2
+def _lines(exact_chars: int):
+    """mapInArrow: (doc, id, body) -> one row per line of at least ``exact_chars`` with its hash."""
+    names = ["doc", "id", "n", "h1", "h2"]
+    kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
         for batch in _slices(batches):
-            rows = []
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                for n, line in _eligible(text, exact_chars):
-                    h = _hash(line)
-                    keys = ([], [])
-                    if len(line) >= min_chars and h not in seen:
-                        keys = segment_keys(line, distance)
-                        seen.add(h)
-                    rows.append((doc, key, n, *h, *keys))
-            if len(seen) > _SEEN:
-                seen.clear()
+            rows = [(doc, key, n, *_hash(line)) for doc, key, text in zip(*(c.to_pylist() for c in batch.columns))
+                    for n, line in _eligible(text, exact_chars)]
             if rows:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
     return run
 
 
+def _keys(distance, min_chars: int, buckets: int):
+    """mapInArrow: body -> (bucket, keys, names, own): the keys of the lines of
+    at least ``min_chars`` at a task's first sight of them. A row holds a
+    bucket's keys (the low 48 bits) and the short names of their lines; the
+    first ``own`` are of segments, the others probes."""
+    def packed(own: list[int], probes: list[int], own_of: list[int], probes_of: list[int]) -> pa.RecordBatch:
+        keys, of = np.array(own + probes, np.uint64), np.array(own_of + probes_of, np.int64)
+        bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")  # a bucket's own ones stay in front
+        numbers, cuts = np.unique(bucket[order], return_index=True)
+        raw, of, first = keys.view(np.uint8).reshape(-1, 8)[order, :6], of[order], order < len(own)
+        spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]))
+        return pa.record_batch(
+            [pa.array(numbers.astype(np.int64)), pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([of[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([int(first[a:b].sum()) for a, b in spans], pa.int32())], names=["bucket", "keys", "names", "own"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held: tuple[list[int], ...] = ([], [], [], [])
+        for batch in _slices(batches):
+            for text in batch.column(0).to_pylist():
+                for _, line in _eligible(text, min_chars):
+                    h1 = _hash(line)[0]
+                    if h1 in seen or distance_at(len(line), distance) < 0:
+                        continue
+                    seen.add(h1)
+                    own, probes = segment_keys(line, distance)
+                    for to, more in zip(held, (own, probes, [h1] * len(own), [h1] * len(probes))):
+                        to += more
+                    if len(held[0]) + len(held[1]) >= _PIECE:
+                        yield packed(*held)
+                        held = ([], [], [], [])
+            if len(seen) > _SEEN:
+                seen.clear()
+        if held[0]:
+            yield packed(*held)
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow on the rows of :func:`_keys` in the order of their buckets:
+    (key, h1) of the keys that several lines have, one of them as a segment."""
+    def found(bucket: int, held: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
+        names = np.concatenate([np.frombuffer(of, np.int64) for _, of, _ in held])
+        raw = np.zeros((len(names), 8), np.uint8)
+        raw[:, :6] = np.frombuffer(b"".join(k for k, _, _ in held), np.uint8).reshape(-1, 6)
+        own = np.concatenate([np.arange(len(of) // 8) < n for _, of, n in held])
+        keys = raw.view(np.uint64).ravel()
+        order = np.lexsort((names, keys))
+        keys, names, own = keys[order], names[order], own[order]
+        start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        size = np.diff(np.append(start, len(keys)))
+        several = (names[start] != names[start + size - 1]) & np.logical_or.reduceat(own, start)
+        first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])])
+        at = np.flatnonzero(np.repeat(several, size) & first)
+        return pa.record_batch([pa.array((keys[at] ^ np.uint64(bucket % (1 << 16) << 48)).view(np.int64)),
+                                pa.array(names[at])], names=["key", "h1"])
+
+    at, held = None, []
+    for batch in batches:
+        for bucket, keys, names, own in zip(*batch.columns):
+            if held and bucket.as_py() != at:
+                yield found(at, held)
+                held = []
+            at = bucket.as_py()
+            held.append((keys.as_py(), names.as_py(), own.as_py()))
+    if held:
+        yield found(at, held)
+
+
 def _wanted_lines(slots: np.ndarray, min_chars: int):
     """mapInArrow: body -> (h1, line) of the lines whose slot is set, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +271,7 @@ def _wanted_lines(slots: np.ndarray, min_chars: int):
     return run
 
 
-def _links(distance: int):
+def _links(distance):
     """mapInArrow on rows (key, x, y, block, h1, line) in the order of (key, x,
     y): each (key, x, y) is one piece of work, comparing block x with block y.
     Yields a spanning forest of the links found in each piece."""
@@ -209,7 +289,7 @@ def _links(distance: int):
         for i, (h, s) in enumerate(left):
             for g, t in right[i + 1:] if x == y else right:
                 a, b = find(h), find(g)
-                if a != b and edit_within(s, t, distance):
+                if a != b and edit_within(s, t, distance_at(min(len(s), len(t)), distance)):
                     root[a] = b
                     out.append((h, g))
         return out
@@ -246,13 +326,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([*batch.columns[:-2], pa.array(out, pa.string())], names=batch.schema.names[:-1])
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE,
-                   min_chars: int = MIN_CHARS, block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   distance: int | tuple[tuple[int, int], ...] = DISTANCE, min_chars: int = MIN_CHARS,
+                   block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
     """The lines to remove: (doc, id, n), ``n`` the line number from 0 and
     ``doc`` the hash of (id, text) that :func:`doc_key` gives.
 
     A line goes when a line of its class (edit distance up to ``distance``,
-    links chaining) stands earlier, by (id, doc, n). Lines below ``min_chars``
+    links chaining) stands earlier, by (id, doc, n). ``distance`` is a number,
+    or pairs (length from, distance), rising, for the shorter line's length. Lines below ``min_chars``
     characters are a class only with their equals, and below ``exact_chars``
     (``min_chars`` if not given) they take no part. Null and empty texts have no
     lines.
@@ -260,13 +342,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     exact_chars = min_chars if exact_chars is None else min(exact_chars, min_chars)
     named = docs.select(doc_key(id_col, text_col).alias("doc"), F.col(f"`{id_col}`").alias("id"),
                         F.col(f"`{text_col}`").alias("body"))
-    lines = spill(named.mapInArrow(_lines(distance, min_chars, exact_chars), "doc long, id long, n int, h1 long, h2 long, "
-                                   "own array<long>, probes array<long>"), "lines")
-    keys = (lines.select("h1", F.explode("own").alias("key"), F.lit(True).alias("own"))
-            .unionByName(lines.select("h1", F.explode("probes").alias("key"), F.lit(False).alias("own"))))
-    shared = (keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own"))
-              .where("lo <> hi and own").select("key"))
-    hot = spill(split_join(keys.select("key", "h1"), shared, ["key"]).distinct(), "shared")
+    lines = spill(named.mapInArrow(_lines(exact_chars), "doc long, id long, n int, h1 long, h2 long"), "lines")
+    longest = distance if isinstance(distance, int) else distance[-1][1]
+    each = sum(map(len, _places(1000 * (longest + 1), distance)))  # keys of a long line
+    buckets = max(1, -(-lines.count() * each // BUCKET_KEYS))
+    packed = named.select("body").mapInArrow(_keys(distance, min_chars, buckets),
+                                             "bucket long, keys binary, names binary, own int")
+    hot = spill(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                .mapInArrow(_shared, "key long, h1 long"), "shared")
     # the texts of those lines, by a filter of bounded size and an exact join
     slots = np.zeros(FILTER_SLOTS, bool)
     slots[[r[0] for r in hot.select(F.pmod("h1", F.lit(FILTER_SLOTS))).distinct().collect()]] = True
@@ -295,8 +378,9 @@ def doc_key(id_col: str, text_col: str):
     return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE,
-               min_chars: int = MIN_CHARS, block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               distance: int | tuple[tuple[int, int], ...] = DISTANCE, min_chars: int = MIN_CHARS,
+               block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
     """``docs``, every row, with the lines that :func:`repeated_lines` names
     taken out of the text, and a last column ``removed_lines`` (long).
 

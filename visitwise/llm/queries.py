@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .base import ASCII_LOWER, ASCII_UPPER, only, table
 from .exact_dedup import exact_duplicates
 from .license_scan import license_scan
-from .line_dedup import EXACT_CHARS, line_dedup
+from .line_dedup import DISTANCES, EXACT_CHARS, line_dedup
 from .near_dedup import near_duplicates
 from .packing import pack_documents
 from .piece_codec import decode_ids, encode_texts
@@ -77,7 +77,7 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.size(F.split("text", "\n", -1)).cast("long")
-    return line_dedup(docs, exact_chars=EXACT_CHARS).select(
+    return line_dedup(docs, distance=DISTANCES, exact_chars=EXACT_CHARS).select(
         "doc_id", "removed_lines", F.when(F.col("text").isNotNull(), lines).alias("left_lines"),
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 

@@ -228,3 +228,12 @@ def test_query_matches_brute_force_at_its_distance(spark, documents, tmp_path):
     out = {r["doc_id"]: r["text_sha256"] for r in QUERIES["op8_line_dedup"](spark, str(tmp_path)).collect()}
     assert {d[0]: hashlib.sha256(t.encode()).hexdigest() for d, t in want.items()} == {
         i: h for i, h in out.items() if texts[i] is not None}
+
+
+def test_filter_reaches_the_driver_as_words(spark):
+    hot = spark.range(300_000).select(F.xxhash64("id").alias("h1")).unionByName(
+        spark.createDataFrame([(-1,), (0,), (63,), (64,), (-(1 << 63),)], "h1 long"))
+    want = {r[0] % ld.FILTER_SLOTS for r in hot.collect()}
+    assert set(ld._filter(hot).nonzero()[0].tolist()) == want
+    assert ld._filter_words(hot).count() == len({s // 64 for s in want}) <= ld.FILTER_SLOTS // 64
+    assert ld._filter(hot.where("false")).sum() == 0

@@ -251,6 +251,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found(at, held)
 
 
+def _filter_words(hot: DataFrame) -> DataFrame:
+    """The slots of the ``h1`` in ``hot`` as (word, bits), 64 slots a row, folded in the tasks."""
+    return (hot.select(F.pmod("h1", F.lit(FILTER_SLOTS)).alias("slot"))
+            .groupBy(F.expr("shiftright(slot, 6)").alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")))
+
+
+def _filter(hot: DataFrame) -> np.ndarray:
+    """Which of the ``FILTER_SLOTS`` slots are set; the driver gets 16 bytes for 64 of them."""
+    got = _filter_words(hot).toArrow()
+    words = np.zeros(FILTER_SLOTS // 64, np.int64)
+    words[got["word"].to_numpy()] = got["bits"].to_numpy()
+    return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
+
+
 def _wanted_lines(slots: np.ndarray, min_chars: int):
     """mapInArrow: body -> (h1, line) of the lines whose slot is set, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,9 +366,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     hot = spill(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
                 .mapInArrow(_shared, "key long, h1 long"), "shared")
     # the texts of those lines, by a filter of bounded size and an exact join
-    slots = np.zeros(FILTER_SLOTS, bool)
-    slots[[r[0] for r in hot.select(F.pmod("h1", F.lit(FILTER_SLOTS))).distinct().collect()]] = True
-    texts = (named.select("body").mapInArrow(_wanted_lines(slots, min_chars), "h1 long, line string")
+    texts = (named.select("body").mapInArrow(_wanted_lines(_filter(hot), min_chars), "h1 long, line string")
              .groupBy("h1").agg(F.min("line").alias("line")))
     blocks = hot.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     work = (split_join(hot, blocks, ["key"]).withColumn("block", F.pmod(F.xxhash64("h1"), "blocks").cast("int"))

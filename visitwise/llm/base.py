@@ -45,21 +45,31 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.select("*", own).join(right.select("*", own), [*keys, "hash_of_keys"], how).drop("hash_of_keys")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared checkpoint folder, removed at the end of
+    the program or by :func:`remove_spilled`."""
+    path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    _written.append((spark, path))
+    return path
+
+
 def spill(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it
     back: lineage ends there, so a lost executor re-reads files instead of
     recomputing, and several consumers share one computation."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
+    path = shared_folder(spark, name)
     df.write.parquet(path, partitionBy=partition_by)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register
-def _remove_written() -> None:
-    """At the end of the program, remove the tables that :func:`spill` wrote."""
-    for spark, path in _written:
+def remove_spilled() -> None:
+    """Remove what :func:`spill` and :func:`shared_folder` wrote so far: for
+    long sessions, once results are written elsewhere; frames still reading
+    these tables end with it. Runs by itself at the end of the program."""
+    while _written:
+        spark, path = _written.pop()
         try:
             jvm = spark.sparkContext._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)

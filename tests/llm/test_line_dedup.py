@@ -102,13 +102,79 @@ def test_special_rows(spark, make):
 
 
 def test_query_on_all_documents(spark, sf, documents):
-    out = {r["doc_id"]: r for r in QUERIES["op8_line_dedup"](spark, sf).collect()}
+    """Every line of every text as registered, against brute force."""
     import hashlib
-    exact = brute(list(documents.items()), 0)  # edits checked above; here every line of every text
-    near = {d[0] for d in exact}
-    assert set(out) == near
-    same = sum(hashlib.sha256(t.encode()).hexdigest() == out[d[0]]["text_sha256"] for d, t in exact.items())
-    assert same >= 0.9 * len(exact)
+    out = {r["doc_id"]: r["text_sha256"] for r in QUERIES["op8_line_dedup"](spark, sf).collect()}
+    want = brute_by_length(list(documents.items()))
+    assert set(out) == set(documents)
+    assert {i: hashlib.sha256(t.encode()).hexdigest() for (i, _), t in want.items()} == {
+        i: h for i, h in out.items() if documents[i] is not None}
+
+
+@pytest.mark.parametrize("hot", [2, 8])
+def test_hot_keys_are_dealt_by_line(spark, make, hot, monkeypatch):
+    """Lines of a hot key leave its bucket, and no link is lost, nor one between a hot and a cold task."""
+    rng = random.Random(hot)
+    head = "the same beginning of every one of these lines "
+    rows = [(i, head + "".join(rng.choice("abc") for _ in range(5))) for i in range(120)]
+    rows += [(1000 + i, f"a line of its own, number {i * i}") for i in range(60)]
+    monkeypatch.setattr(ld, "HOT_KEY", hot)
+    monkeypatch.setattr(ld, "BUCKET_KEYS", 50)
+    texts = [(t,) for _, t in rows]
+    import pyarrow as pa
+    made = list(ld._keys(1, 20, 7)(iter([pa.record_batch([pa.array([t for t, in texts])], names=["body"])])))
+    deals = [d for b in made for d in b.column("deal").to_pylist()]
+    assert max(deals) > 1 and 0 in deals
+    shared = {(k, h) for b in made for r in [b.sort_by([("bucket", "ascending"), ("deal", "ascending")])]
+              for out in ld._shared(iter([r])) for k, h in zip(*(c.to_pylist() for c in out.columns))}
+    monkeypatch.setattr(ld, "HOT_KEY", 10 ** 9)
+    plain = list(ld._keys(1, 20, 7)(iter([pa.record_batch([pa.array([t for t, in texts])], names=["body"])])))
+    assert {d for b in plain for d in b.column("deal").to_pylist()} == {0}
+    want = {(k, h) for b in plain for r in [b.sort_by([("bucket", "ascending")])]
+            for out in ld._shared(iter([r])) for k, h in zip(*(c.to_pylist() for c in out.columns))}
+    assert want <= shared  # a hot key needs no proof that one of its lines has it as a segment
+    assert {k for k, _ in shared - want} <= {k for k, _ in shared}
+    monkeypatch.setattr(ld, "HOT_KEY", hot)
+    check(rows, make(rows), 1, block=10)
+
+
+def test_character_counts_lose_no_pair(monkeypatch):
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdefgh é") for _ in range(rng.randint(25, 80))) for _ in range(6)]
+    lines = []
+    for _ in range(80):
+        s = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(s))
+            s[k:k + rng.choice([0, 1])] = rng.choice(["", "x", "Q", "yz"])
+        lines.append("".join(s))
+    import pyarrow as pa
+    lines = sorted(set(lines))
+
+    def links(x, blocks):
+        rows = [(1, *x, b, h, s) for h, (b, s) in enumerate(zip(blocks, lines))]
+        cols = [pa.array(c) for c in zip(*rows)]
+        batch = pa.record_batch(cols, names=["key", "x", "y", "block", "h1", "line"])
+        got = [set(zip(*(c.to_pylist() for c in out.columns))) for out in ld._links(ld.DISTANCES)(iter([batch]))]
+        root = list(range(len(lines)))
+
+        def find(h):
+            while root[h] != h:
+                h = root[h]
+            return h
+
+        for a, b in set().union(*got):
+            root[find(a)] = find(b)
+        return [find(h) for h in range(len(lines))]
+
+    def classes(roots):
+        return {frozenset(h for h, r in enumerate(roots) if r == q) for q in roots}
+
+    for x, blocks in (((0, 0), [0] * len(lines)), ((0, 1), [h % 2 for h in range(len(lines))])):
+        counted = classes(links(x, blocks))
+        monkeypatch.setattr(ld, "FEW_PAIRS", 10 ** 9)
+        assert counted == classes(links(x, blocks)) and len(counted) < len(lines)
+        monkeypatch.setattr(ld, "FEW_PAIRS", 64)
 
 
 @settings(max_examples=300, deadline=None)

@@ -11,10 +11,13 @@ at least one of them unchanged, at a start that length and segment number
 confine to a few places. So every line enters one key for each of its segments
 and probes the keys of its own substrings, for its own length and the lengths
 up to ``distance`` below. Keys travel packed, 14 bytes each, to buckets of
-bounded expected size, where those that only one line has (nearly all) go. The
-rest are verified in their key's group by banded bit-parallel edit distance; a group hands on a spanning forest of its
-links, never its pairs, and a large group is cut into blocks whose pairs are
-separate rows of work.
+bounded expected size, where those that only one line has (nearly all) go. A key
+that many lines of one task share is hot: its lines are dealt by their own
+hashes, and only two of them stand for it in its bucket. The rest are verified
+in their key's group by banded bit-parallel edit distance, after a comparison
+of character counts, which no pair within the distance fails; a group hands on
+a spanning forest of its links, never its pairs, and a large group is cut into
+blocks whose pairs are separate rows of work.
 """
 
 from __future__ import annotations
@@ -34,9 +37,12 @@ DISTANCE = 1
 DISTANCES = ((20, 1), (40, 2), (60, 3))  # (length from, distance): the registered query and the pipeline's stage
 MIN_CHARS = 20           # of the edit join
 EXACT_CHARS = 1          # of the exact classes in the registered query and the pipeline's stage
-BLOCK = 1000             # lines of one key that are compared in one piece of work
+BLOCK = 500              # lines of one key that are compared in one piece of work
 FILTER_SLOTS = 1 << 22   # bounds what the driver sees of wanted lines
 BUCKET_KEYS = 1 << 20    # keys that are expected in one bucket
+HOT_KEY = 64             # lines of one key among a task's _PIECE keys, from which on it is dealt by line
+HOT_DEALS = 4096         # ways in which a hot key's lines are dealt at most
+FEW_PAIRS = 64           # pairs that are compared without counting characters first
 _SEEN = 200_000
 _PIECE = 250_000         # keys that a task packs at a time
 
@@ -181,21 +187,41 @@ def _lines(exact_chars: int):
 
 
 def _keys(distance, min_chars: int, buckets: int):
-    """mapInArrow: body -> (bucket, keys, names, own): the keys of the lines of
-    at least ``min_chars`` at a task's first sight of them. A row holds a
-    bucket's keys (the low 48 bits) and the short names of their lines; the
-    first ``own`` are of segments, the others probes."""
+    """mapInArrow: body -> (bucket, deal, keys, names, own): the keys of the
+    lines of at least ``min_chars`` at a task's first sight of them. A row holds
+    keys of a bucket (the low 48 bits) and the short names of their lines; the
+    first ``own`` are of segments, the others probes. Deals above 0 hold the
+    lines of hot keys, by name; deal 0 has two lines of such a key, by which
+    the bucket sees that it is shared."""
+    deals = min(buckets, HOT_DEALS)
+
     def packed(own: list[int], probes: list[int], own_of: list[int], probes_of: list[int]) -> pa.RecordBatch:
         keys, of = np.array(own + probes, np.uint64), np.array(own_of + probes_of, np.int64)
-        bucket = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)
-        order = np.argsort(bucket, kind="stable")  # a bucket's own ones stay in front
-        numbers, cuts = np.unique(bucket[order], return_index=True)
-        raw, of, first = keys.view(np.uint8).reshape(-1, 8)[order, :6], of[order], order < len(own)
+        first, deal = np.arange(len(keys)) < len(own), np.zeros(len(keys), np.int32)
+        top = (keys >> np.uint64(48)).astype(np.int64)
+        crowded = np.flatnonzero(np.bincount(top, minlength=1 << 16)[top] >= HOT_KEY)
+        _, which, size = np.unique(keys[crowded], return_inverse=True, return_counts=True)
+        hot = crowded[size[which] >= HOT_KEY]
+        if len(hot):
+            hot = hot[np.lexsort((of[hot], keys[hot]))]
+            start = np.flatnonzero(np.concatenate([[True], keys[hot][1:] != keys[hot][:-1]]))
+            ends = np.concatenate([hot[start], hot[np.append(start[1:], len(hot)) - 1]])
+            any_own = np.tile(np.logical_or.reduceat(first[hot], start), 2)
+            deal[hot] = 1 + of[hot] % deals
+            keys, of = np.concatenate([keys, keys[ends]]), np.concatenate([of, of[ends]])
+            first, deal = np.concatenate([first, any_own]), np.concatenate([deal, np.zeros(len(ends), np.int32)])
+        bucket = (((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((~first, bucket * (HOT_DEALS + 1) + deal))
+        place = (bucket * (HOT_DEALS + 1) + deal)[order]
+        numbers, cuts = np.unique(place, return_index=True)
+        raw, of, first = keys.view(np.uint8).reshape(-1, 8)[order, :6], of[order], first[order]
         spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)]))
         return pa.record_batch(
-            [pa.array(numbers.astype(np.int64)), pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()),
+            [pa.array(numbers // (HOT_DEALS + 1)), pa.array((numbers % (HOT_DEALS + 1)).astype(np.int32)),
+             pa.array([raw[a:b].tobytes() for a, b in spans], pa.binary()),
              pa.array([of[a:b].tobytes() for a, b in spans], pa.binary()),
-             pa.array([int(first[a:b].sum()) for a, b in spans], pa.int32())], names=["bucket", "keys", "names", "own"])
+             pa.array([int(first[a:b].sum()) for a, b in spans], pa.int32())],
+            names=["bucket", "deal", "keys", "names", "own"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -221,9 +247,9 @@ def _keys(distance, min_chars: int, buckets: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow on the rows of :func:`_keys` in the order of their buckets:
+    """mapInArrow on the rows of :func:`_keys` in the order of (bucket, deal):
     (key, h1) of the keys that several lines have, one of them as a segment."""
-    def found(bucket: int, held: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
+    def found(bucket: int, deal: int, held: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
         names = np.concatenate([np.frombuffer(of, np.int64) for _, of, _ in held])
         raw = np.zeros((len(names), 8), np.uint8)
         raw[:, :6] = np.frombuffer(b"".join(k for k, _, _ in held), np.uint8).reshape(-1, 6)
@@ -235,20 +261,21 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.diff(np.append(start, len(keys)))
         several = (names[start] != names[start + size - 1]) & np.logical_or.reduceat(own, start)
         first = np.concatenate([[True], (keys[1:] != keys[:-1]) | (names[1:] != names[:-1])])
-        at = np.flatnonzero(np.repeat(several, size) & first)
+        at = np.flatnonzero((np.repeat(several, size) | (deal > 0)) & first)
         return pa.record_batch([pa.array((keys[at] ^ np.uint64(bucket % (1 << 16) << 48)).view(np.int64)),
                                 pa.array(names[at])], names=["key", "h1"])
 
     at, held = None, []
     for batch in batches:
-        for bucket, keys, names, own in zip(*batch.columns):
-            if held and bucket.as_py() != at:
-                yield found(at, held)
+        for bucket, deal, keys, names, own in zip(*batch.columns):
+            place = (bucket.as_py(), deal.as_py())
+            if held and place != at:
+                yield found(*at, held)
                 held = []
-            at = bucket.as_py()
+            at = place
             held.append((keys.as_py(), names.as_py(), own.as_py()))
     if held:
-        yield found(at, held)
+        yield found(*at, held)
 
 
 def _filter_words(hot: DataFrame) -> DataFrame:
@@ -290,6 +317,26 @@ def _links(distance):
     """mapInArrow on rows (key, x, y, block, h1, line) in the order of (key, x,
     y): each (key, x, y) is one piece of work, comparing block x with block y.
     Yields a spanning forest of the links found in each piece."""
+    def candidates(left: list[str], right: list[str], same: bool) -> Iterator[tuple[int, int]]:
+        """Places of the pairs that lengths and character counts allow: an edit
+        adds at most one character and takes away at most one."""
+        if len(left) * len(right) <= FEW_PAIRS:
+            yield from ((i, j) for i in range(len(left)) for j in range(i + 1 if same else 0, len(right)))
+            return
+        (n, most, counts), (n2, most2, counts2) = profile(left), profile(right)
+        for i in range(len(left)):
+            lo = i + 1 if same else 0
+            room = np.minimum(most[i], most2[lo:]) * 2 - np.abs(n2[lo:] - n[i])
+            at = np.flatnonzero(room >= np.abs(n2[lo:] - n[i]))
+            near = np.abs(counts2[lo + at] - counts[i]).sum(1) <= room[at]
+            yield from ((i, lo + j) for j in at[near].tolist())
+
+    def profile(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = np.array([len(s) for s in lines])
+        code = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32) & 31
+        counts = np.bincount(np.repeat(np.arange(len(lines)) * 32, n) + code, minlength=32 * len(lines))
+        return n, np.array([distance_at(k, distance) for k in n.tolist()]), counts.reshape(-1, 32).astype(np.int32)
+
     def forest(x: int, y: int, rows: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
         left = [(h, s) for b, h, s in rows if b == x]
         right = left if x == y else [(h, s) for b, h, s in rows if b == y]
@@ -301,12 +348,12 @@ def _links(distance):
             return h
 
         out = []
-        for i, (h, s) in enumerate(left):
-            for g, t in right[i + 1:] if x == y else right:
-                a, b = find(h), find(g)
-                if a != b and edit_within(s, t, distance_at(min(len(s), len(t)), distance)):
-                    root[a] = b
-                    out.append((h, g))
+        for i, j in candidates([s for _, s in left], [s for _, s in right], x == y):
+            (h, s), (g, t) = left[i], right[j]
+            a, b = find(h), find(g)
+            if a != b and edit_within(s, t, distance_at(min(len(s), len(t)), distance)):
+                root[a] = b
+                out.append((h, g))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,8 +409,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each = sum(map(len, _places(1000 * (longest + 1), distance)))  # keys of a long line
     buckets = max(1, -(-lines.count() * each // BUCKET_KEYS))
     packed = named.select("body").mapInArrow(_keys(distance, min_chars, buckets),
-                                             "bucket long, keys binary, names binary, own int")
-    hot = spill(packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+                                             "bucket long, deal int, keys binary, names binary, own int")
+    hot = spill(packed.repartition(buckets, "bucket", "deal").sortWithinPartitions("bucket", "deal")
                 .mapInArrow(_shared, "key long, h1 long"), "shared")
     # the texts of those lines, by a filter of bounded size and an exact join
     texts = (named.select("body").mapInArrow(_wanted_lines(_filter(hot), min_chars), "h1 long, line string")

@@ -36,7 +36,7 @@ CAPACITY = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
 POOL = 1024
-CACHE_ENTRIES = 200_000  # of each generation of a table
+CACHE_ENTRIES = 300_000  # of each generation of a table
 OUT_SCHEMA = ("id long, start long, ids binary, doc_tokens long, loss_tokens long, "
               "sequence_id long, offset long")
 
@@ -64,8 +64,12 @@ class Recent(dict):
         return got
 
 
-# printable Latin-1 without blanks and soft hyphens
+# printable Latin-1 without blanks and soft hyphens; and whole texts of it
 _LATIN = re.compile("[!-~¡-¬®-ÿ]*")
+_LATIN_TEXT = re.compile("[\n -~¡-¬®-ÿ]*")
+
+
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 
 class WordEncoder:
@@ -79,6 +83,8 @@ class WordEncoder:
     it is split by the tokenizer's own pattern and its words go straight to the
     tokenizer's model. Every other chunk goes through the whole tokenizer, and
     so does every whole text if the file describes another kind of tokenizer.
+    A text of such characters only is lower-cased before it is cut, so that its
+    chunks recur more often.
     """
 
     def __init__(self, path: str):
@@ -102,17 +108,17 @@ class WordEncoder:
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
         symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
         return self._bytes([t.id for t in self.tokenizer.model.tokenize(symbols)])
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and (chunk.isascii() or _LATIN.fullmatch(chunk)):  # one word for the pattern, too
+            return self.words[chunk.lower()]
         if not _LATIN.fullmatch(chunk) or "<|" in chunk:
             return self._bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
-        if chunk.isalpha():  # one word for the pattern, too
-            return self.words[chunk.lower()]
         if chunk[:-1].isalpha() and chunk[-1] in ",.":
             return self.words[chunk[:-1].lower()] + self.words[chunk[-1]]
         return b"".join(map(self.words.__getitem__, self.pattern.findall(chunk.lower())))
@@ -120,6 +126,8 @@ class WordEncoder:
     def __call__(self, text: str) -> bytes:
         if not self.by_words:
             return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if _LATIN_TEXT.fullmatch(text) and "<|" not in text:
+            text = text.lower()
         return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
 
 
@@ -128,15 +136,27 @@ class Piece:
     id: int | None
     start: int
     ids: bytes  # little-endian uint32
-    mask: np.ndarray  # which of them bear loss
+    mask: np.ndarray | None  # which of them bear loss; None: all but the document's first
     doc_tokens: int
 
     def __len__(self) -> int:
         return len(self.ids) // 4
 
+    def loss(self) -> int:
+        if self.mask is not None:
+            return int(np.count_nonzero(self.mask))
+        return len(self) - (self.start == 0 and len(self) > 0)
+
+    def head(self, most: int, loss: float) -> int:
+        """How many of the first ``most`` tokens bear at most ``loss`` losses."""
+        if self.mask is not None:
+            return min(most, int(np.searchsorted(np.cumsum(self.mask[:most]), loss, side="right")))
+        return int(min(most, loss + (self.start == 0)))
+
     def cut(self, at: int) -> tuple[Piece, Piece]:
-        return (Piece(self.id, self.start, self.ids[:4 * at], self.mask[:at], self.doc_tokens),
-                Piece(self.id, self.start + at, self.ids[4 * at:], self.mask[at:], self.doc_tokens))
+        head, tail = (None, None) if self.mask is None else (self.mask[:at], self.mask[at:])
+        return (Piece(self.id, self.start, self.ids[:4 * at], head, self.doc_tokens),
+                Piece(self.id, self.start + at, self.ids[4 * at:], tail, self.doc_tokens))
 
 
 class VectorPacker:
@@ -154,7 +174,7 @@ class VectorPacker:
     def _add(self, piece: Piece) -> None:
         if len(self.pending) == len(self.sizes):
             self.sizes = np.vstack([self.sizes, np.zeros_like(self.sizes)])
-        self.sizes[len(self.pending)] = len(piece), 1, np.count_nonzero(piece.mask)
+        self.sizes[len(self.pending)] = len(piece), 1, piece.loss()
         self.pending.append(piece)
 
     def _take(self, k: int) -> Piece:
@@ -166,8 +186,7 @@ class VectorPacker:
 
     def _head(self, piece: Piece, left: np.ndarray) -> int:
         """How many of the piece's first tokens fit into ``left``."""
-        most = int(min(len(piece), left[0]))
-        return min(most, int(np.searchsorted(np.cumsum(piece.mask[:most]), left[2], side="right")))
+        return piece.head(int(min(len(piece), left[0])), left[2])
 
     def _fill(self) -> list[Piece]:
         """One sequence from the pending pieces."""
@@ -187,13 +206,13 @@ class VectorPacker:
                 self._add(rest)
             else:
                 break
-            left -= (len(piece), 1, np.count_nonzero(piece.mask))
+            left -= (len(piece), 1, piece.loss())
             out.append(piece)
         return out
 
     def feed(self, piece: Piece) -> Iterator[list[Piece]]:
         whole = int(self.limits[0])
-        while len(piece) > whole and np.count_nonzero(piece.mask[:whole]) <= self.limits[2]:
+        while len(piece) > whole and piece.head(whole, self.limits[2]) == whole:
             head, piece = piece.cut(whole)  # full sequences need no search
             yield [head]
         if len(piece):
@@ -236,7 +255,7 @@ def _rows(sequences: Iterable[list[Piece]], counter: list[int]) -> Iterator[tupl
     for sequence in sequences:
         offset = 0
         for p in sequence:
-            yield (p.id, p.start, p.ids, p.doc_tokens, int(np.count_nonzero(p.mask)), counter[0], offset)
+            yield (p.id, p.start, p.ids, p.doc_tokens, p.loss(), counter[0], offset)
             offset += len(p)
         counter[0] += 1
 
@@ -294,9 +313,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         encode, end = _encoder(path), end_id.to_bytes(4, "little")
         for key, text in zip(batch.column(0), batch.column(1)):
             ids = encode(text.as_py() or "") + end
-            mask = np.ones(len(ids) // 4, bool)
-            mask[0] = False
-            yield Piece(key.as_py(), 0, ids, mask, len(mask))
+            yield Piece(key.as_py(), 0, ids, None, len(ids) // 4)
 
     return only(docs, id=id_col, body=text_col).mapInArrow(
         _packed(pieces, capacity, max_segments, max_loss or capacity, cut=True), OUT_SCHEMA)

@@ -17,7 +17,7 @@ def test_daily_job(spark):
     paths = {k: os.path.join(base, k) for k in ("clients", "calendar", "visits", "out", "by_month")}
     D.clients_raw(spark, SF).write.parquet(paths["clients"])
     D.visits_raw(spark, SF).write.parquet(paths["visits"])
-    wide, _ = D.calendar_wide(spark, 2024)
+    wide = D.calendar_wide(spark, SF)
     # the calendar lands as text, dates as d/M/yyyy, as in the calendar file
     wide.withColumn("FECHA", F.date_format("FECHA", "d/M/yyyy")).write.parquet(paths["calendar"])
     parts = run_daily(spark, paths["clients"], paths["calendar"], paths["visits"], paths["out"],

@@ -85,3 +85,23 @@ def test_redaction_removes_live_values_only(spark):
     want[5] = (9, "ü [SECRET]' and [SECRET].")
     assert texts == sorted(want, key=str)
     assert sc.redact(df.where("false")).count() == 0
+
+
+def test_repositories_decide_too(spark):
+    """A value in many documents of one owner is an example; without a repository column each document is one."""
+    many, few = "token=gggghhhhiiiijjjj", "token=zzzzyyyyxxxxwwww"
+    data = [(i, many, "en", "one") for i in range(sc.EXAMPLE_REPOS)]
+    data += [(100 + i, few, "en", "one") for i in range(sc.EXAMPLE_REPOS - 1)]
+    df = rows_of(spark, data)
+    live = {r["id"]: r["spans"][0]["live"] for r in sc.secrets(df, repo_col=None).collect()}
+    assert live == {i: t == few for i, t, *_ in data}
+    assert all(r["spans"][0]["live"] for r in sc.secrets(df).collect())  # one repository by language
+    out = {r["doc_id"]: r["text"] for r in sc.redact(df, repo_col=None).collect()}
+    assert out == {i: many if t == many else "[SECRET]" for i, t, *_ in data}
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    import time
+    start = time.process_time()
+    sc.find_spans("eyJ" * 300_000)
+    assert time.process_time() - start < 5

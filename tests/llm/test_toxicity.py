@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from visitwise.llm import toxicity as tx
@@ -72,23 +73,40 @@ def test_query_separates_held_out_labels(spark, sf):
     assert all(r["kept"] == (not r["rejected"]) for r in out.values())
 
 
-def test_model_generalises(documents, sf):
-    """Trained on one half of the labels, the chain finds the other half's toxic texts."""
-    labels = dict(duckdb.sql(f"select doc_id, toxic from '{sf[:-5]}0.01/labels.parquet'").fetchall())
-    texts = dict(duckdb.sql(f"select doc_id, text from '{sf[:-5]}0.01/documents.parquet'").fetchall())
-    ids = sorted(i for i in labels if labels[i] is not None)
-    train, test = ids[::2], ids[1::2]
-    from collections import Counter
-    seen, hit = Counter(), Counter()
-    for i in train:
-        terms = {t for w in tx._WORD.findall(texts[i].lower()) for t in tx.terms_of(w)}
-        seen.update(terms)
-        if labels[i]:
-            hit.update(terms)
-    n, t = len(train), sum(labels[i] for i in train)
-    best = sorted((w for w in seen if seen[w] > 2), key=lambda w: -((hit[w] * n - seen[w] * t) ** 2 / (seen[w] * (n - seen[w] + 1))))
-    f = tx.Features(best[:160])
-    model = tx.Linear(f.matrix([texts[i] for i in train]), np.array([labels[i] for i in train], float))
-    p = model(f.matrix([texts[i] for i in test]))
-    y = np.array([labels[i] for i in test])
-    assert (p[y == 1] >= 0.5).mean() >= 0.7 and (p[y == 0] < 0.5).mean() >= 0.97
+@pytest.mark.parametrize("size, found", [("0.01", 0.7), ("0.1", 0.9)])
+def test_query_finds_held_out_toxic_texts(spark, sf, size, found):
+    """Trained on half of the labels (about 200 and 2,000 rows), the chain judges the other half's texts."""
+    big = f"{sf[:-5]}{size}"
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    labels = spark.read.parquet(f"{big}/labels.parquet").where("toxic is not null")
+    learn = labels.where("doc_id % 2 = 0")
+    out = tx.toxicity(docs, toxicity_labels(learn), ["junk", "toxic"]).select("doc_id", "rejected")
+    held = {r[0]: r[1] for r in labels.where("doc_id % 2 = 1").select("doc_id", "toxic").collect()}
+    got = [(r["rejected"], held[r["doc_id"]]) for r in out.collect() if r["doc_id"] in held]
+    toxic, clean = [r for r, t in got if t], [r for r, t in got if not t]
+    assert len(toxic) > 10 and sum(toxic) >= found * len(toxic)
+    assert sum(clean) <= 0.03 * len(clean)
+
+
+def test_rare_toxic_rows_are_in_the_sample(spark, make):
+    """Five toxic rows among two thousand, a sample of 200: all five are learned from."""
+    rng = np.random.default_rng(7)
+    words = [f"word{i}" for i in range(60)]
+    rows = [(i, " ".join(map(str, rng.choice(words, 30))) + (" vileword" if i % 400 == 0 else "")) for i in range(2000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 400 == 0)) for i, _ in rows], LABELS)
+    new = [(5000, "word1 word2 vileword word3"), (5001, "word1 word2 word3")]
+    features, chain = tx.train(make(rows), toxicity_labels(labels), ["junk", "toxic"], "toxic", "doc_id", "text",
+                               sample_rows=200)
+    p = chain(features.matrix([t for _, t in new]))
+    assert "=vileword" in features.place and p[0, 1] > 0.5 > p[1, 1]
+
+
+def test_columns_named_like_the_new_ones(spark, make):
+    rows, labels = corpus(60)
+    df = make(rows).withColumn("Rejected", F.lit("x")).withColumn("p_toxic", F.lit(1)).withColumn("a.b", F.lit(2))
+    lab = toxicity_labels(spark.createDataFrame(labels, LABELS))
+    out = tx.toxicity(df, lab, ["junk", "toxic"])
+    assert out.columns == [*make(rows).columns, "a.b", "p_junk", "p_toxic", "p_severe", "rejected"]
+    kept = tx.without_toxic(df, lab, ["junk", "toxic"])
+    assert kept.columns == df.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in out.collect() if not r["rejected"]}

@@ -31,6 +31,11 @@ def lower_ascii(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 
 
+def quoted(names: list[str]) -> list:
+    """Columns by their exact names, dots included."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under the operator's own names (own=input name),
     so that extra input columns can never clash with working columns."""

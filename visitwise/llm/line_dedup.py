@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import connected_components, spill, split_join
+from .base import connected_components, quoted, spill, split_join
 
 DISTANCE = 1
 DISTANCES = ((20, 1), (40, 2), (60, 3))  # (length from, distance): the registered query and the pipeline's stage
@@ -440,9 +440,11 @@ def doc_key(id_col: str, text_col: str):
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                distance: int | tuple[tuple[int, int], ...] = DISTANCE, min_chars: int = MIN_CHARS,
-               block: int = BLOCK, exact_chars: int | None = None) -> DataFrame:
+               block: int = BLOCK, exact_chars: int | None = None, count_col: str | None = "removed_lines") -> DataFrame:
     """``docs``, every row, with the lines that :func:`repeated_lines` names
-    taken out of the text, and a last column ``removed_lines`` (long).
+    taken out of the text, and a last column ``count_col`` (long): how many. A
+    column of ``docs`` of that name gives way to it; without a name (None) the
+    columns are those of ``docs``.
 
     Lines below ``min_chars`` characters go only if an equal line stands
     earlier, those below ``exact_chars`` (``min_chars`` if not given) and null
@@ -457,7 +459,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .groupBy("doc", "id").agg(F.collect_set("n").alias("gone")))  # bounded by a document's lines
     key = columns[docs.columns.index(id_col)]
     named = docs.select(doc_key(id_col, text_col).alias("doc"),
-                        *[F.col(f"`{c}`").alias(own) for c, own in zip(docs.columns, columns)])
+                        *[c.alias(own) for c, own in zip(quoted(docs.columns), columns)])
     body = columns[docs.columns.index(text_col)]
     others = [c for c in columns if c != body]
     joined = (named.join(gone, (named["doc"] == gone["doc"]) & named[key].eqNullSafe(gone["id"]), "left")
@@ -466,4 +468,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.col(body), F.col("gone")))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
     out = joined.mapInArrow(_without, schema)
-    return out.select(*[F.col(own).alias(c) for c, own in zip(docs.columns, columns)], "removed_lines")
+    kept = [F.col(own).alias(c) for c, own in zip(docs.columns, columns) if c.lower() != (count_col or "").lower()]
+    return out.select(*kept, *([F.col("removed_lines").alias(count_col)] if count_col else []))

@@ -56,7 +56,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets(table(spark, sf_dir, "documents"))
+    found = secrets(table(spark, sf_dir, "documents"), repo_col=None)
 
     def spans(kinds):
         return F.filter("spans", lambda s: s["kind"].isin(*kinds)) if kinds else F.col("spans")

@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import spill
+from .base import quoted, spill
 
 EXAMPLE_OWNERS = 3  # a value under so many owners is an example
+EXAMPLE_REPOS = 20  # and so is one in so many repositories, whoever owns them
 LOOSE_ENTROPY = 4.0
 LOOSE_LENGTH = 24
 # the kinds in the order in which spans of one start are listed; the first
@@ -39,7 +40,7 @@ _CASED = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
 _ASSIGN = re.compile(rf"""({_CASED})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 _FORGE = re.compile(r"gh[pousr]_[A-Za-z0-9]{30,}")
 _PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----")
 _LOOSE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LOOSE_LENGTH},}}")
@@ -119,23 +120,32 @@ def ownership(scanned: DataFrame) -> DataFrame:
                                         F.count("*").alias("owners"))
 
 
+def _live(example_owners: int, example_repos: int):
+    return (F.col("owners") < example_owners) & (F.col("repos") < example_repos)
+
+
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-            repo_col: str = "lang", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+            repo_col: str | None = "lang", example_owners: int = EXAMPLE_OWNERS,
+            example_repos: int = EXAMPLE_REPOS) -> DataFrame:
     """One row per input row: ``id`` and ``spans``, an array of (start, rank,
     kind, end, hash, uses, repos, owners, live) in the order of the digest.
 
+    A value is live-looking while it has fewer than ``example_owners`` owners
+    and stands in fewer than ``example_repos`` repositories. Without a
+    ``repo_col`` (None) every document is a repository.
+
     Null texts count as empty and have no spans. Rows that repeat an id are
     scanned and returned as rows of their own. Extra columns are ignored; an
     empty table gives an empty result.
     """
     found = spill(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
-        _text(owner_col).alias("owner"), _text(repo_col).alias("repo"), F.col(f"`{text_col}`").alias("body"))
+        _text(owner_col).alias("owner"), _text(repo_col or id_col).alias("repo"), F.col(f"`{text_col}`").alias("body"))
         .mapInArrow(_scan(False), f"row long, id long, owner string, repo string, spans array<{_SPAN}>"), "spans")
     counts = spill(ownership(found), "ownership")
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("s.kind"))
     judged = (found.select("row", F.explode("spans").alias("s")).withColumn("hash", F.col("s.hash"))
-              .join(counts, "hash").withColumn("live", F.col("owners") < example_owners)
+              .join(counts, "hash").withColumn("live", _live(example_owners, example_repos))
               .where((F.col("s.kind") != "loose") | F.col("live"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
                   "s.start", rank.alias("rank"), "s.kind", "s.end", "hash", "uses", "repos", "owners", "live")))
@@ -145,22 +155,24 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
             .select("id", F.coalesce("spans", plain).alias("spans")))
 
 
-def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str = "lang",
-           example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", owner_col: str = "source", repo_col: str | None = "lang",
+           example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, mark: str = "[SECRET]",
+           id_col: str = "doc_id") -> DataFrame:
     """``docs`` (same columns and rows) with every live-looking span of its
-    texts replaced by ``mark``; overlapping spans become one mark.
+    texts replaced by ``mark``; overlapping spans become one mark. What looks
+    live, and ``repo_col``: see :func:`secrets`.
 
     One pass finds the spans and writes them beside the rows. Rows without
     spans pass through; only rows with spans meet the counts.
     """
     columns = [f"c{i}" for i in range(len(docs.columns))]
-    named = docs.select(*[F.col(f"`{c}`").alias(own) for c, own in zip(docs.columns, columns)],
+    named = docs.select(*[c.alias(own) for c, own in zip(quoted(docs.columns), columns)],
                         F.monotonically_increasing_id().alias("row"), _text(owner_col).alias("owner"),
-                        _text(repo_col).alias("repo"), F.col(f"`{text_col}`").alias("body"))
+                        _text(repo_col or id_col).alias("repo"), F.col(f"`{text_col}`").alias("body"))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
     # the text itself is one of the columns c0, c1, ...; the copy ends here
     found = spill(named.mapInArrow(_scan(False), f"{schema}, spans array<{_SPAN}>"), "scanned")
-    counts = ownership(found.select("owner", "repo", "spans")).where(F.col("owners") < example_owners)
+    counts = ownership(found.select("owner", "repo", "spans")).where(_live(example_owners, example_repos))
     cuts = (found.select("row", F.explode("spans").alias("s")).select("row", "s.*")
             .join(counts.select("hash"), "hash")
             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cuts")))

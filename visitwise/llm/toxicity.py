@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import only, spill
+from .base import only, quoted, spill
 
 SAMPLE_ROWS = 6_000  # most labelled rows that the chain is trained on
 VOCABULARY = 160      # terms for each category
 LEAST_ROWS = 12       # a term must occur in so many rows of the sample
+RARE_ROWS = 600       # rows of the graded category's rarer class that the sample holds at least, if there are
 STARTS = (4, 5, 6, 7)
 FOLDS = 5
 THRESHOLD = 0.5
@@ -129,15 +130,23 @@ class Chain:
 
 def train(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: str, id_col: str, text_col: str,
           sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY,
-          least_rows: int = LEAST_ROWS) -> tuple[Features, Chain]:
-    """The vocabulary and the chain, from at most ``sample_rows`` labelled rows
-    (those with the smallest hashes of their ids). Of an id's several labels
-    the largest counts; rows with a null id or a null label are left out."""
+          least_rows: int = LEAST_ROWS, rare_rows: int = RARE_ROWS) -> tuple[Features, Chain]:
+    """The vocabulary and the chain, from at most ``sample_rows`` labelled rows:
+    those with the smallest hashes of their ids in each class of the graded
+    category, in the classes' shares, but at least ``rare_rows`` of the rarer
+    class if there are so many (its probabilities are those of such a sample).
+    Of an id's several labels the largest counts; rows with a null id or a null
+    label are left out."""
     spark = docs.sparkSession
     columns = {f"y{i}": c for i, c in enumerate(categories)}
-    rows = (only(labelled, id=id_col, **columns).dropna().groupBy("id")
-            .agg(*[F.max(y).cast("int").alias(y) for y in columns])
-            .orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect())
+    known = (only(labelled, id=id_col, **columns).dropna().groupBy("id")
+             .agg(*[F.max(y).cast("int").alias(y) for y in columns]))
+    marked = F.col(f"y{categories.index(graded)}") > 0
+    has, total = known.agg(F.count_if(marked), F.count("*")).first()
+    rare, rarer = (marked, has) if 2 * has <= total else (~marked, total - has)
+    share = min(rarer, max(round(sample_rows * rarer / max(1, total)), min(rare_rows, sample_rows // 2)))
+    rows = [r for chosen, n in ((rare, share), (~rare, sample_rows - share))
+            for r in known.where(chosen).orderBy(F.xxhash64("id"), "id").limit(n).collect()]
     # at most sample_rows rows of numbers: a broadcast of bounded size
     sample = spark.createDataFrame(rows, "id long, " + ", ".join(f"{y} int" for y in columns))
     texts = spill(only(docs, id=id_col, body=text_col).join(F.broadcast(sample), "id"), "sample")
@@ -149,7 +158,7 @@ def train(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: s
               .join(F.broadcast(sample), "id").select(F.explode("terms").alias("term"), *columns)
               .groupBy("term").agg(F.count("*").cast("double").alias("n"),
                                    *[F.sum(y).cast("double").alias(y) for y in columns])
-              .where(F.col("n") >= min(least_rows, max(1, len(rows) // 100))))
+              .where(F.col("n") >= min(least_rows, max(1, len(rows) // 100), max(1, share // 10))))
     best: set[str] = set()
     for y in columns:
         if 0 < totals[f"t{y}"] < size:  # a constant category chooses no terms
@@ -179,6 +188,32 @@ def train(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: s
     return features, Chain(x, np.column_stack([y, grade]))
 
 
+def _scored(docs: DataFrame, features: Features, chain: Chain, text_col: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` under names of our own (returned, too) and ``p``, the chain's probabilities."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    named = docs.select(*[c.alias(o) for c, o in zip(quoted(docs.columns), own)])
+    body = own[docs.columns.index(text_col)]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = chain(features.matrix([t or "" for t in batch.column(body).to_pylist()]))
+            yield pa.record_batch([*batch.columns, pa.array(list(p), pa.list_(pa.float64()))],
+                                  names=[*batch.schema.names, "p"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields)
+    return named.mapInArrow(score, f"{schema}, p array<double>"), own
+
+
+def without_toxic(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: str = "toxic",
+                  id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the chain does not reject, with the columns of
+    ``docs``, whatever their names."""
+    features, chain = train(docs, labelled, categories, graded, id_col, text_col)
+    scored, own = _scored(docs, features, chain, text_col)
+    kept = scored.where(~(F.col("p")[categories.index(graded)] >= threshold))
+    return kept.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])
+
+
 def toxicity(docs: DataFrame, labelled: DataFrame, categories: list[str], graded: str = "toxic",
              id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
              sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> DataFrame:
@@ -189,23 +224,13 @@ def toxicity(docs: DataFrame, labelled: DataFrame, categories: list[str], graded
     ``labelled`` holds the id and the categories as 0 or 1. Null, empty and
     wordless texts are scored as texts without any term. Without labels every
     probability is next to 0, with labels of one class next to that class. Rows that repeat
-    an id are scored by their own texts. Working columns cannot clash with
-    columns of ``docs``, whose names must not be those of the new columns; an
-    empty table gives an empty result.
+    an id are scored by their own texts. A column of ``docs`` that has the name
+    of a new one gives way to it; an empty table gives an empty result.
     """
     features, chain = train(docs, labelled, categories, graded, id_col, text_col, sample_rows, vocabulary)
-    own = [f"c{i}" for i in range(len(docs.columns))]
-    named = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
-    body, at = own[docs.columns.index(text_col)], categories.index(graded)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = chain(features.matrix([t or "" for t in batch.column(body).to_pylist()]))
-            yield pa.record_batch([*batch.columns, pa.array(list(p), pa.list_(pa.float64()))],
-                                  names=[*batch.schema.names, "p"])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields)
-    out = named.mapInArrow(score, f"{schema}, p array<double>")
-    return out.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)],
-                      *[F.col("p")[i].alias(f"p_{c}") for i, c in enumerate([*categories, "severe"])],
-                      (F.col("p")[at] >= threshold).alias("rejected"))
+    out, own = _scored(docs, features, chain, text_col)
+    new = {f"p_{c}": F.col("p")[i] for i, c in enumerate([*categories, "severe"])}
+    new["rejected"] = F.col("p")[categories.index(graded)] >= threshold
+    taken = {n.lower() for n in new}
+    return out.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own) if c.lower() not in taken],
+                      *[c.alias(n) for n, c in new.items()])

@@ -20,13 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitwise.llm.base import spill, table
+from visitwise.llm.base import quoted, spill, table
 from visitwise.llm.line_dedup import DISTANCES, EXACT_CHARS, line_dedup
 from visitwise.llm.near_dedup import near_duplicates
 from visitwise.llm.packing import pack_documents
 from visitwise.llm.queries import packing_digest, toxicity_labels
 from visitwise.llm.secret_scan import redact
-from visitwise.llm.toxicity import toxicity
+from visitwise.llm.toxicity import without_toxic
 
 NEAR_PERCENT = 80  # the near-dedup stage's own threshold; op2 keeps its contract's
 
@@ -34,7 +34,7 @@ NEAR_PERCENT = 80  # the near-dedup stage's own threshold; op2 keeps its contrac
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject."""
     labels = toxicity_labels(table(spark, sf_dir, "labels"))
-    return toxicity(docs, labels, ["junk", "toxic"]).where("not rejected").select(docs.columns)
+    return without_toxic(docs, labels, ["junk", "toxic"])
 
 
 def _same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -42,24 +42,24 @@ def _same_columns(docs: DataFrame, changed: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = changed.withColumn("n_chars", F.length("text").cast(kind))
-    return changed.select(docs.columns)
+    return changed.select(*quoted(docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that stand earlier in the corpus."""
-    return _same_columns(docs, line_dedup(docs, distance=DISTANCES, exact_chars=EXACT_CHARS))
+    return _same_columns(docs, line_dedup(docs, distance=DISTANCES, exact_chars=EXACT_CHARS, count_col=None))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (similarity 0.80 or more) the document with
     the smallest doc_id."""
     kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(docs.columns)
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").select(*quoted(docs.columns))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, live-looking secrets replaced."""
-    return _same_columns(docs, redact(docs))
+    return _same_columns(docs, redact(docs, repo_col=None))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1203,3 +1203,7 @@ def q01_client_extract(spark, sf):
 def a05_distinct(spark, sf):
     """Distinct values (channel and frequency code pairs)."""
     return D.clients_raw(spark, sf).select("COD_CANAL", "COD_FRECUENCIA_VISITA").distinct()
+
+
+# queries beyond the reference's own register themselves
+from visitwise.plans import beyond  # noqa: E402, F401

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from visitwise.operators import intervals, rollups, scans, setops
 from visitwise.plans import driver as D
+from visitwise.plans import registry as R
 from visitwise.plans.registry import register
 from visitwise.streaming import windows as W
 
@@ -300,3 +301,114 @@ UNION ALL SELECT c.*, CASE WHEN o_custkey IN (SELECT o_custkey FROM a) THEN 'upd
 def t16_snapshot_diff(spark, sf):
     """What changed between two yearly extracts of active clients."""
     return setops.snapshot_diff(*[active_clients(spark, sf, d) for d in SNAPSHOTS], ["o_custkey"])
+
+
+# ------------------------------------------------------------ catalogued tables
+
+BUCKETS = 16
+
+
+@register("t17_bucketed_join", R.ORACLE["j02_visit_left"])
+def t17_bucketed_join(spark, sf):
+    """J02 on catalogued tables bucketed by client: joined without a shuffle."""
+    import uuid
+
+    from visitwise.plans.route import visit_facts
+    from visitwise.session import ensure_checkpoint_dir
+    from visitwise.sources.catalog import save_table
+    folder = f"{ensure_checkpoint_dir(spark)}/tables-{uuid.uuid4().hex}"
+    tables = [save_table(df, f"visitwise_{name}", f"{folder}/{name}", bucket_by=["ID_TERCERO"], buckets=BUCKETS)
+              for name, df in (("visits", R.visits(spark, sf)), ("clients", R.clients(spark, sf)))]
+    return R._round(visit_facts(*tables, null_safe=False), "Distancia_Haversine")
+
+
+# ------------------------------------------------------------------ variants
+
+_ATTRIBUTES = {"longitude": ("$.901", "string"), "size": ("$.902", "int"), "kind": ("$.0", "string")}
+
+
+@register("t18_variants", f"""
+SELECT entity, max(value) FILTER (WHERE attr_id = 901) AS longitude, TRY_CAST(max(value) FILTER (WHERE attr_id = 902) AS INTEGER) AS size,
+  max(value) FILTER (WHERE attr_id = 0) AS kind,
+  coalesce(string_agg(attr_id || '=' || value, ',' ORDER BY CAST(attr_id AS VARCHAR)) FILTER (WHERE attr_id NOT IN (901, 902, 0)), '') AS others
+FROM {R._EAV_SQL} e GROUP BY entity""")
+def t18_variants(spark, sf):
+    """EAV rows as one VARIANT an entity: three attributes typed, the undeclared ones kept."""
+    from visitwise.operators import variants
+    v = variants.entity_variants(R._eav(spark, sf))
+    others = F.map_entries(variants.undeclared("attributes", ["901", "902", "0"]))
+    text = F.array_join(F.transform(F.sort_array(others), lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
+    return v.select("entity", *variants.typed("attributes", _ATTRIBUTES), text.alias("others"))
+
+
+@register("t19_json_props", """
+SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_total,
+  min(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_least, count(*) FILTER (WHERE json_extract(props, '$.missing') IS NULL) AS n_missing
+FROM events GROUP BY 1""")
+def t19_json_props(spark, sf):
+    """Typed extraction from the events' JSON properties; texts that are no JSON count as empty."""
+    from visitwise.operators import variants
+    e = D.table(spark, sf, "events").select("event_type", F.try_parse_json("props").alias("p"))
+    e = e.select("event_type", *variants.typed("p", {"k": ("$.k", "bigint"), "missing": ("$.missing", "string")}))
+    return e.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k_total"), F.min("k").alias("k_least"),
+                                       F.count_if(F.col("missing").isNull()).alias("n_missing"))
+
+
+# ------------------------------------------------ membership, subqueries, views
+
+@register("t20_never_on_due_date", f"""
+SELECT ID_TERCERO, COD_DIA_VISITA, COD_FRECUENCIA_VISITA FROM {R.CL} c WHERE NOT EXISTS (
+  SELECT 1 FROM {R.VIS} v JOIN {R.CAL} k ON k.FECHAS_VISITA = v.FECHAS_VISITA
+  WHERE v.ID_TERCERO = c.ID_TERCERO AND k.COD_DIA_VISITA = c.COD_DIA_VISITA AND k.COD_FRECUENCIA_VISITA = c.COD_FRECUENCIA_VISITA)""")
+def t20_never_on_due_date(spark, sf):
+    """Clients that no visit reached on a due date of their plan."""
+    from visitwise.operators.membership import anti, semi
+    from visitwise.plans.compliance import CODE_KEYS
+    cl = R.clients(spark, sf).select("ID_TERCERO", *CODE_KEYS)
+    coded = R.visits(spark, sf).select("ID_TERCERO", "FECHAS_VISITA").join(cl, "ID_TERCERO")
+    on_due = semi(coded, R.calendar(spark, sf), [*CODE_KEYS, "FECHAS_VISITA"])
+    return anti(cl, on_due, ["ID_TERCERO", *CODE_KEYS])
+
+
+@register("t21_not_in", f"""
+SELECT CAST(user_id AS VARCHAR) || '-001' AS ID_TERCERO, event_id FROM events
+WHERE CAST(user_id AS VARCHAR) || '-001' NOT IN (SELECT ID_TERCERO FROM {R.CL} c)
+  AND lpad(CAST(user_id % 8 AS VARCHAR), 3, '0') NOT IN (SELECT COD_FRECUENCIA_VISITA FROM {R.CL} c WHERE COD_FRECUENCIA_VISITA IS NOT NULL)""")
+def t21_not_in(spark, sf):
+    """Visits to unknown clients whose code no client has, by ``NOT IN`` twice."""
+    from visitwise.operators.membership import not_in
+    cl = R.clients(spark, sf)
+    e = D.table(spark, sf, "events").select(F.concat(F.col("user_id").cast("string"), F.lit("-001")).alias("ID_TERCERO"), "event_id",
+                                            F.lpad((F.col("user_id") % 8).cast("string"), 3, "0").alias("code"))
+    codes = cl.where("COD_FRECUENCIA_VISITA is not null")
+    return not_in(not_in(e, cl, "ID_TERCERO", "ID_TERCERO"), codes, "code", "COD_FRECUENCIA_VISITA").drop("code")
+
+
+@register("t22_not_in_with_nulls", f"""
+SELECT event_id FROM events WHERE lpad(CAST(user_id % 8 AS VARCHAR), 3, '0') NOT IN (SELECT COD_FRECUENCIA_VISITA FROM {R.CL} c)""")
+def t22_not_in_with_nulls(spark, sf):
+    """The same against a list with nulls: nothing is known to be absent from it."""
+    from visitwise.operators.membership import not_in
+    e = D.table(spark, sf, "events").select("event_id", F.lpad((F.col("user_id") % 8).cast("string"), 3, "0").alias("code"))
+    return not_in(e, R.clients(spark, sf), "code", "COD_FRECUENCIA_VISITA").drop("code")
+
+
+_SECONDS_SQL = "CAST(floor((epoch_us(Finalizacion_Visita) - epoch_us(Inicio_Visita)) / 1000000.0) AS BIGINT)"
+
+
+@register("t23_sql_surface", f"""
+WITH v AS (SELECT *, {_SECONDS_SQL} AS seconds FROM {R.VIS} v)
+SELECT c.ID_TERCERO, c.COD_CANAL, (SELECT max(Inicio_Visita) FROM v WHERE v.ID_TERCERO = c.ID_TERCERO) AS last_visit,
+  (SELECT count(*) FROM v WHERE v.ID_TERCERO = c.ID_TERCERO AND v.seconds > (SELECT avg(seconds) FROM v)) AS long_visits,
+  (SELECT max(strftime(FECHAS_VISITA, '%Y%m')) FROM v WHERE v.ID_TERCERO = c.ID_TERCERO) AS last_period
+FROM {R.CL} c WHERE EXISTS (SELECT 1 FROM v WHERE v.ID_TERCERO = c.ID_TERCERO AND v.seconds IS NOT NULL)""")
+def t23_sql_surface(spark, sf):
+    """The same question in SQL over the views, with a CTE, scalar and
+    correlated subqueries and the library's SQL functions."""
+    from visitwise.plans.views import create_views
+    return create_views(R.clients(spark, sf), R.calendar(spark, sf), R.visits(spark, sf)).sql("""
+WITH timed AS (SELECT ID_TERCERO, FECHAS_VISITA, Inicio_Visita, visit_seconds(Inicio_Visita, Finalizacion_Visita) AS seconds FROM visits)
+SELECT c.ID_TERCERO, c.COD_CANAL, (SELECT max(t.Inicio_Visita) FROM timed t WHERE t.ID_TERCERO = c.ID_TERCERO) AS last_visit,
+  (SELECT count(*) FROM timed t WHERE t.ID_TERCERO = c.ID_TERCERO AND t.seconds > (SELECT avg(seconds) FROM timed)) AS long_visits,
+  (SELECT max(period_of(t.FECHAS_VISITA)) FROM timed t WHERE t.ID_TERCERO = c.ID_TERCERO) AS last_period
+FROM clients c WHERE EXISTS (SELECT 1 FROM timed t WHERE t.ID_TERCERO = c.ID_TERCERO AND t.seconds IS NOT NULL)""")

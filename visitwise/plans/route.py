@@ -29,15 +29,17 @@ def due_list(clients: DataFrame, calendar: DataFrame) -> DataFrame:
     return merge(clients, calendar.select("FECHAS_VISITA", *CAL_KEYS), CAL_KEYS, "left")
 
 
-def visit_facts(visits: DataFrame, clients: DataFrame, compat: bool = True) -> DataFrame:
+def visit_facts(visits: DataFrame, clients: DataFrame, compat: bool = True, null_safe: bool = True) -> DataFrame:
     """Q08 / J02 (inner after R1) with C09-C15.
 
     ``TimeDifference`` is in seconds; ``TimeDifferenceD`` the ``1h:5 min``
     text (sentinel for a missing end with ``compat``); ``Time`` the
     reference's glued code; ``Distancia_Haversine`` in metres with the zero
-    guard; ``Rango_Visita`` the 200 m class.
+    guard; ``Rango_Visita`` the 200 m class. Without ``null_safe`` ids that
+    are null meet nothing, and the join is on the bare column, so tables
+    bucketed by it need no shuffle.
     """
-    j = merge(visits, clients, ["ID_TERCERO"], "inner")
+    j = merge(visits, clients, ["ID_TERCERO"], "inner", null_safe=null_safe)
     secs = duration_seconds("Inicio_Visita", "Finalizacion_Visita")
     j = j.withColumn("TimeDifference", secs)
     lon, lat = to_number("Logintud"), to_number("Latitud_Visita")

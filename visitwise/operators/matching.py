@@ -98,13 +98,17 @@ def mark_join(df: DataFrame, ref: DataFrame, keys, flag: str,
               ref_keys=None) -> DataFrame:
     """Keep every row of ``df`` and flag whether its key is in ``ref``.
 
-    ``ref`` is reduced to distinct keys first (no fan-out).
+    ``ref`` is reduced to distinct keys first (no fan-out). Grouped by the
+    join's keys, it would lend its partitioning to the join; a hash of the keys
+    as one more key gives both sides a shuffle of their own, so that a hot key
+    of ``df`` can be split (unless the marks are small enough to be broadcast).
     """
     keys = list(keys)
     rk = list(ref_keys or keys)
     marks = ref.select(*[F.col(r).alias(f"_m{i}") for i, r in enumerate(rk)]).distinct() \
-        .withColumn("_hit", F.lit(True))
-    cond = reduce(lambda a, b: a & b, [df[k] == marks[f"_m{i}"] for i, k in enumerate(keys)])
-    return (df.join(marks, cond, "left")
+        .withColumns({"_hit": F.lit(True), "_mh": F.xxhash64(*[f"_m{i}" for i in range(len(rk))])})
+    left = df.withColumn("_h", F.xxhash64(*[F.col(k).cast(marks.schema[f"_m{i}"].dataType) for i, k in enumerate(keys)]))
+    cond = reduce(lambda a, b: a & b, [left[k] == marks[f"_m{i}"] for i, k in enumerate(keys)])
+    return (left.join(marks, cond & (left["_h"] == marks["_mh"]), "left")
             .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(False)))
-            .drop("_hit", *[f"_m{i}" for i in range(len(rk))]))
+            .drop("_hit", "_h", "_mh", *[f"_m{i}" for i in range(len(rk))]))

@@ -139,13 +139,14 @@ def rank_tables(df: DataFrame, keys, specs) -> list[DataFrame]:
             for i, (value, name, _, _) in enumerate(specs)]
 
 
-def attach_stacked_ranks(df: DataFrame, row_id: str, keys, specs) -> DataFrame:
+def attach_stacked_ranks(df: DataFrame, row_id: str, keys, specs, store: bool = False) -> DataFrame:
     """All ranks of ``specs`` as new columns of a frame with a unique
     ``row_id``: the stacked ``(row id, keys, metric, value)`` rows look their
     rank up in one join, a pivot by row id turns them into columns, and the
     wide rows meet them in one join on the row id (shuffled once). Row id,
     keys and values are written once as a narrow frame, so the wide frame is
-    read twice in all: for the narrow one and for the join."""
+    read twice in all: for the narrow one and for the join. ``store`` writes the
+    ranks by row id, too, for a caller who reads the result more than once."""
     keys = list(keys)
     values = [v for v in dict.fromkeys(value for value, *_ in specs) if v not in keys]
     narrow = materialize(df.select(row_id, *keys, *values))
@@ -155,7 +156,7 @@ def attach_stacked_ranks(df: DataFrame, row_id: str, keys, specs) -> DataFrame:
     piv = looked.groupBy(row_id).agg(*[
         F.max(F.when(F.col("_metric") == i, F.col("_r"))).alias(name)
         for i, (_, name, _, _) in enumerate(specs)])
-    return df.join(piv, row_id, "left")
+    return df.join(materialize(piv) if store else piv, row_id, "left")
 
 
 def rank_table(df: DataFrame, keys, value: str, out: str,
@@ -188,11 +189,18 @@ def _join_back(df: DataFrame, ranks: DataFrame, on: list[str]) -> DataFrame:
     return a.join(b, cond, "left").select("_d.*", *[F.col(f"_k.`{c}`") for c in extra])
 
 
-def global_index(df: DataFrame, order: list[Column], out: str = "_row") -> DataFrame:
+def global_index(df: DataFrame, order: list[Column], out: str = "_row", row_id: str | None = None) -> DataFrame:
     """Exact 0-based position of every row in ``order`` (a total order is
-    the caller's duty: add tie-breaks).  Adds ``out`` and ``_nrows``."""
+    the caller's duty: add tie-breaks).  Adds ``out`` and ``_nrows``.
+
+    With ``row_id``, a unique column that is fixed in the stored rows, only it
+    and the order's columns are sorted and written, ties go by it, and the wide
+    rows meet their positions in one join."""
     ensure_checkpoint_dir(df.sparkSession)
-    tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
+    if row_id:
+        tagged = df.orderBy(*order, F.col(row_id)).select(row_id, F.monotonically_increasing_id().alias("_mid"))
+    else:
+        tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
     pid = F.shiftright(F.col("_mid"), 33)
     counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -206,7 +214,7 @@ def global_index(df: DataFrame, order: list[Column], out: str = "_row") -> DataF
            .join(F.broadcast(offs), "_pid")
            .withColumn(out, F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
            .drop("_pid", "_off", "_mid"))
-    return res
+    return df.join(res, row_id) if row_id else res
 
 
 def bucket_of(row: Column, nrows: Column, n: int) -> Column:
@@ -222,9 +230,10 @@ def bucket_of(row: Column, nrows: Column, n: int) -> Column:
 
 
 def balanced_buckets(df: DataFrame, order: list[Column], n: int,
-                     out: str = "part") -> DataFrame:
-    """Exact ``ntile(n)`` over ``order`` without a single-task window."""
-    idx = global_index(df, order, "_row")
+                     out: str = "part", row_id: str | None = None) -> DataFrame:
+    """Exact ``ntile(n)`` over ``order`` without a single-task window
+    (``row_id``: see :func:`global_index`)."""
+    idx = global_index(df, order, "_row", row_id)
     return idx.withColumn(out, bucket_of(F.col("_row"), F.col("_nrows"), n))
 
 

@@ -1,8 +1,10 @@
-"""Compliance designs of the exploratory notebooks (Q11, Q12, Q14, Q15)
-and the synthetic source tables of the extract joins (J20-J24, U02).
+"""Compliance designs of the exploratory notebooks (Q11, Q12, Q14, Q15).
 
 All built from the prepared inputs of ``plans.prepare``; every join is an
-equi-join and every list is bounded by the calendar (distinct dates).
+equi-join. Lists of due dates are bounded by the calendar; a client's list of
+visit dates keeps duplicates where the reference does, so it is as long as the
+client has visits. Such lists are built once per client and meet the visits in
+the last join, so no shuffle carries a list per visit.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from visitwise.functions.durations import duration_seconds, length_text
 from visitwise.operators.grouping import distinct_list, value_list
 from visitwise.operators.matching import mark_join, natural_full_outer
 from visitwise.operators.nullsafe import merge
-from visitwise.operators.ranking import first_per_key
+from visitwise.operators.ranking import first_per_key, materialize
 
 CODE_KEYS = ["COD_DIA_VISITA", "COD_FRECUENCIA_VISITA"]
 DUE_KEYS = ["ID_TERCERO", "COD_DIA_VISITA", "DES_DIA_VISITA", "COD_FRECUENCIA_VISITA",
@@ -89,20 +91,44 @@ def client_lists(clients: DataFrame, visits: DataFrame) -> DataFrame:
     return dates.join(codes, "ID_TERCERO", "left")
 
 
-def visits_with_lists(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
-    """One row per visit with its client's list of visit dates and the
-    list of due dates of its plan (J13: lists joined on the two codes)."""
+LIST_KEYS = ["ID_TERCERO", *CODE_KEYS]
+
+
+def plan_lists(clients: DataFrame, calendar: DataFrame, visits: DataFrame, cell=F.col) -> DataFrame:
+    """One row per client: its visit dates (J12) and the due dates of its plan
+    (J13: joined on the two codes), each put through ``cell`` once."""
     plan = value_list(calendar, CODE_KEYS, "FECHAS_VISITA", "fechas_programadas")
-    lists = client_lists(clients, visits).join(plan, CODE_KEYS, "inner")
-    coded = visits.join(clients.select("ID_TERCERO", *CODE_KEYS), "ID_TERCERO", "inner")
-    return (coded.join(lists, ["ID_TERCERO", *CODE_KEYS], "inner")
-            .select("ID_TERCERO", *CODE_KEYS, "Inicio_Visita", "FECHAS_VISITA", "fechas_agrupadas", "fechas_programadas"))
+    both = client_lists(clients, visits).join(plan, CODE_KEYS, "inner")
+    return both.select(*LIST_KEYS, *[cell(c).alias(c) for c in ("fechas_agrupadas", "fechas_programadas")])
+
 
+def _coded_visits(clients: DataFrame, visits: DataFrame) -> DataFrame:
+    return (visits.join(clients.select(*LIST_KEYS), "ID_TERCERO", "inner")
+            .select(*LIST_KEYS, "Inicio_Visita", "FECHAS_VISITA"))
 
-def distances_joined(lists: DataFrame, distances: DataFrame, how: str) -> DataFrame:
+
+def visits_with_lists(clients: DataFrame, calendar: DataFrame, visits: DataFrame, cell=F.col) -> DataFrame:
+    """One row per visit with its client's list of visit dates and the
+    list of due dates of its plan. The lists travel once per client."""
+    lists = plan_lists(clients, calendar, visits, cell)
+    return _coded_visits(clients, visits).join(lists, LIST_KEYS, "inner")
+
+
+def distances_joined(clients: DataFrame, calendar: DataFrame, visits: DataFrame, distances: DataFrame, how: str,
+                     cell=F.col) -> DataFrame:
     """J15 (inner) and J16 (full outer): the visits of J14 and a table of
-    distances by client and start."""
-    return merge(lists, distances, ["ID_TERCERO", "Inicio_Visita"], how)
+    distances by client and start. Narrow visits that have lists meet the
+    distances first, the lists come last."""
+    first = visits.join(clients.select(*LIST_KEYS), "ID_TERCERO", "inner")
+    order = F.struct("Inicio_Visita", *CODE_KEYS)
+    with_list = first.groupBy("ID_TERCERO").agg(*[F.min_by(c, order).alias(c) for c in CODE_KEYS])
+    with_list = with_list.join(calendar.select(*CODE_KEYS).distinct(), CODE_KEYS, "left_semi")
+    rows = _coded_visits(clients, visits).join(with_list, LIST_KEYS, "left_semi")
+    met = merge(rows, distances, ["ID_TERCERO", "Inicio_Visita"], how)
+    # a distance without a visit has no codes, so no list
+    out = met.join(plan_lists(clients, calendar, visits, cell), LIST_KEYS, "left")
+    others = [c for c in distances.columns if c not in ("ID_TERCERO", "Inicio_Visita")]
+    return out.select(*LIST_KEYS, "Inicio_Visita", "FECHAS_VISITA", "fechas_agrupadas", "fechas_programadas", *others)
 
 
 def frequency_code(c) -> Column:
@@ -115,9 +141,10 @@ def visits_on_due_dates(clients: DataFrame, calendar: DataFrame, visits: DataFra
     """Q15 (J08-J11): the due dates of clients (one row each, by the frequency
     code rebuilt as text) and the visits with their client's channel, joined on
     client and date: ``inner``, or ``outer`` for the later copy."""
-    cl = distinct_clients(clients).withColumn("COD_FRECUENCIA_VISITA", frequency_code("COD_FRECUENCIA_VISITA"))
+    one = materialize(distinct_clients(clients).select(*LIST_KEYS, "COD_CANAL"))  # read by both sides
+    cl = one.withColumn("COD_FRECUENCIA_VISITA", frequency_code("COD_FRECUENCIA_VISITA"))
     due = due_rows(cl, calendar).select("ID_TERCERO", *CODE_KEYS, "FECHAS_VISITA")
-    v = visits.join(distinct_clients(clients).select("ID_TERCERO", "COD_CANAL"), "ID_TERCERO", "inner").select(
+    v = visits.join(one.select("ID_TERCERO", "COD_CANAL"), "ID_TERCERO", "inner").select(
         "ID_TERCERO", "FECHAS_VISITA", "Inicio_Visita", "COD_CANAL")
     return merge(due, v, ["ID_TERCERO", "FECHAS_VISITA"], how)
 
@@ -127,7 +154,10 @@ def all_due_dates(clients: DataFrame, calendar: DataFrame, visits: DataFrame) ->
     (bounded fan-out: at most the calendar's dates per visit). ``Cumple`` is
     the visit's own mark (J19), carried through the join; ``es_su_fecha`` says
     that this due date is the visit's date."""
-    v = visits.join(clients.select("ID_TERCERO", *CODE_KEYS).distinct(), "ID_TERCERO", "inner")
+    # a client's different plans, gathered by client alone: one shuffle, whose partitioning the join uses again
+    plans = clients.groupBy("ID_TERCERO").agg(F.collect_set(F.struct(*[F.col(c) for c in CODE_KEYS])).alias("_plans"))
+    v = (visits.select("ID_TERCERO", "Inicio_Visita", "FECHAS_VISITA").join(plans, "ID_TERCERO", "inner")
+         .withColumn("_plan", F.explode("_plans")).select("ID_TERCERO", "Inicio_Visita", "FECHAS_VISITA", "_plan.*"))
     cal = calendar.select(F.col("FECHAS_VISITA").alias("FECHA_PROGRAMADA"), *CODE_KEYS)
     return (mark_scheduled(v, calendar).join(cal, CODE_KEYS, "inner")
             .select("ID_TERCERO", "Inicio_Visita", "FECHA_PROGRAMADA", "Cumple",

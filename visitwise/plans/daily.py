@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from visitwise.functions.dates import parse_dmy
 from visitwise.operators.calendar import read_calendar_csv
 from visitwise.plans.prepare import prepare_calendar, prepare_clients, prepare_visits
-from visitwise.plans.unified import result_order, unified
+from visitwise.plans.unified import ROW_ID, result_order, unified
 from visitwise.sources.sinks import export_unified
 
 
@@ -49,9 +49,9 @@ def run_daily(spark: SparkSession, clients_path: str, calendar_path: str, visits
     clients = prepare_clients(spark.read.parquet(clients_path))
     calendar = prepare_calendar(load_calendar(spark, calendar_path))
     visits = prepare_visits(spark.read.parquet(visits_path), year)
-    res = unified(clients, calendar, visits)
-    return export_unified(res, result_order(res), out_path, n_parts, as_of=as_of,
-                          by_month_path=by_month_path)
+    res = unified(clients, calendar, visits, keep_row_id=True)
+    return export_unified(res, result_order(res, row_id=True), out_path, n_parts, as_of=as_of,
+                          by_month_path=by_month_path, row_id=ROW_ID)
 
 
 def main(argv=None) -> None:

@@ -836,9 +836,9 @@ def o03_tail(spark, sf):
 # ------------------------------------------------------ export and designs
 
 def _result_order_sql():
-    from visitwise.plans.unified import RESULT_ORDER
+    from visitwise.plans.unified import RESULT_ORDER, TIE_BREAK
     from visitwise.schemas import RESULT_COLUMNS
-    keys = [k for k, _ in RESULT_ORDER]
+    keys = [k for k, _ in RESULT_ORDER] + TIE_BREAK
     cols = [k for k in keys] + [c for c in RESULT_COLUMNS + ["is_scheduled", "duration_minutes", "Flag_Duracion"]
                                 if c not in keys]
     return ", ".join(f'"{c}" ASC NULLS LAST' for c in cols)
@@ -851,9 +851,10 @@ _SPLIT_SQL = (f"SELECT * REPLACE (round(Distancia_Haversine, 3) AS Distancia_Hav
 def _split(spark, sf):
     """The split of the export: on the exact distance, rounded afterwards."""
     from visitwise.sources.sinks import split_parts
-    from visitwise.plans.unified import result_order
-    res = unified(clients(spark, sf), calendar(spark, sf), visits(spark, sf))
-    return _round(split_parts(res, result_order(res), 3, "part").drop("_row", "_nrows"), "Distancia_Haversine")
+    from visitwise.plans.unified import ROW_ID, result_order
+    res = unified(clients(spark, sf), calendar(spark, sf), visits(spark, sf), keep_row_id=True)
+    parts = split_parts(res, result_order(res, row_id=True), 3, "part", row_id=ROW_ID)
+    return _round(parts.drop(ROW_ID, "_row", "_nrows"), "Distancia_Haversine")
 
 
 @register("s13_ntile_split", _SPLIT_SQL)
@@ -879,11 +880,8 @@ def s14_snapshot(spark, sf):
 def s14_month_end(spark, sf):
     """Rows of the unified table per monthly period partition (what a
     month-end run writes under ``period=yyyyMM``) and the period's last day."""
-    from visitwise.functions import period_yyyymm
-    res = q09_unified(spark, sf)
-    return (res.groupBy(period_yyyymm("FECHAS_VISITA").alias("period"))
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("Flag_DAN").cast("long").alias("n_visited"),
-                 F.last_day(F.min("FECHAS_VISITA")).alias("month_end")))
+    from visitwise.plans.unified import month_sizes
+    return month_sizes(clients(spark, sf), calendar(spark, sf), visits(spark, sf))
 
 
 def _q11_sql():
@@ -1002,16 +1000,11 @@ def j12_lists_and_codes(spark, sf):
         "fechas_agrupadas", _dates_text("fechas_agrupadas"))
 
 
-def _j14(spark, sf):
-    from visitwise.plans.compliance import visits_with_lists
-    return visits_with_lists(clients(spark, sf), calendar(spark, sf), visits(spark, sf)).withColumns(
-        {c: _dates_text(c) for c in ("fechas_agrupadas", "fechas_programadas")})
-
-
 @register("j14_visits_with_lists", _J14_SQL)
 def j14_visits_with_lists(spark, sf):
     """One row per visit with its client's dates and its plan's due dates."""
-    return _j14(spark, sf)
+    from visitwise.plans.compliance import visits_with_lists
+    return visits_with_lists(clients(spark, sf), calendar(spark, sf), visits(spark, sf), _dates_text)
 
 
 def _j15_sql(how):
@@ -1024,14 +1017,14 @@ def _j15_sql(how):
 def j15_distances_inner(spark, sf):
     """The visits of J14 with their distances (inner)."""
     from visitwise.plans.compliance import distances_joined
-    return distances_joined(_j14(spark, sf), _distances(spark, sf), "inner")
+    return distances_joined(clients(spark, sf), calendar(spark, sf), visits(spark, sf), _distances(spark, sf), "inner", _dates_text)
 
 
 @register("q13_distances_outer", _j15_sql("FULL OUTER"))
 def q13_distances_outer(spark, sf):
     """The visits of J14 and the distances, full outer."""
     from visitwise.plans.compliance import distances_joined
-    return distances_joined(_j14(spark, sf), _distances(spark, sf), "outer")
+    return distances_joined(clients(spark, sf), calendar(spark, sf), visits(spark, sf), _distances(spark, sf), "outer", _dates_text)
 
 
 _ONE = "3-001"  # the client whose rows the filters show

@@ -27,6 +27,9 @@ RANK_KEYS = ["ID_TERCERO", "FECHAS_VISITA"]
 # Final sort of the reference (only the last of its three sorts is visible).
 RESULT_ORDER = [("ID_TERCERO", True), ("FECHAS_VISITA", True),
                 ("Distancia_Haversine", True), ("Flag_Time", True)]
+# Of rows that these leave tied, the order of start and client row.
+TIE_BREAK = ["Inicio_Visita", "ROWID_TERCERO"]
+ROW_ID = "_rid"
 
 
 def with_clean_text(clients: DataFrame) -> DataFrame:
@@ -38,10 +41,10 @@ def with_clean_text(clients: DataFrame) -> DataFrame:
     return clients.withColumns({f"_clean_{c}": clean_text(c) for c in CLEANED_TEXT})
 
 
-def client_dimension(clients: DataFrame) -> DataFrame:
+def client_dimension(clients: DataFrame, clean: bool = True) -> DataFrame:
     """Distinct client rows with ``_m`` (how many identical copies the input
     held), a surrogate ``_cid`` and the cleaned text, written once to the
-    checkpoint folder (so ``_cid`` is stable and the text UDF runs once).
+    checkpoint folder (so ``_cid`` is stable and text is cleaned once).
 
     The natural joins of the reference match on all client columns; two
     rows meet exactly when they are copies of one distinct client row, so
@@ -49,7 +52,7 @@ def client_dimension(clients: DataFrame) -> DataFrame:
     """
     d = (clients.groupBy(*clients.columns).agg(F.count(F.lit(1)).alias("_m"))
          .withColumn("_cid", F.monotonically_increasing_id()))
-    return materialize(with_clean_text(d))
+    return materialize(with_clean_text(d) if clean else d)
 
 
 def duplicate_clients(clients: DataFrame) -> DataFrame:
@@ -70,17 +73,32 @@ def match_due_visits(clients: DataFrame, calendar: DataFrame, visits: DataFrame)
     by the planner from its measured size).  Adds ``_matched``.
     """
     dim = client_dimension(clients)
+    return _match(dim, calendar, visits).join(dim.drop("_m"), "_cid", "inner")
+
+
+def _match(dim: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
+    """The match on ``_cid`` and date, without the clients' attributes."""
     due = due_list(dim.select("_cid", "_m", *CAL_KEYS), calendar) \
         .select("_cid", "_m", "FECHAS_VISITA")
     facts = visit_facts(visits, dim.select("_cid", "_m", "ID_TERCERO", "LONGITUD", "LATITUD")) \
         .drop("ID_TERCERO", "LONGITUD", "LATITUD")
-    matched = natural_full_outer(due, facts, ["_cid", "FECHAS_VISITA"], matched_flag="_matched",
-                                 due_mult="_m", fact_mult="_m")
-    return matched.join(dim.drop("_m"), "_cid", "inner")
+    return natural_full_outer(due, facts, ["_cid", "FECHAS_VISITA"], matched_flag="_matched",
+                              due_mult="_m", fact_mult="_m")
+
+
+def month_sizes(clients: DataFrame, calendar: DataFrame, visits: DataFrame) -> DataFrame:
+    """Rows and visited rows of the unified table per month, and the
+    month's end: counted from the match alone, without ranks, attributes or
+    cleaned text."""
+    from visitwise.functions.dates import period_yyyymm
+    dim = client_dimension(clients, clean=False)
+    return (_match(dim, calendar, visits).groupBy(period_yyyymm("FECHAS_VISITA").alias("period"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(not_null_flag("Inicio_Visita")).cast("long").alias("n_visited"),
+                 F.last_day(F.min("FECHAS_VISITA")).alias("month_end")))
 
 
 def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
-            extras: bool = True) -> DataFrame:
+            extras: bool = True, keep_row_id: bool = False) -> DataFrame:
     """Q09 from prepared inputs.
 
     Output: the 33 columns of the reference (``RESULT_COLUMNS``), with
@@ -90,16 +108,18 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
     meant to say) - and ``Flag_Duracion``, the dense rank of the visit
     length in whole minutes (``duration_minutes``), longest first, next to
     ``Flag_Time``, which ranks the reference's glued hour-minute code.
+    ``keep_row_id`` adds the stored rows' unique number, for a split that sorts
+    narrow rows.
     """
     # the matched table feeds the rank histograms and the rank lookups:
     # write it once (with a row id that stays fixed from then on)
     res = materialize(match_due_visits(clients, calendar, visits)
-                      .withColumn("_rid", F.monotonically_increasing_id())
+                      .withColumn(ROW_ID, F.monotonically_increasing_id())
                       .withColumn("duration_minutes", duration_minutes("TimeDifference").cast("int")))
     specs = [("Time", "Flag_Time", "dense", True),
              ("Distancia_Haversine", "Flag_Distance", "min", True),
              ("duration_minutes", "Flag_Duracion", "dense", True)]
-    res = attach_stacked_ranks(res, "_rid", RANK_KEYS, specs)
+    res = attach_stacked_ranks(res, ROW_ID, RANK_KEYS, specs, store=keep_row_id)
     res = res.withColumns({
         "Flag_DAN": not_null_flag("Inicio_Visita"),
         "Flag_Visita_Rutero": equal_flag("FECHAS_VISITA", "FECHAS_VISITA_V"),
@@ -113,6 +133,8 @@ def unified(clients: DataFrame, calendar: DataFrame, visits: DataFrame,
             out.append(F.col(c))
     if extras:
         out += ["is_scheduled", "duration_minutes", "Flag_Duracion"]
+    if keep_row_id:
+        out.append(ROW_ID)
     return res.select(*out)
 
 
@@ -123,12 +145,13 @@ def unified_statistics(clients_raw: DataFrame, calendar_wide: DataFrame,
                    prepare_visits(visits_raw, year))
 
 
-def result_order(df: DataFrame) -> list:
-    """Sort of the export: the reference's keys, nulls last, then every other
-    column as a tie-break so that the order (and the split) is total."""
-    keys = [k for k, _ in RESULT_ORDER]
-    return ([order_col(k, asc) for k, asc in RESULT_ORDER]
-            + [order_col(c) for c in df.columns if c not in keys])
+def result_order(df: DataFrame, row_id: bool = False) -> list:
+    """Sort of the export: the reference's keys, nulls last, then start and
+    client row, then every other column, so that the order (and the split) is
+    total; with ``row_id`` the rest is left to the row id."""
+    keys = [k for k, _ in RESULT_ORDER] + TIE_BREAK
+    rest = [] if row_id else [c for c in df.columns if c not in keys]
+    return [order_col(k, asc) for k, asc in RESULT_ORDER] + [order_col(c) for c in TIE_BREAK + rest]
 
 
 def is_month_end(as_of: _dt.date) -> bool:

@@ -114,21 +114,24 @@ def compat_columns(df: DataFrame) -> DataFrame:
     return out
 
 
-def split_parts(df: DataFrame, order, n: int = 3, col: str = "part") -> DataFrame:
+def split_parts(df: DataFrame, order, n: int = 3, col: str = "part", row_id: str | None = None) -> DataFrame:
     """Exact balanced contiguous split (first ``rows mod n`` parts
-    one row longer)."""
-    return balanced_buckets(df, order, n, col)
+    one row longer). With ``row_id`` only the order's columns are sorted."""
+    return balanced_buckets(df, order, n, col, row_id)
 
 
 def export_unified(result: DataFrame, order, path: str, n_parts: int = 3,
-                   as_of: _dt.date | None = None, by_month_path: str | None = None) -> DataFrame:
+                   as_of: _dt.date | None = None, by_month_path: str | None = None,
+                   row_id: str | None = None) -> DataFrame:
     """Q10: split into ``n_parts`` and write ``;`` Latin-1 CSV per part.
 
     ``as_of`` replaces the reference's clock; when it is the last day of its
     month the parts are also written under ``period=yyyyMM`` (S14).
+    ``row_id`` names a unique column that breaks ties and is not written.
     Returns the split frame.
     """
-    parts = split_parts(result, order, n_parts, "part")
+    parts = split_parts(result, order, n_parts, "part", row_id)
+    parts = parts.drop(row_id) if row_id else parts
     # rows keep their global order inside each part (sorted by position)
     # (part, row) order satisfies the writer's own sort on the partition column,
     # so no extra sort reorders rows inside a part

@@ -71,6 +71,55 @@ def test_every_rule_passes_its_prefilters():
         assert r["keyword"] in sample and any(a in sample for a in ls.ANCHORS), (r, sample)
 
 
+KNOWN = {  # openings of licence texts, notices, package fields and identifiers
+    "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2-or-later",
+    "SPDX-License-Identifier: GPL-2.0-only": "gpl-2",
+    "# SPDX-License-Identifier: LGPL-2.1-only": "lgpl-2.1",
+    "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1-or-later",
+    "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+    "SPDX-License-Identifier: EPL-2.0": "epl-2",
+    "SPDX-License-Identifier: CDDL-1.0": "cddl-1.0",
+    "SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2,mit",
+    "SPDX-License-Identifier: AGPL-3.0-or-later": "agpl-3-or-later",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+    '"license": "MIT",': "mit",
+    "license = \"BSD-2-Clause\"": "bsd-2-clause",
+    "License: GPLv2 or later": "gpl-2-or-later",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal in the Software without restriction": "mit",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:": "bsd",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software": "bsd-3-clause",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.": "isc",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\"": "bsd-0-clause",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+    "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+    "version.": "gpl-2-or-later",
+    "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version "
+    "2.1 of the License, or (at your option) any later version": "lgpl-2.1-or-later",
+    "You may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n"
+    "    http://www.apache.org/licenses/LICENSE-2.0": "apache-2",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+    "This is free and unencumbered software released into the public domain.": "unlicense",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    "accompanying documentation covered by this license": "boost-1",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software.": "zlib",
+    "The GNU General Public License is a free, copyleft license for software and other kinds of works.": "gpl-3",
+    "a clean text about permission and use in many forms": "",
+}
+
+
+def test_openings_and_identifiers_of_known_licences(spark, make):
+    rows = list(enumerate(KNOWN))
+    check(ls.license_scan(make(rows)), rows)
+    got = {r["id"]: r["labels"] for r in ls.license_scan(make(rows)).collect()}
+    assert {text: got[i] for i, text in rows} == KNOWN
+
+
 def test_query_on_all_documents(spark, sf, documents):
     check(QUERIES["op3_license_scan"](spark, sf), list(documents.items()), "doc_id")
 

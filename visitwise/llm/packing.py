@@ -36,7 +36,8 @@ CAPACITY = 2048
 MAX_SEGMENTS = 256
 END_ID = 1
 POOL = 1024
-CACHE_ENTRIES = 300_000  # of each generation of a table
+CACHE_ENTRIES = 200_000  # of each generation of the table of chunks
+PIECE_ENTRIES = 30_000   # the same of what other chunks are cut into
 OUT_SCHEMA = ("id long, start long, ids binary, doc_tokens long, loss_tokens long, "
               "sequence_id long, offset long")
 
@@ -104,7 +105,7 @@ class WordEncoder:
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
         self.chunks = Recent(self._chunk, CACHE_ENTRIES)
-        self.words = Recent(self._word, CACHE_ENTRIES)
+        self.pieces = Recent(self._word, PIECE_ENTRIES)
 
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
@@ -116,12 +117,13 @@ class WordEncoder:
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha() and (chunk.isascii() or _LATIN.fullmatch(chunk)):  # one word for the pattern, too
-            return self.words[chunk.lower()]
+            low = chunk.lower()
+            return self._word(chunk) if low == chunk else self.chunks[low]
         if not _LATIN.fullmatch(chunk) or "<|" in chunk:
             return self._bytes(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if chunk[:-1].isalpha() and chunk[-1] in ",.":
-            return self.words[chunk[:-1].lower()] + self.words[chunk[-1]]
-        return b"".join(map(self.words.__getitem__, self.pattern.findall(chunk.lower())))
+            return self.chunks[chunk[:-1].lower()] + self.pieces[chunk[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower())))
 
     def __call__(self, text: str) -> bytes:
         if not self.by_words:

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC wall clock (the data carries no zone),
 # adaptive execution (runtime coalescing and skew-join splitting), and
-# Arrow for the one pandas UDF (exact NFKD text cleaning).
+# Arrow wherever rows meet Python.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -59,6 +59,17 @@ def test_links_match_brute_force(spark, make):
     assert got(nd.near_duplicates(make(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("members, shingles", [(3, 10 ** 9), (512, 300)])
+def test_blocks_bounded_by_members_and_by_shingles(spark, make, monkeypatch, members, shingles):
+    monkeypatch.setattr(nd, "SET_BLOCK", members)
+    monkeypatch.setattr(nd, "SET_SHINGLES", shingles)
+    pieces, write = {}, nd.spill
+    monkeypatch.setattr(nd, "spill", lambda df, name, *a: pieces.setdefault(name, []).append(df) or write(df, name, *a))
+    rows = variants(7, groups=2, each=20)
+    assert got(nd.near_duplicates(make(rows))) == brute(rows)
+    assert "groups" in pieces  # doubtful classes were compared in blocks
+
+
 def test_chained_links_of_one_group(spark, make):
     """Every copy changes the one before: the ends are no link, the component is one."""
     words = [f"w{i}" for i in range(300)]

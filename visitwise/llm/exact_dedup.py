@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from .base import only, spill
 
 CAPACITY = 20_000  # distinct keys a bucket
-MAX_DEPTH = 16     # bounds the directory and the histogram: 2^16 entries
+MAX_DEPTH = 16     # bounds the directory and the histogram: 2^16 entries; beyond, buckets outgrow
+                   # their capacity, which owner tasks stand, as they read rows in key order and hold one chain
 KEY_BITS = 64
 _LOCAL_BYTES = 32_000_000
 
@@ -167,12 +168,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counts = np.zeros(1 << max_depth, np.int64)
     for at, n in keyed.select("key").distinct().groupBy(slot.alias("slot")).count().collect():
         counts[at] = n  # at most 2^max_depth rows
-    directory = build_directory(counts, capacity)
-    buckets = len(np.unique(directory))  # one owner task each
+    # buckets by rank: each is one owner task
+    starts, directory = np.unique(build_directory(counts, capacity), return_inverse=True)
+    buckets = len(starts)
 
     groups = (rows.mapInArrow(_local_groups(key_bits, directory), "bucket long, key long, sha binary, body binary, "
                                                               "n long, top long")
-              .repartition(buckets, "bucket").sortWithinPartitions("bucket", "key", "sha")
+              .repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "key", "sha")
               .select("bucket", "key", "body", "n", "top"))
     index = spill(groups.mapInArrow(_chained, "bucket long, key long, link int, links int, body binary, "
                                               "n long, top long"), "index", partition_by="bucket")

@@ -5,7 +5,9 @@ MinHash samples over several permutations are cut into bands; documents that
 share a band are candidates. The samples of one permutation in many bins (the
 smallest hash of each) are folded into a parity bitmap, an odd sketch: the
 population count of two bitmaps' XOR estimates a high similarity closely, so
-few false candidates reach the full sets, on which every link is confirmed.
+few false candidates reach the full sets, on which every link is confirmed. Two
+shingles count as equal when their 64-bit hashes are: among a million different
+ones that goes wrong with probability 3e-8, and would shift a similarity by 1e-6.
 
 No bucket is ever expanded into its pairs:
 
@@ -18,7 +20,8 @@ No bucket is ever expanded into its pairs:
    that pass and lie in different components: the groups of doubtful classes;
 4. in each group, blocks of members compare their full sets, all pairs at once
    by a product of their incidence matrices, and hand on a spanning forest of
-   the links. Blocks of the group's main component meet only blocks of the rest.
+   the links. Blocks of the group's main component meet only blocks of the rest;
+   they are bounded by members and by shingles.
 
 Work inside a block grows with the square of the block, rows do not. The chance
 that a pair at the threshold shares no band is (1 - s^4)^32, below 1e-10 at
@@ -44,6 +47,7 @@ SKETCH_BINS = 1024
 SKETCH_BITS = 2048
 SKETCH_BLOCK = 2000  # members of a bucket that one piece of work compares by sketch
 SET_BLOCK = 512      # members of a group that one piece of work compares by full set
+SET_SHINGLES = 4_000_000  # their shingles, so that very long texts do not fill a worker
 THRESHOLD_PERCENT = 85
 
 _U = np.uint64
@@ -349,12 +353,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = spill(work.repartition(*order).sortWithinPartitions(*order)
                   .mapInArrow(_doubtful(percent, bins, bits), "a long, b long").distinct(), "doubtful")
     if not pairs.isEmpty():
-        groups = spill(placed(connected_components(pairs).select(F.col("node").alias("rep"), F.col("component").alias("grp"))),
-                       "groups")
-        main = (groups.groupBy("grp", "comp").agg(F.count("*").alias("c")).groupBy("grp")
-                .agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.sum("c").alias("total"), F.max("c").alias("most"))
-                .select("grp", "main", F.ceil((F.col("total") - F.col("most")) / SET_BLOCK).cast("int").alias("rest"),
-                        F.ceil(F.col("most") / SET_BLOCK).cast("int").alias("mains")))
+        groups = spill(placed(connected_components(pairs).select(F.col("node").alias("rep"), F.col("component").alias("grp")))
+                       .join(classes.select("rep", "n"), "rep"), "groups")
+        largest = F.struct("c", "comp", "n")
+        main = (groups.groupBy("grp", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n")).groupBy("grp")
+                .agg(F.max(largest).alias("m"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+                .select("grp", F.col("m.comp").alias("main"), *[
+                    F.greatest(F.ceil(members / SET_BLOCK), F.ceil(shingles / SET_SHINGLES)).cast("int").alias(name)
+                    for name, members, shingles in (("rest", F.col("c") - F.col("m.c"), F.col("n") - F.col("m.n")),
+                                                    ("mains", F.col("m.c"), F.col("m.n")))]))
         # blocks 0 .. rest-1 hold what is outside the main component, the next ones the main component
         place = F.xxhash64("rep")
         work = (groups.join(main, "grp").withColumn("own", F.col("comp") != F.col("main"))

@@ -163,6 +163,26 @@ def _audit_sql() -> str:
         FROM counted"""
 
 
+def _near_sql(words: int = 5, percent: int = 85) -> str:
+    """Documents linked over all pairs that share a shingle, without bands or sketches."""
+    return f"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'),
+                                              '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+                  ELSE [array_to_string(w[i : i + {words - 1}], ' ') for i in range(1, len(w) - {words - 2})] END) AS g FROM t),
+        n AS (SELECT doc_id, len(g) AS n FROM s),
+        u AS (SELECT doc_id, unnest(g) AS x FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id
+              GROUP BY 1, 2),
+        links AS (SELECT p.a, p.b FROM p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+                  WHERE 100 * c >= {percent} * (na.n + nb.n - c)),
+        reach AS (SELECT doc_id, doc_id AS other FROM t
+                  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other),
+        low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+        SELECT doc_id, n AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN low USING (doc_id)"""
+
+
 def _codes_sql() -> str:
     """Full searches, round by round: no bounds."""
     ctes = [f"""v AS (SELECT vec_id, label, [floor({SCALE} * x::DOUBLE) for x in embedding] AS v FROM embeddings
@@ -198,6 +218,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_warc, op12_filter_audit, op13_vector_codes)}
 
 ORACLE: dict[str, str] = {
+    "op2_minhash_near_dedup": _near_sql(),
     "op5_exact_dedup": f"""
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}') AS body
                    FROM documents),

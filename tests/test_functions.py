@@ -171,3 +171,14 @@ def test_small_helpers(spark):
                   V.case_in_list(F.lit(6), [5, 7]), V.to_ts("t", "yyyy-MM-dd HH:mm:ss")
                   .cast("timestamp_ntz")).first()
     assert tuple(r) == ("5", 3, 5, 0, dt.datetime(2023, 1, 5, 8, 30))
+
+
+def test_ascii_and_other_texts_decompose_alike(spark):
+    import unicodedata
+
+    from visitwise.functions.text import decompose
+    texts = ["", "plain ASCII\t1!", "a\x00b", "caf\u00e9", "cafe\u0301", "\ufb01n \u00bd", "\u1e9b\u0323", "\U0001d400x", "\u212b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for compat, form in ((True, "NFKD"), (False, "NFD")):
+        got = [r[0] for r in df.select(decompose("t", compat)).collect()]
+        assert got == [None if t is None else unicodedata.normalize(form, t) for t in texts]

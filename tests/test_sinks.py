@@ -103,3 +103,23 @@ def test_month_end_keeps_other_periods(spark):
         add_partitions_csv(spark.range(n).withColumn("period", F.lit(period)), path, ";", ["period"], "UTF-8")
     rows = spark.read.option("header", True).option("sep", ";").csv(path).groupBy("period").count().collect()
     assert {str(r["period"]): r["count"] for r in rows} == {"202301": 2, "202302": 4}
+
+
+def test_month_end_swaps_whole_periods(spark):
+    import pytest
+    from visitwise.sources.sinks import add_partitions_csv
+    base = tempfile.mkdtemp(prefix="vw-months-")
+    path = os.path.join(base, "by_month")
+
+    def add(df):
+        add_partitions_csv(df.withColumn("period", F.lit("202301")), path, ";", ["period", "part"], "UTF-8")
+
+    add(spark.range(9).withColumn("part", F.col("id") % 3))
+    bad = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        add(bad.withColumn("part", F.lit(0)))
+    assert spark.read.option("header", True).option("sep", ";").csv(path).count() == 9
+    add(spark.range(4).withColumn("part", F.lit(0)))
+    # no part of the earlier split is left, and nothing stays beside the folder
+    assert sorted(os.listdir(os.path.join(path, "period=202301"))) == ["part=0"]
+    assert os.listdir(base) == ["by_month"]

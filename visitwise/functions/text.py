@@ -53,12 +53,16 @@ def combining_class_pattern() -> str:
 
 
 def decompose(c, compat: bool) -> Column:
-    """NFKD (``compat``) or NFD of a text column on the JVM via ICU4J."""
+    """NFKD (``compat``) or NFD of a text column on the JVM via ICU4J.
+
+    An ASCII text (as many bytes as characters) is its own decomposition, so
+    only the others pay for the reflective call.
+    """
     _require_icu()
     x = _c(c)
     call = F.call_function("reflect", F.lit(_ICU_NORMALIZER), F.lit("decompose"), x,
                            F.lit(bool(compat)))
-    return F.when(x.isNotNull(), call)
+    return F.when(F.octet_length(x) == F.length(x), x).when(x.isNotNull(), call)
 
 
 def clean_text(c) -> Column:

@@ -47,7 +47,9 @@ def case_key_join(eav: DataFrame, attrs: DataFrame, wanted=LONGITUDE_ATTRS,
     Still an equi-join on an expression key.  Attribute rows outside
     ``wanted`` carry key 0, so they meet EAV rows whose attribute id is 0
     (the reference's behaviour, kept); with the entity among the keys that
-    fan-out stays within one entity's attribute list."""
+    fan-out stays within one entity's attribute list. No other id of an EAV row
+    can equal the key, so the filter on these reaches the scan."""
+    eav = eav.where(F.col(attr).isin(0, *wanted))
     key = F.when(F.col(attrs_id).isin(*wanted), F.col(attrs_id)).otherwise(F.lit(0))
     a = attrs.withColumn("_key", key)
     cond = eav[attr] == a["_key"]

@@ -110,7 +110,8 @@ def _criteria(t207: DataFrame, t206: DataFrame, t204: DataFrame) -> DataFrame:
     rows = t207.select(F.col("F207_ID_CIA").alias("cia"), F.col("F207_ROWID_TERCERO").alias("third"),
                        F.col("F207_ID_SUCURSAL").alias("branch"), F.col("F207_ID_PLAN_CRITERIOS").alias("plan"),
                        F.col("F207_ID_CRITERIO_MAYOR").alias("crit"))
-    rows = rows.join(known, ["cia", "plan", "crit"], "left").join(copies, ["cia", "plan"], "left")
+    # the two small tables meet first, so the criteria of all clients are joined once
+    rows = rows.join(known.join(copies, ["cia", "plan"], "left"), ["cia", "plan", "crit"], "left")
     times = F.when(F.col("code").isNull(), 1).otherwise(F.coalesce("copies", F.lit(1)))
     return (rows.withColumn("_i", F.explode(F.array_repeat(F.lit(1), times)))
             .select("third", "branch", "plan", "code", "descr"))

@@ -3,9 +3,8 @@
 The export of the unified table (Q10): a total order, an exact balanced
 split into ``n`` contiguous parts (``ntile`` semantics without a
 single-task window), and a ``;``-separated Latin-1 CSV per part written in
-parallel (``partitionBy``).  At month end the same parts also go to a
-``period=yyyyMM`` partition (dynamic partition overwrite, so other months
-stay).
+parallel (``partitionBy``).  At month end the same parts also replace the
+``period=yyyyMM`` partition of a second folder; other months stay.
 """
 
 from __future__ import annotations
@@ -29,19 +28,32 @@ def publish(write, spark: SparkSession, path: str) -> None:
     output as it was. If the second rename fails, the old folder is put back.
     """
     path = path.rstrip("/")
-    tag = uuid.uuid4().hex
-    jvm = spark.sparkContext._jvm
-    target, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new-{tag}", f"{path}.old-{tag}"))
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    new = f"{path}.new-{uuid.uuid4().hex}"
+    fs = _file_system(spark, path)
     try:
-        write(str(new.toString()))
+        write(new)
     except Exception:
-        fs.delete(new, True)
+        fs.delete(_path(spark, new), True)
         raise
+    _swap(spark, new, path, f"{path}.old-{uuid.uuid4().hex}")
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _swap(spark: SparkSession, new: str, path: str, aside: str) -> None:
+    """Rename the folder ``new`` to ``path``; what stood there goes by way of ``aside``."""
+    fs = _file_system(spark, path)
+    fresh, target, old = (_path(spark, p) for p in (new, path, aside))
     had = fs.exists(target)
     if had and not fs.rename(target, old):
         raise OSError(f"cannot move {path} aside")
-    if not fs.rename(new, target):
+    if not fs.rename(fresh, target):
         if had:
             fs.rename(old, target)
         raise OSError(f"cannot publish {path}")
@@ -73,10 +85,27 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", partition_by: list[str]
 
 
 def add_partitions_csv(df: DataFrame, path: str, sep: str, partition_by: list[str], encoding: str) -> None:
-    """Replace only the partitions that ``df`` holds (dynamic overwrite:
-    Spark stages them and moves them when the job commits)."""
-    (_csv_writer(df, sep, partition_by, encoding).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").csv(path))
+    """Replace the partitions of the first column of ``partition_by`` that
+    ``df`` holds; the others stay.
+
+    All rows are written beside ``path`` first. Then one partition after the
+    other is swapped, as a whole, by renames, so a failed write leaves what was
+    published, and a partition written anew with fewer parts keeps none of its
+    old ones. Between swaps some partitions are new and some old, each complete.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    tag = uuid.uuid4().hex
+    staged = f"{path}.new-{tag}"
+    fs = _file_system(spark, path)
+    try:
+        _csv_writer(df, sep, partition_by, encoding).csv(staged)
+        fs.mkdirs(_path(spark, path))
+        for status in fs.listStatus(_path(spark, staged)):
+            name = status.getPath().getName()
+            if name.startswith(f"{partition_by[0]}="):
+                _swap(spark, f"{staged}/{name}", f"{path}/{name}", f"{path}.old-{tag}")
+    finally:
+        fs.delete(_path(spark, staged), True)
 
 
 def latin1_frame(df: DataFrame) -> DataFrame:

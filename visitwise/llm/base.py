@@ -50,6 +50,13 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     return left.select("*", own).join(right.select("*", own), [*keys, "hash_of_keys"], how).drop("hash_of_keys")
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared checkpoint folder, removed at the end of
     the program or by :func:`remove_spilled`."""

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import connected_components, quoted, spill, split_join
+from .base import connected_components, quoted, slices, spill, split_join
 
 DISTANCE = 1
 DISTANCES = ((20, 1), (40, 2), (60, 3))  # (length from, distance): the registered query and the pipeline's stage
@@ -165,20 +165,13 @@ def _eligible(text: str | None, min_chars: int) -> Iterator[tuple[int, str]]:
             yield n, line
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that what is made of one at a time stays small."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def _lines(exact_chars: int):
     """mapInArrow: (doc, id, body) -> one row per line of at least ``exact_chars`` with its hash."""
     names = ["doc", "id", "n", "h1", "h2"]
     kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             rows = [(doc, key, n, *_hash(line)) for doc, key, text in zip(*(c.to_pylist() for c in batch.columns))
                     for n, line in _eligible(text, exact_chars)]
             if rows:
@@ -226,7 +219,7 @@ def _keys(distance, min_chars: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: tuple[list[int], ...] = ([], [], [], [])
-        for batch in _slices(batches):
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 for _, line in _eligible(text, min_chars):
                     h1 = _hash(line)[0]
@@ -297,7 +290,7 @@ def _wanted_lines(slots: np.ndarray, min_chars: int):
     """mapInArrow: body -> (h1, line) of the lines whose slot is set, once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             rows = []
             for text in batch.column(0).to_pylist():
                 for _, line in _eligible(text, min_chars):

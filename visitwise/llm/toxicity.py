@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import only, quoted, spill
+from .base import only, quoted, slices, spill
 
 SAMPLE_ROWS = 6_000  # most labelled rows that the chain is trained on
 VOCABULARY = 160      # terms for each category
@@ -195,7 +195,7 @@ def _scored(docs: DataFrame, features: Features, chain: Chain, text_col: str) ->
     body = own[docs.columns.index(text_col)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             p = chain(features.matrix([t or "" for t in batch.column(body).to_pylist()]))
             yield pa.record_batch([*batch.columns, pa.array(list(p), pa.list_(pa.float64()))],
                                   names=[*batch.schema.names, "p"])

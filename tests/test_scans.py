@@ -171,3 +171,30 @@ def test_interval_joins_are_equi_joins_that_can_be_split(spark):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_bins_follow_the_density(spark):
+    """Where many intervals overlap, bins are shorter than the intervals, so that few pairs
+    meet that do not overlap; where few do, they are as long as 99 of 100 intervals."""
+    def visits(each):  # every interval 100 s long, ``each`` of them starting in a second
+        start = (F.lit(T0) + F.make_dt_interval(secs=F.floor(F.col("id") / each))).cast("timestamp_ntz")
+        return spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("iid"), start.alias("s"),
+                                        (start + F.make_dt_interval(secs=F.lit(100))).alias("e"))
+    wide = intervals.balanced_width(visits(0.01), visits(0.01), ["k"], "s", "s", "e")
+    tight = intervals.balanced_width(visits(20), visits(20), ["k"], "s", "s", "e")
+    assert wide == 100 and 1 <= tight <= 20
+    none = visits(1).where("false")
+    assert intervals.balanced_width(none, none, ["k"], "s", "s", "e") == 1
+    got = intervals.overlapping_pairs(visits(20), ["k"], "s", "e", "iid")
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()  # a shuffle deals the pairs
+    seconds = 200
+    assert got.count() == sum(20 * 19 // 2 + 400 * min(99, seconds - 1 - t) for t in range(seconds))
+
+
+def test_overlaps_with_ties_and_null_ids(spark):
+    """Of two that start together the one with the smaller id is the earlier, a null id before all; two null ids make no pair."""
+    data = [(1, None, 0, 5), (1, None, 0, 5), (1, 2, 0, 5), (1, 1, 0, 9)]
+    at = lambda c: (F.lit(T0) + F.make_dt_interval(secs=F.col(c))).cast("timestamp_ntz").alias(c)
+    iv = spark.createDataFrame(data, "k int, iid int, s int, e int").select("k", "iid", at("s"), at("e"))
+    got = intervals.overlapping_pairs(iv, ["k"], "s", "e", "iid").select("iid_1", "iid_2").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(["(None, 2)", "(None, 1)"] * 2 + ["(1, 2)"])

@@ -6,8 +6,11 @@ exactly one place, by an equi-join on (key, bin): no nested loops, and no
 duplicates to remove. A hot bin is split by adaptive execution, since both
 sides come with a shuffle of their own.
 
-The bin width decides how often intervals are copied. By default it is the
-length that 99 of 100 intervals do not exceed, so those have two copies at most.
+The bin width decides how often intervals are copied, and how many pairs meet
+that do not match. By default it is the length that 99 of 100 intervals do not
+exceed, so those have two copies at most; where points and intervals stand so
+dense that the pairs cost more than the copies, it is the width at which both
+cost the same.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+COPY_COST = 8  # pairs that meet in the time that one copy of an interval takes to shuffle and sort
 _EPOCH = "1970-01-01 00:00:00"
 
 
@@ -31,6 +35,32 @@ def usual_length(intervals: DataFrame, start: str, end: str) -> int:
     return max(1, -(-(got or 0) // MICROS))
 
 
+def balanced_width(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str) -> int:
+    """Seconds of a bin (at least 1, at most :func:`usual_length`), from the rows as they are.
+
+    Bins of w make (sum of lengths) / w copies of the intervals and, beyond the
+    matches, w * (intervals * points within a short time, summed) pairs. Copies
+    times their cost equal those pairs at the width returned. Starts and points
+    are counted by key and bins of the usual length, so that bursts and hot
+    keys weigh as they will in the join."""
+    usual = usual_length(intervals, start, end)
+    width = usual * MICROS
+
+    def counts(df: DataFrame, time: str, *more) -> DataFrame:
+        return (df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.floor(_micros(F.col(time)) / width).alias("_bin"))
+                .agg(*more))
+
+    real = intervals.where(F.col(start) < F.col(end))
+    us = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end)).cast("double")
+    i = counts(real, start, F.count(F.lit(1)).cast("double").alias("_i"), F.sum(us).alias("_us"))
+    p = counts(points, point, F.count(F.lit(1)).cast("double").alias("_p"))
+    on = [f"_k{n}" for n in range(len(keys))] + ["_bin"]
+    total, meet = i.join(p, on, "left").agg(F.sum("_us"), F.sum(F.col("_i") * F.col("_p"))).first()
+    if not meet:
+        return usual
+    return max(1, min(usual, int((COPY_COST * total * width / meet) ** 0.5) // MICROS))
+
+
 def range_join(points: DataFrame, intervals: DataFrame, keys: list[str], point: str, start: str, end: str,
                bin_seconds: int | None = None, point_prefix: str = "", interval_prefix: str = "",
                how: str = "inner") -> DataFrame:
@@ -40,7 +70,7 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: list[str], point:
     Null keys, times and empty intervals match nothing."""
     if how not in ("inner", "left"):
         raise ValueError(how)
-    width = (bin_seconds or usual_length(intervals, start, end)) * MICROS
+    width = (bin_seconds or balanced_width(points, intervals, keys, point, start, end)) * MICROS
     p_cols, i_cols = ([c for c in df.columns if c not in keys] for df in (points, intervals))
 
     def dealt(df: DataFrame, cols: list[str], bins) -> DataFrame:
@@ -57,7 +87,9 @@ def range_join(points: DataFrame, intervals: DataFrame, keys: list[str], point:
     on = [f"_k{i}" for i in range(len(keys))] + ["_bin"]
     at, lo, hi = F.col(f"_p.`{point}`"), F.col(f"_i.`{start}`"), F.col(f"_i.`{end}`")
     cond = F.expr(" AND ".join(f"a.{c} = b.{c}" for c in on)) & (lo <= at) & (at < hi)
-    out = a.alias("a").join(b.alias("b"), cond, how)
+    # by merge: the planner sees none of the copies and pairs, and would leave a
+    # broadcast join of few bytes to the few tasks that scan the points
+    out = a.alias("a").join(b.alias("b").hint("merge"), cond, how)
     return out.select(*[F.col(f"a._k{i}").alias(k) for i, k in enumerate(keys)],
                       *[F.col(f"_p.`{c}`").alias(f"{point_prefix}{c}") for c in p_cols],
                       *[F.col(f"_i.`{c}`").alias(f"{interval_prefix}{c}") for c in i_cols])
@@ -72,6 +104,9 @@ def overlapping_pairs(intervals: DataFrame, keys: list[str], start: str, end: st
     real = intervals.where(F.col(start) < F.col(end))
     cols = [c for c in intervals.columns if c not in keys]
     found = range_join(real, real, keys, start, start, end, bin_seconds, point_prefix="_later_", interval_prefix="_earlier_")
-    before = F.struct(f"_earlier_{start}", f"_earlier_{row_id}") < F.struct(f"_later_{start}", f"_later_{row_id}")
+    # (start, row id) of the earlier one below that of the later one, null ids first:
+    # column by column, since two structs would be built and compared for every pair
+    (s1, s2), (r1, r2) = ([F.col(f"`_{side}_{c}`") for side in ("earlier", "later")] for c in (start, row_id))
+    before = (s1 < s2) | ((s1 == s2) & ((r1.isNull() & r2.isNotNull()) | F.coalesce(r1 < r2, F.lit(False))))
     return found.where(before).select(*keys, *[F.col(f"`_earlier_{c}`").alias(f"{c}_1") for c in cols],
                                       *[F.col(f"`_later_{c}`").alias(f"{c}_2") for c in cols])

@@ -160,3 +160,17 @@ def test_full_merge_matches_pandas(spark, seed):
     def norm(df):
         return sorted((tuple(None if pd.isna(v) else v for v in t) for t in df.itertuples(index=False)), key=repr)
     assert norm(got) == norm(exp)
+
+
+def test_due_rows_are_not_grouped_after_the_calendar(spark):
+    """A client's dates are made by a join with distinct calendar rows, so no hash table of
+    all due rows of a task stands behind it; copies of clients and calendar rows still multiply."""
+    from visitwise.plans import registry as R
+    for name in ("j03_unified_full", "q11_compliance"):
+        plan = R.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "first(" not in plan, name
+    due = spark.createDataFrame([(1, None, 6), (1, "a", 2), (None, "b", 1)], "c int, d string, m long")
+    facts = spark.createDataFrame([(1, "a", 10), (2, "a", 20), (None, "b", 30)], "c int, d string, x int")
+    same = [sorted(map(str, natural_full_outer(due, facts, ["c", "d"], "hit", due_mult="m", due_distinct=once).collect()))
+            for once in (True, False)]
+    assert same[0] == same[1] and len(same[0]) == 6 + 2 + 1 + 1

@@ -19,6 +19,7 @@ from visitwise.operators.grouping import distinct_list, value_list
 from visitwise.operators.matching import mark_join, natural_full_outer
 from visitwise.operators.nullsafe import merge
 from visitwise.operators.ranking import first_per_key, materialize
+from visitwise.plans.route import calendar_copies
 
 CODE_KEYS = ["COD_DIA_VISITA", "COD_FRECUENCIA_VISITA"]
 DUE_KEYS = ["ID_TERCERO", "COD_DIA_VISITA", "DES_DIA_VISITA", "COD_FRECUENCIA_VISITA",
@@ -31,9 +32,10 @@ def distinct_clients(clients: DataFrame) -> DataFrame:
     return first_per_key(clients, ["ID_TERCERO"], [(c, True) for c in rest])
 
 
-def due_rows(clients: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Clients x calendar, inner on day and frequency code."""
-    return clients.join(calendar.select("FECHAS_VISITA", *CODE_KEYS), CODE_KEYS, "inner")
+def due_rows(clients: DataFrame, calendar: DataFrame, *more: str) -> DataFrame:
+    """Clients x calendar, inner on day and frequency code (``more``:
+    other columns of the calendar to keep)."""
+    return clients.join(calendar.select("FECHAS_VISITA", *CODE_KEYS, *more), CODE_KEYS, "inner")
 
 
 def mark_scheduled(visits: DataFrame, calendar: DataFrame, flag: str = "Cumple") -> DataFrame:
@@ -50,12 +52,13 @@ def compliance_v1(clients: DataFrame, calendar: DataFrame, visits: DataFrame) ->
     go. Length text with ``''`` for a missing end (C12 as the first design had
     it), distance, and both distance classes (C15, C16)."""
     base = merge(visits, clients, ["ID_TERCERO"], "inner")
-    due = due_rows(distinct_clients(base.select(*[k for k in DUE_KEYS if k != "FECHAS_VISITA"])), calendar)
+    due = due_rows(distinct_clients(base.select(*[k for k in DUE_KEYS if k != "FECHAS_VISITA"])),
+                   calendar_copies(calendar), "_copies")
     facts = base.select(*DUE_KEYS, "Inicio_Visita", "Finalizacion_Visita", "Logintud", "Latitud_Visita",
                         "LONGITUD", "LATITUD")
     marks = (mark_scheduled(base.select("ID_TERCERO", "FECHAS_VISITA", *CODE_KEYS), calendar)
              .select("ID_TERCERO", "FECHAS_VISITA", "Cumple"))
-    res = natural_full_outer(due.select(*DUE_KEYS), facts, DUE_KEYS).join(marks, ["ID_TERCERO", "FECHAS_VISITA"])
+    res = natural_full_outer(due.select(*DUE_KEYS, "_copies"), facts, DUE_KEYS, due_mult="_copies", due_distinct=True).join(marks, ["ID_TERCERO", "FECHAS_VISITA"])
     dist = guarded_distance(to_number("Logintud"), to_number("Latitud_Visita"), "LONGITUD", "LATITUD")
     length = length_text(duration_seconds("Inicio_Visita", "Finalizacion_Visita"))
     res = res.select(*DUE_KEYS, "Inicio_Visita", "Cumple", F.coalesce(length, F.lit("")).alias("TimeDifferenceD"),

@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -303,3 +304,12 @@ def test_filter_reaches_the_driver_as_words(spark):
     assert set(ld._filter(hot).nonzero()[0].tolist()) == want
     assert ld._filter_words(hot).count() == len({s // 64 for s in want}) <= ld.FILTER_SLOTS // 64
     assert ld._filter(hot.where("false")).sum() == 0
+
+
+def test_texts_are_cut_in_slices():
+    """The last step hands on what it has cut a slice at a time, however large Spark's batches are."""
+    batch = pa.record_batch([pa.array(range(2500)), pa.array(["a\nb\nc"] * 2500), pa.array([None, [1]] * 1250, pa.list_(pa.int32()))],
+                            names=["id", "body", "gone"])
+    out = list(ld._without(iter([batch])))
+    assert max(b.num_rows for b in out) <= 1000
+    assert [r for b in out for r in b.to_pylist()] == [{"id": i, "body": "a\nc" if i % 2 else "a\nb\nc"} for i in range(2500)]

@@ -106,6 +106,21 @@ def test_c20_every_script(spark):
     assert col1(spark, SCRIPTS, "t string", V.strip_marks("t")) == want
 
 
+def test_marks_are_searched_in_a_tree(spark):
+    """No class of the pattern lists more than two ranges (Java tries them one after the other),
+    and it matches the marks alone among all characters."""
+    import re
+    import sys
+    import unicodedata
+    pattern = V.text.combining_class_pattern()
+    assert max(len(re.findall(r"\\x\{\w+\}-\\x", c)) for c in re.findall(r"\[([^\[\]]*)\]", pattern)) <= 2
+    chars = [cp for cp in range(1, sys.maxunicode + 1) if not 0xD800 <= cp < 0xE000]
+    rows = spark.createDataFrame([("".join(map(chr, chars[i:i + 5000])),) for i in range(0, len(chars), 5000)], "t string")
+    from pyspark.sql import functions as F
+    left = "".join(r[0] for r in rows.select(F.regexp_replace("t", pattern, "")).collect())
+    assert left == "".join(chr(cp) for cp in chars if not unicodedata.combining(chr(cp)))
+
+
 def test_c19_without_icu_raises(spark, monkeypatch):
     import pytest
     monkeypatch.setattr(V.text, "_ICU_NORMALIZER", "no.such.Normalizer")
